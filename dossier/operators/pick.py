@@ -76,16 +76,49 @@ def state_transitions(df: DataFrame, keys: Sequence[str], order: Sequence[Column
 
 def nearest_in_time(left: DataFrame, right: DataFrame, key: str, left_date: str, right_date: str,
                     left_id: str, right_id: str) -> DataFrame:
-    """W-19: per left row the right row with the smallest absolute day difference.
-
-    Ties: earlier right date, then smaller right id.  Equi join on the key,
-    then a per-left-row pick with a partial group limit.
+    """W-19: per left row the right row of the same key nearest in days.
+
+    Ties: smaller day difference, then the earlier right date, then the
+    smaller right id.  Instead of joining every left row to every right row
+    of its key (all pairs within a key), both sides are stacked and two
+    ordered windows per key carry the last right row on or before each left
+    day and the first right row on or after it; the better of the two is
+    kept.  Work is a sort per key, not a product.
+
+    Returns the left columns plus ``<right_id>``, ``<right_date>`` (as the
+    right row's date) and ``day_diff``; left rows with no right row of their
+    key are dropped (inner semantics).
     """
-    j = left.join(right, key)
-    diff = F.abs(F.datediff(F.col(right_date), F.col(left_date)))
-    w = Window.partitionBy(left_id).orderBy(diff, F.col(right_date), F.col(right_id))
-    return (j.withColumn("day_diff", diff).withColumn("__rn", F.row_number().over(w))
-            .where(F.col("__rn") <= 1).drop("__rn"))
+    lcols = left.columns
+    L = left.select(F.col(key).alias("__k"), F.to_date(F.col(left_date)).alias("__d"),
+                    F.lit(1).alias("__side"), F.lit(None).cast(right.schema[right_id].dataType).alias("__rid"),
+                    F.struct(*[F.col(c) for c in lcols]).alias("__l"))
+    R = right.select(F.col(key).alias("__k"), F.to_date(F.col(right_date)).alias("__d"),
+                     F.lit(0).alias("__side"), F.col(right_id).alias("__rid"),
+                     F.lit(None).cast(L.schema["__l"].dataType).alias("__l"))
+    u = L.unionByName(R)
+    cand = F.when(F.col("__side") == 0, F.struct(F.col("__d").alias("d"), F.col("__rid").alias("id")))
+    # previous: right rows of the same day sort before the left row; among
+    # equal days the smallest id is the last one seen
+    w_prev = (Window.partitionBy("__k")
+              .orderBy(F.col("__d"), F.col("__side"), F.col("__rid").desc_nulls_last())
+              .rowsBetween(Window.unboundedPreceding, 0))
+    # next: right rows of the same day sort after the left row, smallest id first
+    w_next = (Window.partitionBy("__k")
+              .orderBy(F.col("__d"), F.col("__side").desc(), F.col("__rid").asc_nulls_last())
+              .rowsBetween(0, Window.unboundedFollowing))
+    u = (u.withColumn("__prev", F.last(cand, ignorenulls=True).over(w_prev))
+          .withColumn("__next", F.first(cand, ignorenulls=True).over(w_next))
+          .where(F.col("__side") == 1))
+    dp = F.datediff(F.col("__d"), F.col("__prev.d"))
+    dn = F.datediff(F.col("__next.d"), F.col("__d"))
+    take_prev = F.col("__next").isNull() | (F.col("__prev").isNotNull() & (dp <= dn))
+    best = F.when(take_prev, F.col("__prev")).otherwise(F.col("__next"))
+    out = u.where(F.col("__prev").isNotNull() | F.col("__next").isNotNull()).select(
+        *[F.col("__l").getField(c).alias(c) for c in lcols],
+        best.getField("id").alias(right_id), best.getField("d").alias(right_date),
+        F.when(take_prev, dp).otherwise(dn).alias("day_diff"))
+    return out
 
 
 def global_extreme(df: DataFrame, col: str, name: str, fn=F.max) -> DataFrame:
