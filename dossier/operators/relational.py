@@ -191,12 +191,11 @@ def top_n_with_ties(df: DataFrame, order: Sequence[tuple[str, bool]], n: int = 1
         w = Window.partitionBy(*partition).orderBy(*[ocol(c, a) for c, a in order])
         return df.withColumn("__r", F.rank().over(w)).where(F.col("__r") <= n).drop("__r")
     names = [c for c, _ in order]
-    w = Window.orderBy(*[ocol(f"__b{i}", a) for i, (_, a) in enumerate(order)])
-    nth = (df.select(*[F.col(c).alias(f"__b{i}") for i, c in enumerate(names)])
-           .orderBy(*[ocol(f"__b{i}", a) for i, (_, a) in enumerate(order)]).limit(n)
-           .withColumn("__rn", F.row_number().over(w))  # n rows only
-           .where(F.col("__rn") == F.least(F.lit(n), F.count(F.lit(1)).over(Window.partitionBy())))
-           .drop("__rn"))
+    b = [f"__b{i}" for i in range(len(order))]
+    top = (df.select(*[F.col(c).alias(x) for c, x in zip(names, b)])
+           .orderBy(*[ocol(x, a) for x, (_, a) in zip(b, order)]).limit(n))
+    # the n-th row: last of the (at most n) top rows
+    nth = top.orderBy(*[ocol(x, not a) for x, (_, a) in zip(b, order)]).limit(1)
     # lexicographic "at or before the boundary" (NULLs sort last)
     cond = F.lit(True)
     for i in reversed(range(len(order))):
