@@ -9,20 +9,16 @@ from pyspark.sql import functions as F
 
 # Accent folding used by the name comparison, as two aligned
 # strings (accented letter -> plain letter), in natural order.
-ACCENTED = "àáâãäåèéêëìíîïòóôõöùúûüýÿñçÀÁÂÃÄÅÈÉÊËÌÍÎÏÒÓÔÕÖÙÚÛÜÝÑÇ"
-PLAIN = "aaaaaaeeeeiiiiooooouuuuyyncAAAAAAEEEEIIIIOOOOOUUUUYNC"
+ACCENTED = "áàäâãåéèëêíìïîóòöôõúùüûçñÁÀÄÂÃÅÉÈËÊÍÌÏÎÓÒÖÔÕÚÙÜÛÇÑ"
+PLAIN = "aaaaaaeeeeiiiiooooouuuucnAAAAAAEEEEIIIIOOOOOUUUUCN"
 
-# Legal-form abbreviations expanded before comparison
-# (whole words, case-insensitive), in natural order.
+# Legal-form expansions applied before comparison, in order:
+# (pattern, replacement, case-insensitive whole word).
 ABBREVIATIONS = [
-    ("ltd", "limited"),
-    ("co", "company"),
-    ("corp", "corporation"),
-    ("inc", "incorporated"),
-    ("intl", "international"),
-    ("mgmt", "management"),
-    ("svcs", "services"),
-    ("&", "and"),
+    ("DLL", "De Lage Landen", False),
+    ("DAC", "Designated Activity Company", False),
+    ("Ltda", "Limitada", True),
+    ("Ltd", "Limited", True),
 ]
 
 
@@ -47,14 +43,12 @@ def fold_accents(c) -> Column:
 
 
 def normalize_name(c) -> Column:
-    """Q-02: fold accents, lower, expand abbreviations, keep only [a-z0-9]."""
-    s = F.lower(fold_accents(col_(c)))
-    for short, long_ in ABBREVIATIONS:
-        if short == "&":
-            s = F.regexp_replace(s, "&", " and ")
-        else:
-            s = F.regexp_replace(s, rf"\b{short}\b\.?", long_)
-    return F.regexp_replace(s, "[^a-z0-9]", "")
+    """Q-02: fold accents, expand legal-form abbreviations, keep only [a-z0-9], lower."""
+    s = fold_accents(col_(c))
+    for short, long_, word in ABBREVIATIONS:
+        pat = rf"(?i)\b{short}\b\.?" if word else short
+        s = F.regexp_replace(s, pat, long_)
+    return F.lower(F.trim(F.regexp_replace(s, "[^a-zA-Z0-9]", "")))
 
 
 def natural_sort_key(c, prefix: str = "") -> Column:
