@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_EPOCH = F.lit("1970-01-01").cast("date")
 
 
 def not_in(df: DataFrame, key: str, sub: DataFrame, sub_key: str) -> DataFrame:
@@ -28,7 +27,7 @@ def not_in(df: DataFrame, key: str, sub: DataFrame, sub_key: str) -> DataFrame:
 
 
 def _day(c) -> F.Column:
-    return F.datediff(F.to_date(c), _EPOCH)
+    return F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date"))
 
 
 def interval_join(points: DataFrame, intervals: DataFrame, key: str, point: str, start: str,

@@ -243,3 +243,18 @@ def s_21_period_calendar(spark, sf):
     last = li.agg(F.max(F.to_date("l_shipdate")).alias("last_loaded"))
     cal = last.select(F.explode(S.period_calendar(F.col("last_loaded"), D(2002, 6, 15))).alias("m"))
     return cal.select(F.year("m").alias("yr"), F.month("m").alias("mo"))
+
+
+@register("s_17_high_water_mark_stream", f"""
+WITH {SNAPS}
+SELECT * FROM snaps
+QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY load_date DESC) = 1""")
+def s_17_high_water_mark_stream(spark, sf):
+    """S-17 + K-02 as Structured Streaming: availableNow file stream, foreachBatch upsert."""
+    from dossier.streaming.incremental import incremental_snapshot_load
+    root = order_snapshots(spark, sf)
+    src = f"{root}/orders/10"
+    schema = spark.read.option("basePath", src).parquet(src).schema
+    return incremental_snapshot_load(spark, src, schema, scratch_path(spark, "stream_target"),
+                                     scratch_path(spark, "stream_ckpt"), ["o_orderkey"],
+                                     max_files_per_trigger=2)
