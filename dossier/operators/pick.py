@@ -15,6 +15,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dossier.operators.ordered import CHUNK, ordered_scan
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -46,32 +48,45 @@ def previous_value(col: str, keys: Sequence[str], order: Sequence[Column],
     return F.when(~prev.eqNullSafe(F.col(col)), prev) if blank_when_equal else prev
 
 
+def with_key_aggregates(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
+    """Per-key aggregates on every row (``agg() OVER (PARTITION BY keys)``) without a window.
+
+    A hash aggregate (partial, map-side) joined back on the key, NULL-safe;
+    a hot key is reduced before its shuffle, and the join back is a
+    many-to-one join AQE can split or broadcast.
+    """
+    a = df.groupBy(*[F.col(k).alias(f"__g_{k}") for k in keys]).agg(*aggs)
+    cond = reduce(lambda x, y: x & y, [df[k].eqNullSafe(a[f"__g_{k}"]) for k in keys])
+    return df.join(a, cond, "left").drop(*[f"__g_{k}" for k in keys])
+
+
 def gaps_and_islands(df: DataFrame, keys: Sequence[str], start: str, end: str,
                      max_gap_days: int) -> DataFrame:
     """W-12: merge intervals whose gap to the running end is at most ``max_gap_days``.
 
     A new island starts when the start is more than the gap after the
     latest end seen so far (running max, so nested intervals merge too).
+    Both running passes are chunked ordered scans (a hot key is split over
+    tasks); the second reuses the first one's chunks.
     """
     order = [F.col(start), F.col(end)]
-    w = Window.partitionBy(*keys).orderBy(*order)
-    prev_end = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    flag = F.when(prev_end.isNull() | (F.datediff(F.col(start), prev_end) > max_gap_days), 1) \
+    x = ordered_scan(df, keys, order, {"__pe": ("max_before", end)}, keep_chunk=True)
+    flag = F.when(F.col("__pe").isNull() | (F.datediff(F.col(start), F.col("__pe")) > max_gap_days), 1) \
         .otherwise(0)
-    islands = (df.withColumn("__new", flag)
-               .withColumn("island", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))))
-    return islands.groupBy(*keys, "island").agg(
+    # identical intervals tie; the pass-1 flag orders them so both passes agree
+    x = ordered_scan(x.withColumn("__new", flag), keys, [*order, F.col("__new").desc()],
+                     {"island": ("sum", "__new")}, chunk_col=CHUNK)
+    return x.groupBy(*keys, "island").agg(
         F.min(start).alias("island_start"), F.max(end).alias("island_end"),
         F.count(F.lit(1)).alias("n_items"))
 
 
 def state_transitions(df: DataFrame, keys: Sequence[str], order: Sequence[Column], state: str,
                       from_state: str, to_state: str) -> DataFrame:
-    """W-17: number of direct ``from_state -> to_state`` changes per key."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    prev = F.lag(state, 1).over(w)
-    hit = ((prev == from_state) & (F.col(state) == to_state)).cast("int")
-    return df.withColumn("__t", hit).groupBy(*keys).agg(F.sum("__t").cast("bigint").alias("n_transitions"))
+    """W-17: number of direct ``from_state -> to_state`` changes per key (LAG over a chunked scan)."""
+    x = ordered_scan(df, keys, order, {"__prev": ("lag", state)})
+    hit = ((F.col("__prev") == from_state) & (F.col(state) == to_state)).cast("int")
+    return x.withColumn("__t", hit).groupBy(*keys).agg(F.sum("__t").cast("bigint").alias("n_transitions"))
 
 
 def nearest_in_time(left: DataFrame, right: DataFrame, key: str, left_date: str, right_date: str,
@@ -81,9 +96,9 @@ def nearest_in_time(left: DataFrame, right: DataFrame, key: str, left_date: str,
     Ties: smaller day difference, then the earlier right date, then the
     smaller right id.  Instead of joining every left row to every right row
     of its key (all pairs within a key), both sides are stacked and two
-    ordered windows per key carry the last right row on or before each left
+    chunked ordered scans carry the last right row on or before each left
     day and the first right row on or after it; the better of the two is
-    kept.  Work is a sort per key, not a product.
+    kept.  Work is a sort, split across tasks even for a hot key.
 
     Returns the left columns plus ``<right_id>``, ``<right_date>`` (as the
     right row's date) and ``day_diff``; left rows with no right row of their
@@ -97,19 +112,15 @@ def nearest_in_time(left: DataFrame, right: DataFrame, key: str, left_date: str,
                      F.lit(0).alias("__side"), F.col(right_id).alias("__rid"),
                      F.lit(None).cast(L.schema["__l"].dataType).alias("__l"))
     u = L.unionByName(R)
-    cand = F.when(F.col("__side") == 0, F.struct(F.col("__d").alias("d"), F.col("__rid").alias("id")))
+    u = u.withColumn("__cand", F.when(F.col("__side") == 0,
+                                      F.struct(F.col("__d").alias("d"), F.col("__rid").alias("id"))))
     # previous: right rows of the same day sort before the left row; among
     # equal days the smallest id is the last one seen
-    w_prev = (Window.partitionBy("__k")
-              .orderBy(F.col("__d"), F.col("__side"), F.col("__rid").desc_nulls_last())
-              .rowsBetween(Window.unboundedPreceding, 0))
+    u = ordered_scan(u, ["__k"], [F.col("__d"), F.col("__side"), F.col("__rid").desc_nulls_last()],
+                     {"__prev": ("last_nonnull", "__cand")})
     # next: right rows of the same day sort after the left row, smallest id first
-    w_next = (Window.partitionBy("__k")
-              .orderBy(F.col("__d"), F.col("__side").desc(), F.col("__rid").asc_nulls_last())
-              .rowsBetween(0, Window.unboundedFollowing))
-    u = (u.withColumn("__prev", F.last(cand, ignorenulls=True).over(w_prev))
-          .withColumn("__next", F.first(cand, ignorenulls=True).over(w_next))
-          .where(F.col("__side") == 1))
+    u = ordered_scan(u, ["__k"], [F.col("__d"), F.col("__side").desc(), F.col("__rid").asc_nulls_last()],
+                     {"__next": ("next_nonnull", "__cand")}).where(F.col("__side") == 1)
     dp = F.datediff(F.col("__d"), F.col("__prev.d"))
     dn = F.datediff(F.col("__next.d"), F.col("__d"))
     take_prev = F.col("__next").isNull() | (F.col("__prev").isNotNull() & (dp <= dn))
@@ -165,14 +176,14 @@ def resolve_single_latest(df: DataFrame, key: str, flag: str, order: Sequence[Co
                           out: str | None = None) -> DataFrame:
     """W-16: for keys with more than one flagged row keep the flag on the best one only.
 
-    One window: ``count(flag)`` over the key and ``row_number`` over the
-    flagged rows ordered by ``order``; no self joins.
+    ``count(flag)`` per key is an aggregate joined back; the best flagged
+    row is the first of a chunked ordered scan (flagged rows first, then
+    ``order``), so a hot key never sits in one task.
     """
     out = out or flag
-    wk = Window.partitionBy(key)
     flagged = F.col(flag) == F.lit(True)
-    # flagged rows first, then the business order: row 1 is the survivor
-    wo = Window.partitionBy(key).orderBy(F.when(flagged, 0).otherwise(1), *order)
-    n_flag = F.count(F.when(flagged, 1)).over(wk)
-    rn = F.row_number().over(wo)
-    return df.withColumn(out, F.when(n_flag <= 1, F.col(flag)).otherwise(flagged & (rn == 1)))
+    x = df.withColumn("__fo", F.when(flagged, 0).otherwise(1))
+    x = ordered_scan(x, [key], [F.col("__fo"), *order], {"__rn": ("row_number",)})
+    x = with_key_aggregates(x, [key], [F.count(F.when(F.col(flag) == F.lit(True), 1)).alias("__nflag")])
+    res = F.when(F.col("__nflag") <= 1, F.col(flag)).otherwise(flagged & (F.col("__rn") == 1))
+    return x.withColumn(out, res).drop("__fo", "__rn", "__nflag")

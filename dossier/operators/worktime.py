@@ -13,6 +13,9 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dossier.operators.ordered import CHUNK, ordered_scan
+from dossier.operators.pick import with_key_aggregates
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -41,12 +44,17 @@ def workday_count(start, end) -> Column:
 
 
 def merge_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
-    """Union of [start, end] day intervals per key (overlapping or touching intervals merge)."""
-    w = Window.partitionBy(*keys).orderBy(F.col(start), F.col(end))
-    prev_end = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    new = F.when(prev_end.isNull() | (F.datediff(F.col(start), prev_end) > 1), 1).otherwise(0)
-    isl = (df.withColumn("__new", new)
-           .withColumn("__isl", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    """Union of [start, end] day intervals per key (overlapping or touching intervals merge).
+
+    Two chunked ordered scans (running max of earlier ends, running count of
+    island starts), so a key with a large share of the rows is split over tasks.
+    """
+    order = [F.col(start), F.col(end)]
+    x = ordered_scan(df, keys, order, {"__pe": ("max_before", end)}, keep_chunk=True)
+    new = F.when(F.col("__pe").isNull() | (F.datediff(F.col(start), F.col("__pe")) > 1), 1).otherwise(0)
+    # identical intervals tie; the pass-1 flag orders them so both passes agree
+    isl = ordered_scan(x.withColumn("__new", new), keys, [*order, F.col("__new").desc()],
+                       {"__isl": ("sum", "__new")}, chunk_col=CHUNK)
     return isl.groupBy(*keys, "__isl").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("__isl")
 
 
@@ -75,12 +83,11 @@ def days_in_rebound(events: DataFrame, keys: Sequence[str], status: str, ts: str
     event.  Intervals are clipped at the first ``after_status`` day (a
     per-key ``min(when)`` window), merged and counted in closed form.
     """
-    w = Window.partitionBy(*keys).orderBy(*order)
-    wk = Window.partitionBy(*keys)
-    e = (events.select(*keys, status, *[c for c in order if c not in (*keys, status)])
-         .withColumn("__s", F.to_date(ts))
-         .withColumn("__e", F.coalesce(F.to_date(F.lead(ts).over(w)), F.to_date(ts)))
-         .withColumn("__first", F.min(F.when(F.col(status) == after_status, F.to_date(ts))).over(wk)))
+    e = events.select(*keys, status, *[c for c in order if c not in (*keys, status)])
+    e = ordered_scan(e, keys, [F.col(c) for c in order], {"__next_ts": ("lead", ts)})
+    e = with_key_aggregates(e, keys, [F.min(F.when(F.col(status) == after_status, F.to_date(ts))).alias("__first")])
+    e = (e.withColumn("__s", F.to_date(ts))
+         .withColumn("__e", F.coalesce(F.to_date("__next_ts"), F.to_date(ts))))
     x = (e.where((F.col(status) == in_status) & F.col("__first").isNotNull())
          .withColumn("__s", F.greatest("__s", "__first"))
          .where(F.col("__e") >= F.col("__s")))
@@ -140,10 +147,9 @@ def completed_on_time(cases: DataFrame, client: str, case_id: str, review_type:
            .when(F.col(high_risk), F.add_months(d, 14)).otherwise(F.add_months(d, 12)))
     base = cases.select(client, case_id, review_type, d.alias("signoff"), nrd.alias("nrd"))
     scope = base.where(F.col(review_type) != "QC EDR")
-    w = Window.partitionBy(client).orderBy("signoff", case_id)
-    s = (scope.withColumn("next_signoff", F.lead("signoff").over(w))
-         .withColumn("next_type", F.lead(review_type).over(w))
-         .withColumn("prev_nrd", F.lag("nrd").over(w)))
+    s = ordered_scan(scope, [client], [F.col("signoff"), F.col(case_id)],
+                     {"next_signoff": ("lead", "signoff"), "next_type": ("lead", review_type),
+                      "prev_nrd": ("lag", "nrd")})
     asof = F.lit(as_of.isoformat()).cast("date")
     rule = (F.when(F.col("next_type").like("%Offboarding%") & ~F.col(review_type).like("%Offboarding%"),
                    F.lit(None))

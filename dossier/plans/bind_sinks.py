@@ -59,12 +59,11 @@ SELECT s.event_id, s.user_id, s.ts,
   CASE WHEN c.close_ts IS NOT NULL THEN 'closed' ELSE 'open' END AS status
 FROM s LEFT JOIN closing c ON s.event_id = c.event_id""")
 def k_03_conditional_update(spark, sf):
-    from pyspark.sql import Window
+    from dossier.operators.ordered import ordered_scan
     e = T(spark, sf).events.where(F.col("event_type") == "signup").select("event_id", "user_id", "ts")
     target = e.withColumn("valid_to", F.lit(None).cast("timestamp_ntz")).withColumn("status", F.lit("open"))
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    closing = (e.withColumn("close_ts", F.lead("ts").over(w)).where(F.col("close_ts").isNotNull())
-               .withColumn("new_status", F.lit("closed")))
+    closing = (ordered_scan(e, ["user_id"], [F.col("ts"), F.col("event_id")], {"close_ts": ("lead", "ts")})
+               .where(F.col("close_ts").isNotNull()).withColumn("new_status", F.lit("closed")))
     return K.conditional_update(target, closing, ["event_id"], {"valid_to": "close_ts", "status": "new_status"})
 
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from dossier.operators.ordered import ordered_scan
 from dossier.operators.pick import (dedupe_latest, gaps_and_islands, global_extreme,
-                                    nearest_in_time, previous_value, priority_rank,
-                                    rank_keep_ties, resolve_single_latest, state_transitions)
+                                    nearest_in_time, priority_rank, rank_keep_ties,
+                                    resolve_single_latest, state_transitions, with_key_aggregates)
 from dossier.plans.common import T
 from dossier.plans.registry import register
 
@@ -46,9 +47,10 @@ SELECT s_suppkey, s_nationkey,
        dense_rank() OVER (PARTITION BY s_nationkey ORDER BY round(s_acctbal, -3) DESC) AS balance_rank
 FROM supplier""")
 def w_04_dense_rank(spark, sf):
-    s = T(spark, sf).supplier
-    w = Window.partitionBy("s_nationkey").orderBy(F.round("s_acctbal", -3).desc())
-    return s.select("s_suppkey", "s_nationkey", F.dense_rank().over(w).alias("balance_rank"))
+    s = T(spark, sf).supplier.select("s_suppkey", "s_nationkey", F.round("s_acctbal", -3).alias("__b"))
+    r = ordered_scan(s, ["s_nationkey"], [F.col("__b").desc(), F.col("s_suppkey")],
+                     {"balance_rank": ("dense_rank",)}, rank_by=[F.col("__b").desc()])
+    return r.select("s_suppkey", "s_nationkey", "balance_rank")
 
 
 @register("w_05_previous_value", """
@@ -57,37 +59,42 @@ SELECT o_orderkey, o_custkey, o_orderpriority,
 FROM (SELECT *, lag(o_orderpriority) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)
         AS prev FROM orders)""")
 def w_05_previous_value(spark, sf):
-    o = T(spark, sf).orders
-    prev = previous_value("o_orderpriority", ["o_custkey"], [F.col("o_orderdate"), F.col("o_orderkey")])
-    return o.select("o_orderkey", "o_custkey", "o_orderpriority", prev.alias("previous_priority"))
+    o = T(spark, sf).orders.select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
+    x = ordered_scan(o, ["o_custkey"], [F.col("o_orderdate"), F.col("o_orderkey")],
+                     {"__prev": ("lag", "o_orderpriority")})
+    prev = F.when(~F.col("__prev").eqNullSafe(F.col("o_orderpriority")), F.col("__prev"))
+    return x.select("o_orderkey", "o_custkey", "o_orderpriority", prev.alias("previous_priority"))
 
 
 @register("w_06_next_value", """
 SELECT o_orderkey, lead(o_orderdate, 1, NULL) OVER (PARTITION BY o_custkey
   ORDER BY o_orderdate, o_orderkey) AS next_order_date FROM orders""")
 def w_06_next_value(spark, sf):
-    o = T(spark, sf).orders
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    return o.select("o_orderkey", F.lead("o_orderdate", 1).over(w).alias("next_order_date"))
+    o = T(spark, sf).orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    x = ordered_scan(o, ["o_custkey"], [F.col("o_orderdate"), F.col("o_orderkey")],
+                     {"next_order_date": ("lead", "o_orderdate")})
+    return x.select("o_orderkey", "next_order_date")
 
 
 @register("w_07_first_value", """
 SELECT event_id, first_value(event_type) OVER (PARTITION BY user_id
   ORDER BY ts DESC, event_id DESC) AS latest_type FROM events""")
 def w_07_first_value(spark, sf):
-    e = T(spark, sf).events
-    w = Window.partitionBy("user_id").orderBy(F.col("ts").desc(), F.col("event_id").desc())
-    return e.select("event_id", F.first_value("event_type").over(w).alias("latest_type"))
+    e = T(spark, sf).events.select("event_id", "user_id", "ts", "event_type")
+    # with the default frame the first value of a descending order is the key's newest row
+    x = with_key_aggregates(e, ["user_id"], [F.max_by("event_type", F.struct("ts", "event_id")).alias("latest_type")])
+    return x.select("event_id", "latest_type")
 
 
 @register("w_08_running_sum", """
 SELECT event_id, round(sum(value) OVER (PARTITION BY user_id ORDER BY ts
   RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS running_value FROM events""")
 def w_08_running_sum(spark, sf):
-    e = T(spark, sf).events
-    w = Window.partitionBy("user_id").orderBy("ts").rangeBetween(Window.unboundedPreceding,
-                                                                 Window.currentRow)
-    return e.select("event_id", F.round(F.sum("value").over(w), 2).alias("running_value"))
+    e = T(spark, sf).events.select("event_id", "user_id", "ts", "value")
+    x = ordered_scan(e, ["user_id"], [F.col("ts"), F.col("event_id")], {"__s": ("sum", "value")})
+    # RANGE frame: rows sharing a timestamp (peers) all get the total at the last peer
+    x = with_key_aggregates(x, ["user_id", "ts"], [F.max_by("__s", "event_id").alias("__r")])
+    return x.select("event_id", F.round("__r", 2).alias("running_value"))
 
 
 @register("w_09_count_over", f"""
@@ -99,12 +106,9 @@ FROM lineitem""")
 def w_09_count_over(spark, sf):
     li = T(spark, sf).lineitem
     rest = [c.strip() for c in LI_REST.split(",")]
-    w_all = Window.partitionBy("l_orderkey")
-    w_run = Window.partitionBy("l_orderkey").orderBy(*rest) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return li.select("l_orderkey", "l_linenumber", "l_partkey",
-                     F.count(F.lit(1)).over(w_all).alias("lines_in_order"),
-                     F.count(F.lit(1)).over(w_run).alias("running_lines"))
+    x = ordered_scan(li, ["l_orderkey"], [F.col(c) for c in rest], {"running_lines": ("row_number",)})
+    x = with_key_aggregates(x, ["l_orderkey"], [F.count(F.lit(1)).alias("lines_in_order")])
+    return x.select("l_orderkey", "l_linenumber", "l_partkey", "lines_in_order", "running_lines")
 
 
 @register("w_10_extreme_over", """
@@ -113,10 +117,9 @@ SELECT l_orderkey, l_linenumber, l_extendedprice,
   l_extendedprice = max(l_extendedprice) OVER (PARTITION BY l_orderkey) AS is_max
 FROM lineitem""")
 def w_10_extreme_over(spark, sf):
-    li = T(spark, sf).lineitem
-    m = F.max("l_extendedprice").over(Window.partitionBy("l_orderkey"))
-    return li.select("l_orderkey", "l_linenumber", "l_extendedprice", m.alias("max_price"),
-                     (F.col("l_extendedprice") == m).alias("is_max"))
+    li = T(spark, sf).lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice")
+    x = with_key_aggregates(li, ["l_orderkey"], [F.max("l_extendedprice").alias("max_price")])
+    return x.withColumn("is_max", F.col("l_extendedprice") == F.col("max_price"))
 
 
 @register("w_11_conditional_extreme_over", """
@@ -125,10 +128,10 @@ SELECT o_orderkey, o_custkey,
     AS latest_approved
 FROM orders""")
 def w_11_conditional_extreme_over(spark, sf):
-    o = T(spark, sf).orders
-    m = F.max(F.when(F.col("o_orderstatus") == "F", F.col("o_orderkey"))) \
-        .over(Window.partitionBy("o_custkey"))
-    return o.select("o_orderkey", "o_custkey", m.alias("latest_approved"))
+    o = T(spark, sf).orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+    x = with_key_aggregates(o, ["o_custkey"], [F.max(F.when(F.col("o_orderstatus") == "F", F.col("o_orderkey")))
+                                               .alias("latest_approved")])
+    return x.select("o_orderkey", "o_custkey", "latest_approved")
 
 
 GAPS_SQL = """
@@ -168,7 +171,7 @@ FROM n GROUP BY l_orderkey""")
 def w_13_row_number_pivot(spark, sf):
     li = T(spark, sf).lineitem
     w = Window.partitionBy("l_orderkey").orderBy("l_partkey", "l_linenumber")
-    n = li.select("l_orderkey", "l_partkey", F.row_number().over(w).alias("rn"))
+    n = li.select("l_orderkey", "l_partkey", F.row_number().over(w).alias("rn")).where(F.col("rn") <= 3)
     p = n.groupBy("l_orderkey").pivot("rn", [1, 2, 3]).agg(F.max("l_partkey"))
     return p.withColumnsRenamed({"1": "part_1", "2": "part_2", "3": "part_3"})
 
@@ -234,11 +237,12 @@ SELECT event_id, user_id AS job, event_type AS task, CAST(ts AS DATE) AS run_dat
 FROM events
 WINDOW w AS (PARTITION BY user_id, event_type, CAST(ts AS DATE) ORDER BY ts, event_id)""")
 def w_18_retry_number(spark, sf):
-    e = T(spark, sf).events
-    w = Window.partitionBy("user_id", "event_type", F.to_date("ts")).orderBy("ts", "event_id")
-    micros = F.timestamp_diff("MICROSECOND", F.lag("ts").over(w), F.col("ts"))
-    return e.select("event_id", F.col("user_id").alias("job"), F.col("event_type").alias("task"),
-                    F.to_date("ts").alias("run_date"), F.row_number().over(w).alias("retry_no"),
+    e = T(spark, sf).events.select("event_id", F.col("user_id").alias("job"), F.col("event_type").alias("task"),
+                                   F.to_date("ts").alias("run_date"), "ts")
+    x = ordered_scan(e, ["job", "task", "run_date"], [F.col("ts"), F.col("event_id")],
+                     {"retry_no": ("row_number",), "__prev_ts": ("lag", "ts")})
+    micros = F.timestamp_diff("MICROSECOND", F.col("__prev_ts"), F.col("ts"))
+    return x.select("event_id", "job", "task", "run_date", "retry_no",
                     F.floor(micros / 60000000).cast("bigint").alias("minutes_since_prev"))
 
 
