@@ -90,13 +90,15 @@ def _estimated_rows(df: DataFrame) -> int:
 
 
 def chunk_boundaries(df: DataFrame, cols: list[tuple[str, bool, bool]], n: int, per_chunk: int = 64,
-                     max_sample: int = 200_000) -> list[tuple]:
+                     max_sample: int = 200_000, n_keys: int | None = None) -> tuple[list[tuple], bool]:
     """Up to ``n - 1`` boundaries of (key, order) from a deterministic, bounded sample.
 
     Rows are selected by a hash of their sort values (equal values are
     selected together); the modulus comes from the optimizer's row
     estimate and at most ``max_sample`` rows reach the driver.  Boundaries
-    only steer balance: any boundaries give correct results.
+    only steer balance: any boundaries give correct results.  Also returns
+    whether some key (the first ``n_keys`` columns) holds more than one
+    chunk's share of the sample, i.e. whether chunking is worth it.
     """
     names = [c for c, _, _ in cols]
     est = _estimated_rows(df)
@@ -113,6 +115,11 @@ def chunk_boundaries(df: DataFrame, cols: list[tuple[str, bool, bool]], n: int,
             if c:
                 return c
         return 0
+    nk = len(cols) if n_keys is None else n_keys
+    counts: dict = {}
+    for r in sample:
+        counts[r[:nk]] = counts.get(r[:nk], 0) + 1
+    hot = bool(sample) and max(counts.values()) * n > len(sample)
     sample.sort(key=functools.cmp_to_key(key_cmp))
     out = []
     for i in range(1, n):
@@ -121,7 +128,7 @@ def chunk_boundaries(df: DataFrame, cols: list[tuple[str, bool, bool]], n: int,
             b = sample[k]
             if not out or key_cmp(out[-1], b) != 0:
                 out.append(b)
-    return out
+    return out, hot
 
 
 def add_chunks(df: DataFrame, keys: Sequence[str], order: Sequence, n: int | None = None) -> DataFrame:
@@ -134,14 +141,44 @@ def add_chunks(df: DataFrame, keys: Sequence[str], order: Sequence, n: int | Non
     spark = df.sparkSession
     n = n or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [(k, True, True) for k in keys] + [_spec(o) for o in order]
-    bounds = chunk_boundaries(df, cols, n)
+    bounds, hot = chunk_boundaries(df, cols, n, n_keys=len(keys))
+    if not hot or not bounds:
+        # no key needs more than one task: a single chunk, plain windows downstream
+        return df.withColumn(CHUNK, F.lit(0).alias(CHUNK, metadata={"chunks": 1}))
 
     def search(lo: int, hi: int) -> Column:  # chunk in [lo, hi]; chunk i >= bounds[i-1]
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi + 1) // 2
         return F.when(_at_or_after(cols, bounds[mid - 1]), search(mid, hi)).otherwise(search(lo, mid - 1))
-    return df.withColumn(CHUNK, search(0, len(bounds)))
+    return df.withColumn(CHUNK, search(0, len(bounds)).alias(CHUNK, metadata={"chunks": len(bounds) + 1}))
+
+
+def _plain_scan(x: DataFrame, keys: Sequence[str], order: Sequence[Column], specs: dict[str, tuple],
+                rb: Sequence[Column]) -> DataFrame:
+    """The same outputs with ordinary per-key windows (no key is hot)."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cols = []
+    for out, spec in specs.items():
+        kind = spec[0]
+        col = spec[1] if len(spec) > 1 else None
+        c = {"row_number": lambda: F.row_number().over(w),
+             "is_first": lambda: F.row_number().over(w) == 1,
+             "lag": lambda: F.lag(col, 1).over(w),
+             "lead": lambda: F.lead(col, 1).over(w),
+             "sum": lambda: F.sum(col).over(run),
+             "max": lambda: F.max(col).over(run),
+             "min": lambda: F.min(col).over(run),
+             "max_before": lambda: F.max(col).over(w.rowsBetween(Window.unboundedPreceding, -1)),
+             "last_nonnull": lambda: F.last(col, ignorenulls=True).over(run),
+             "next_nonnull": lambda: F.first(col, ignorenulls=True).over(
+                 w.rowsBetween(Window.currentRow, Window.unboundedFollowing)),
+             "rank": lambda: F.rank().over(Window.partitionBy(*keys).orderBy(*rb)),
+             "dense_rank": lambda: F.dense_rank().over(Window.partitionBy(*keys).orderBy(*rb)),
+             }[kind]()
+        cols.append(c.alias(out))
+    return x.select("*", *cols)
 
 
 def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column], specs: dict[str, tuple],
@@ -157,6 +194,9 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column], sp
     has_rank = any(s[0] in ("rank", "dense_rank") for s in specs.values())
     x = df if chunk_col else add_chunks(df, keys, rb if has_rank else order, n_chunks)
     ch = chunk_col or CHUNK
+    if x.schema[ch].metadata.get("chunks", 2) == 1:
+        out = _plain_scan(x, keys, order, specs, rb)
+        return out if (keep_chunk or chunk_col) else out.drop(CHUNK)
     part = [*keys, ch]
     w = Window.partitionBy(*part).orderBy(*order)
     w_run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)

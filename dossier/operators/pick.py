@@ -15,7 +15,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dossier.operators.ordered import CHUNK, ordered_scan
+from dossier.operators.ordered import CHUNK, add_chunks, ordered_scan
 
 
 def _c(x) -> Column:
@@ -114,13 +114,15 @@ def nearest_in_time(left: DataFrame, right: DataFrame, key: str, left_date: str,
     u = L.unionByName(R)
     u = u.withColumn("__cand", F.when(F.col("__side") == 0,
                                       F.struct(F.col("__d").alias("d"), F.col("__rid").alias("id"))))
+    # both scans order by day first: one chunking on (key, day) serves both
+    u = add_chunks(u, ["__k"], [F.col("__d")])
     # previous: right rows of the same day sort before the left row; among
     # equal days the smallest id is the last one seen
     u = ordered_scan(u, ["__k"], [F.col("__d"), F.col("__side"), F.col("__rid").desc_nulls_last()],
-                     {"__prev": ("last_nonnull", "__cand")})
+                     {"__prev": ("last_nonnull", "__cand")}, chunk_col=CHUNK)
     # next: right rows of the same day sort after the left row, smallest id first
     u = ordered_scan(u, ["__k"], [F.col("__d"), F.col("__side").desc(), F.col("__rid").asc_nulls_last()],
-                     {"__next": ("next_nonnull", "__cand")}).where(F.col("__side") == 1)
+                     {"__next": ("next_nonnull", "__cand")}, chunk_col=CHUNK).where(F.col("__side") == 1)
     dp = F.datediff(F.col("__d"), F.col("__prev.d"))
     dn = F.datediff(F.col("__next.d"), F.col("__d"))
     take_prev = F.col("__next").isNull() | (F.col("__prev").isNotNull() & (dp <= dn))

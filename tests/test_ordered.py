@@ -58,3 +58,14 @@ def test_merge_intervals_with_identical_rows(spark):
         "k", F.to_date("s").alias("s"), F.to_date("e").alias("e"))
     got = sorted((r["k"], str(r["s"]), str(r["e"])) for r in merge_intervals(df, ["k"], "s", "e").collect())
     assert got == [(1, "2024-01-03", "2024-01-10"), (1, "2024-01-20", "2024-01-21"), (2, "2024-01-01", "2024-01-01")]
+
+
+def test_plain_path_when_no_key_is_hot(spark):
+    from dossier.operators.ordered import CHUNK, add_chunks
+    df = spark.range(3000).select((F.col("id") % 500).alias("k"), F.col("id").alias("t"))
+    x = add_chunks(df, ["k"], [F.col("t")], 8)
+    assert x.schema[CHUNK].metadata.get("chunks") == 1
+    got = ordered_scan(df, ["k"], [F.col("t")], {"rn": ("row_number",), "lg": ("lag", "t")})
+    w = Window.partitionBy("k").orderBy("t")
+    want = df.select("*", F.row_number().over(w).alias("rn"), F.lag("t").over(w).alias("lg"))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
