@@ -34,6 +34,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNK = "__chunk"
+# a key is split only when it holds more than one chunk's share of the rows
+# *and* more than this many rows (estimated): below that one task copes fine
+HOT_MIN_ROWS = 1_000_000
+# chunk even without a hot key (tests exercise the chunked path on small data)
+FORCE_CHUNKS = False
 
 
 def _spec(o) -> tuple[str, bool, bool]:
@@ -119,7 +124,8 @@ def chunk_boundaries(df: DataFrame, cols: list[tuple[str, bool, bool]], n: int,
     counts: dict = {}
     for r in sample:
         counts[r[:nk]] = counts.get(r[:nk], 0) + 1
-    hot = bool(sample) and max(counts.values()) * n > len(sample)
+    top = max(counts.values()) if counts else 0
+    hot = bool(sample) and (FORCE_CHUNKS or (top * n > len(sample) and top * m > HOT_MIN_ROWS))
     sample.sort(key=functools.cmp_to_key(key_cmp))
     out = []
     for i in range(1, n):

@@ -286,10 +286,16 @@ FROM y LEFT JOIN r ON y.currency = r.currency
 GROUP BY ALL""")
 def m_03_transaction_rollup(spark, sf):
     t = T(spark, sf)
-    tx = (t.lineitem.join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-          .join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-          .join(bounded_broadcast(t.nation.select("n_nationkey", "n_name"), 100_000),
-                F.col("c_nationkey") == F.col("n_nationkey"))
+    # order-sized side first (orders -> customer -> nation), then one join with the
+    # big side on l_orderkey: lineitem is shuffled once, and the de-duplication
+    # below is already partitioned by l_orderkey
+    ocn = (t.orders.select("o_orderkey", "o_custkey")
+           .join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+           .join(bounded_broadcast(t.nation.select("n_nationkey", "n_name"), 100_000),
+                 F.col("c_nationkey") == F.col("n_nationkey"))
+           .select("o_orderkey", "c_nationkey", "n_name"))
+    # both sides grow with the data: a shuffle join, never a broadcast of the fact side
+    tx = (t.lineitem.hint("merge").join(ocn, F.col("l_orderkey") == F.col("o_orderkey"))
           .select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity", "l_returnflag",
                   "l_linestatus", "l_shipdate", "c_nationkey", "n_name")
           .distinct())

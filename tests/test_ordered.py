@@ -3,9 +3,18 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+import pytest
+
+import dossier.operators.ordered as ordered_mod
 from dossier.operators.ordered import ordered_scan
 
 
+@pytest.fixture(autouse=True)
+def _small_hot_threshold(monkeypatch):
+    # the fixtures are small: treat any over-represented key as hot
+    monkeypatch.setattr(ordered_mod, "HOT_MIN_ROWS", 0)
+
+
 def test_ordered_scan_matches_windows(spark):
     # key 0 holds ~70 % of the rows; NULL values sprinkled in
     df = spark.range(3000).select(
@@ -69,3 +78,24 @@ def test_plain_path_when_no_key_is_hot(spark):
     w = Window.partitionBy("k").orderBy("t")
     want = df.select("*", F.row_number().over(w).alias("rn"), F.lag("t").over(w).alias("lg"))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+CHUNKED_QUERIES = ["w_04_dense_rank", "w_05_previous_value", "w_06_next_value", "w_08_running_sum",
+                   "w_09_count_over", "w_12_gaps_and_islands", "w_16_resolve_single_latest",
+                   "w_17_state_transitions", "w_18_retry_number", "w_19_nearest_in_time", "j_interval",
+                   "k_03_conditional_update", "t_02_days_in_status", "t_03_days_in_rebound",
+                   "t_07_completed_on_time"]
+
+
+@pytest.mark.parametrize("name", CHUNKED_QUERIES)
+def test_registered_queries_on_chunked_path(spark, small_dir, name, monkeypatch):
+    import __spark_entry__ as E
+    monkeypatch.setattr(ordered_mod, "FORCE_CHUNKS", True)
+    from tools.oracle_check import compare, duck_conn
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        status, msg = compare(name, E.queries()[name], E.oracle_sql()[name], spark, duck_conn(small_dir), small_dir)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert status == "OK", msg
