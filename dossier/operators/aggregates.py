@@ -29,5 +29,9 @@ def sorted_set_nonblank(col: str) -> Column:
 
 
 def merge_lists(*cols: str) -> Column:
-    """A-09: distinct union of several collected lists."""
-    return F.array_distinct(F.flatten(F.array(*[F.collect_list(c) for c in cols])))
+    """A-09: distinct union of several collected lists.
+
+    Each list is collected as a set (partial, map-side de-duplication), so a
+    hot key's buffer is bounded by its distinct values, not its rows.
+    """
+    return F.array_distinct(F.flatten(F.array(*[F.collect_set(c) for c in cols])))
