@@ -257,4 +257,4 @@ def s_17_high_water_mark_stream(spark, sf):
     schema = spark.read.option("basePath", src).parquet(src).schema
     return incremental_snapshot_load(spark, src, schema, scratch_path(spark, "stream_target"),
                                      scratch_path(spark, "stream_ckpt"), ["o_orderkey"],
-                                     max_files_per_trigger=2)
+                                     max_files_per_trigger=2, buckets=32)

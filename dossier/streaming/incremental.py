@@ -6,12 +6,15 @@ snapshot files were already consumed (its checkpoint is the high-water
 mark), ``trigger(availableNow=True)`` processes everything new and stops,
 and ``foreachBatch`` upserts each micro-batch into the target.
 
-The target is a folder of immutable states ``<target>/batch=<id>``: each
-micro-batch writes the complete new state under its own batch id, so a
-retried batch (same id after an executor or driver loss) overwrites the
-same folder and the load is idempotent.  Readers take the highest batch.
-Rows are merged by key keeping the newest ``load_date`` (then the full row),
-so the result does not depend on how files are grouped into batches.
+The target is partitioned by a hash bucket of the key
+(``<target>/bucket=<b>/``).  A micro-batch reads only the buckets its keys
+fall into (partition pruning), merges them with the batch (per key the
+row with the newest ``load_date``, then the full row), materialises the
+result with ``checkpoint()`` (cutting the read of the files it replaces)
+and rewrites just those buckets with dynamic partition overwrite.  Work per
+batch follows the batch, not the size of the target.  Re-running a batch
+(after an executor or driver loss) merges the same rows again and yields
+the same state, so the load is idempotent.
 """
 
 from __future__ import annotations
@@ -25,30 +28,44 @@ from pyspark.sql.types import StructType
 from dossier.operators.pick import dedupe_latest
 from dossier.sources.snapshots import list_dirs
 
-STATE_PREFIX = "batch="
+BUCKET = "bucket"
+STATE_BUCKETS = 256
+
+
+def _bucket(keys: Sequence[str], n: int):
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n)).cast("int")
 
 
 def latest_state(spark: SparkSession, target: str) -> DataFrame | None:
-    """The newest complete state of the target, or None before the first batch."""
-    ids = [int(d[len(STATE_PREFIX):]) for d in list_dirs(spark, target) if d.startswith(STATE_PREFIX)]
-    if not ids:
+    """The current target state (without the bucket column), or None before the first batch."""
+    if not any(d.startswith(f"{BUCKET}=") for d in list_dirs(spark, target)):
         return None
-    return spark.read.parquet(f"{target}/{STATE_PREFIX}{max(ids)}")
+    return spark.read.parquet(target).drop(BUCKET)
 
 
-def _merge_batch(target: str, keys: Sequence[str], date_col: str):
+def _merge_batch(target: str, keys: Sequence[str], date_col: str, buckets: int):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        cur = latest_state(spark, target)
-        both = batch if cur is None else cur.unionByName(batch)
-        state = dedupe_latest(both, keys, [F.col(date_col).desc()])
-        state.write.mode("overwrite").parquet(f"{target}/{STATE_PREFIX}{batch_id}")
+        b = batch.withColumn(BUCKET, _bucket(keys, buckets))
+        # the touched bucket ids: at most ``buckets`` small integers
+        touched = [r[0] for r in b.select(BUCKET).distinct().collect()]
+        if not touched:
+            return
+        both = b
+        if any(d.startswith(f"{BUCKET}=") for d in list_dirs(spark, target)):
+            cur = spark.read.parquet(target).where(F.col(BUCKET).isin(touched))
+            both = cur.unionByName(b)
+        merged = dedupe_latest(both, [*keys], [F.col(date_col).desc()])
+        merged = merged.checkpoint(eager=True)  # the overwrite must not read the files it replaces
+        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(BUCKET).parquet(target))
     return run
 
 
 def incremental_snapshot_load(spark: SparkSession, source: str, schema: StructType, target: str,
                               checkpoint: str, keys: Sequence[str], date_col: str = "load_date",
-                              max_files_per_trigger: int | None = None) -> DataFrame:
+                              max_files_per_trigger: int | None = None,
+                              buckets: int = STATE_BUCKETS) -> DataFrame:
     """Consume every new snapshot file under ``source`` and return the merged target state.
 
     ``source`` is a version folder with ``load_date=...`` partitions; the
@@ -59,7 +76,7 @@ def incremental_snapshot_load(spark: SparkSession, source: str, schema: StructTy
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(source)
-    q = (stream.writeStream.foreachBatch(_merge_batch(target, keys, date_col))
+    q = (stream.writeStream.foreachBatch(_merge_batch(target, keys, date_col, buckets))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
