@@ -26,7 +26,7 @@ def a_01_group_agg(spark, sf):
 
 
 @register("a_02_group_by_all", """
-SELECT o_orderstatus, year(o_orderdate) AS yr, count(*) AS n FROM orders GROUP BY ALL""")
+SELECT o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS yr, count(*) AS n FROM orders GROUP BY ALL""")
 def a_02_group_by_all(spark, sf):
     return spark.sql("SELECT o_orderstatus, year(o_orderdate) AS yr, count(*) AS n "
                      "FROM {o} GROUP BY ALL", o=T(spark, sf).orders)

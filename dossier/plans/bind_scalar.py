@@ -28,7 +28,7 @@ def f_str_1(spark, sf):
 @register("f_str_2_slice_locate", """
 SELECT c_custkey, substring(c_name, 1, 8) AS head, left(c_name, 3) AS l3, right(c_name, 4) AS r4,
   split_part(c_name, '#', 1) AS before_hash, split_part(c_name, '#', -1) AS after_hash,
-  instr(c_name, '#') AS hash_pos, position('1' IN c_name) AS first_one
+  CAST(instr(c_name, '#') AS INTEGER) AS hash_pos, CAST(position('1' IN c_name) AS INTEGER) AS first_one
 FROM customer""")
 def f_str_2(spark, sf):
     c = T(spark, sf).customer
@@ -43,7 +43,7 @@ def f_str_2(spark, sf):
 @register("f_str_3_replace_regex", f"""
 SELECT doc_id, replace(source, 'src', 'source-') AS source_name,
   md5(translate(text, '{ACCENTED}', '{PLAIN}')) AS folded_md5,
-  length(regexp_replace(text, '[^a-zA-Z ]', '', 'g')) AS n_plain,
+  CAST(length(regexp_replace(text, '[^a-zA-Z ]', '', 'g')) AS INTEGER) AS n_plain,
   regexp_extract(text, '([A-Z][a-z]+)', 1) AS first_cap,
   regexp_matches(text, '[0-9]') AS has_digit, text LIKE '%the%' AS has_the
 FROM documents""")
@@ -59,8 +59,8 @@ def f_str_3(spark, sf):
 
 @register("f_str_4_build_measure", """
 SELECT p_partkey, p_brand || '-' || p_type AS brand_type,
-  concat_ws('/', p_brand, NULL, p_type) AS path, length(p_name) AS name_len,
-  len(string_split(p_name, ' ')) AS n_words, contains(p_name, 'red') AS has_red,
+  concat_ws('/', p_brand, NULL, p_type) AS path, CAST(length(p_name) AS INTEGER) AS name_len,
+  CAST(len(string_split(p_name, ' ')) AS INTEGER) AS n_words, contains(p_name, 'red') AS has_red,
   starts_with(p_name, 'blue') AS starts_blue
 FROM part""")
 def f_str_4(spark, sf):
@@ -93,7 +93,7 @@ def f_date_1(spark, sf):
 
 @register("f_date_2_arithmetic", f"""
 SELECT o_orderkey,
-  DATE '{AS_OF}' - CAST(o_orderdate AS DATE) AS age_days,
+  CAST(DATE '{AS_OF}' - CAST(o_orderdate AS DATE) AS INTEGER) AS age_days,
   CAST(trunc((DATE '{AS_OF}' - CAST(o_orderdate AS DATE)) / 7) AS BIGINT) AS age_weeks,
   CAST(o_orderdate AS DATE) + 30 AS plus_30, CAST(o_orderdate AS DATE) - 90 AS minus_90,
   CAST(CAST(o_orderdate AS DATE) + INTERVAL 3 MONTH AS DATE) AS plus_3_months,
@@ -112,7 +112,7 @@ def f_date_2(spark, sf):
 
 
 @register("f_date_3_parts", f"""
-SELECT o_orderkey, year(o_orderdate) AS yr, month(o_orderdate) AS mo,
+SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS yr, CAST(month(o_orderdate) AS INTEGER) AS mo,
   make_date(year(o_orderdate), month(o_orderdate), 1) AS month_start,
   CAST(len(generate_series(make_date(year(o_orderdate), month(o_orderdate), 1),
                            last_day(CAST(o_orderdate AS DATE)), INTERVAL 1 DAY)) AS INTEGER)
@@ -167,14 +167,14 @@ WITH a AS (SELECT l_orderkey, list_sort(list(l_partkey)) AS parts,
                   list_sort(list_distinct(list(l_returnflag))) AS flags,
                   list_sort(list_distinct(list(l_linestatus))) AS statuses
            FROM lineitem GROUP BY l_orderkey)
-SELECT l_orderkey, len(parts) AS n_parts, list_extract(parts, 1) AS first_part,
+SELECT l_orderkey, CAST(len(parts) AS INTEGER) AS n_parts, list_extract(parts, 1) AS first_part,
   parts[1] AS first_part_idx, array_to_string(flags, ',') AS flags,
-  len(list_distinct(parts)) AS n_distinct_parts, list_reverse_sort(parts)[1] AS max_part,
+  CAST(len(list_distinct(parts)) AS INTEGER) AS n_distinct_parts, list_reverse_sort(parts)[1] AS max_part,
   list_contains(flags, 'R') AS has_r,
   array_to_string(list_sort(list_distinct(list_concat(flags, statuses))), ',') AS codes,
-  len(flatten([flags, statuses])) AS n_codes,
-  len(list_zip(parts, parts)) AS n_zip,
-  len(list_filter(parts, lambda x: x > 1000)) AS n_big_parts,
+  CAST(len(flatten([flags, statuses])) AS INTEGER) AS n_codes,
+  CAST(len(list_zip(parts, parts)) AS INTEGER) AS n_zip,
+  CAST(len(list_filter(parts, lambda x: x > 1000)) AS INTEGER) AS n_big_parts,
   [l_orderkey, l_orderkey + 1] AS pair
 FROM a""")
 def f_arr_functions(spark, sf):

@@ -127,7 +127,7 @@ d AS (SELECT c.label, e.vec_id,
         list_sum(list_transform(range(1, len(e.embedding) + 1),
                                 lambda i: (CAST(e.embedding[i] AS DOUBLE) - c.centroid[i]) ^ 2)) AS d2
       FROM embeddings e, c)
-SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY d2, vec_id) AS rank FROM d
+SELECT label, vec_id, CAST(row_number() OVER (PARTITION BY label ORDER BY d2, vec_id) AS INTEGER) AS rank FROM d
 QUALIFY rank <= 5""")
 def x_07_vector_top_k(spark, sf):
     e = T(spark, sf).embeddings

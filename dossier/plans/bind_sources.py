@@ -237,7 +237,7 @@ WITH m AS (SELECT date_trunc('month', max(l_shipdate))::DATE AS last_loaded FROM
            WHERE l_linestatus = 'F'),
 cal AS (SELECT CAST(unnest(generate_series(last_loaded + INTERVAL 1 MONTH, DATE '2002-05-01',
                                            INTERVAL 1 MONTH)) AS DATE) AS m FROM m)
-SELECT year(m) AS yr, month(m) AS mo FROM cal""")
+SELECT CAST(year(m) AS INTEGER) AS yr, CAST(month(m) AS INTEGER) AS mo FROM cal""")
 def s_21_period_calendar(spark, sf):
     li = T(spark, sf).lineitem.where(F.col("l_linestatus") == "F")
     last = li.agg(F.max(F.to_date("l_shipdate")).alias("last_loaded"))

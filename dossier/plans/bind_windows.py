@@ -44,7 +44,7 @@ def w_03_rank_keep_ties(spark, sf):
 
 @register("w_04_dense_rank", """
 SELECT s_suppkey, s_nationkey,
-       dense_rank() OVER (PARTITION BY s_nationkey ORDER BY round(s_acctbal, -3) DESC) AS balance_rank
+       CAST(dense_rank() OVER (PARTITION BY s_nationkey ORDER BY round(s_acctbal, -3) DESC) AS INTEGER) AS balance_rank
 FROM supplier""")
 def w_04_dense_rank(spark, sf):
     s = T(spark, sf).supplier.select("s_suppkey", "s_nationkey", F.round("s_acctbal", -3).alias("__b"))
@@ -108,7 +108,8 @@ def w_09_count_over(spark, sf):
     rest = [c.strip() for c in LI_REST.split(",")]
     x = ordered_scan(li, ["l_orderkey"], [F.col(c) for c in rest], {"running_lines": ("row_number",)})
     x = with_key_aggregates(x, ["l_orderkey"], [F.count(F.lit(1)).alias("lines_in_order")])
-    return x.select("l_orderkey", "l_linenumber", "l_partkey", "lines_in_order", "running_lines")
+    return x.select("l_orderkey", "l_linenumber", "l_partkey", "lines_in_order",
+                    F.col("running_lines").cast("bigint").alias("running_lines"))
 
 
 @register("w_10_extreme_over", """
@@ -232,7 +233,7 @@ def w_17_state_transitions(spark, sf):
 
 @register("w_18_retry_number", """
 SELECT event_id, user_id AS job, event_type AS task, CAST(ts AS DATE) AS run_date,
-  row_number() OVER w AS retry_no,
+  CAST(row_number() OVER w AS INTEGER) AS retry_no,
   CAST(floor(datediff('microsecond', lag(ts) OVER w, ts) / 60000000) AS BIGINT) AS minutes_since_prev
 FROM events
 WINDOW w AS (PARTITION BY user_id, event_type, CAST(ts AS DATE) ORDER BY ts, event_id)""")
@@ -247,7 +248,7 @@ def w_18_retry_number(spark, sf):
 
 
 @register("w_19_nearest_in_time", """
-SELECT o_orderkey, o_custkey, event_id, CAST(ts AS DATE) AS ts, day_diff FROM (
+SELECT o_orderkey, o_custkey, event_id, CAST(ts AS DATE) AS ts, CAST(day_diff AS INTEGER) AS day_diff FROM (
   SELECT o_orderkey, o_custkey, event_id, ts,
     abs(datediff('day', CAST(o_orderdate AS DATE), CAST(ts AS DATE))) AS day_diff,
     row_number() OVER (PARTITION BY o_orderkey

@@ -180,7 +180,7 @@ def t_08_plan_vs_actual_snapshot(spark, sf):
 
 
 @register("t_09_nearest_snapshot_value", f"""
-SELECT o_custkey, o_orderkey, DATE '{AS_OF}' - CAST(o_orderdate AS DATE) AS days_diff FROM orders
+SELECT o_custkey, o_orderkey, CAST(DATE '{AS_OF}' - CAST(o_orderdate AS DATE) AS INTEGER) AS days_diff FROM orders
 QUALIFY row_number() OVER (PARTITION BY o_custkey
   ORDER BY DATE '{AS_OF}' - CAST(o_orderdate AS DATE) DESC, o_orderkey) = 1""")
 def t_09_nearest_snapshot_value(spark, sf):
