@@ -87,16 +87,16 @@ def vector_top_k(vectors: DataFrame, vec_id: str, vec: str, queries: DataFrame,
     """X-07: the ``k`` nearest vectors (L2) to every query vector, with cosine similarity.
 
     The query set is proven small (at most ``max_queries`` rows, checked)
-    and broadcast as one array; each vector is scored against it in one
+    and attached as one array value; each vector is scored against it in one
     projection.  The per-query top-k filter lets Spark keep only k rows per
     query in every task before the shuffle (partial window-group limit).
     """
     n = queries.limit(max_queries + 1).count()
     if n > max_queries:
         raise ValueError(f"more than {max_queries} query vectors")
-    qarr = queries.agg(F.collect_list(F.struct(F.col(query_id).alias("qid"), F.col(query_vec).alias("qv")))
-                       .alias("__q"))
-    x = vectors.join(F.broadcast(qarr), how="inner", on=F.lit(True))
+    # the checked query set as one array value (scalar subquery), shipped with the plan
+    qarr = queries.agg(F.collect_list(F.struct(F.col(query_id).alias("qid"), F.col(query_vec).alias("qv"))))
+    x = vectors.withColumn("__q", qarr.scalar())
     scored = x.select(F.col(vec_id), F.explode(F.transform("__q", lambda q: F.struct(
         q.getField("qid").alias("qid"), l2_distance(F.col(vec), q.getField("qv")).alias("l2"),
         cosine_similarity(F.col(vec), q.getField("qv")).alias("cosine")))).alias("__s"))

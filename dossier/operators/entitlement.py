@@ -29,15 +29,13 @@ def apply_column_mask(df: DataFrame, col: str, region_col: str, user_attrs: Data
                       global_attr: str = "Global", out: str | None = None) -> DataFrame:
     """E-03: mask ``col`` unless the user holds the row's region or the global attribute."""
     ua = user_attrs.where(F.col("upn") == F.lit(user))
-    has_global = ua.where(F.col("attribute_type") == global_attr).agg(
-        (F.count(F.lit(1)) > 0).alias("__global"))
+    has_global = ua.where(F.col("attribute_type") == global_attr).agg(F.count(F.lit(1)) > 0).scalar()
     regions = ua.where(F.col("attribute_type") == "Region").select(
         F.col("attribute_value").alias("__r")).distinct().withColumn("__ok", F.lit(True))
-    j = df.join(regions, F.col(region_col) == F.col("__r"), "left").join(F.broadcast(has_global), how="inner",
-                                                                       on=F.lit(True))
-    shown = F.col("__global") | F.coalesce(F.col("__ok"), F.lit(False))
+    j = df.join(regions, F.col(region_col) == F.col("__r"), "left")
+    shown = has_global | F.coalesce(F.col("__ok"), F.lit(False))
     masked = F.when(shown, F.col(col).cast("string")).otherwise(F.lit(MASK))
-    return j.withColumn(out or col, masked).drop("__r", "__ok", "__global")
+    return j.withColumn(out or col, masked).drop("__r", "__ok")
 
 
 def secure_view(spark: SparkSession, df: DataFrame, name: str, col: str, region_col: str,

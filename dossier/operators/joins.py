@@ -19,11 +19,11 @@ def not_in(df: DataFrame, key: str, sub: DataFrame, sub_key: str) -> DataFrame:
     test is a plain anti join (shuffle or broadcast, planner's choice) and
     the NULL rules come from a one-row aggregate of the subquery.
     """
-    stats = sub.agg(F.count(F.lit(1)).alias("__n"), F.count(sub_key).alias("__nn"))
+    stats = sub.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count(sub_key).alias("nn"))).scalar()
     keys = sub.select(F.col(sub_key).alias("__k")).where(F.col("__k").isNotNull())
     kept = df.join(keys, F.col(key) == F.col("__k"), "left_anti")
-    cond = (F.col("__n") == 0) | ((F.col("__n") == F.col("__nn")) & F.col(key).isNotNull())
-    return kept.join(F.broadcast(stats), cond, "inner").drop("__n", "__nn")
+    n, nn = stats.getField("n"), stats.getField("nn")
+    return kept.where((n == 0) | ((n == nn) & F.col(key).isNotNull()))
 
 
 def _day(c) -> F.Column:
@@ -40,13 +40,13 @@ def interval_join(points: DataFrame, intervals: DataFrame, key: str, point: str,
     for a hot key).  Intervals are cut into time buckets (``bucket_days``
     wide) and the join is on (key, bucket): a point only meets intervals
     that overlap its own bucket.  Interval ends are clamped to the range of
-    point times first (a one-row aggregate), so open-ended intervals do not
+    point times first (a scalar subquery), so open-ended intervals do not
     explode into far-future buckets.
     """
     if bucket == "month":
         bucket_days = 31
-    span = points.agg(F.min(point).alias("__pmin"), F.max(point).alias("__pmax"))
-    iv = intervals.join(F.broadcast(span), how="inner", on=F.lit(True))
+    span = points.agg(F.struct(F.min(point).alias("lo"), F.max(point).alias("hi"))).scalar()
+    iv = intervals.withColumn("__pmin", span.getField("lo")).withColumn("__pmax", span.getField("hi"))
     b0 = F.floor(_day(F.greatest(F.col(start), F.col("__pmin"))) / bucket_days)
     b1 = F.floor(_day(F.least(F.col(end), F.col("__pmax"))) / bucket_days)
     iv = (iv.where(F.col(start) <= F.col("__pmax")).where(F.col(end) >= F.col("__pmin"))

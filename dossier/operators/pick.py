@@ -137,11 +137,10 @@ def nearest_in_time(left: DataFrame, right: DataFrame, key: str, left_date: str,
 def global_extreme(df: DataFrame, col: str, name: str, fn=F.max) -> DataFrame:
     """W-20: an aggregate over the whole result on every row.
 
-    ``MAX(x) OVER ()`` would move every row into one task; a one-row
-    aggregate broadcast back keeps the work spread out.
+    ``MAX(x) OVER ()`` would move every row into one task; a scalar
+    subquery (partial aggregates, one value) keeps the work spread out.
     """
-    one = df.agg(fn(col).alias(name))
-    return df.join(F.broadcast(one), how="inner", on=F.lit(True))
+    return df.withColumn(name, df.agg(fn(col)).scalar())
 
 
 def ratio_class(df: DataFrame, keys: Sequence[str], subset: Column, when_all: str,

@@ -33,9 +33,9 @@ def dq_unique(df: DataFrame, keys: Sequence[str], rule: str = "uniqueness", wher
     ex = top.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*keys))),
                                           lambda s: F.concat_ws("|", *[s.getField(k).cast("string") for k in keys])),
                               ",").alias("examples"))
-    return summary.join(F.broadcast(ex), how="inner", on=F.lit(True)).select(
+    return summary.select(
         F.lit(rule).alias("rule"), _status(F.col("n_duplicate_keys") == 0).alias("status"),
-        "n_rows", "n_keys", "n_duplicate_keys", "examples")
+        "n_rows", "n_keys", "n_duplicate_keys", ex.scalar().alias("examples"))
 
 
 def dq_not_null(df: DataFrame, columns: Sequence[str] | None = None, rule: str = "not_null") -> DataFrame:

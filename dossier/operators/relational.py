@@ -74,11 +74,10 @@ def scalar_subquery_filter(df: DataFrame, col: str, other: DataFrame, other_col:
                            agg: str = "max") -> DataFrame:
     """P-09: ``WHERE col = (SELECT agg(other_col) FROM other)``.
 
-    Joined against the one-row aggregate so Catalyst plans a broadcast of a
-    single row (no driver round trip, no collect).
+    A scalar subquery: the aggregate runs once and its value is inlined into
+    the filter (no join, no driver round trip).
     """
-    one = other.agg(getattr(F, agg)(other_col).alias("__v"))
-    return df.join(F.broadcast(one), F.col(col) == F.col("__v"), "left_semi")
+    return df.where(F.col(col) == other.agg(getattr(F, agg)(other_col)).scalar())
 
 
 def coalesce_sources(*cols) -> Column:
@@ -195,14 +194,15 @@ def top_n_with_ties(df: DataFrame, order: Sequence[tuple[str, bool]], n: int = 1
     top = (df.select(*[F.col(c).alias(x) for c, x in zip(names, b)])
            .orderBy(*[ocol(x, a) for x, (_, a) in zip(b, order)]).limit(n))
     # the n-th row: last of the (at most n) top rows
-    nth = top.orderBy(*[ocol(x, not a) for x, (_, a) in zip(b, order)]).limit(1)
+    nth = top.orderBy(*[ocol(x, not a) for x, (_, a) in zip(b, order)]).limit(1) \
+        .select(F.struct(*b).alias("__nth")).scalar()
     # lexicographic "at or before the boundary" (NULLs sort last)
     cond = F.lit(True)
     for i in reversed(range(len(order))):
         c, asc = order[i]
-        b = F.col(f"__b{i}")
+        b = nth.getField(f"__b{i}")
         x = F.col(c)
         before = (x < b) if asc else (x > b)
         before = (before & x.isNotNull()) | (x.isNotNull() & b.isNull())
         cond = before | (x.eqNullSafe(b) & cond)
-    return df.join(F.broadcast(nth), cond, "inner").drop(*nth.columns)
+    return df.where(cond)

@@ -70,9 +70,8 @@ def equal_split_balance(df: DataFrame, group: str, keys: Sequence[str], target:
     """X-02: the same number of rows from every group (ceil(target / groups), or all of a
     smaller group), then a hash-ordered cut to exactly ``target`` rows overall."""
     n = df.groupBy(group).agg(F.count(F.lit(1)).alias("__n"))
-    g = n.agg(F.count(F.lit(1)).alias("__g"))
-    sizes = n.join(F.broadcast(g), how="inner", on=F.lit(True)).select(
-        group, F.least(F.col("__n"), F.ceil(F.lit(target) / F.col("__g"))).alias("__k"))
+    g = n.agg(F.count(F.lit(1))).scalar()
+    sizes = n.select(group, F.least(F.col("__n"), F.ceil(F.lit(target) / g)).alias("__k"))
     per_group = take_smallest_hashes(df, [group], sizes, "__k", keys, seed)
     # the cut keeps at most ``target`` rows: a bounded top-n, the sample size is the feature
     cut = per_group.withColumn("__h2", hash_order(keys, seed + 1)).orderBy("__h2", *keys).limit(target)
@@ -102,9 +101,8 @@ def representative_sample(df: DataFrame, key: str, weight: str, mandatory: str,
     distance of all candidates is one aggregate.
     """
     from dossier.operators.recon import attribute_distribution
-    tot = df.agg(F.sum(weight).alias("__w"))
-    x = df.join(F.broadcast(tot), how="inner", on=F.lit(True)) \
-        .withColumn("__p", F.least(F.lit(1.0), F.lit(float(size)) * F.col(weight) / F.col("__w")))
+    tot = df.agg(F.sum(weight)).scalar()
+    x = df.withColumn("__p", F.least(F.lit(1.0), F.lit(float(size)) * F.col(weight) / tot))
     u = lambda c: (F.abs(F.xxhash64(F.col(key), c, F.lit(seed))) % F.lit(1_000_000)) / F.lit(1_000_000.0)
     member = x.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_candidates - 1))).alias("candidate")) \
         .where(F.col(mandatory) | (u(F.col("candidate")) < F.col("__p")))
@@ -124,9 +122,8 @@ def representative_sample(df: DataFrame, key: str, weight: str, mandatory: str,
     n_attr = float(len(attributes))
     # population mass not covered by the candidate adds |p - 0| per missing value
     dist = covered.select("candidate", (F.col("__d1") + (F.lit(n_attr) - F.col("__covered"))).alias("distance"))
-    best = dist.agg(F.min_by("candidate", F.struct("distance", "candidate")).alias("__best"))
-    return member.join(F.broadcast(best), F.col("candidate") == F.col("__best")).drop(
-        "__best", "__w", "__p")
+    best = dist.agg(F.min_by("candidate", F.struct("distance", "candidate"))).scalar()
+    return member.where(F.col("candidate") == best).drop("__p")
 
 
 def generate_test_data(seeds: DataFrame, key: str, spec: dict[str, dict], seed: int = 42) -> DataFrame:

@@ -110,10 +110,12 @@ def append_if_period_start(history: DataFrame, snapshot: DataFrame, as_of: dt.da
     """K-07: on the first day of a period append a dated copy unless that date exists."""
     if not is_period_start(as_of, period):
         return history
-    dated = snapshot.withColumn(date_col, F.lit(as_of.isoformat()).cast("date"))
-    present = history.select(date_col).where(F.col(date_col) == F.lit(as_of.isoformat()).cast("date"))
-    new = dated.join(present.limit(1), date_col, "left_anti")
-    return history.unionByName(new)
+    d = F.lit(as_of.isoformat()).cast("date")
+    dated = snapshot.withColumn(date_col, d)
+    # existence of the date in the history: a scalar subquery that stops at the first row
+    present = history.where(F.col(date_col) == d).select(F.lit(1).alias("x")).limit(1) \
+        .agg(F.count(F.lit(1))).scalar()
+    return history.unionByName(dated.where(present == 0))
 
 
 def append_missing_periods(target: DataFrame, source: DataFrame, period_col: str) -> DataFrame:

@@ -201,12 +201,11 @@ def high_water_mark_load(target: DataFrame, source: DataFrame, keys: Sequence[st
     Folding "upsert each newer snapshot in date order" is the same as: per
     key keep the row from the newest date among target rows and newer
     source rows.  One union and one ranked pick, no driver loop; the high
-    water mark is a one-row aggregate broadcast into the filter.
+    water mark is a scalar subquery in the filter.
     """
-    hwm = target.agg(F.max(date_col).alias("__hwm"))
-    newer = source.join(F.broadcast(hwm), F.col(date_col) > F.coalesce(F.col("__hwm"),
-                                                                      F.lit("0001-01-01").cast("date")))
-    both = target.unionByName(newer.drop("__hwm"))
+    hwm = target.agg(F.max(date_col)).scalar()
+    newer = source.where(F.col(date_col) > F.coalesce(hwm, F.lit("0001-01-01").cast("date")))
+    both = target.unionByName(newer)
     return dedupe_latest(both, keys, [F.col(date_col).desc()])
 
 

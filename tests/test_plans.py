@@ -43,3 +43,13 @@ def test_filters_and_columns_pushed_to_scan(spark, small_dir):
     p = plan(spark, "p_02_filter", small_dir)
     assert "PushedFilters: [IsNotNull(l_quantity)" in p
     assert "ReadSchema: struct<l_orderkey:bigint," in p
+
+
+def test_no_nested_loops_products_or_python_in_any_plan(spark, small_dir):
+    bad = []
+    for name, fn in Q.items():
+        p = fn(spark, small_dir)._jdf.queryExecution().executedPlan().toString()
+        for tok in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython"):
+            if tok in p:
+                bad.append((name, tok))
+    assert bad == []
