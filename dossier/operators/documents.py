@@ -11,8 +11,13 @@ MAX_DOCUMENT_CHARS = 2_000_000
 
 
 def nest(child: DataFrame, keys: Sequence[str], fields: Sequence[str], name: str) -> DataFrame:
-    """Collect child rows per key as a sorted array of structs (deterministic order)."""
-    return child.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias(name))
+    """Collect child rows per key as a sorted array of structs (deterministic order).
+
+    ``sort_array`` (no comparator lambda) keeps the plan canonical, so a
+    nested frame used twice (size guard and collection) is computed once
+    through exchange reuse.
+    """
+    return child.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias(name))
 
 
 def build_documents(parent: DataFrame, key: str, child: DataFrame, child_fields: Sequence[str],

@@ -39,18 +39,22 @@ def write_snapshot(df: DataFrame, root: str, obj: str, version: str, load_date:
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """K-02: update matching keys, insert new ones; duplicate keys in the update set fail the job.
 
-    The duplicate check is an in-plan ``raise_error`` on a count over the
-    key (the shuffle on the key is shared with the anti join), so no extra
-    job runs before the write.
+    The duplicate check is a scalar subquery (a partial hash aggregate per
+    key, stopping at the first repeated key) evaluated once; a repeat fails
+    the job through ``raise_error`` before anything is written.
     """
-    w = Window.partitionBy(*keys)
-    checked = updates.withColumn("__n", F.count(F.lit(1)).over(w)).where(
-        F.when(F.col("__n") > 1, F.raise_error(F.lit("duplicate keys in update set")))
-        .otherwise(F.lit(True))).drop("__n")
+    checked = updates.where(_no_duplicates(updates, keys, "duplicate keys in update set"))
     kept = target.join(checked.select(*keys), list(keys), "left_anti")
     return kept.unionByName(checked, allowMissingColumns=True)
 
 
+def _no_duplicates(df: DataFrame, keys: Sequence[str], message: str) -> Column:
+    """TRUE, or a job failure when some key of ``df`` occurs more than once."""
+    dup = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1)
+           .select(F.lit(1).alias("x")).limit(1).agg(F.count(F.lit(1))).scalar())
+    return F.when(dup > 0, F.raise_error(F.lit(message))).otherwise(F.lit(True))
+
+
 def conditional_update(target: DataFrame, updates: DataFrame, keys: Sequence[str],
                        set_cols: dict[str, str]) -> DataFrame:
     """K-03: MERGE with only WHEN MATCHED THEN UPDATE SET (no inserts, no deletes).
