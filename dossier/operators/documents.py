@@ -115,3 +115,44 @@ def entity_edges(df: DataFrame, owner: str, text: str, pattern: str = r"[A-Z][a-
     """X-08: one edge per (owner, distinct candidate entity token) over whole texts."""
     ents = df.select(owner, F.explode(F.regexp_extract_all(F.col(text), F.lit(pattern), 0)).alias("entity"))
     return ents.distinct()
+
+
+def _array_json_length(n: Column, total: Column) -> Column:
+    """Length of ``[e1,e2,...]`` from the element count and the summed element lengths."""
+    return F.when(F.coalesce(n, F.lit(0)) == 0, F.lit(2)).otherwise(total + n + 1)
+
+
+def build_documents_2(parent: DataFrame, key: str, mid: DataFrame, mid_id: str, mid_fields: Sequence[str],
+                      sub: DataFrame, sub_fields: Sequence[str], mid_name: str, sub_name: str,
+                      max_chars: int = MAX_DOCUMENT_CHARS) -> tuple[DataFrame, DataFrame]:
+    """D-01 over two levels (client -> orders -> lines) with the size guard applied bottom-up.
+
+    Every level's JSON length is predicted from partial aggregates of the
+    level below (lines per order, orders per client) before anything is
+    collected, so neither a hot order nor a hot client is ever materialised
+    unless its whole document stays within ``max_chars``.  The ``mid_name``
+    elements are ``struct(*mid_fields, sub_name)``.  Returns (documents, dropped).
+    """
+    sub_len = sub.groupBy(mid_id).agg(
+        F.sum(F.length(F.to_json(F.struct(*[F.col(c) for c in sub_fields])))).alias("__s"),
+        F.count(F.lit(1)).alias("__n"))
+    empty = F.array().cast("array<string>").alias(sub_name)
+    base = F.length(F.to_json(F.struct(*[F.col(c) for c in mid_fields], empty))) - 2
+    mid_len = (mid.select(key, *{mid_id, *mid_fields}).join(sub_len, mid_id, "left")
+               .select(key, (base + _array_json_length(F.col("__n"), F.col("__s"))).alias("__ml")))
+    doc = mid_len.groupBy(key).agg(F.sum("__ml").alias("__s"), F.count(F.lit(1)).alias("__n"))
+    head = F.length(F.to_json(F.struct(F.col(key)))) - 1
+    p = parent.select(key).join(doc, key, "left").withColumn(
+        "json_length", (head + F.lit(len(mid_name) + 5) + _array_json_length(F.col("__n"), F.col("__s")))
+        .cast("bigint"))
+    keep = p.where(F.col("json_length") <= max_chars).select(key)
+    dropped = p.where(F.col("json_length") > max_chars).select(key, "json_length")
+    mids = mid.join(keep, key, "left_semi")
+    subs = sub.join(mids.select(mid_id), mid_id, "left_semi")
+    inner = nest(subs, [mid_id], sub_fields, sub_name)
+    full = mids.join(inner, mid_id, "left")
+    full = full.withColumn(sub_name, F.coalesce(F.col(sub_name), F.array().cast(inner.schema[sub_name].dataType)))
+    outer = nest(full, [key], [*mid_fields, sub_name], mid_name)
+    docs = parent.join(keep, key, "left_semi").join(outer, key, "left").withColumn(
+        mid_name, F.coalesce(F.col(mid_name), F.array().cast(outer.schema[mid_name].dataType)))
+    return docs, dropped

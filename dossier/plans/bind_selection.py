@@ -144,18 +144,14 @@ def x_08_entity_edges(spark, sf):
 
 # ---------------------------------------------------------------- documents
 
-def _orders_with_lines(t):
-    lines = DOC.nest(t.lineitem, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_quantity"], "lines")
-    o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", F.to_date("o_orderdate").alias("o_orderdate"))
-    return o.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey") \
-        .withColumn("lines", F.coalesce("lines", F.array().cast("array<struct<l_linenumber:int,l_partkey:bigint,l_quantity:double>>"))) \
-        .withColumnRenamed("o_custkey", "c_custkey")
-
-
-def _documents(spark, sf):
+def _documents(spark, sf, max_chars=DOC.MAX_DOCUMENT_CHARS):
     t = T(spark, sf)
-    return DOC.build_documents(t.customer.select("c_custkey", "c_name"), "c_custkey", _orders_with_lines(t),
-                               ["o_orderkey", "o_orderstatus", "o_orderdate", "lines"], "orders")
+    orders = t.orders.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_orderstatus",
+                             F.to_date("o_orderdate").alias("o_orderdate"))
+    lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_quantity")
+    return DOC.build_documents_2(t.customer.select("c_custkey", "c_name"), "c_custkey", orders, "o_orderkey",
+                                 ["o_orderkey", "o_orderstatus", "o_orderdate"], lines,
+                                 ["l_linenumber", "l_partkey", "l_quantity"], "orders", "lines", max_chars)
 
 
 @register("d_01_build_documents")
@@ -178,23 +174,25 @@ def d_01_document_counts(spark, sf):
 def d_01_document_length_check(spark, sf):
     """Predicted JSON length (computed before collecting) against the real one: must be equal."""
     docs, _ = _documents(spark, sf)
-    t = T(spark, sf)
-    sizes = DOC.build_documents(t.customer.select("c_custkey"), "c_custkey", _orders_with_lines(t),
-                                ["o_orderkey", "o_orderstatus", "o_orderdate", "lines"], "orders",
-                                max_chars=0)[1]
+    predicted = _documents(spark, sf, max_chars=-1)[1]   # every client "dropped": all predictions
     real = docs.select("c_custkey", F.length(F.to_json(F.struct("c_custkey", "orders"))).alias("real_length"))
-    return real.join(sizes, "c_custkey", "left").where(
+    return real.join(predicted, "c_custkey", "left").where(
         F.coalesce(F.col("json_length"), F.lit(-1)) != F.col("real_length"))
 
 
 @register("d_02_document_size_guard")
 def d_02_document_size_guard(spark, sf):
     t = T(spark, sf)
-    ow = _orders_with_lines(t)
     life = (F.when(F.col("o_orderstatus") == "O", "Active").when(F.col("o_orderstatus") == "P", "Prospect")
             .otherwise("Closed"))
-    per = DOC.nest(ow.withColumn("lifecycle", life), ["c_custkey", "lifecycle"],
-                   ["o_orderkey", "o_orderdate", "lines"], "orders")
+    orders = t.orders.select(F.col("o_custkey").alias("c_custkey"), life.alias("lifecycle"), "o_orderkey",
+                             F.to_date("o_orderdate").alias("o_orderdate")) \
+        .withColumn("doc_key", F.concat_ws("|", F.col("c_custkey").cast("string"), "lifecycle"))
+    lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_quantity")
+    parent = orders.select("doc_key", "c_custkey", "lifecycle").distinct()
+    # one document per (client, life-cycle), size-guarded before anything is collected
+    per, _ = DOC.build_documents_2(parent, "doc_key", orders, "o_orderkey", ["o_orderkey", "o_orderdate"],
+                                   lines, ["l_linenumber", "l_partkey", "l_quantity"], "orders", "lines")
     prio = F.when(F.col("lifecycle") == "Active", 0).when(F.col("lifecycle") == "Prospect", 1).otherwise(2)
     g = DOC.document_size_guard(per, "c_custkey", prio, ["c_custkey", "lifecycle", "orders"])
     return g.select("c_custkey", "lifecycle", "json_length")

@@ -109,3 +109,19 @@ def test_pivot_values_are_bounded(spark):
     df = spark.range(50).select(F.col("id").cast("string").alias("p"))
     with pytest.raises(ValueError):
         SH.pivot_values(df, "p", max_values=10)
+
+
+def test_two_level_documents_guard_before_collect(spark):
+    from dossier.operators.documents import build_documents_2
+    parent = spark.createDataFrame([(1,), (2,), (3,)], "c int")
+    mid = spark.createDataFrame([(1, 10), (1, 11), (2, 20)], "c int, o int")
+    sub = spark.createDataFrame([(10, "a" * 50), (10, "b"), (11, "c"), (20, "d")], "o int, t string")
+    docs, dropped = build_documents_2(parent, "c", mid, "o", ["o"], sub, ["t"], "orders", "lines", max_chars=60)
+    real = {r["c"]: len(r["j"]) for r in docs.select("c", F.to_json(F.struct("c", "orders")).alias("j")).collect()}
+    assert set(real) == {2, 3} and all(v <= 60 for v in real.values())
+    d = {r["c"]: r["json_length"] for r in dropped.collect()}
+    assert list(d) == [1] and d[1] > 60
+    # the prediction equals the real length once the limit allows the document
+    docs_all, _ = build_documents_2(parent, "c", mid, "o", ["o"], sub, ["t"], "orders", "lines")
+    j = docs_all.where("c = 1").select(F.to_json(F.struct("c", "orders")).alias("j")).collect()[0]["j"]
+    assert len(j) == d[1]
