@@ -66,26 +66,26 @@ def leading_entity(nodes: DataFrame, edges: DataFrame, max_depth: int = 4,
             .where((F.col("__t").isin(*BRANCH_TYPES) & (F.col("__pt") == LEGAL_ENTITY))
                    | (F.col("__t").isin(*ACCOUNT_TYPES) & F.col("__pt").isin(LEGAL_ENTITY, *BRANCH_TYPES)))
             .groupBy("__n").agg(F.min("__p").alias("__next")))
-    state = nodes.select(F.col(node_id).alias("id"), F.col(node_id).alias("__cur"),
-                         F.lit(0).alias("depth"), F.lit(None).cast(nodes.schema[node_id].dataType)
-                         .alias("leading_id"))
+    # only undecided nodes go on to the next level: each level's join shrinks
+    state = nodes.select(F.col(node_id).alias("id"), F.col(node_id).alias("__cur"), F.lit(0).alias("depth"))
+    decided = []
     for level in range(max_depth + 1):
-        s = (state.join(attrs.withColumnRenamed("__n", "__cur"), "__cur", "left")
-             .join(step.withColumnRenamed("__n", "__cur"), "__cur", "left"))
-        undecided = F.col("leading_id").isNull()
-        is_le = F.col("__t") == LEGAL_ENTITY
-        decide = (F.when(~undecided, F.col("leading_id"))
-                  .when(is_le, F.col("__cur"))
+        s_ = (state.join(attrs.withColumnRenamed("__n", "__cur"), "__cur", "left")
+              .join(step.withColumnRenamed("__n", "__cur"), "__cur", "left"))
+        decide = (F.when(F.col("__t") == LEGAL_ENTITY, F.col("__cur"))
                   .when(F.col("__credit").isNotNull(), F.col("__credit"))
                   .when(F.col("__next").isNull() | F.lit(level == max_depth), F.col("__cur")))
-        moves = undecided & decide.isNull()
-        state = s.select(
-            "id",
-            F.when(moves, F.col("__next")).otherwise(F.col("__cur")).alias("__cur"),
-            F.when(moves, F.col("depth") + 1).otherwise(F.col("depth")).alias("depth"),
-            decide.alias("leading_id"))
+        s_ = s_.withColumn("leading_id", decide)
+        decided.append(s_.where(F.col("leading_id").isNotNull()).select("id", "leading_id", "depth"))
+        if level == max_depth:
+            break
+        state = s_.where(F.col("leading_id").isNull()).select(
+            "id", F.col("__next").alias("__cur"), (F.col("depth") + 1).alias("depth"))
         state = _maybe_checkpoint(state, level + 1)
-    return state.select("id", "leading_id", "depth")
+    out = decided[0]
+    for d in decided[1:]:
+        out = out.unionByName(d)
+    return out
 
 
 def climb(starts: DataFrame, edges: DataFrame, max_depth: int, start: str = "id",

@@ -107,3 +107,27 @@ def inconsistent_values(df: DataFrame, keys: Sequence[str], col: str) -> DataFra
     g = df.groupBy(*keys).agg(F.count_distinct(v).alias("n_values"), F.count(v).alias("__nonblank"))
     issue = F.when(F.col("n_values") > 1, "multiple values").when(F.col("__nonblank") == 0, "blank only")
     return g.withColumn("issue", issue).where(F.col("issue").isNotNull()).drop("__nonblank")
+
+
+def run_rules(df: DataFrame, object_name: str, rules: Sequence[tuple], run_ts: dt.datetime) -> DataFrame:
+    """Run several rules on one object and return their log rows (Q-05..Q-09 together).
+
+    ``rules`` holds ``("unique", keys, rule)``, ``("condition", column, rule, description)`` or
+    ``("not_null", columns, rule)`` entries.  Every rule is an aggregate over ``df``; the
+    union is evaluated as one plan.
+    """
+    results = []
+    for r in rules:
+        kind = r[0]
+        if kind == "unique":
+            results.append(dq_unique(df, r[1], r[2]))
+        elif kind == "condition":
+            results.append(dq_condition(df, r[1], r[2], r[3] if len(r) > 3 else ""))
+        elif kind == "not_null":
+            nn = dq_not_null(df, r[1], r[2])
+            results.append(nn.groupBy("rule").agg(
+                F.when(F.max(F.col("n_null")) == 0, "Pass").otherwise("Fail").alias("status"),
+                F.sum("n_null").alias("n_null")))
+        else:
+            raise ValueError(kind)
+    return dq_log(results, object_name, run_ts)

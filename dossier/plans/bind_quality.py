@@ -75,9 +75,11 @@ def q_08_dq_condition(spark, sf):
 @register("q_09_dq_log")
 def q_09_dq_log(spark, sf):
     t = T(spark, sf)
-    results = [DQ.dq_unique(t.lineitem, ["l_orderkey", "l_linenumber"], "lineitem_pk"),
-               DQ.dq_condition(t.lineitem, F.col("l_tax") <= 0.06, "tax_range")]
-    log = DQ.dq_log(results, "lineitem", dt.datetime(2024, 1, 31, 6, 0))
+    log = DQ.run_rules(t.lineitem, "lineitem", [
+        ("unique", ["l_orderkey", "l_linenumber"], "lineitem_pk"),
+        ("condition", F.col("l_tax") <= 0.06, "tax_range", "tax at most 6 %"),
+        ("not_null", ["l_orderkey", "l_partkey", "l_shipdate"], "lineitem_not_null"),
+    ], dt.datetime(2024, 1, 31, 6, 0))
     path = scratch_path(spark, "dq_log")
     log.write.mode("append").parquet(path)
     return spark.read.parquet(path)
