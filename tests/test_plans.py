@@ -53,3 +53,13 @@ def test_no_nested_loops_products_or_python_in_any_plan(spark, small_dir):
             if tok in p:
                 bad.append((name, tok))
     assert bad == []
+
+
+def test_survivorship_is_one_shuffle(spark, small_dir):
+    p = plan(spark, "a_12_survivorship", small_dir)
+    assert p.count("Exchange hashpartitioning") == 1
+
+
+def test_snapshot_range_prunes_partitions(spark, small_dir):
+    p = plan(spark, "s_06_scan_snapshot_range", small_dir)
+    assert "PartitionFilters: [" in p and "PartitionFilters: []" not in p
