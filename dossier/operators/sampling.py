@@ -91,21 +91,29 @@ def rule_tagging(df: DataFrame, keys: Sequence[str], rules: dict[str, Column], o
 
 def representative_sample(df: DataFrame, key: str, weight: str, mandatory: str, attributes: Sequence[str],
                           size: int, n_candidates: int = 100, seed: int = 42) -> DataFrame:
-    """X-04: among ``n_candidates`` weighted candidate samples (mandatory rows always in),
-    keep the one whose attribute distribution is closest to the population (Q-17).
-
-    A row joins candidate c when its seeded uniform draw is below its
-    inclusion probability ``size * w / sum(w)`` (Poisson sampling, expected
-    size ``size``).  Each row is tested once per candidate inside one
-    projection (no join), only memberships are materialised, and the
-    distance of all candidates is one aggregate.
+    """X-04: among ``n_candidates`` weighted samples of exactly ``size`` rows (mandatory rows
+    always in), keep the one whose attribute distribution is closest to the population (Q-17).
+
+    Each candidate is a weighted sample without replacement: the mandatory
+    rows plus the ``size - m`` other rows with the smallest ``-ln(u) / w``
+    (Efraimidis-Spirakis keys, ``u`` a seeded hash draw per row and
+    candidate).  Rows are tested once per candidate inside one projection
+    (no join); the per-candidate top-``size`` filter is cut map-side by a
+    partial window-group limit, so no candidate ever gathers more than
+    ``size`` rows per task.  All distances come from one aggregate.
     """
     from dossier.operators.recon import attribute_distribution
-    tot = df.agg(F.sum(weight)).scalar()
-    x = df.withColumn("__p", F.least(F.lit(1.0), F.lit(float(size)) * F.col(weight) / tot))
-    u = lambda c: (F.abs(F.xxhash64(F.col(key), c, F.lit(seed))) % F.lit(1_000_000)) / F.lit(1_000_000.0)
-    member = x.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_candidates - 1))).alias("candidate")) \
-        .where(F.col(mandatory) | (u(F.col("candidate")) < F.col("__p")))
+    m = df.where(F.col(mandatory)).agg(F.count(F.lit(1))).scalar()
+    u = (F.abs(F.xxhash64(F.col(key), F.col("candidate"), F.lit(seed))) % F.lit(1 << 52) + 1) / F.lit(float(1 << 52))
+    cand = df.where(~F.col(mandatory) & (F.col(weight) > 0)) \
+        .select("*", F.explode(F.sequence(F.lit(0), F.lit(n_candidates - 1))).alias("candidate")) \
+        .withColumn("__es", -F.log(u) / F.col(weight))
+    w = Window.partitionBy("candidate").orderBy("__es", key)
+    chosen = (cand.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= size)  # literal: map-side cut
+              .where(F.col("__rn") <= F.lit(size) - m).drop("__rn", "__es"))
+    fixed = df.where(F.col(mandatory)).select("*", F.explode(F.sequence(F.lit(0), F.lit(n_candidates - 1)))
+                                             .alias("candidate"))
+    member = chosen.unionByName(fixed)
     pop = attribute_distribution(df, attributes)
     long = member.select("candidate", *[F.col(a).cast("string").alias(a) for a in attributes])
     st = F.stack(F.lit(len(attributes)), *[v for a in attributes for v in (F.lit(a), F.col(a))])
@@ -114,16 +122,15 @@ def representative_sample(df: DataFrame, key: str, weight: str, mandatory: str,
     totc = long.groupBy("candidate", "attribute").agg(F.count(F.lit(1)).alias("__t"))
     samp = cnt.join(totc, ["candidate", "attribute"]).select(
         "candidate", "attribute", "value", (F.col("__n") / F.col("__t")).alias("__s"))
-    # values present in the population but absent in a candidate count with frequency 0
     j = samp.join(pop.select("attribute", "value", F.col("freq").alias("__pf")), ["attribute", "value"], "left")
     covered = j.groupBy("candidate").agg(
         F.sum(F.abs(F.col("__s") - F.coalesce("__pf", F.lit(0.0)))).alias("__d1"),
         F.sum(F.coalesce("__pf", F.lit(0.0))).alias("__covered"))
-    n_attr = float(len(attributes))
     # population mass not covered by the candidate adds |p - 0| per missing value
-    dist = covered.select("candidate", (F.col("__d1") + (F.lit(n_attr) - F.col("__covered"))).alias("distance"))
+    dist = covered.select("candidate", (F.col("__d1") + (F.lit(float(len(attributes))) - F.col("__covered")))
+                          .alias("distance"))
     best = dist.agg(F.min_by("candidate", F.struct("distance", "candidate"))).scalar()
-    return member.where(F.col("candidate") == best).drop("__p")
+    return member.where(F.col("candidate") == best)
 
 
 def generate_test_data(seeds: DataFrame, key: str, spec: dict[str, dict], seed: int = 42) -> DataFrame:

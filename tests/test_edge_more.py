@@ -125,3 +125,14 @@ def test_two_level_documents_guard_before_collect(spark):
     docs_all, _ = build_documents_2(parent, "c", mid, "o", ["o"], sub, ["t"], "orders", "lines")
     j = docs_all.where("c = 1").select(F.to_json(F.struct("c", "orders")).alias("j")).collect()[0]["j"]
     assert len(j) == d[1]
+
+
+def test_representative_sample_exact_size_with_mandatory(spark):
+    from dossier.operators.sampling import representative_sample
+    df = spark.range(400).select(F.col("id").alias("k"), (F.col("id") % 4).cast("string").alias("seg"),
+                                 (F.col("id") % 7 + 1).cast("double").alias("w"), (F.col("id") < 5).alias("must"))
+    out = representative_sample(df, "k", "w", "must", ["seg"], size=50, n_candidates=20)
+    keys = [r["k"] for r in out.collect()]
+    assert len(keys) == 50 and len(set(keys)) == 50 and set(range(5)) <= set(keys)
+    again = [r["k"] for r in representative_sample(df, "k", "w", "must", ["seg"], size=50, n_candidates=20).collect()]
+    assert sorted(keys) == sorted(again)  # seeded: the same sample every run
