@@ -42,7 +42,12 @@ def rank_keep_ties(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
 
 def previous_value(col: str, keys: Sequence[str], order: Sequence[Column],
                    blank_when_equal: bool = True) -> Column:
-    """W-05: LAG over the key; NULL when the previous value equals the current one."""
+    """W-05 as a Column: LAG over the key; NULL when the previous value equals the current one.
+
+    A plain per-key window (one task per key).  For keys that may be hot use
+    ``ordered_scan(df, keys, order, {"prev": ("lag", col)})``, which the
+    registered W-05 query does.
+    """
     w = Window.partitionBy(*keys).orderBy(*order)
     prev = F.lag(col, 1).over(w)
     return F.when(~prev.eqNullSafe(F.col(col)), prev) if blank_when_equal else prev

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dossier.functions.text import normalize_name
-from dossier.operators.pick import dedupe_latest
 from dossier.operators.relational import bounded_broadcast, theta_or_join
 from dossier.operators.shape import unpivot
 

@@ -10,7 +10,6 @@ only the rows of that one bucket are ranked.
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window

@@ -6,14 +6,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from dossier.operators.relational import bounded_broadcast
 from dossier.plans.common import EVENTS_AS_OF, T
-from dossier.plans.fixtures import ORDER_SNAPSHOTS, order_snapshots, order_snapshots_sql
+from dossier.plans.fixtures import order_snapshots, order_snapshots_sql
 from dossier.plans.registry import register
 from dossier.session import scratch_path
 from dossier.sources import files as FL
 from dossier.sources import snapshots as S
-from dossier.sources.tables import TABLES
 
 D = dt.date
 SNAPS = order_snapshots_sql("10")

@@ -11,7 +11,7 @@ import datetime as dt
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dossier.functions.text import clean_column_name
