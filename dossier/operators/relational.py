@@ -123,15 +123,25 @@ def safe_convert(c, target: str, fill=None) -> Column:
 
 def theta_or_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[Column, Column]],
                   how: str = "inner") -> DataFrame:
-    """J-theta: ``ON a1 = b1 OR a2 = b2`` as a union of equi joins.
+    """J-theta: ``ON a1 = b1 OR a2 = b2 OR ...`` as a union of equi joins.
 
     An OR condition is not an equi join, so Spark would fall back to a
-    nested-loop join (quadratic).  Each disjunct is a hash/sort-merge join;
-    the union is de-duplicated on the full output so a pair matched by both
-    disjuncts appears once (inner semantics).
+    nested-loop join (quadratic).  Disjunct i runs as a hash/sort-merge join
+    on its own key pair with the residual "no earlier disjunct holds", so
+    every matching pair comes out exactly once: a plain UNION ALL, no
+    de-duplication shuffle, and duplicate input rows keep their multiplicity
+    (inner join semantics).
     """
-    parts = [left.join(right, lc == rc, how) for lc, rc in pairs]
-    return reduce(DataFrame.unionByName, parts).distinct()
+    parts = []
+    earlier: Column | None = None
+    for lc, rc in pairs:
+        cond = lc == rc
+        if earlier is not None:
+            cond = cond & ~F.coalesce(earlier, F.lit(False))
+        parts.append(left.join(right, cond, how))
+        eq = F.coalesce(lc == rc, F.lit(False))
+        earlier = eq if earlier is None else (earlier | eq)
+    return reduce(DataFrame.unionByName, parts)
 
 
 # ------------------------------------------------------------------- set ops

@@ -136,3 +136,13 @@ def test_representative_sample_exact_size_with_mandatory(spark):
     assert len(keys) == 50 and len(set(keys)) == 50 and set(range(5)) <= set(keys)
     again = [r["k"] for r in representative_sample(df, "k", "w", "must", ["seg"], size=50, n_candidates=20).collect()]
     assert sorted(keys) == sorted(again)  # seeded: the same sample every run
+
+
+def test_theta_or_join_keeps_multiplicity(spark):
+    from dossier.operators.relational import theta_or_join
+    left = spark.createDataFrame([(1, "x"), (1, "x"), (2, "y"), (None, "z")], "a int, b string")
+    right = spark.createDataFrame([(1, "q"), (3, "y"), (None, "z")], "c int, d string")
+    j = theta_or_join(left, right, [(F.col("a"), F.col("c")), (F.col("b"), F.col("d"))])
+    got = sorted((tuple(r) for r in j.select("a", "b", "c", "d").collect()), key=str)
+    want = sorted([(1, "x", 1, "q"), (1, "x", 1, "q"), (2, "y", 3, "y"), (None, "z", None, "z")], key=str)
+    assert got == want
