@@ -36,5 +36,11 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 
 def words_of(text: Column) -> Column:
-    """Words of a text as an array; null and blank texts have none."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE_RE), lambda w: w != "")
+    """Words of a text as an array; null and blank texts have none.
+
+    Lines are split at single spaces, which needs no pattern; rarer white space is turned into
+    spaces first where a text has any.
+    """
+    text = F.coalesce(text, F.lit(""))
+    plain = F.when(text.rlike(r"[\x09\x0B-\x0D]"), F.regexp_replace(text, r"[\x09\x0B-\x0D]", " ")).otherwise(text)
+    return F.array_remove(F.flatten(F.transform(F.split(plain, "\n"), lambda x: F.split(x, " "))), "")

@@ -23,8 +23,6 @@ from dossier.llm.common import SPACE_RE, documents, let, words_of, written
 
 #: Characters that count as symbols (fixed values of the contract).
 SYMBOLS = "#*$%&|<>"
-#: A plain word: letters and inner marks, then at most two closing marks.
-PLAIN = r"^\p{L}[\p{L}'-]*[.,;:!?]?$"
 
 #: name -> vote, in SQL that Spark and DuckDB read alike, over the features of ``features``.
 RULES = {
@@ -37,9 +35,9 @@ RULES = {
                " WHEN 100 * n_repeat_words <= 5 * n_words THEN 1 ELSE 0 END",
     "letters": "CASE WHEN n_words < 20 THEN 0 WHEN 100 * n_letters < 90 * word_chars THEN -1"
                " WHEN 100 * n_letters >= 94 * word_chars THEN 1 ELSE 0 END",
-    "capitals": "CASE WHEN 2 * n_capitals > n_letters THEN -1 WHEN 5 * n_capitals <= n_letters THEN 1 ELSE 0 END",
     "marks": "CASE WHEN 5 * n_marks > n_words THEN -1 WHEN 50 * n_marks <= n_words THEN 1 ELSE 0 END",
-    "plain": "CASE WHEN 10 * n_plain < 8 * n_words THEN -1 WHEN 10 * n_plain >= 9 * n_words THEN 1 ELSE 0 END",
+    "rest": "CASE WHEN n_words < 30 THEN 0 WHEN 10 * n_rest > 5 * n_words THEN -1"
+            " WHEN 10 * n_rest <= 2 * n_words THEN 1 ELSE 0 END",
 }
 BASE_FAILED = "n_words < 10 OR 100 * n_repeat_words > 20 * n_words"
 #: Start of EM: how often a rule's vote is right on good and on bad documents, and the share of good ones.
@@ -95,17 +93,15 @@ def features(docs: DataFrame) -> DataFrame:
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     of_words = let(words_of(F.col("text")), lambda w: F.struct(
         F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
-        _repeat_words(w).alias("n_repeat_words"),
-        F.size(F.filter(w, lambda x: x.rlike(PLAIN))).cast("long").alias("n_plain")))
+        _repeat_words(w).alias("n_repeat_words")))
     of_lines = let(lines, lambda x: F.struct(
         F.size(x).cast("long").alias("n_lines"), F.size(F.array_distinct(x)).alias("distinct")))
     # what is neither letter nor white space: short, and all symbols and marks are in it
     of_rest = let(F.regexp_replace("text", r"[\p{L}\x20\x09-\x0D]+", ""), lambda r: F.struct(
-        F.length(r).alias("n_rest"), _count(r, SYMBOLS).alias("n_symbols"), _count(r, "!?").alias("n_marks")))
+        F.length(r).cast("long").alias("n_rest"), _count(r, SYMBOLS).alias("n_symbols"), _count(r, "!?").alias("n_marks")))
     return (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-            .select("doc_id", of_words.alias("w"), of_lines.alias("l"), of_rest.alias("r"),
-                    _count(F.col("text"), r"\p{Lu}").alias("n_capitals"))
-            .select("doc_id", "w.*", "r.n_symbols", "r.n_marks", "l.n_lines", "n_capitals",
+            .select("doc_id", of_words.alias("w"), of_lines.alias("l"), of_rest.alias("r"))
+            .select("doc_id", "w.*", "r.*", "l.n_lines",
                     (F.col("l.n_lines") - F.col("l.distinct")).cast("long").alias("n_dup_lines"),
                     (F.col("w.word_chars") - F.col("r.n_rest")).alias("n_letters")))
 
@@ -195,9 +191,8 @@ f AS (SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word
              len(ls) - len(list_distinct(ls)) AS n_dup_lines,
              CAST(coalesce(r, 0) AS BIGINT) AS n_repeat_words, len(ls) AS n_lines,
              length(regexp_replace(text, '[^\p{{L}}]+', '', 'g')) AS n_letters,
-             length(regexp_replace(text, '[^\p{{Lu}}]+', '', 'g')) AS n_capitals,
-             length(regexp_replace(text, '[^!?]+', '', 'g')) AS n_marks,
-             len(list_filter(ws, lambda x: regexp_matches(x, '{PLAIN.replace(chr(39), chr(39) * 2)}'))) AS n_plain
+             length(regexp_replace(text, '[\p{{L}}\x20\x09-\x0D]+', '', 'g')) AS n_rest,
+             length(regexp_replace(text, '[^!?]+', '', 'g')) AS n_marks
       FROM w LEFT JOIN covered USING (rid)),
 votes AS (SELECT *, {', '.join(f'{sql} AS v{j}' for j, sql in enumerate(RULES.values()))} FROM f),
 patterns AS (SELECT {', '.join(f'v{j}' for j in range(m))}, count(*) AS n FROM votes GROUP BY ALL),
