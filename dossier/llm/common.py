@@ -44,3 +44,10 @@ def words_of(text: Column) -> Column:
     text = F.coalesce(text, F.lit(""))
     plain = F.when(text.rlike(r"[\x09\x0B-\x0D]"), F.regexp_replace(text, r"[\x09\x0B-\x0D]", " ")).otherwise(text)
     return F.array_remove(F.flatten(F.transform(F.split(plain, "\n"), lambda x: F.split(x, " "))), "")
+
+
+def small_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Few rows per Arrow batch, since texts may be long; a value the session has set stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(rows))

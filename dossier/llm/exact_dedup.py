@@ -115,9 +115,9 @@ def _lookup(rows: DataFrame, entries: DataFrame, index: DataFrame, *more: tuple[
     return alone.unionByName(compared)
 
 
-def _first(key: str) -> Column:
-    """The first of repeated rows: equal fingerprint, digest, text and doc_id."""
-    same = Window.partitionBy("fp", "digest", "doc_id", *([key] if key else []))
+def _first(text: str) -> Column:
+    """The place of a row among repeated rows: equal fingerprint, digest, doc_id and ``text``."""
+    same = Window.partitionBy("fp", "digest", "doc_id", text)
     return F.row_number().over(same.orderBy("doc_id"))
 
 
@@ -126,8 +126,9 @@ def membership(docs: DataFrame, entries: DataFrame, index: DataFrame,
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256."""
     rows = _keyed(docs, fingerprint, digest)
     rows = rows.select("doc_id", "fp", "digest", "text", sha256(F.col("text")).alias("text_sha256"))
-    hit = _lookup(rows, entries, index).drop("text")
-    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (_first("text_sha256") == 1)
+    # numbered before the lookup: rows are dealt by doc_id too, and the lookup's join can be split
+    hit = _lookup(rows.withColumn("nth", _first("text_sha256")), entries, index)
+    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)
     return hit.withColumn("kept", kept).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 

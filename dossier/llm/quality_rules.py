@@ -33,11 +33,11 @@ RULES = {
     "lines": "CASE WHEN 10 * n_dup_lines > 3 * n_lines THEN -1 WHEN n_dup_lines = 0 THEN 1 ELSE 0 END",
     "repeats": "CASE WHEN 100 * n_repeat_words > 20 * n_words THEN -1"
                " WHEN 100 * n_repeat_words <= 5 * n_words THEN 1 ELSE 0 END",
-    "letters": "CASE WHEN n_words < 20 THEN 0 WHEN 100 * n_letters < 90 * word_chars THEN -1"
+    "letters": "CASE WHEN n_words < 20 THEN 0 WHEN 100 * n_letters < 80 * word_chars THEN -1"
                " WHEN 100 * n_letters >= 94 * word_chars THEN 1 ELSE 0 END",
     "marks": "CASE WHEN 5 * n_marks > n_words THEN -1 WHEN 50 * n_marks <= n_words THEN 1 ELSE 0 END",
-    "rest": "CASE WHEN n_words < 30 THEN 0 WHEN 10 * n_rest > 5 * n_words THEN -1"
-            " WHEN 10 * n_rest <= 2 * n_words THEN 1 ELSE 0 END",
+    "decorated": "CASE WHEN 5 * (n_symbols + n_marks) > n_words THEN -1"
+                 " WHEN 50 * (n_symbols + n_marks) <= n_words THEN 1 ELSE 0 END",
 }
 BASE_FAILED = "n_words < 10 OR 100 * n_repeat_words > 20 * n_words"
 #: Start of EM: how often a rule's vote is right on good and on bad documents, and the share of good ones.

@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
-from dossier.llm import exact_dedup, quality_rules
+from dossier.llm import (bpe, chat, exact_dedup, language, mixing, ngram_join, quality_rules, sharding,
+                         token_store)
 
 QUERIES = {
+    "op1_token_store": token_store.op1_token_store,
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op5_chat": chat.op5_chat,
+    "op6_bpe": bpe.op6_bpe,
+    "op7_mixing": mixing.op7_mixing,
+    "op8_sharding": sharding.op8_sharding,
+    "op9_ngram_join": ngram_join.op9_ngram_join,
+    "op10_language_id": language.op10_language_id,
 }
 
 ORACLE_SQL = {
     "op2_quality_rules": quality_rules.SQL,
     "op4_exact_dedup": exact_dedup.SQL,
+    "op5_chat": chat.SQL,
+    "op7_mixing": mixing.SQL,
 }
