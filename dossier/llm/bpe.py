@@ -17,7 +17,10 @@ are carried along; the columns ``ids`` and ``decoded`` replace input columns of
 
 from __future__ import annotations
 
+import heapq
 import json
+import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -33,6 +36,13 @@ from dossier.llm.pieces import PieceEncoder
 #: Texts that one numpy round takes together.
 TEXTS_A_ROUND = 256
 NEVER = 1 << 40
+NONE = (NEVER, -1)
+#: Bytes of a word beyond which merging uses a heap.
+LONG_WORD = 48
+#: Words that a worker remembers.
+KNOWN_WORDS = 200_000
+#: A plain piece: letters, then marks; the pattern parts them just there.
+SIMPLE = re.compile(r"( ?[A-Za-z]+)([.,;:!?]*)\Z")
 
 
 def _byte_of_char() -> dict[str, int]:
@@ -78,6 +88,7 @@ class Bpe:
         whole = self._whole(left, right, made_at)
         self.vocab = {t: i for t, i in vocab.items() if whole[i]}
         self.longest = max(map(len, self.vocab))
+        self._known: dict[str, bytes] = {}
 
     @staticmethod
     def _spine(child: np.ndarray, made_at: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -133,12 +144,25 @@ class Bpe:
         return out
 
     def merge(self, word: bytes) -> list[int]:
-        """Exact merging, for words whose proposal failed: always the leftmost pair of least rank.
-
-        Pairs wait in a heap, parts are a linked list, so a word of n bytes takes n log n steps.
-        """
-        import heapq
+        """Exact merging, for words whose proposal failed: always the leftmost pair of least rank."""
         token = [self.vocab[bytes([b])] for b in word]
+        return self._merge_long(token) if len(token) > LONG_WORD else self._merge_short(token)
+
+    def _merge_short(self, token: list[int]) -> list[int]:
+        rank = self.rank
+        while len(token) > 1:
+            least, at, made = NEVER, -1, -1
+            for i in range(len(token) - 1):
+                r, t = rank.get((token[i], token[i + 1]), NONE)
+                if r < least:
+                    least, at, made = r, i, t
+            if at < 0:
+                break
+            token[at:at + 2] = [made]
+        return token
+
+    def _merge_long(self, token: list[int]) -> list[int]:
+        """Pairs wait in a heap, parts are a linked list, so n bytes take n log n steps."""
         n = len(token)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(self.rank[p][0], i, p) for i in range(n - 1) if (p := (token[i], token[i + 1])) in self.rank]
@@ -167,14 +191,22 @@ class Bpe:
         good = self.compatible(pairs >> self._shift, pairs & ((1 << int(self._shift)) - 1))
         for k in np.unique(of[inner[~good[which]]]):
             proposed[k] = self.merge(words[k])
-        return [np.array(p, dtype="<u4").tobytes() for p in proposed]
+        return [array("I", p).tobytes() for p in proposed]
+
+    def _words(self, part: str) -> list[str]:
+        simple = SIMPLE.match(part)
+        if simple:
+            return [x for x in simple.groups() if x]
+        return self.word.findall(part)
 
     def encode_parts(self, parts: list[str]) -> list[bytes]:
         """Id bytes of strings that are encoded on their own."""
-        cut = [[w.encode() for w in self.word.findall(p)] for p in parts]
-        words = list({w for ws in cut for w in ws})
-        ids = dict(zip(words, self.encode_words(words)))
-        return [b"".join(map(ids.__getitem__, ws)) for ws in cut]
+        cut = [self._words(p) for p in parts]
+        if len(self._known) > KNOWN_WORDS:
+            self._known.clear()
+        new = list(set().union(*cut).difference(self._known))
+        self._known.update(zip(new, self.encode_words([w.encode() for w in new])))
+        return [b"".join(map(self._known.__getitem__, ws)) for ws in cut]
 
     def decode(self, ids: bytes) -> str:
         """The text of id bytes; bytes that are no UTF-8 become replacement characters."""

@@ -16,6 +16,8 @@ of at least p / q differ in at most H = (|r| + |s|)(q - p) / (q + p) shingles.
   segments are shared by chance.  Bands whose plain segments would hold fewer than MIN_SHINGLES
   get neighbourhoods.  So do documents in a bucket of more than MANY members that are not all in
   one component: pairs that meet in such buckets only are found by their neighbourhoods.
+  A band also has a few segments more than needed, and every set leaves out as many of its
+  costliest buckets, those with the most members.
 * Verification is exact: every candidate pair compares whole shingle sets.
 
 Documents with equal sets are one node.  Every bucket is first compared with its leader, the
@@ -68,22 +70,35 @@ def _mix(x: np.ndarray) -> np.ndarray:
 class Bands:
     """Size bands and their segments for the similarity p / q."""
 
-    def __init__(self, p: int, q: int, longest: int = 1 << 32):
+    def __init__(self, p: int, q: int, longest: int = 1 << 28):
         self.p, self.q = p, q
-        lo, self.lo, self.differ, self.plain, self.spare, self.near = 1, [], [], [], [], []
+        lo, self.lo, self.differ, self.plain, self.spare, self.skipped, self.near = 1, [], [], [], [], [], []
         while lo < longest:
             hi = max(lo, lo * q // p)
             most = 2 * hi * (q - p) // (q + p)
-            spare = 1 + math.ceil(3 * (most + 2) * math.exp(-lo / (most + 2)))
-            m = most + 1 + spare
+            skipped = 1 + most // 6
+            spare = 1 + math.ceil(3 * (most + skipped) * math.exp(-lo / (most + skipped + 1)))
+            m = most + 1 + spare + skipped
             self.lo.append(lo)
             self.differ.append(most)
             self.spare.append(spare)
             self.plain.append(m if lo >= MIN_SHINGLES * m else 0)  # 0: neighbourhoods
-            self.near.append((most + 2) // 2)
+            self.skipped.append(skipped)
+            self.near.append((most + 2) // 2 + (1 if most > 3 else 0))
             lo = hi + 1
         self.lo = np.array(self.lo)
 
+    def skip(self, scheme: int) -> int:
+        """Costly buckets of a set that may be left out in this scheme (band, +128: neighbourhoods).
+
+        A similar pair shares at least one bucket more than that.  If both sets leave out their
+        costliest ones by one order, the cheapest that they share stays.
+        """
+        band = scheme % 128
+        if scheme < 128 and self.plain[band]:
+            return self.skipped[band]
+        return 1 if self.differ[band] > 3 else 0
+
     def of(self, size: int) -> list[int]:
         """The bands that a set takes part in; none if only equal sets can be similar to it."""
         k = int(np.searchsorted(self.lo, size, side="right")) - 1
@@ -105,9 +120,8 @@ class Shingler:
         cache, n = self._cache, len(words)
         if len(cache) > CACHED_WORDS:
             cache.clear()
-        for w in words:
-            if w not in cache:
-                cache[w] = xxhash.xxh3_64_intdigest(w)
+        for w in set(words).difference(cache):
+            cache[w] = xxhash.xxh3_64_intdigest(w)
         ids = np.fromiter(map(cache.__getitem__, words), dtype=np.uint64, count=n)
         if n < self.words:
             whole = (ids * self._factors[:n]).sum(dtype=np.uint64) + np.uint64(n)
@@ -115,13 +129,15 @@ class Shingler:
         total = np.zeros(n - self.words + 1, dtype=np.uint64)
         for j, factor in enumerate(self._factors):
             total += ids[j:n - self.words + 1 + j] * factor
-        return np.unique(_mix(total))
+        total = _mix(total)
+        total.sort()
+        return total[np.concatenate([[True], total[1:] != total[:-1]])]
 
 
 def _digest(shingles: np.ndarray) -> tuple[int, int]:
-    """128 bits of a set, whatever the order."""
-    a = _mix(shingles)
-    return int(a.sum(dtype=np.uint64).view(np.int64)), int(_mix(a).sum(dtype=np.uint64).view(np.int64))
+    """128 bits of a sorted set, as two signed numbers."""
+    whole = xxhash.xxh3_128_digest(shingles.tobytes())
+    return int.from_bytes(whole[:8], "little", signed=True), int.from_bytes(whole[8:], "little", signed=True)
 
 
 def sketch(docs: DataFrame, words: int) -> DataFrame:
@@ -165,6 +181,10 @@ def _buckets(sets: list[np.ndarray], bands: Bands, neighbourhoods: bool) -> tupl
     shown = (held > 0) | (plain[job_of] == 0) | (empty > np.array([bands.spare[b] for b in band]))[job_of]
     less = plain[job] == 0  # subsets with one shingle less
     out = _mix(np.concatenate([(subset + place)[shown], (subset[segment] - value + place[segment])[less]]))
+    # the scheme in the lowest byte
+    scheme = np.concatenate([job_of[shown], job[less]])
+    scheme = (band + np.where(neighbourhoods, 128, 0))[scheme].astype(np.uint64)
+    out = (out & ~np.uint64(255)) | scheme
     return out.view(np.int64), np.concatenate([of[job_of[shown]], of[job[less]]])
 
 
@@ -187,15 +207,20 @@ def _signatures(rows: DataFrame, shingled, bands: tuple[int, int], neighbourhood
     return rows.mapInArrow(run, "bucket long, doc_id long")
 
 
-def _shared(spark: SparkSession, signatures: DataFrame, members: DataFrame) -> DataFrame:
-    """(bucket, node, n, k): buckets with k nodes, two or more."""
+def _shared(spark: SparkSession, signatures: DataFrame, members: DataFrame, bands: Bands) -> DataFrame:
+    """(bucket, node, n, k): buckets with k nodes, two or more, without each node's costliest."""
     here = Window.partitionBy("bucket")
     met = (signatures.withColumns({"low": F.min("doc_id").over(here), "high": F.max("doc_id").over(here)})
            .where("low <> high").select("bucket", "doc_id"))
     nodes = written(spark, written(spark, met, "ngram-met").join(members, "doc_id")
                     .select("bucket", "node", "n").distinct(), "ngram-nodes")
     held = nodes.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
-    return written(spark, nodes.join(held, "bucket"), "ngram-shared")
+    scheme = F.col("bucket").bitwiseAND(F.lit(255))
+    skip = F.element_at(F.array(*[F.lit(bands.skip(s)) for s in range(256)]), scheme.cast("int") + 1)
+    costly = Window.partitionBy("node", scheme).orderBy(F.desc("k"), "bucket")
+    kept = (nodes.join(held, "bucket").withColumn("nth", F.row_number().over(costly))
+            .where(F.col("nth") > skip).drop("nth"))
+    return written(spark, kept, "ngram-shared")
 
 
 def _pairs(df: DataFrame, bands: tuple[int, int]) -> DataFrame:
@@ -207,11 +232,23 @@ def _pairs(df: DataFrame, bands: tuple[int, int]) -> DataFrame:
 
 
 def _leaders(shared: DataFrame, bands: tuple[int, int]) -> DataFrame:
-    """Every member of a bucket with its leader: the member that shares most."""
+    """Every member of a bucket with its leader: the member that shares most.
+
+    Where roots are known, the leader is the best member outside the component of the least
+    root, and it meets the members of other components.
+    """
     score = shared.groupBy("node").agg(F.sum("k").alias("score"))
-    top = shared.join(score, "node").groupBy("bucket").agg(F.max(F.struct("score", "node", "n")).alias("top"))
-    return _pairs(shared.join(top, "bucket").select(
-        F.col("node").alias("x"), F.col("n").alias("nx"), F.col("top.node").alias("y"), F.col("top.n").alias("ny")), bands)
+    rooted = "root" in shared.columns
+    scored = shared.join(score, "node")
+    if rooted:
+        least = shared.groupBy("bucket").agg(F.min("root").alias("least"))
+        scored = scored.join(least, "bucket").where("root <> least")
+    else:
+        scored, shared = scored.withColumn("root", F.col("node")), shared.withColumn("root", F.col("node"))
+    top = scored.groupBy("bucket").agg(F.max(F.struct("score", "node", "n", "root")).alias("top"))
+    met = shared.join(top, "bucket").where(F.col("root") != F.col("top.root"))
+    return _pairs(met.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("top.node").alias("y"),
+                             F.col("top.n").alias("ny")), bands)
 
 
 def _apart(shared: DataFrame, roots: DataFrame) -> DataFrame:
@@ -287,7 +324,7 @@ def groups(spark: SparkSession, docs: DataFrame, words: int = 5, p: int = 80, q:
         shingler, unpack = Shingler(words), zstandard.ZstdDecompressor().decompress
         return lambda data: [shingler(unpack(x)) for x in data]
 
-    shared = _shared(spark, _signatures(docs.where("doc_id IS NOT NULL"), of_texts, bands, False), members)
+    shared = _shared(spark, _signatures(docs.where("doc_id IS NOT NULL"), of_texts, bands, False), members, Bands(p, q))
     packed = written(spark, _pack(docs).join(shared.select("node").distinct(), "node", "left_semi")
                      .dropDuplicates(["node"]), "ngram-packed")
 
@@ -296,10 +333,12 @@ def groups(spark: SparkSession, docs: DataFrame, words: int = 5, p: int = 80, q:
 
     links = verified(_leaders(shared, bands))
     apart = written(spark, _apart(shared, components(spark, links)), "ngram-apart")
+    links = links.unionByName(verified(_leaders(apart, bands)))
+    apart = written(spark, _apart(apart.drop("root"), components(spark, links)), "ngram-apart")
     costly = apart.where(F.col("k") > many).select("node").distinct()
     if not costly.isEmpty():
         near = _signatures(packed.join(costly, "node", "left_semi"), of_packed, bands, True)
-        near = _shared(spark, near, members)
+        near = _shared(spark, near, members, Bands(p, q))
         links = links.unionByName(verified(_leaders(near, bands)))
         near = _apart(near, components(spark, links))
         links = links.unionByName(verified(_across(near, bands)))

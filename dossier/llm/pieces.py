@@ -23,35 +23,38 @@ class PieceEncoder:
     """Encodes texts by their pieces.
 
     ``encode_parts`` gives the id bytes of strings that are encoded on their own; ``special``
-    is an added token, recognised anywhere in a text, with its id bytes.
+    is an added token, recognised anywhere in a text, with its id bytes.  When the cache is full
+    it becomes the old one, from which pieces that are met again move over.
     """
 
     def __init__(self, encode_parts: Callable[[list[str]], list[bytes]], special: tuple[str, bytes],
-                 cache_size: int = 400_000):
+                 cache_size: int = 250_000):
         self._encode_parts = encode_parts
         self._special, self._special_ids = special
         self._cache: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
         self._cache_size = cache_size
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         """Id bytes of each text; a null text has none."""
-        cut = []  # per text, its runs between special tokens, each as pieces
-        missing: set[str] = set()
-        cache = self._cache if len(self._cache) < self._cache_size else {}
-        self._cache = cache
-        for text in texts:
-            runs = (text or "").split(self._special)
-            cut.append([PIECE.findall(run) for run in runs])
-            for run in cut[-1]:
-                missing.update(p for p in run if p not in cache)
-        odd = {p for p in missing if ODD_SPACE.search(p)}
-        if odd:
-            cut = [[["".join(run)] if not odd.isdisjoint(run) else run for run in runs] for runs in cut]
-            missing = {p for runs in cut for run in runs for p in run if p not in cache}
-        order = list(missing)
-        found = dict(zip(order, self._encode_parts(order)))
-        cache.update((p, ids) for p, ids in found.items() if len(p) <= LONGEST_CACHED)
+        if len(self._cache) > self._cache_size:
+            self._old, self._cache = self._cache, {}
+        cache, old = self._cache, self._old
+        # per text, its runs between special tokens, each as pieces
+        cut = [[PIECE.findall(run) for run in (text or "").split(self._special)] for text in texts]
+        met = set().union(*(run for runs in cut for run in runs)).difference(cache)
+        if any(map(ODD_SPACE.search, met)):
+            cut = [[["".join(run)] if any(map(ODD_SPACE.search, run)) else run for run in runs] for runs in cut]
+            met = set().union(*(run for runs in cut for run in runs)).difference(cache)
+        new = []
+        for p in met:
+            if p in old:
+                cache[p] = old[p]
+            else:
+                new.append(p)
+        found = dict(zip(new, self._encode_parts(new)))
         long = {p: ids for p, ids in found.items() if len(p) > LONGEST_CACHED}
+        cache.update((p, ids) for p, ids in found.items() if len(p) <= LONGEST_CACHED)
         if not long:
             get = cache.__getitem__
         else:

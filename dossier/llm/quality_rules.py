@@ -88,8 +88,8 @@ def _count(text: Column, keep: str) -> Column:
     return F.length(F.regexp_replace(text, f"[^{keep}]+", "")).cast("long")
 
 
-def features(docs: DataFrame) -> DataFrame:
-    """doc_id and the numbers that the rules read, one row per document."""
+def features(docs: DataFrame, *carried: str) -> DataFrame:
+    """The ``carried`` columns and the numbers that the rules read, one row per document."""
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     of_words = let(words_of(F.col("text")), lambda w: F.struct(
         F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
@@ -99,9 +99,9 @@ def features(docs: DataFrame) -> DataFrame:
     # what is neither letter nor white space: short, and all symbols and marks are in it
     of_rest = let(F.regexp_replace("text", r"[\p{L}\x20\x09-\x0D]+", ""), lambda r: F.struct(
         F.length(r).cast("long").alias("n_rest"), _count(r, SYMBOLS).alias("n_symbols"), _count(r, "!?").alias("n_marks")))
-    return (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-            .select("doc_id", of_words.alias("w"), of_lines.alias("l"), of_rest.alias("r"))
-            .select("doc_id", "w.*", "r.*", "l.n_lines",
+    return (docs.select(*carried, F.coalesce("text", F.lit("")).alias("text"))
+            .select(*carried, of_words.alias("w"), of_lines.alias("l"), of_rest.alias("r"))
+            .select(*carried, "w.*", "r.*", "l.n_lines",
                     (F.col("l.n_lines") - F.col("l.distinct")).cast("long").alias("n_dup_lines"),
                     (F.col("w.word_chars") - F.col("r.n_rest")).alias("n_letters")))
 
@@ -151,16 +151,33 @@ def fit(patterns: DataFrame) -> str:
     return posterior()
 
 
-def judge(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Features, votes, posterior, base_failed and kept, one row per document."""
-    rows = features(docs)
-    votes = {f"v{j}": F.expr(sql) for j, sql in enumerate(RULES.values())}
-    rows = written(spark, rows.select("*", *[v.alias(k) for k, v in votes.items()]), "quality-votes")
-    patterns = written(spark, rows.groupBy(*votes).agg(F.count(F.lit(1)).alias("n")).coalesce(1), "quality-patterns")
-    return (rows.withColumn("posterior", F.expr(fit(patterns))).withColumn("base_failed", F.expr(BASE_FAILED))
+def _voted(rows: DataFrame) -> DataFrame:
+    return rows.select("*", *[F.expr(sql).alias(f"v{j}") for j, sql in enumerate(RULES.values())])
+
+
+def _judged(voted: DataFrame, posterior: str) -> DataFrame:
+    return (voted.withColumns({"posterior": F.expr(posterior), "base_failed": F.expr(BASE_FAILED)})
             .withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= 0.5)))
 
 
+def _fitted(spark: SparkSession, voted: DataFrame) -> str:
+    patterns = voted.groupBy(*[f"v{j}" for j in range(len(RULES))]).agg(F.count(F.lit(1)).alias("n"))
+    return fit(written(spark, patterns.coalesce(1), "quality-patterns"))  # at most 3 ** rules rows
+
+
+def judge(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """doc_id, features, votes, posterior, base_failed and kept, one row per document."""
+    voted = written(spark, _voted(features(docs, "doc_id")), "quality-votes")
+    return _judged(voted, _fitted(spark, voted))
+
+
+def keep(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The input rows that are kept, with all their columns."""
+    posterior = _fitted(spark, _voted(features(docs)))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    return _judged(_voted(features(rows, "row")), posterior).where("kept").select("row.*")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(spark, documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from dossier.llm import (bpe, chat, exact_dedup, language, mixing, ngram_join, quality_rules, sharding,
-                         token_store)
+                         suffix_dedup, token_store)
 
 QUERIES = {
     "op1_token_store": token_store.op1_token_store,
     "op2_quality_rules": quality_rules.op2_quality_rules,
+    "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_chat": chat.op5_chat,
     "op6_bpe": bpe.op6_bpe,

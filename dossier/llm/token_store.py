@@ -20,6 +20,8 @@ Repeated rows are stored as often as they come.  An empty table gives an empty s
 from __future__ import annotations
 
 import hashlib
+import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -41,6 +43,10 @@ SAMPLE_DOCS, SAMPLE_IDS, DICTIONARY_BYTES = 512, 4096, 1 << 16
 #: A block ends at this many documents or compressed bytes.
 BLOCK_DOCS, BLOCK_BYTES = 256, 1 << 20
 LEVEL = 3
+#: Words that a worker remembers.
+KNOWN_WORDS = 200_000
+#: A plain piece: letters, then marks; the pre-tokenizer parts them just there.
+SIMPLE = re.compile(r"( ?[A-Za-z]+)([.,;:!?]*)\Z")
 BLOCK_SCHEMA = ("shard int, start_in_shard long, first_doc_id long, last_doc_id long, n_ids long, "
                 "dictionary_sha256 string, doc_ids array<long>, n_tokens array<long>, offsets array<long>, frames binary")
 
@@ -52,9 +58,24 @@ def _encoder(path: str) -> PieceEncoder:
     tokenizer = Tokenizer.from_file(path)
     added = next(iter(tokenizer.get_added_tokens_decoder().items()))
     cut, model = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model.tokenize
+    known: dict[str, bytes] = {}  # words of pieces: a word with a comma is a new piece, not a new word
+
+    def of_word(word: str) -> bytes:
+        ids = known.get(word)
+        if ids is None:
+            ids = known[word] = array("I", [t.id for t in model(word)]).tobytes()
+        return ids
+
+    def words(piece: str) -> list[str]:
+        simple = SIMPLE.match(piece)
+        if simple:  # what the pre-tokenizer gives for plain words, without asking it
+            return [simple[1].replace(" ", "\u0120"), *simple.group(2, 2)[:bool(simple[2])]]
+        return [word for word, _ in cut(piece)]
 
     def encode_parts(parts: list[str]) -> list[bytes]:
-        return [np.array([t.id for word, _ in cut(p) for t in model(word)], dtype="<u4").tobytes() for p in parts]
+        if len(known) > KNOWN_WORDS:
+            known.clear()
+        return [b"".join(map(of_word, words(p))) for p in parts]
 
     return PieceEncoder(encode_parts, (added[1].content, np.array([added[0]], dtype="<u4").tobytes()))
 
