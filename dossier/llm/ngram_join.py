@@ -95,6 +95,8 @@ class Bands:
         costliest ones by one order, the cheapest that they share stays.
         """
         band = scheme % 128
+        if band >= len(self.differ):
+            return 0
         if scheme < 128 and self.plain[band]:
             return self.skipped[band]
         return 1 if self.differ[band] > 3 else 0
@@ -312,7 +314,8 @@ def groups(spark: SparkSession, docs: DataFrame, words: int = 5, p: int = 80, q:
     docs = docs.select("doc_id", "text")
     sets = written(spark, sketch(docs, words), "ngram-sets")
     named = sets.where("doc_id IS NOT NULL AND n > 0")
-    classes = named.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("node"))
+    # written, so that the join below may split a hot class
+    classes = written(spark, named.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("node")), "ngram-classes")
     members = written(spark, named.join(classes, ["d1", "d2", "n"]).select("doc_id", "n", "node")
                       .groupBy("doc_id").agg(F.min("node").alias("node"), F.max("n").alias("n")), "ngram-members")
 

@@ -103,6 +103,21 @@ class Anchors:
         return h[place[first]], place[first] + at, first + at, last + at
 
 
+def _ranked(key: np.ndarray, limit: int) -> np.ndarray:
+    """Dense ranks of keys below ``limit``; where key and place fit into 64 bits they are sorted as one."""
+    n = len(key)
+    bits = n.bit_length()
+    if limit << bits <= 1 << 63:
+        both = np.sort((key << bits) | np.arange(n))
+        order, held = both & ((1 << bits) - 1), both >> bits
+    else:
+        order = np.argsort(key)
+        held = key[order]
+    rank = np.empty(n, np.int64)
+    rank[order] = np.concatenate([[0], np.cumsum(held[1:] != held[:-1])])
+    return rank
+
+
 class RunIndex:
     """The run-length index of some contexts."""
 
@@ -126,22 +141,18 @@ class RunIndex:
             self._samples.append((at, np.concatenate([[0], self._common(order[rows], order[other])])))
 
     def _sorted(self, here: np.ndarray, longest: int) -> list[tuple[int, np.ndarray]]:
-        """Ranks of all suffixes by their first 7, 21, 63, ... bytes; what ends first is less."""
+        """Ranks of all suffixes by their first 7, 14, 28, ... bytes; what ends first is less."""
         n = len(here)
         key = np.zeros(n, np.int64)
         for j in range(7):
             inside = here + j < self._end
             key = (key << 9) | np.where(inside, self._data[np.minimum(here + j, n - 1)] + 1, 0)
-        depth, rank = 7, np.unique(key, return_inverse=True)[1]
+        depth, rank = 7, _ranked(key, 1 << 63)
         ranks = [(depth, rank)]
-        parts = 3 if (n + 1) ** 3 < 1 << 63 else 2  # ranks that fit into one key
         while depth < longest and int(rank.max()) < n - 1:
-            key = rank
-            for part in range(1, parts):
-                at = here + part * depth
-                key = key * np.int64(n + 1) + np.where(at < self._end, rank[np.minimum(at, n - 1)] + 1, 0)
-            rank = np.unique(key, return_inverse=True)[1]
-            depth *= parts
+            after = np.where(here + depth < self._end, rank[np.minimum(here + depth, n - 1)] + 1, 0)
+            rank = _ranked(rank * np.int64(n + 1) + after, (n + 1) ** 2)
+            depth *= 2
             ranks.append((depth, rank))
         return ranks
 
@@ -149,7 +160,7 @@ class RunIndex:
         """Longest common prefix of the suffixes at a and at b."""
         n, most = len(self._data), np.minimum(self._end[a] - a, self._end[b] - b)
         found = np.zeros(len(a), np.int64)
-        for depth, rank in [r for r in reversed(self._ranks) for _ in range(2)]:
+        for depth, rank in reversed(self._ranks):
             x, y = np.minimum(a + found, n - 1), np.minimum(b + found, n - 1)
             same = (found < most) & (rank[x] == rank[y])
             found = np.minimum(found + np.where(same, depth, 0), most)
@@ -224,14 +235,13 @@ def _contexts(wanted: DataFrame, packed: DataFrame, span: int) -> DataFrame:
     of_doc = wanted.groupBy("d", "t").agg(F.collect_list(F.struct("anchor", "c", "first", "windows")).alias("cuts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchors, unpack = Anchors(span), zstandard.ZstdDecompressor().decompress
+        unpack = zstandard.ZstdDecompressor().decompress
         for one in (batch.slice(k, 1) for batch in batches for k in range(batch.num_rows)):
             data = unpack(one.column(1)[0].as_py())
             rows = []
             for cut in one.column(0)[0].as_py():
                 piece = data[cut["first"]:cut["first"] + cut["windows"] - 1 + span]
-                a = int(anchors(np.frombuffer(piece, np.uint8))[1][0])
-                rows.append((cut["anchor"], cut["c"], 0, cut["anchor"], a, a + anchors.k, piece))
+                rows.append((cut["anchor"], cut["c"], 0, cut["anchor"], -1, -1, piece))
             yield _batch(rows)
 
     return (packed.join(of_doc, ["d", "t"]).select("cuts", "packed").mapInArrow(run, PIECE)
@@ -251,9 +261,13 @@ def _split(pieces: DataFrame, span: int) -> DataFrame:
     hashes, so equal windows stay together.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        anchors = Anchors(span)
         for batch in batches:
             rows = []
             for key, h, a, b, data in zip(*(batch.column(x).to_pylist() for x in ("key", "h", "a", "b", "data"))):
+                if a < 0:  # a whole context: its windows share the anchor
+                    a = int(anchors(np.frombuffer(data, np.uint8))[1][0])
+                    b = a + anchors.k
                 windows, slack = len(data) - span + 1, span - (b - a)
                 q = (slack + 1) // 2
                 left, right = min(windows - 1, a - q), max(0, a - q + 1)
@@ -286,7 +300,8 @@ def _marks(spark: SparkSession, pieces: DataFrame, span: int, shard_bytes: int,
     """(anchor, c, start, stop): windows of a context that repeat.
 
     A piece is a part ``data`` of context (anchor, c) from its window ``off`` on; equal windows of
-    two pieces only occur under one ``key``; all windows of a piece hold its bytes [a, b).
+    two pieces only occur under one ``key``; all windows of a piece hold its bytes [a, b); of a
+    whole context, where a is -1, these are the anchor's.
     """
     pieces = written(spark, pieces.withColumn("h", F.xxhash64("data")), "suffix-pieces")
     same = pieces.groupBy("key", "h").agg(F.count(F.lit(1)).alias("n"), F.max("a").alias("a"), F.max("b").alias("b"),
@@ -317,6 +332,7 @@ def cleaned(spark: SparkSession, docs: DataFrame, span: int = SPAN, shard_bytes:
     seen = _occurrences(rows, span)
     twice = (seen.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("low"), F.max("c").alias("high"))
              .where("n > 1").select("anchor", (F.col("low") != F.col("high")).alias("several")))
+    twice = written(spark, twice, "suffix-anchors")  # so that the join may split a hot anchor
     seen = written(spark, seen.join(twice, "anchor"), "suffix-occurrences")
     distinct = written(spark, seen.groupBy("anchor", "c").agg(
         F.count(F.lit(1)).alias("copies"), F.max("several").alias("several"), F.max("windows").alias("windows"),
