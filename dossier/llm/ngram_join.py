@@ -22,8 +22,9 @@ of at least p / q differ in at most H = (|r| + |s|)(q - p) / (q + p) shingles.
 
 Documents with equal sets are one node.  Every bucket is first compared with its leader, the
 member that shares most buckets, and links are contracted; only members that are still in
-different components meet as pairs.  So a group of n near copies costs n comparisons, and no
-link between components is lost.
+different components meet as pairs, and of these only pairs that a bound on their difference
+does not rule out become rows.  So a group of n near copies costs n comparisons, and no link
+between components is lost.
 
 Defined results: words are runs of ``[^\\x20\\x09-\\x0D]`` of the text with A-Z lower-cased.  With
 fewer words than a shingle has, the whole sequence is the one shingle.  Null and blank texts
@@ -51,6 +52,10 @@ from dossier.llm.components import components
 MIN_SHINGLES = 4
 #: Members of a bucket beyond which its documents get neighbourhoods.
 MANY = 64
+#: Parts of the universe whose counts are compared before a pair is made, and the largest count told apart.
+CELLS, MOST_IN_CELL = 64, 30_000
+#: Members of a bucket that are compared with each other in one go.
+BLOCK = 2048
 CACHED_WORDS = 200_000
 SEED = np.uint64(0x9E3779B97F4A7C15)
 
@@ -76,7 +81,7 @@ class Bands:
         while lo < longest:
             hi = max(lo, lo * q // p)
             most = 2 * hi * (q - p) // (q + p)
-            skipped = 1 + most // 6
+            skipped = 1 + most // 6  # costly buckets that a set may leave out
             spare = 1 + math.ceil(3 * (most + skipped) * math.exp(-lo / (most + skipped + 1)))
             m = most + 1 + spare + skipped
             self.lo.append(lo)
@@ -261,11 +266,70 @@ def _apart(shared: DataFrame, roots: DataFrame) -> DataFrame:
     return rooted.join(open_buckets, "bucket", "left_semi")
 
 
-def _across(apart: DataFrame, bands: tuple[int, int]) -> DataFrame:
-    """Pairs of members of one bucket that are in different components."""
-    x = apart.select("bucket", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
-    y = apart.select("bucket", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"))
-    return _pairs(x.join(y, "bucket").where("rx < ry"), bands)
+def _cells(packed: DataFrame, words: int) -> DataFrame:
+    """node and how many of its shingles fall into each of CELLS parts of the universe."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, unpack = Shingler(words), zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            parts = [np.bincount((shingler(unpack(x)) % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+                     for x in batch.column(1).to_pylist()]
+            data = [np.minimum(c, MOST_IN_CELL).astype(np.int16).tobytes() for c in parts]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], names=["node", "cells"])
+
+    return packed.mapInArrow(run, "node long, cells binary")
+
+
+def _across(apart: DataFrame, cells: DataFrame, bands: tuple[int, int]) -> DataFrame:
+    """Pairs of members of one bucket, in different components, that may be similar.
+
+    The counts of two sets in a cell differ by no more than the sets do there, so a pair whose
+    counts differ by more than H in all is left out before it becomes a row.  A large bucket is
+    dealt out as pairs of blocks of its members.
+    """
+    p, q = bands
+    blocks = F.ceil(F.col("k") / BLOCK).cast("int")
+    rows = (apart.select("bucket", "node", "n", "root", "k").join(cells, "node")
+            .withColumn("mine", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+            .select("bucket", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"),
+                    "mine", "node", "n", "root", "cells"))
+
+    def compare(held: pa.Table) -> pa.RecordBatch:
+        node, n, root, mine = (held.column(x).to_numpy() for x in ("node", "n", "root", "mine"))
+        counts = np.frombuffer(b"".join(held.column("cells").to_pylist()), np.int16).reshape(-1, CELLS)
+        lo, hi = held.column("lo")[0].as_py(), held.column("hi")[0].as_py()
+        out_a, out_b = [], []
+        for at in range(0, len(node), 64):
+            x = np.arange(at, min(at + 64, len(node)))
+            x = x[mine[x] == lo]
+            y = np.arange(len(node)) if lo == hi else np.flatnonzero(mine == hi)
+            total = n[x][:, None] + n[y]
+            good = ((root[x][:, None] != root[y]) & (q * np.minimum(n[x][:, None], n[y]) >= p * np.maximum(n[x][:, None], n[y]))
+                    & ((lo != hi) | (x[:, None] < y)))
+            i, j = np.nonzero(good)
+            for k in range(0, len(i), 1 << 16):  # bounds the memory of the differences
+                a, b = i[k:k + (1 << 16)], j[k:k + (1 << 16)]
+                near = np.abs(counts[x[a]] - counts[y[b]]).sum(axis=1, dtype=np.int64) <= total[a, b] * (q - p) // (q + p)
+                out_a.append(node[x[a[near]]])
+                out_b.append(node[y[b[near]]])
+        u, v = (np.concatenate([*z, np.empty(0, np.int64)]).astype(np.int64) for z in (out_a, out_b))
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None  # rows of the last group, which the next batch may continue
+        for batch in batches:
+            held = pa.Table.from_batches([batch])
+            held = held if rest is None else pa.concat_tables([rest, held])
+            keys = np.stack([held.column(x).to_numpy().astype(np.int64) for x in ("bucket", "lo", "hi")])
+            edges = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist()]
+            for a, b in zip(edges, edges[1:]):
+                yield compare(held.slice(a, b - a).combine_chunks())
+            rest = held.slice(edges[-1])
+        if rest is not None and rest.num_rows:
+            yield compare(rest.combine_chunks())
+
+    return (rows.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
+            .mapInArrow(run, "a long, b long").distinct())
 
 
 def _verified(pairs: DataFrame, packed: DataFrame, words: int, bands: tuple[int, int]) -> DataFrame:
@@ -338,14 +402,15 @@ def groups(spark: SparkSession, docs: DataFrame, words: int = 5, p: int = 80, q:
     apart = written(spark, _apart(shared, components(spark, links)), "ngram-apart")
     links = links.unionByName(verified(_leaders(apart, bands)))
     apart = written(spark, _apart(apart.drop("root"), components(spark, links)), "ngram-apart")
+    cells = written(spark, _cells(packed.join(apart.select("node").distinct(), "node", "left_semi"), words), "ngram-cells")
     costly = apart.where(F.col("k") > many).select("node").distinct()
     if not costly.isEmpty():
         near = _signatures(packed.join(costly, "node", "left_semi"), of_packed, bands, True)
         near = _shared(spark, near, members, Bands(p, q))
         links = links.unionByName(verified(_leaders(near, bands)))
         near = _apart(near, components(spark, links))
-        links = links.unionByName(verified(_across(near, bands)))
-    links = links.unionByName(verified(_across(apart.where(F.col("k") <= many), bands)))
+        links = links.unionByName(verified(_across(near, cells, bands)))
+    links = links.unionByName(verified(_across(apart.where(F.col("k") <= many), cells, bands)))
     roots = components(spark, links)
     found = (members.join(roots, "node", "left")
              .select("doc_id", F.coalesce("root", "node").alias("root")))
