@@ -53,7 +53,7 @@ MIN_SHINGLES = 4
 #: Members of a bucket beyond which its documents get neighbourhoods.
 MANY = 64
 #: Parts of the universe whose counts are compared before a pair is made, and the largest count told apart.
-CELLS, MOST_IN_CELL = 64, 30_000
+CELLS, MOST_IN_CELL = 256, 127
 #: Members of a bucket that are compared with each other in one go.
 BLOCK = 2048
 CACHED_WORDS = 200_000
@@ -273,7 +273,7 @@ def _cells(packed: DataFrame, words: int) -> DataFrame:
         for batch in batches:
             parts = [np.bincount((shingler(unpack(x)) % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
                      for x in batch.column(1).to_pylist()]
-            data = [np.minimum(c, MOST_IN_CELL).astype(np.int16).tobytes() for c in parts]
+            data = [np.minimum(c, MOST_IN_CELL).astype(np.int8).tobytes() for c in parts]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], names=["node", "cells"])
 
     return packed.mapInArrow(run, "node long, cells binary")
@@ -296,7 +296,7 @@ def _across(apart: DataFrame, cells: DataFrame, bands: tuple[int, int]) -> DataF
 
     def compare(held: pa.Table) -> pa.RecordBatch:
         node, n, root, mine = (held.column(x).to_numpy() for x in ("node", "n", "root", "mine"))
-        counts = np.frombuffer(b"".join(held.column("cells").to_pylist()), np.int16).reshape(-1, CELLS)
+        counts = np.frombuffer(b"".join(held.column("cells").to_pylist()), np.int8).reshape(-1, CELLS).astype(np.int16)
         lo, hi = held.column("lo")[0].as_py(), held.column("hi")[0].as_py()
         out_a, out_b = [], []
         for at in range(0, len(node), 64):
@@ -307,8 +307,8 @@ def _across(apart: DataFrame, cells: DataFrame, bands: tuple[int, int]) -> DataF
             good = ((root[x][:, None] != root[y]) & (q * np.minimum(n[x][:, None], n[y]) >= p * np.maximum(n[x][:, None], n[y]))
                     & ((lo != hi) | (x[:, None] < y)))
             i, j = np.nonzero(good)
-            for k in range(0, len(i), 1 << 16):  # bounds the memory of the differences
-                a, b = i[k:k + (1 << 16)], j[k:k + (1 << 16)]
+            for k in range(0, len(i), 1 << 14):  # bounds the memory of the differences
+                a, b = i[k:k + (1 << 14)], j[k:k + (1 << 14)]
                 near = np.abs(counts[x[a]] - counts[y[b]]).sum(axis=1, dtype=np.int64) <= total[a, b] * (q - p) // (q + p)
                 out_a.append(node[x[a[near]]])
                 out_b.append(node[y[b[near]]])

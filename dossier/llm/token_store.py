@@ -173,7 +173,7 @@ def read(spark: SparkSession, path: str, doc_id: int | None = None) -> DataFrame
         raise ValueError(f"the dictionary below {path} is damaged")
     blocks = spark.read.schema(BLOCK_SCHEMA).parquet(f"{path}/blocks")
     if doc_id is not None:
-        blocks = blocks.where((F.col("first_doc_id") <= doc_id) & (F.col("last_doc_id") >= doc_id))
+        blocks = blocks.where((F.col("first_doc_id").isNull() | (F.col("first_doc_id") <= doc_id)) & (F.col("last_doc_id") >= doc_id))
     # one row per block file: the number of files is bounded by the shuffle partitions or by size
     shards = spark.read.schema("shard int, n_ids long, start long").parquet(f"{path}/shards").select("shard", "start")
     rows = blocks.join(shards, "shard").select(
