@@ -162,7 +162,7 @@ def test_sharding(spark, docs):
 
 
 def test_language(spark, docs, small_dir):
-    model = language.Model([(0, "ab", "x", 5), (0, "cd", "y", 1), (1, "q", "y", 3), (2, "^q", "y", 2)])
+    model = language.Model([(0, "ab", "x", 5), (0, "cd", "y", 1), (1, "q", "y", 3), (2, "^q", "y", 2), (2, "ab", "x", 2)])
     assert model.predict("ab ab") == ("x", model.predict("ab ab")[1]) and model.predict("qq")[0] == "y"
     got = {r.doc_id: r for r in language.predict(docs, model).collect()}
     assert got[3].lang_pred == got[4].lang_pred == got[5].lang_pred == "und" and len(got) == len({d for d, _, _ in ROWS})
