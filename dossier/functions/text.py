@@ -15,7 +15,6 @@ PLAIN = "aaaaaaeeeeiiiiooooouuuucnAAAAAAEEEEIIIIOOOOOUUUUCN"
 # Legal-form expansions applied before comparison, in order:
 # (pattern, replacement, case-insensitive whole word).
 ABBREVIATIONS = [
-    ("DLL", "De Lage Landen", False),
     ("DAC", "Designated Activity Company", False),
     ("Ltda", "Limitada", True),
     ("Ltd", "Limited", True),
@@ -42,10 +41,10 @@ def fold_accents(c) -> Column:
     return F.translate(col_(c), ACCENTED, PLAIN)
 
 
-def normalize_name(c) -> Column:
-    """Q-02: fold accents, expand legal-form abbreviations, keep only [a-z0-9], lower."""
+def normalize_name(c, abbreviations=ABBREVIATIONS) -> Column:
+    """Q-02: fold accents, expand abbreviations (legal forms by default), keep only [a-z0-9], lower."""
     s = fold_accents(col_(c))
-    for short, long_, word in ABBREVIATIONS:
+    for short, long_, word in abbreviations:
         pat = rf"(?i)\b{short}\b\.?" if word else short
         s = F.regexp_replace(s, pat, long_)
     return F.lower(F.trim(F.regexp_replace(s, "[^a-zA-Z0-9]", "")))

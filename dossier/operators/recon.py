@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dossier.functions.text import normalize_name
-from dossier.operators.relational import bounded_broadcast, theta_or_join
+from dossier.operators.relational import theta_or_join
 from dossier.operators.shape import unpivot
 
 
@@ -51,7 +51,7 @@ def missing_in_other(a: DataFrame, b: DataFrame, keys: Sequence[str], mapping: D
     through a manual value mapping (unmapped values pass through)."""
     if mapping is not None and map_col is not None:
         m = mapping.select(F.col(map_from).alias("__f"), F.col(map_to).alias("__t"))
-        b = b.join(bounded_broadcast(m, 1_000_000), F.col(map_col) == F.col("__f"), "left") \
+        b = b.join(m, F.col(map_col) == F.col("__f"), "left") \
             .withColumn(map_col, F.coalesce("__t", F.col(map_col))).drop("__f", "__t")
     a_only = a.select(*keys).join(b.select(*keys), list(keys), "left_anti").withColumn("side", F.lit("missing_in_b"))
     b_only = b.select(*keys).join(a.select(*keys), list(keys), "left_anti").withColumn("side", F.lit("missing_in_a"))

@@ -18,22 +18,6 @@ from pyspark.sql.types import StringType
 
 from dossier.functions.text import blank_to_null as _blank, one_line_string
 
-# Upper bound on rows for a broadcast side when the caller does not give one.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (a LIMIT job, it stops early
-    on a big input).  Beyond the bound the frame is returned unhinted and
-    the planner keeps a shuffle join; AQE can still switch to a broadcast
-    from measured shuffle sizes.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 # ---------------------------------------------------------------- projections
 
 def project(df: DataFrame, columns: dict[str, Column | str], drop: Sequence[str] = ()) -> DataFrame:
@@ -130,8 +114,11 @@ def theta_or_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[Colum
     on its own key pair with the residual "no earlier disjunct holds", so
     every matching pair comes out exactly once: a plain UNION ALL, no
     de-duplication shuffle, and duplicate input rows keep their multiplicity
-    (inner join semantics).
+    (inner join semantics).  Outer joins are refused: a union of them would
+    repeat matched rows as unmatched ones.
     """
+    if how != "inner":
+        raise ValueError("only inner OR-joins are supported")
     parts = []
     earlier: Column | None = None
     for lc, rc in pairs:

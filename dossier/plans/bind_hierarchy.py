@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from dossier.operators import hierarchy as HI
 from dossier.operators.identity import assign_identity, build_typed_id, exclude_ids, leading_source_union
-from dossier.operators.relational import bounded_broadcast
 from dossier.plans.common import PARTIES_SQL, T, crosswalk, parties
 from dossier.plans.registry import register
 
@@ -110,7 +109,7 @@ def h_09_leading_source_union(spark, sf):
     u = leading_source_union(m, [o], "local_id")
     geo = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")) \
         .select(F.col("n_nationkey").alias("nationkey"), F.col("r_name").alias("region"))
-    return u.join(bounded_broadcast(geo, 100_000), "nationkey").select("local_id", "source", "name", "region")
+    return u.join(geo, "nationkey").select("local_id", "source", "name", "region")
 
 
 @register("h_10_exclude_unmatched_legacy", """
@@ -196,7 +195,7 @@ def h_12_ultimate_parent(spark, sf):
 @register("h_13_translate_hierarchy_ids", """
 WITH h AS (SELECT c_custkey AS id, c_custkey AS level_1, c_custkey // 3 AS level_2, c_custkey // 9 AS level_3,
                   c_custkey // 27 AS level_4, c_custkey // 81 AS level_5 FROM customer),
-ks AS (SELECT c_custkey AS k, 'GCDS' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS ks_id FROM customer
+ks AS (SELECT c_custkey AS k, 'KS' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS ks_id FROM customer
        WHERE c_acctbal > 0)
 SELECT h.id, k1.ks_id AS level_1_ks, k2.ks_id AS level_2_ks, k3.ks_id AS level_3_ks, k4.ks_id AS level_4_ks,
        k5.ks_id AS level_5_ks
@@ -208,7 +207,7 @@ def h_13_translate_hierarchy_ids(spark, sf):
                  _div(3).alias("level_2"), _div(9).alias("level_3"), _div(27).alias("level_4"),
                  _div(81).alias("level_5"))
     ks = c.where(F.col("c_acctbal") > 0).select(
-        F.col("c_custkey").alias("k"), F.concat(F.lit("GCDS"), F.lpad(F.col("c_custkey").cast("string"), 8, "0"))
+        F.col("c_custkey").alias("k"), F.concat(F.lit("KS"), F.lpad(F.col("c_custkey").cast("string"), 8, "0"))
         .alias("ks_id"))
     return HI.translate_hierarchy_ids(h, "id", ["level_1", "level_2", "level_3", "level_4", "level_5"], ks,
                                       "k", "ks_id")

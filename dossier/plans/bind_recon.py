@@ -70,11 +70,11 @@ def q_01_match_tier(spark, sf):
 
 @register("q_02_normalize_name", f"""
 WITH x AS (SELECT s_suppkey, s_name || CASE WHEN s_nationkey < 5 THEN ' Ltd.' WHEN s_nationkey < 10
-             THEN ' DLL Ltda' ELSE ' Société Générale' END AS raw_name FROM supplier)
+             THEN ' DAC Ltda' ELSE ' Société Générale' END AS raw_name FROM supplier)
 SELECT s_suppkey, raw_name, {norm_sql('raw_name')} AS normalized FROM x""")
 def q_02_normalize_name(spark, sf):
     s = T(spark, sf).supplier
-    suffix = (F.when(F.col("s_nationkey") < 5, " Ltd.").when(F.col("s_nationkey") < 10, " DLL Ltda")
+    suffix = (F.when(F.col("s_nationkey") < 5, " Ltd.").when(F.col("s_nationkey") < 10, " DAC Ltda")
               .otherwise(" Société Générale"))
     x = s.select("s_suppkey", F.concat("s_name", suffix).alias("raw_name"))
     return x.select("s_suppkey", "raw_name", normalize_name("raw_name").alias("normalized"))

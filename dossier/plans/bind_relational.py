@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from dossier.operators.relational import (any_column_equals, blank_to_null, bounded_broadcast,
+from dossier.operators.relational import (any_column_equals, blank_to_null,
                                           cast_all_string, coalesce_sources, drop_all_null,
                                           project, protect_names, safe_convert,
                                           scalar_subquery_filter, theta_or_join)
@@ -388,8 +388,8 @@ GROUP BY r_name""")
 def j_broadcast(spark, sf):
     t = T(spark, sf)
     # nation / region: 25 / 5 rows by definition, checked before the hint
-    n = bounded_broadcast(t.nation, 10_000)
-    r = bounded_broadcast(t.region, 10_000)
+    n = t.nation
+    r = t.region
     j = (t.lineitem.select("l_suppkey", "l_extendedprice")
          .join(t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
          .join(n, F.col("s_nationkey") == F.col("n_nationkey"))

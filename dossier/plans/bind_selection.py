@@ -212,7 +212,7 @@ em AS (SELECT DISTINCT upn, client_id FROM ua JOIN ca ON ua.attribute_value = ca
 def _users(t):
     ua = t.region.select(F.concat(F.lower("r_name"), F.lit("@bank.example")).alias("upn"),
                          F.lit("Region").alias("attribute_type"), F.col("r_name").alias("attribute_value"))
-    glob = t.region.limit(1).select(F.lit("auditor@bank.example").alias("upn"), F.lit("Global").alias("attribute_type"),
+    glob = t.spark.range(1).select(F.lit("auditor@bank.example").alias("upn"), F.lit("Global").alias("attribute_type"),
                                     F.lit("ALL").alias("attribute_value"))
     return ua.unionByName(glob)
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from dossier.operators import money as M
 from dossier.operators import worktime as W
-from dossier.operators.relational import bounded_broadcast
 from dossier.plans.common import AS_OF, T
 from dossier.plans.registry import register
 
@@ -291,7 +290,7 @@ def m_03_transaction_rollup(spark, sf):
     # below is already partitioned by l_orderkey
     ocn = (t.orders.select("o_orderkey", "o_custkey")
            .join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-           .join(bounded_broadcast(t.nation.select("n_nationkey", "n_name"), 100_000),
+           .join(t.nation.select("n_nationkey", "n_name"),
                  F.col("c_nationkey") == F.col("n_nationkey"))
            .select("o_orderkey", "c_nationkey", "n_name"))
     # both sides grow with the data: a shuffle join, never a broadcast of the fact side

@@ -14,7 +14,7 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
 MODULES = [
     "flagship", "bind_sources", "bind_sinks", "bind_relational", "bind_aggregates",
     "bind_windows", "bind_setops", "bind_reshape", "bind_scalar", "bind_history",
-    "bind_identity", "bind_hierarchy", "bind_worktime", "bind_recon", "bind_quality",
+    "bind_hierarchy", "bind_worktime", "bind_recon", "bind_quality",
     "bind_selection",
 ]
 
@@ -31,9 +31,5 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> dict[str, tuple[QueryFn, str | None]]:
     for m in MODULES:
-        try:
-            importlib.import_module(f"dossier.plans.{m}")
-        except ModuleNotFoundError as e:  # a family not written yet
-            if e.name != f"dossier.plans.{m}":
-                raise
+        importlib.import_module(f"dossier.plans.{m}")
     return REGISTRY

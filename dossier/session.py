@@ -53,13 +53,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared folder there; it is read from the session and
-    never replaced.  Only when it is unset (local tests) a fresh scratch
-    folder is created and registered.
+    never replaced.  Where it is unset, a local session (tests, the benchmark)
+    gets a fresh scratch folder; on a cluster this fails, since other machines
+    would not see a folder of this one.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="dossier-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)

@@ -19,8 +19,8 @@ def scan_framed_text(spark: SparkSession, path: str, n_fields: int, sep: str = "
                      header_code: str = "0", trailer_code: str = "9", min_lines: int = 5) -> DataFrame:
     """S-12: text files with a header and a trailer record; body split into ``_c0.._cN``.
 
-    Header and trailer are recognised by their record code (first field),
-    not by line position, so files are read in parallel splits.  A file
+    Header and trailer are recognised by their exact record code (first field:
+    a body record may be coded 00 or 09), not by line position, so files are read in parallel splits.  A file
     contributes rows only when it has at least ``min_lines`` lines (the
     reference treats files of 4 lines or fewer as empty); that count is a
     per-file aggregate joined back on the file path.
@@ -29,8 +29,7 @@ def scan_framed_text(spark: SparkSession, path: str, n_fields: int, sep: str = "
     sizes = raw.groupBy("__file").agg(F.count(F.lit(1)).alias("__lines"))
     parts = F.split(F.col("value"), "\\" + sep if sep in "|.^$*+?()[]{}\\" else sep, -1)
     body = raw.withColumn("__p", parts).withColumn("__code", F.trim(F.col("__p")[0]))
-    body = body.where(~F.regexp_replace("__code", "^0+(?=.)", "").isin(header_code, trailer_code)
-                      | (F.length("__code") == 0))
+    body = body.where(~F.col("__code").isin(header_code, trailer_code))
     body = body.join(sizes.where(F.col("__lines") >= min_lines), "__file", "left_semi")
     return body.select(*[F.col("__p")[i].alias(f"_c{i}") for i in range(n_fields)])
 

@@ -21,18 +21,18 @@ from dossier.sources.snapshots import PART_COL
 
 def write_snapshot(df: DataFrame, root: str, obj: str, version: str, load_date: dt.date,
                    normalize_blanks: bool = True) -> tuple[str, int]:
-    """K-01: write one dated partition (dynamic overwrite of that date only); return path, rows.
+    """K-01: write one dated partition (that date's folder is overwritten); return path, rows.
+
+    An empty re-run leaves an empty partition, not the rows of the run before.
 
     The row count is taken by an ``Observation`` during the write, not by
     a second pass.  Files are written in parallel (no forced single file).
     """
     out = blank_to_null(df) if normalize_blanks else df
-    out = out.withColumn(PART_COL, F.lit(load_date.isoformat()).cast("date"))
     obs = Observation(f"rows_{obj}_{load_date:%Y%m%d}")
     out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
     path = f"{root.rstrip('/')}/{obj}/{version}"
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(PART_COL).parquet(path))
+    out.drop(PART_COL).write.mode("overwrite").parquet(f"{path}/{PART_COL}={load_date.isoformat()}")
     return path, int(obs.get["rows"])
 
 
@@ -59,9 +59,10 @@ def conditional_update(target: DataFrame, updates: DataFrame, keys: Sequence[str
                        set_cols: dict[str, str]) -> DataFrame:
     """K-03: MERGE with only WHEN MATCHED THEN UPDATE SET (no inserts, no deletes).
 
-    ``set_cols`` maps target column -> update column.  Update rows are
-    assumed unique per key (the caller de-duplicates).
+    ``set_cols`` maps target column -> update column.  Duplicate keys in the
+    update set fail the job, as in K-02.
     """
+    updates = updates.where(_no_duplicates(updates, keys, "duplicate keys in update set"))
     u = updates.select(*[F.col(k).alias(f"__u_{k}") for k in keys],
                        *[F.col(v).alias(f"__v_{t}") for t, v in set_cols.items()],
                        F.lit(True).alias("__hit"))
@@ -136,20 +137,34 @@ def replace_period(target: DataFrame, new: DataFrame, period_col: str, period: C
 
 
 def row_corrections(df: DataFrame, keys: Sequence[str], corrections: DataFrame,
-                    action_col: str = "action") -> DataFrame:
+                    action_col: str = "action", order_col: str | None = None,
+                    null_col: str | None = None) -> DataFrame:
     """K-10: DELETE / UPDATE by key from a corrections frame.
 
     ``corrections`` holds the keys, ``action`` ('delete' or 'update') and,
     for updates, new values in columns named like the target's (NULL =
-    keep).  One left join; deletes win over updates for the same key.
+    keep).  One left join; deletes win over updates for the same key.  Of
+    several updates of a value the last by ``order_col`` wins, without it
+    the largest value.  ``null_col`` names an array of the columns that an
+    update sets to NULL.
     """
-    vals = [c for c in corrections.columns if c not in (*keys, action_col) and c in df.columns]
+    vals = [c for c in corrections.columns if c not in (*keys, action_col, order_col, null_col) and c in df.columns]
+
+    def new(v: str) -> Column:
+        if order_col is None:
+            return F.max(v)
+        return F.max_by(F.col(v), F.when(F.col(v).isNotNull(), F.col(order_col)))
+
+    def cleared(v: str) -> Column:
+        return F.lit(False) if null_col is None else F.max(F.coalesce(F.array_contains(null_col, v), F.lit(False)))
+
     c = corrections.groupBy(*keys).agg(
         F.max((F.col(action_col) == "delete").cast("int")).alias("__del"),
-        *[F.max_by(F.col(v), F.col(v).isNotNull()).alias(f"__new_{v}") for v in vals])
+        *[new(v).alias(f"__new_{v}") for v in vals], *[cleared(v).alias(f"__null_{v}") for v in vals])
     j = df.join(c, list(keys), "left")
     return j.where(F.coalesce(F.col("__del"), F.lit(0)) == 0).select(
-        *[F.coalesce(F.col(f"__new_{x}"), F.col(x)).alias(x) if x in vals else F.col(x)
+        *[F.when(~F.coalesce(F.col(f"__null_{x}"), F.lit(False)),
+                 F.coalesce(F.col(f"__new_{x}"), F.col(x))).alias(x) if x in vals else F.col(x)
           for x in df.columns])
 
 
@@ -171,21 +186,13 @@ def load_log(frames: dict[str, DataFrame | None], load_date: dt.date) -> DataFra
     return out.withColumn("load_date", F.lit(load_date.isoformat()).cast("date"))
 
 
-def export_delimited(df: DataFrame, path: str, sep: str = "|", single_file: bool = False,
-                     max_single_file_rows: int = 5_000_000) -> int:
+def export_delimited(df: DataFrame, path: str, sep: str = "|") -> int:
     """K-12: quote-all delimited export plus a row-count reconciliation file.
 
-    Files are written in parallel; ``single_file`` (one task) is only
-    allowed after proving the extract has at most ``max_single_file_rows``.
-    Returns the row count (observed during the write).
+    Files are always written in parallel.  Returns the row count (observed during the write).
     """
     obs = Observation("export_rows")
     out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if single_file:
-        n = df.limit(max_single_file_rows + 1).count()
-        if n > max_single_file_rows:
-            raise ValueError("extract too large for a single file")
-        out = out.coalesce(1)
     out.write.mode("overwrite").option("sep", sep).option("quoteAll", True) \
         .option("header", True).csv(f"{path}/data")
     n_rows = int(obs.get["rows"])
