@@ -1,8 +1,8 @@
 """Hierarchies over party edges (H-11..H-15).
 
-All traversals are bounded iterative joins: one join per level, a depth
-cap, a path-based cycle guard, and ``checkpoint()`` (reliable, in the
-shared ``spark.checkpoint.dir``) every few levels so the plan does not grow
+All traversals are iterative joins: one join per level up to the fixed
+point (H-11: to its documented depth), a cycle guard, and ``checkpoint()``
+(reliable, in the shared ``spark.checkpoint.dir``) so the plan does not grow
 with the depth.  Each level is a shuffle join keyed by the current node;
 AQE splits a skewed key (many children of one parent) on the frontier side.
 """
@@ -88,58 +88,68 @@ def leading_entity(nodes: DataFrame, edges: DataFrame, max_depth: int = 4,
     return out
 
 
-def climb(starts: DataFrame, edges: DataFrame, max_depth: int, start: str = "id",
-          child: str = "child", parent: str = "parent") -> DataFrame:
-    """All ancestors of each start within ``max_depth`` levels: (start, node, depth).
+def climb(starts: DataFrame, edges: DataFrame, start: str = "id", child: str = "child",
+          parent: str = "parent") -> DataFrame:
+    """All ancestors of each start: (start, node, depth), one row per path, up to the fixed point.
 
-    Paths carry the visited nodes, so a cycle stops at the node that closes
-    it.  Used by H-12 (deepest ancestor) and H-13.
+    Paths carry the visited nodes, so a cycle stops at the node that closes it and every chain
+    ends; there is no depth cap.  Used by H-12 (deepest ancestor).
     """
     e = edges.select(F.col(child).alias("__c"), F.col(parent).alias("__p")) \
         .where(F.col("__c") != F.col("__p")).distinct()
     frontier = starts.select(F.col(start).alias("start"), F.col(start).alias("node"),
                              F.lit(0).alias("depth"), F.array(F.col(start)).alias("__path"))
-    found = []
-    for level in range(1, max_depth + 1):
+    out = frontier.drop("__path").where(F.lit(False))
+    level = 0
+    while True:
+        level += 1
         nxt = (frontier.join(e, F.col("node") == F.col("__c"))
                .where(~F.array_contains(F.col("__path"), F.col("__p")))
                .select("start", F.col("__p").alias("node"), F.lit(level).alias("depth"),
                        F.array_append(F.col("__path"), F.col("__p")).alias("__path")))
-        nxt = _maybe_checkpoint(nxt, level)
-        found.append(nxt.drop("__path"))
+        nxt = nxt.checkpoint(eager=True)  # the emptiness test and the next level reuse it
+        if nxt.isEmpty():
+            return out
+        out = out.unionByName(nxt.drop("__path"))
         frontier = nxt
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out
 
 
-def ultimate_parent(entities: DataFrame, edges: DataFrame, max_depth: int = 8, node_id: str = "id",
+def ultimate_parent(entities: DataFrame, edges: DataFrame, types: DataFrame, node_id: str = "id",
                     child: str = "id", rel_type: str = "rel_type", parent: str = "parent",
-                    chains: Sequence[str] = ("Credit", "Operational Hierarchy")) -> DataFrame:
-    """H-12: per entity the deepest ancestor along the first chain type that has one.
-
-    Chains are tried in precedence order (Credit before Operational); along
-    a chain the deepest ancestor wins (ties: smallest id); an entity with
-    no ancestor on any chain is its own ultimate parent.  Returns
-    (id, ultimate_parent, chain, depth).
+                    party_type: str = "party_type",
+                    chains: Sequence[str] = ("Credit", "Operational Hierarchy"),
+                    commercial: str = "Commercial",
+                    commercial_types: Sequence[str] = ("Legal Entity", "Natural Person")) -> DataFrame:
+    """H-12: per entity the deepest ancestor over all chains, and its commercial super-parent.
+
+    Each chain is climbed by itself.  The deepest level over both wins; at equal depth the first
+    chain (Credit) wins, then the smallest id.  An entity without an ancestor is its own ultimate
+    parent.  The super-parent is the commercial counterparty of the ultimate parent, if both are of
+    ``commercial_types`` (smallest id of several), else the ultimate parent itself.
+    Returns (id, ultimate_parent, chain, depth, super_parent).
     """
     starts = entities.select(F.col(node_id).alias("id")).distinct()
-    best = None
+    found = None
     for rank, chain in enumerate(chains):
         e = edges.where(F.col(rel_type) == chain).select(F.col(child).alias("child"),
                                                          F.col(parent).alias("parent"))
-        anc = climb(starts, e, max_depth, "id")
-        deepest = anc.groupBy(F.col("start").alias("id")).agg(
-            F.max_by(F.struct(F.lit(rank).alias("rank"), F.lit(chain).alias("chain"),
-                              F.col("depth"), F.col("node")),
-                     F.struct(F.col("depth"), -F.col("node"))).alias("__b"))
-        best = deepest if best is None else best.unionByName(deepest)
-    pick = best.groupBy("id").agg(F.min_by("__b", F.col("__b.rank")).alias("__b"))
-    out = starts.join(pick, "id", "left")
-    return out.select("id", F.coalesce(F.col("__b.node"), F.col("id")).alias("ultimate_parent"),
-                      F.coalesce(F.col("__b.chain"), F.lit("self")).alias("chain"),
-                      F.coalesce(F.col("__b.depth"), F.lit(0)).alias("depth"))
+        anc = climb(starts, e, "id").withColumns({"rank": F.lit(rank), "chain": F.lit(chain)})
+        found = anc if found is None else found.unionByName(anc)
+    # ids are compared ascending, as they are: negated depth is the only arithmetic
+    pick = found.groupBy(F.col("start").alias("id")).agg(
+        F.min(F.struct((-F.col("depth")).alias("up"), "rank", "node", "chain")).alias("__b"))
+    top = starts.join(pick, "id", "left").select(
+        "id", F.coalesce(F.col("__b.node"), F.col("id")).alias("ultimate_parent"),
+        F.coalesce(F.col("__b.chain"), F.lit("self")).alias("chain"),
+        F.coalesce(-F.col("__b.up"), F.lit(0)).alias("depth"))
+    allowed = types.where(F.col(party_type).isin(*commercial_types)).select(F.col(node_id).alias("__n")).distinct()
+    com = (edges.where(F.col(rel_type) == commercial)
+           .select(F.col(child).alias("ultimate_parent"), F.col(parent).alias("__p"))
+           .join(allowed, F.col("ultimate_parent") == F.col("__n"), "left_semi")
+           .join(allowed, F.col("__p") == F.col("__n"), "left_semi")
+           .groupBy("ultimate_parent").agg(F.min("__p").alias("__com")))
+    return top.join(com, "ultimate_parent", "left").select(
+        "id", "ultimate_parent", "chain", "depth", F.coalesce("__com", "ultimate_parent").alias("super_parent"))
 
 
 def translate_hierarchy_ids(df: DataFrame, key: str, levels: Sequence[str], keystore: DataFrame,
@@ -152,21 +162,23 @@ def translate_hierarchy_ids(df: DataFrame, key: str, levels: Sequence[str], keys
     return wide.select(key, *[F.col(lv).alias(f"{lv}{suffix}") for lv in levels])
 
 
-def related_parties(starts: DataFrame, edges: DataFrame, max_depth: int = 100, start: str = "id",
+def related_parties(starts: DataFrame, edges: DataFrame, start: str = "id",
                     child: str = "child", parent: str = "parent") -> DataFrame:
     """H-14: per root every node reachable upward, with its first-reached depth.
 
     Breadth-first frontier: each level joins the frontier to the edges and
     removes (root, node) pairs already visited (anti join), so each pair is
-    expanded once.  Stops at the fixed point (empty frontier) or the depth
-    cap.  All roots advance together in one job per level.
+    expanded once.  Stops at the fixed point (empty frontier); cycles end there
+    too.  All roots advance together in one job per level.
     """
     e = edges.select(F.col(child).alias("__c"), F.col(parent).alias("__p")) \
         .where(F.col("__c") != F.col("__p")).distinct()
     roots = starts.select(F.col(start).alias("root")).distinct()
     visited = roots.select("root", F.col("root").alias("node"), F.lit(0).alias("depth"))
     frontier = visited
-    for level in range(1, max_depth + 1):
+    level = 0
+    while True:
+        level += 1
         nxt = (frontier.join(e, F.col("node") == F.col("__c"))
                .select("root", F.col("__p").alias("node")).distinct()
                .join(visited.select("root", "node"), ["root", "node"], "left_anti")

@@ -30,15 +30,25 @@ def to_base_currency(df: DataFrame, rates: DataFrame, amount: str, currency: str
     return j.withColumn(out, val).drop("__cur", "__rate", *[f"__r_{k}" for k in keys])
 
 
-def limit_breach(limit: Column, utilisation: Column, intraday: Column) -> tuple[Column, Column, Column]:
-    """M-02: (breach flag, available amount, available-negative flag).
+def limit_breach(effective: Column, unavailable: Column, utilisation: Column, intraday: Column,
+                 available: Column) -> dict[str, Column]:
+    """M-02: three breach flags and the new available amount, all in DECIMAL(20,2).
 
-    Breach when the effective limit minus utilisation is negative, or, when
-    the effective limit is 0, when the intraday limit minus utilisation is.
+    The room is the effective limit less its unavailable part.  With room, the effective limit is
+    breached when utilisation exceeds it; without room, the intraday limit is breached when
+    utilisation exceeds that.  The available amount is breached below 0.  Where the effective
+    limit itself is 0 the intraday limit is added to the available amount.
     """
-    avail = limit - utilisation
-    breach = F.when(limit == 0, (intraday - utilisation) < 0).otherwise(avail < 0)
-    return breach, avail, avail < 0
+    effective, unavailable, utilisation, intraday, available = (
+        c.cast("decimal(20,2)") for c in (effective, unavailable, utilisation, intraday, available))
+    room = effective - unavailable
+    return {
+        "effective_breach": (room != 0) & (room - utilisation < 0),
+        "intraday_breach": (room == 0) & (intraday - utilisation < 0),
+        "available_breach": available < 0,
+        "new_available": F.when(effective == 0, available + intraday).when(effective != 0, available)
+        .cast("decimal(20,2)"),
+    }
 
 
 def counterparty_country(iban: Column, bic: Column, field: Column) -> Column:

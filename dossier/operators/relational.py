@@ -134,13 +134,13 @@ def theta_or_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[Colum
 # ------------------------------------------------------------------- set ops
 
 def union_distinct(*dfs: DataFrame) -> DataFrame:
-    """U-01: UNION (by name, then distinct)."""
-    return reduce(DataFrame.unionByName, dfs).distinct()
+    """U-01: UNION (by position, names of the first branch, then distinct)."""
+    return reduce(DataFrame.union, dfs).distinct()
 
 
 def union_all(*dfs: DataFrame) -> DataFrame:
-    """U-02: UNION ALL (by name)."""
-    return reduce(DataFrame.unionByName, dfs)
+    """U-02: UNION ALL (by position, names of the first branch)."""
+    return reduce(DataFrame.union, dfs)
 
 
 def union_by_name(*dfs: DataFrame) -> DataFrame:

@@ -127,43 +127,31 @@ def nearest_snapshot_value(df: DataFrame, keys: Sequence[str], date_col: str, lo
 
 
 def completed_on_time(cases: DataFrame, client: str, case_id: str, review_type: str, signoff: str,
-                      high_risk: str, as_of: dt.date) -> DataFrame:
-    """T-07: 1 / 0 / NULL per case by six ordered rules (first that applies wins).
-
-    1. follow-up reviews ('QC EDR') are out of scope -> NULL (and are not
-       the "next case" of any other case: removed before LEAD);
-    2. a review followed by an offboarding is not reported -> NULL;
-    3. a case whose previous case has the same next-review date is out of
-       scope -> NULL;
-    4. an event-driven review is on time when the next case is signed off
-       within 90 days -> 1 else 0;
-    5. no next case yet: NULL while the next-review date is after ``as_of``,
-       else 0 (overdue);
-    6. otherwise on time when the next case is signed off by the
-       next-review date (14 months after sign-off for high risk, else 12).
+                      next_review: str, duration: str, as_of: dt.date) -> DataFrame:
+    """T-07: per case its next sign-off and 1 / 0 / NULL for completed on time.
+
+    1. A client with a case whose next-review date equals that of its previous case is out of
+       scope as a whole, unless the repeating case is an offboarding.  Previous cases count
+       follow-up reviews ('QC EDR') too.
+    2. Follow-up reviews are then left out; the next case is the next of those that remain.
+    3. An event-driven review is on time if its own duration is at most 90 days.
+    4. Otherwise the next case must be signed off by the next-review date; without a next case it
+       is 0 when that date is before ``as_of``, else NULL.
+
+    Equal sign-off dates are ordered by ``case_id``.
     """
-    d = F.to_date(F.col(signoff))
-    nrd = (F.when(F.col(review_type) == "Event Driven Review", F.date_add(d, 90))
-           .when(F.col(high_risk), F.add_months(d, 14)).otherwise(F.add_months(d, 12)))
-    base = cases.select(client, case_id, review_type, d.alias("signoff"), nrd.alias("nrd"))
-    scope = base.where(F.col(review_type) != "QC EDR")
-    s = ordered_scan(scope, [client], [F.col("signoff"), F.col(case_id)],
-                     {"next_signoff": ("lead", "signoff"), "next_type": ("lead", review_type),
-                      "prev_nrd": ("lag", "nrd")})
-    asof = F.lit(as_of.isoformat()).cast("date")
-    rule = (F.when(F.col("next_type").like("%Offboarding%") & ~F.col(review_type).like("%Offboarding%"),
-                   F.lit(None))
-            .when(F.col("prev_nrd") == F.col("nrd"), F.lit(None))
-            .when(F.col(review_type) == "Event Driven Review",
-                  F.when(F.col("next_signoff").isNull(),
-                         F.when(F.col("nrd") > asof, F.lit(None)).otherwise(F.lit(0)))
-                  .when(F.datediff("next_signoff", "signoff") <= 90, F.lit(1)).otherwise(F.lit(0)))
-            .when(F.col("next_signoff").isNull(), F.when(F.col("nrd") > asof, F.lit(None)).otherwise(F.lit(0)))
-            .when(F.col("next_signoff") <= F.col("nrd"), F.lit(1)).otherwise(F.lit(0)))
-    done = s.select(client, case_id, "nrd", rule.cast("int").alias("completed_on_time"))
-    follow = base.where(F.col(review_type) == "QC EDR").select(
-        client, case_id, "nrd", F.lit(None).cast("int").alias("completed_on_time"))
-    return done.unionByName(follow)
+    base = cases.select(client, case_id, F.col(review_type).alias("__type"), F.to_date(signoff).alias("signoff"),
+                        F.to_date(next_review).alias("nrd"), F.col(duration).alias("__days"))
+    order = [F.col("signoff"), F.col(case_id)]
+    former = ordered_scan(base, [client], order, {"__former": ("lag", "nrd")})
+    out = former.where((F.col("nrd") == F.col("__former")) & (F.col("__type") != "Offboarding")).select(client).distinct()
+    scope = base.join(out, client, "left_anti").where(F.col("__type") != "QC EDR")
+    s = ordered_scan(scope, [client], order, {"next_signoff": ("lead", "signoff")})
+    event = F.col("__type") == "Event Driven Review"
+    on_time = (F.when(event & (F.col("__days") <= 90), 1).when(event & (F.col("__days") > 90), 0)
+               .when(F.col("next_signoff") <= F.col("nrd"), 1).when(F.col("next_signoff") > F.col("nrd"), 0)
+               .when(F.col("next_signoff").isNull() & (F.col("nrd") < F.lit(as_of.isoformat()).cast("date")), 0))
+    return s.select(client, case_id, "signoff", "next_signoff", "nrd", on_time.cast("int").alias("completed_on_time"))
 
 
 def stage_milestones(df: DataFrame, keys: Sequence[str], status: str, ts: str, id_col: str,

@@ -158,7 +158,8 @@ e AS (
     WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')
     UNION ALL
     SELECT c_custkey, 'Operational Hierarchy', c_custkey // 3 FROM customer
-    WHERE c_mktsegment IN ('HOUSEHOLD', 'BUILDING'))
+    WHERE c_mktsegment IN ('HOUSEHOLD', 'BUILDING')
+    UNION ALL SELECT c_custkey, 'Commercial', c_custkey // 2 FROM customer)
   WHERE child <> parent)"""
 
 
@@ -168,28 +169,35 @@ def _up_edges(t):
         F.col("c_custkey").alias("id"), F.lit("Credit").alias("rel_type"), _div(4).alias("parent"))
     b = c.where(F.col("c_mktsegment").isin("HOUSEHOLD", "BUILDING")).select(
         F.col("c_custkey").alias("id"), F.lit("Operational Hierarchy").alias("rel_type"), _div(3).alias("parent"))
-    return a.unionByName(b)
+    com = c.select(F.col("c_custkey").alias("id"), F.lit("Commercial").alias("rel_type"), _div(2).alias("parent"))
+    return a.unionByName(b).unionByName(com).where(F.col("id") != F.col("parent"))
 
 
 @register("h_12_ultimate_parent", f"""
 WITH RECURSIVE {UP_EDGES_SQL},
-ents AS (SELECT c_custkey AS id FROM customer WHERE c_mktsegment = 'BUILDING'),
+ents AS (SELECT c_custkey AS id, CASE c_mktsegment WHEN 'BUILDING' THEN 'Legal Entity'
+         WHEN 'FURNITURE' THEN 'Natural Person' ELSE 'Branch' END AS party_type FROM customer),
 walk(start, chain, rk, node, depth, path) AS (
   SELECT id, 'Credit', 0, id, 0, [id] FROM ents
   UNION ALL SELECT id, 'Operational Hierarchy', 1, id, 0, [id] FROM ents
   UNION ALL
   SELECT w.start, w.chain, w.rk, e.parent, w.depth + 1, list_append(w.path, e.parent)
   FROM walk w JOIN e ON e.child = w.node AND e.rel_type = w.chain
-  WHERE w.depth < 8 AND NOT list_contains(w.path, e.parent)),
+  WHERE NOT list_contains(w.path, e.parent)),
 best AS (SELECT * FROM walk WHERE depth > 0
-         QUALIFY row_number() OVER (PARTITION BY start ORDER BY rk, depth DESC, node) = 1)
+         QUALIFY row_number() OVER (PARTITION BY start ORDER BY depth DESC, rk, node) = 1),
+com AS (SELECT e.child, min(e.parent) AS parent FROM e JOIN ents x ON x.id = e.child JOIN ents y ON y.id = e.parent
+        WHERE e.rel_type = 'Commercial' AND x.party_type IN ('Legal Entity', 'Natural Person')
+          AND y.party_type IN ('Legal Entity', 'Natural Person') GROUP BY e.child)
 SELECT ents.id, coalesce(b.node, ents.id) AS ultimate_parent, coalesce(b.chain, 'self') AS chain,
-       coalesce(b.depth, 0) AS depth
-FROM ents LEFT JOIN best b ON b.start = ents.id""")
+       coalesce(b.depth, 0) AS depth, coalesce(com.parent, b.node, ents.id) AS super_parent
+FROM ents LEFT JOIN best b ON b.start = ents.id LEFT JOIN com ON com.child = coalesce(b.node, ents.id)""")
 def h_12_ultimate_parent(spark, sf):
     t = T(spark, sf)
-    ents = t.customer.where(F.col("c_mktsegment") == "BUILDING").select(F.col("c_custkey").alias("id"))
-    return HI.ultimate_parent(ents, _up_edges(t), max_depth=8)
+    ents = t.customer.select(F.col("c_custkey").alias("id"), F.when(F.col("c_mktsegment") == "BUILDING", "Legal Entity")
+                             .when(F.col("c_mktsegment") == "FURNITURE", "Natural Person").otherwise("Branch")
+                             .alias("party_type"))
+    return HI.ultimate_parent(ents, _up_edges(t), ents)
 
 
 @register("h_13_translate_hierarchy_ids", """
@@ -218,7 +226,7 @@ e AS (SELECT * FROM (
         SELECT c_custkey AS child, c_custkey // 2 AS parent FROM customer
         UNION ALL SELECT c_custkey, c_custkey // 5 FROM customer WHERE c_nationkey = 3)
       WHERE child <> parent),
-roots AS (SELECT c_custkey AS root FROM customer WHERE c_mktsegment = 'AUTOMOBILE' AND c_nationkey = 3)"""
+roots AS (SELECT c_custkey AS root FROM customer)"""
 
 
 @register("h_14_related_parties", f"""
@@ -226,15 +234,13 @@ WITH RECURSIVE {REL_EDGES_SQL},
 r(root, node, depth) AS (
   SELECT root, root, 0 FROM roots
   UNION
-  SELECT r.root, e.parent, r.depth + 1 FROM r JOIN e ON e.child = r.node WHERE r.depth < 100)
+  SELECT r.root, e.parent, r.depth + 1 FROM r JOIN e ON e.child = r.node)
 SELECT root, node, min(depth) AS depth FROM r GROUP BY root, node HAVING min(depth) > 0""")
 def h_14_related_parties(spark, sf):
     c = T(spark, sf).customer
     e = c.select(F.col("c_custkey").alias("child"), _div(2).alias("parent")).unionByName(
         c.where(F.col("c_nationkey") == 3).select(F.col("c_custkey").alias("child"), _div(5).alias("parent")))
-    roots = c.where((F.col("c_mktsegment") == "AUTOMOBILE") & (F.col("c_nationkey") == 3)) \
-        .select(F.col("c_custkey").alias("id"))
-    return HI.related_parties(roots, e, max_depth=100)
+    return HI.related_parties(c.select(F.col("c_custkey").alias("id")), e)
 
 
 @register("h_15_row_volume_guard", """SELECT count(*) AS n_rows FROM orders""")

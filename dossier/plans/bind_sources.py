@@ -43,7 +43,7 @@ def s_03_scan_exact_snapshot(spark, sf):
 WITH {SNAPS_V2} SELECT * FROM snaps""")
 def s_04_resolve_version(spark, sf):
     return S.scan_latest_snapshot(spark, order_snapshots(spark, sf), "orders",
-                                  mapping={"orders": "2", "lineitem": "1"})
+                                  mapping=S.version_map({"sales": {"1": ["lineitem"], "2": ["orders"]}}, "sales"))
 
 
 @register("s_05_scan_asof_snapshot", f"""

@@ -167,14 +167,18 @@ WITH n AS (SELECT l_orderkey, l_partkey,
 SELECT l_orderkey,
   max(l_partkey) FILTER (WHERE rn = 1) AS part_1,
   max(l_partkey) FILTER (WHERE rn = 2) AS part_2,
-  max(l_partkey) FILTER (WHERE rn = 3) AS part_3
+  max(l_partkey) FILTER (WHERE rn = 3) AS part_3,
+  max(l_partkey) FILTER (WHERE rn = 4) AS part_4,
+  count(*) FILTER (WHERE rn > 4) AS n_more
 FROM n GROUP BY l_orderkey""")
 def w_13_row_number_pivot(spark, sf):
     li = T(spark, sf).lineitem
     w = Window.partitionBy("l_orderkey").orderBy("l_partkey", "l_linenumber")
-    n = li.select("l_orderkey", "l_partkey", F.row_number().over(w).alias("rn")).where(F.col("rn") <= 3)
-    p = n.groupBy("l_orderkey").pivot("rn", [1, 2, 3]).agg(F.max("l_partkey"))
-    return p.withColumnsRenamed({"1": "part_1", "2": "part_2", "3": "part_3"})
+    n = li.select("l_orderkey", "l_partkey", F.row_number().over(w).alias("rn"))
+    # the first four by column, and how many values there are beyond them
+    return n.groupBy("l_orderkey").agg(
+        *[F.max(F.when(F.col("rn") == i, F.col("l_partkey"))).alias(f"part_{i}") for i in range(1, 5)],
+        F.count_if(F.col("rn") > 4).alias("n_more"))
 
 
 @register("w_14_priority_pick", """

@@ -115,43 +115,45 @@ def t_06_valid_planned_date(spark, sf):
 
 
 REVIEW_TYPE = ("CASE o_orderpriority WHEN '1-URGENT' THEN 'Event Driven Review' WHEN '2-HIGH' THEN 'Periodic Review' "
-               "WHEN '3-MEDIUM' THEN 'Initial On-Boarding' WHEN '4-NOT SPECIFIED' THEN 'Product Offboarding' "
+               "WHEN '3-MEDIUM' THEN 'Initial On-Boarding' WHEN '4-NOT SPECIFIED' THEN 'Offboarding' "
                "ELSE 'QC EDR' END")
 
 
 @register("t_07_completed_on_time", f"""
-WITH base AS (
+WITH c AS (
   SELECT o_custkey, o_orderkey, {REVIEW_TYPE} AS review_type, CAST(o_orderdate AS DATE) AS signoff,
-    CASE WHEN {REVIEW_TYPE} = 'Event Driven Review' THEN CAST(o_orderdate AS DATE) + 90
-         WHEN o_totalprice > 300000 THEN CAST(CAST(o_orderdate AS DATE) + INTERVAL 14 MONTH AS DATE)
-         ELSE CAST(CAST(o_orderdate AS DATE) + INTERVAL 12 MONTH AS DATE) END AS nrd
-  FROM orders),
+    CAST(o_orderkey % 180 AS INTEGER) AS duration,
+    CAST(date_trunc('quarter', o_orderdate) AS DATE) AS quarter, o_totalprice > 300000 AS high FROM orders),
+base AS (
+  SELECT *, CASE WHEN high THEN CAST(quarter + INTERVAL 14 MONTH AS DATE)
+                 WHEN review_type = 'Event Driven Review' THEN signoff - duration + 90
+                 ELSE CAST(quarter + INTERVAL 12 MONTH AS DATE) END AS nrd FROM c),
+former AS (SELECT *, lag(nrd) OVER (PARTITION BY o_custkey ORDER BY signoff, o_orderkey) AS former_nrd FROM base),
 s AS (
-  SELECT *, lead(signoff) OVER w AS next_signoff, lead(review_type) OVER w AS next_type,
-         lag(nrd) OVER w AS prev_nrd
-  FROM base WHERE review_type <> 'QC EDR'
-  WINDOW w AS (PARTITION BY o_custkey ORDER BY signoff, o_orderkey))
-SELECT o_custkey, o_orderkey, nrd, CAST(CASE
-    WHEN next_type LIKE '%Offboarding%' AND review_type NOT LIKE '%Offboarding%' THEN NULL
-    WHEN prev_nrd = nrd THEN NULL
-    WHEN review_type = 'Event Driven Review' THEN
-      CASE WHEN next_signoff IS NULL THEN CASE WHEN nrd > DATE '{AS_OF}' THEN NULL ELSE 0 END
-           WHEN next_signoff - signoff <= 90 THEN 1 ELSE 0 END
-    WHEN next_signoff IS NULL THEN CASE WHEN nrd > DATE '{AS_OF}' THEN NULL ELSE 0 END
-    WHEN next_signoff <= nrd THEN 1 ELSE 0 END AS INTEGER) AS completed_on_time
-FROM s
-UNION ALL
-SELECT o_custkey, o_orderkey, nrd, CAST(NULL AS INTEGER) FROM base WHERE review_type = 'QC EDR'""")
+  SELECT *, lead(signoff) OVER (PARTITION BY o_custkey ORDER BY signoff, o_orderkey) AS next_signoff
+  FROM base WHERE review_type <> 'QC EDR' AND o_custkey NOT IN (
+    SELECT o_custkey FROM former WHERE nrd = former_nrd AND review_type <> 'Offboarding'))
+SELECT o_custkey, o_orderkey, signoff, next_signoff, nrd, CAST(CASE
+    WHEN review_type = 'Event Driven Review' AND duration <= 90 THEN 1
+    WHEN review_type = 'Event Driven Review' AND duration > 90 THEN 0
+    WHEN next_signoff <= nrd THEN 1
+    WHEN next_signoff > nrd THEN 0
+    WHEN nrd < DATE '{AS_OF}' AND next_signoff IS NULL THEN 0 END AS INTEGER) AS completed_on_time
+FROM s""")
 def t_07_completed_on_time(spark, sf):
     o = T(spark, sf).orders
     rt = (F.when(F.col("o_orderpriority") == "1-URGENT", "Event Driven Review")
           .when(F.col("o_orderpriority") == "2-HIGH", "Periodic Review")
           .when(F.col("o_orderpriority") == "3-MEDIUM", "Initial On-Boarding")
-          .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "Product Offboarding").otherwise("QC EDR"))
-    cases = o.select("o_custkey", "o_orderkey", rt.alias("review_type"), "o_orderdate",
-                     (F.col("o_totalprice") > 300000).alias("high_risk"))
-    return W.completed_on_time(cases, "o_custkey", "o_orderkey", "review_type", "o_orderdate", "high_risk",
-                               D.fromisoformat(AS_OF))
+          .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "Offboarding").otherwise("QC EDR"))
+    quarter, days = F.trunc(F.to_date("o_orderdate"), "quarter"), (F.col("o_orderkey") % 180).cast("int")
+    nrd = (F.when(F.col("o_totalprice") > 300000, F.add_months(quarter, 14))
+           .when(rt == "Event Driven Review", F.date_add(F.date_sub(F.to_date("o_orderdate"), days), 90))
+           .otherwise(F.add_months(quarter, 12)))
+    cases = o.select("o_custkey", "o_orderkey", rt.alias("review_type"), "o_orderdate", nrd.alias("next_review"),
+                     days.alias("duration"))
+    return W.completed_on_time(cases, "o_custkey", "o_orderkey", "review_type", "o_orderdate", "next_review",
+                               "duration", D.fromisoformat(AS_OF))
 
 
 @register("t_08_plan_vs_actual_snapshot", """
@@ -242,22 +244,32 @@ def m_01_to_base_currency(spark, sf):
 @register("m_02_limit_breach", """
 WITH u AS (SELECT o_custkey, round(sum(o_totalprice) / 100, 2) AS utilisation FROM orders
            WHERE o_orderstatus = 'O' GROUP BY o_custkey),
-x AS (SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 0.0 ELSE round(c_acctbal, 0) END AS lim,
-             coalesce(u.utilisation, 0.0) AS utilisation FROM customer LEFT JOIN u ON o_custkey = c_custkey)
-SELECT c_custkey, lim AS limit_amount, utilisation,
-  CASE WHEN lim = 0 THEN (1000.0 - utilisation) < 0 ELSE (lim - utilisation) < 0 END AS breach,
-  lim - utilisation AS available, (lim - utilisation) < 0 AS available_negative
-FROM x""")
+x AS (SELECT c_custkey,
+             CAST(CASE WHEN c_acctbal < 0 THEN 0.0 ELSE round(c_acctbal, 0) END AS DECIMAL(20, 2)) AS effective,
+             CAST(coalesce(u.utilisation, 0.0) AS DECIMAL(20, 2)) AS utilisation,
+             CAST(1000 AS DECIMAL(20, 2)) AS intraday
+      FROM customer LEFT JOIN u ON o_custkey = c_custkey),
+y AS (SELECT *, CASE WHEN c_custkey % 5 = 0 THEN effective ELSE CAST(0 AS DECIMAL(20, 2)) END AS unavailable FROM x),
+z AS (SELECT *, CAST(effective - unavailable - utilisation AS DECIMAL(20, 2)) AS available FROM y)
+SELECT c_custkey, effective, unavailable, utilisation, available,
+  effective - unavailable <> 0 AND effective - unavailable - utilisation < 0 AS effective_breach,
+  effective - unavailable = 0 AND intraday - utilisation < 0 AS intraday_breach,
+  available < 0 AS available_breach,
+  CAST(CASE WHEN effective = 0 THEN available + intraday ELSE available END AS DECIMAL(20, 2)) AS new_available
+FROM z""")
 def m_02_limit_breach(spark, sf):
     t = T(spark, sf)
     u = t.orders.where(F.col("o_orderstatus") == "O").groupBy("o_custkey").agg(
         F.round(F.sum("o_totalprice") / 100, 2).alias("utilisation"))
+    money = "decimal(20,2)"
+    effective = F.when(F.col("c_acctbal") < 0, F.lit(0.0)).otherwise(F.round("c_acctbal", 0)).cast(money)
     x = t.customer.join(u, F.col("o_custkey") == F.col("c_custkey"), "left").select(
-        "c_custkey", F.when(F.col("c_acctbal") < 0, F.lit(0.0)).otherwise(F.round("c_acctbal", 0)).alias("limit_amount"),
-        F.coalesce("utilisation", F.lit(0.0)).alias("utilisation"))
-    breach, avail, neg = M.limit_breach(F.col("limit_amount"), F.col("utilisation"), F.lit(1000.0))
-    return x.select("c_custkey", "limit_amount", "utilisation", breach.alias("breach"), avail.alias("available"),
-                    neg.alias("available_negative"))
+        "c_custkey", effective.alias("effective"),
+        F.when(F.col("c_custkey") % 5 == 0, effective).otherwise(F.lit(0)).cast(money).alias("unavailable"),
+        F.coalesce("utilisation", F.lit(0.0)).cast(money).alias("utilisation"))
+    x = x.withColumn("available", F.expr("effective - unavailable - utilisation").cast(money))
+    return x.withColumns(M.limit_breach(F.col("effective"), F.col("unavailable"), F.col("utilisation"), F.lit(1000),
+                                        F.col("available")))
 
 
 @register("m_03_transaction_rollup", f"""
@@ -294,7 +306,7 @@ def m_03_transaction_rollup(spark, sf):
                  F.col("c_nationkey") == F.col("n_nationkey"))
            .select("o_orderkey", "c_nationkey", "n_name"))
     # both sides grow with the data: a shuffle join, never a broadcast of the fact side
-    tx = (t.lineitem.hint("merge").join(ocn, F.col("l_orderkey") == F.col("o_orderkey"))
+    tx = (t.lineitem.join(ocn, F.col("l_orderkey") == F.col("o_orderkey"))
           .select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity", "l_returnflag",
                   "l_linestatus", "l_shipdate", "c_nationkey", "n_name")
           .distinct())

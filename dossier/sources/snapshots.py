@@ -67,13 +67,19 @@ def list_load_dates(spark: SparkSession, path: str) -> list[dt.date]:
 
 def resolve_version(versions: Iterable[str], obj: str, pinned: str | None = None,
                     mapping: dict[str, str] | None = None) -> str:
-    """S-04: pinned version, else the per-object mapping, else the max numeric folder."""
+    """S-04: pinned version, else the source's mapping, else the max numeric folder.
+
+    A source that has a mapping (see ``version_map``) must name the object: an object that is
+    absent from it raises, it does not fall through to the highest folder.
+    """
     vs = [v for v in versions if v.isdigit()]
     if pinned is not None:
         if pinned not in vs:
             raise SnapshotError(f"version {pinned} of {obj} not found")
         return pinned
-    if mapping and obj in mapping:
+    if mapping is not None:
+        if obj not in mapping:
+            raise SnapshotError(f"{obj} not found in the version mapping of its source")
         if mapping[obj] not in vs:
             raise SnapshotError(f"mapped version {mapping[obj]} of {obj} not found")
         return mapping[obj]
@@ -82,6 +88,20 @@ def resolve_version(versions: Iterable[str], obj: str, pinned: str | None = None
     return max(vs, key=int)
 
 
+def version_map(by_source: dict[str, dict[str, Sequence[str]]], source: str) -> dict[str, str] | None:
+    """S-04: object -> version of one source, from source -> version -> objects; None if the source has none.
+
+    An object listed under several versions has the first of them.
+    """
+    if source not in by_source:
+        return None
+    out: dict[str, str] = {}
+    for version, objects in by_source[source].items():
+        for obj in objects:
+            out.setdefault(obj, version)
+    return out
+
+
 def _version_path(spark, root, obj, version, mapping=None) -> str:
     base = f"{root.rstrip('/')}/{obj}"
     v = resolve_version(list_dirs(spark, base), obj, version, mapping)
