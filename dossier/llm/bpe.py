@@ -87,7 +87,10 @@ class Bpe:
         self._right_spine, self._left_spine = self._spine(right, made_at), self._spine(left, made_at)
         whole = self._whole(left, right, made_at)
         self.vocab = {t: i for t, i in vocab.items() if whole[i]}
-        self.longest = max(map(len, self.vocab))
+        # longest token by its first two bytes
+        self.reach: dict[bytes, int] = {}
+        for t in self.vocab:
+            self.reach[t[:2]] = max(len(t), self.reach.get(t[:2], 0))
         self._known: dict[str, bytes] = {}
 
     @staticmethod
@@ -133,9 +136,9 @@ class Bpe:
 
     def propose(self, word: bytes) -> list[int]:
         """Greedy longest match."""
-        out, at, vocab = [], 0, self.vocab
+        out, at, vocab, reach = [], 0, self.vocab, self.reach
         while at < len(word):
-            for end in range(min(len(word), at + self.longest), at, -1):
+            for end in range(min(len(word), at + reach.get(word[at:at + 2], 1)), at, -1):
                 token = vocab.get(word[at:end])
                 if token is not None:
                     out.append(token)
@@ -149,16 +152,17 @@ class Bpe:
         return self._merge_long(token) if len(token) > LONG_WORD else self._merge_short(token)
 
     def _merge_short(self, token: list[int]) -> list[int]:
-        rank = self.rank
-        while len(token) > 1:
-            least, at, made = NEVER, -1, -1
-            for i in range(len(token) - 1):
-                r, t = rank.get((token[i], token[i + 1]), NONE)
-                if r < least:
-                    least, at, made = r, i, t
-            if at < 0:
-                break
-            token[at:at + 2] = [made]
+        """Only the two pairs beside a merge are looked up again; equal ranks are equal pairs."""
+        get = self.rank.get
+        pairs = [get(p, NONE) for p in zip(token, token[1:])]
+        while pairs and (best := min(pairs)) is not NONE:
+            i = pairs.index(best)
+            token[i:i + 2] = [best[1]]
+            del pairs[i]
+            if i:
+                pairs[i - 1] = get((token[i - 1], token[i]), NONE)
+            if i < len(pairs):
+                pairs[i] = get((token[i], token[i + 1]), NONE)
         return token
 
     def _merge_long(self, token: list[int]) -> list[int]:
