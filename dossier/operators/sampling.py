@@ -89,7 +89,7 @@ def rule_tagging(df: DataFrame, keys: Sequence[str], rules: dict[str, Column], o
 
 
 def representative_sample(df: DataFrame, key: str, weight: str, mandatory: str, attributes: Sequence[str],
-                          size: int, n_candidates: int = 100, seed: int = 42) -> DataFrame:
+                          size: int, n_candidates: int = 1000, seed: int = 42) -> DataFrame:
     """X-04: among ``n_candidates`` weighted samples of exactly ``size`` rows (mandatory rows
     always in), keep the one whose attribute distribution is closest to the population (Q-17).
 

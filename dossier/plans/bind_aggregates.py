@@ -158,22 +158,17 @@ def a_13_ratio_class(spark, sf):
 
 @register("a_14_zero_fill_groups", """
 WITH c AS (
-  SELECT c_nationkey, count(*) AS n_pending
-  FROM orders JOIN customer ON o_custkey = c_custkey
-  WHERE o_orderstatus = 'P' AND o_orderdate >= TIMESTAMP '1995-01-01'
-    AND o_orderdate < TIMESTAMP '1995-02-01'
-  GROUP BY c_nationkey)
-SELECT n_nationkey, n_name, CAST(coalesce(c.n_pending, 0) AS BIGINT) AS n_pending
-FROM nation LEFT JOIN c ON c.c_nationkey = n_nationkey""")
+  SELECT o_custkey, count(*) AS n_orders, count(*) FILTER (WHERE o_orderstatus = 'P') AS n_pending
+  FROM orders GROUP BY o_custkey)
+SELECT c_custkey, c_name, CAST(coalesce(n_orders, 0) AS BIGINT) AS n_orders,
+       CAST(coalesce(n_pending, 0) AS BIGINT) AS n_pending
+FROM customer LEFT JOIN c ON o_custkey = c_custkey""")
 def a_14_zero_fill_groups(spark, sf):
     t = T(spark, sf)
-    o = t.orders.where((F.col("o_orderstatus") == "P")
-                       & (F.col("o_orderdate") >= F.lit("1995-01-01").cast("timestamp_ntz"))
-                       & (F.col("o_orderdate") < F.lit("1995-02-01").cast("timestamp_ntz")))
-    counts = o.join(t.customer, F.col("o_custkey") == F.col("c_custkey")) \
-        .groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).alias("n_pending"))
-    return zero_fill_groups(t.nation.select("n_nationkey", "n_name"), counts, ["n_nationkey"],
-                            ["n_pending"])
+    counts = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count(F.lit(1)).alias("n_orders"), F.count_if(F.col("o_orderstatus") == "P").alias("n_pending"))
+    return zero_fill_groups(t.customer.select("c_custkey", "c_name"), counts, ["c_custkey"],
+                            ["n_orders", "n_pending"])
 
 
 @register("a_15_first_value_agg", """

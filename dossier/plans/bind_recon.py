@@ -122,11 +122,11 @@ parties AS (
          CASE WHEN c_nationkey >= 20 THEN rc.code END AS iso
   FROM latest JOIN nation ON c_nationkey = n_nationkey JOIN rc ON rc.k = n_regionkey),
 lists AS (
-  SELECT r_name AS tab, rc.code AS iso, unnest(string_split(
-           string_agg(CASE WHEN n_nationkey % 2 = 0 THEN lower(n_name) ELSE n_name END, '~' ORDER BY n_name), '~'))
-           AS list_name
+  SELECT r_name AS tab, CASE WHEN r_regionkey % 2 = 0 THEN rc.code END AS iso, unnest(string_split(
+           string_agg(CASE WHEN n_nationkey % 2 = 0 THEN lower(n_name) WHEN n_nationkey % 5 = 0 THEN 'former ' || n_name
+                           ELSE n_name END, '~' ORDER BY n_name), '~')) AS list_name
   FROM region JOIN nation ON n_regionkey = r_regionkey JOIN rc ON rc.k = r_regionkey
-  WHERE r_regionkey <= 2 GROUP BY r_name, rc.code),
+  GROUP BY r_name, r_regionkey, rc.code),
 hits AS (
   SELECT DISTINCT c_custkey, tab AS list_tab FROM parties JOIN lists
     ON lower(trim(parties.country)) = lower(trim(lists.list_name))
@@ -143,11 +143,12 @@ def _screening(spark, sf):
                .join(F.broadcast(rc), F.col("n_regionkey") == F.col("k"))
                .select("c_custkey", F.when(F.col("c_nationkey") < 20, F.col("n_name")).alias("country"),
                        F.when(F.col("c_nationkey") >= 20, F.col("code")).alias("iso")))
-    names = F.when(F.col("n_nationkey") % 2 == 0, F.lower("n_name")).otherwise(F.col("n_name"))
-    lists = (t.region.where(F.col("r_regionkey") <= 2)
-             .join(t.nation, F.col("n_regionkey") == F.col("r_regionkey"))
+    # lists of all regions; some names match no country, and some lists have no code
+    names = (F.when(F.col("n_nationkey") % 2 == 0, F.lower("n_name"))
+             .when(F.col("n_nationkey") % 5 == 0, F.concat(F.lit("former "), "n_name")).otherwise(F.col("n_name")))
+    lists = (t.region.join(t.nation, F.col("n_regionkey") == F.col("r_regionkey"))
              .join(F.broadcast(rc), F.col("k") == F.col("r_regionkey"))
-             .groupBy(F.col("r_name").alias("tab"), F.col("code").alias("iso"))
+             .groupBy(F.col("r_name").alias("tab"), F.when(F.col("r_regionkey") % 2 == 0, F.col("code")).alias("iso"))
              .agg(F.concat_ws("~", F.transform(F.array_sort(F.collect_list(F.struct("n_name", names.alias("v")))),
                                                lambda s: s.getField("v"))).alias("names")))
     lists = RC.explode_watch_list(lists, "names")

@@ -51,18 +51,18 @@ def k_02_upsert(spark, sf):
 
 
 @register("k_03_conditional_update", """
-WITH s AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'signup'),
-closing AS (SELECT event_id, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS close_ts
+WITH s AS (SELECT event_id, user_id, event_type, ts FROM events),
+closing AS (SELECT event_id, lead(ts) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS close_ts
             FROM s)
-SELECT s.event_id, s.user_id, s.ts,
+SELECT s.event_id, s.user_id, s.event_type, s.ts,
   CASE WHEN c.close_ts IS NOT NULL THEN c.close_ts END AS valid_to,
   CASE WHEN c.close_ts IS NOT NULL THEN 'closed' ELSE 'open' END AS status
 FROM s LEFT JOIN closing c ON s.event_id = c.event_id""")
 def k_03_conditional_update(spark, sf):
     from dossier.operators.ordered import ordered_scan
-    e = T(spark, sf).events.where(F.col("event_type") == "signup").select("event_id", "user_id", "ts")
+    e = T(spark, sf).events.select("event_id", "user_id", "event_type", "ts")
     target = e.withColumn("valid_to", F.lit(None).cast("timestamp_ntz")).withColumn("status", F.lit("open"))
-    closing = (ordered_scan(e, ["user_id"], [F.col("ts"), F.col("event_id")], {"close_ts": ("lead", "ts")})
+    closing = (ordered_scan(e, ["user_id", "event_type"], [F.col("ts"), F.col("event_id")], {"close_ts": ("lead", "ts")})
                .where(F.col("close_ts").isNotNull()).withColumn("new_status", F.lit("closed")))
     return K.conditional_update(target, closing, ["event_id"], {"valid_to": "close_ts", "status": "new_status"})
 
