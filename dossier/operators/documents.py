@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_DOCUMENT_CHARS = 2_000_000
+#: D-01 starts a new part of a client's document (and of an order's lines) every so many JSON characters.
+PART_CHARS = 1_000_000
 
 
 def nest(child: DataFrame, keys: Sequence[str], fields: Sequence[str], name: str) -> DataFrame:
@@ -156,3 +158,75 @@ def build_documents_2(parent: DataFrame, key: str, mid: DataFrame, mid_id: str,
     docs = parent.join(keep, key, "left_semi").join(outer, key, "left").withColumn(
         mid_name, F.coalesce(F.col(mid_name), F.array().cast(outer.schema[mid_name].dataType)))
     return docs, dropped
+
+
+def _dealt(rows: DataFrame, key: str, order: Sequence[str], size: str, totals: DataFrame, width: int, name: str
+           ) -> tuple[DataFrame, DataFrame]:
+    """``rows`` with the number ``name`` (from 1) of their part, and the number of parts of each large key.
+
+    ``totals`` has the summed ``size`` of every key.  Keys within ``width`` are one part.  The rows of
+    a larger key are dealt into hash buckets, about one per ``width``, and a running sum of sizes
+    starts a part every ``width`` in each bucket, so no task needs to hold or order a whole key.
+    """
+    large = totals.where(F.col("__total") > width).select(key, F.ceil(F.col("__total") / width).alias("__nb"))
+    one = rows.join(large, key, "left_anti").withColumn(name, F.lit(1).cast("bigint"))
+    cut = rows.join(large, key).withColumn("__b", F.pmod(F.xxhash64(*order), "__nb"))
+    before = F.sum(size).over(Window.partitionBy(key, "__b").orderBy(*order)
+                              .rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col(size)
+    cut = cut.withColumn("__at", F.floor(before / width))
+    # parts that have rows, numbered over the buckets of their key
+    parts = cut.select(key, "__b", "__at").distinct()
+    held = parts.groupBy(key, "__b").agg(F.count(F.lit(1)).alias("__np"))
+    base = held.withColumn("__base", F.sum("__np").over(
+        Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("__np"))
+    nth = F.row_number().over(Window.partitionBy(key, "__b").orderBy("__at"))
+    numbered = (parts.withColumn("__nth", nth).join(base, [key, "__b"])
+                .select(key, "__b", "__at", (F.col("__base") + F.col("__nth")).cast("bigint").alias(name)))
+    cut = cut.join(numbered, [key, "__b", "__at"]).select(*rows.columns, name)
+    return one.unionByName(cut), held.groupBy(key).agg(F.sum("__np").alias("__parts"))
+
+
+def build_document_parts(parent: DataFrame, key: str, mid: DataFrame, mid_id: str, mid_fields: Sequence[str],
+                         sub: DataFrame, sub_fields: Sequence[str], mid_name: str, sub_name: str,
+                         part_chars: int = PART_CHARS) -> tuple[DataFrame, DataFrame]:
+    """D-01 over two levels (client -> orders -> lines), whole at any size.
+
+    Returns (documents, predicted).  Documents: the parent's columns, ``part`` (from 1) and
+    ``mid_name``, a sorted array of ``struct(*mid_fields, sub_name)``.  A client whose document has
+    at most ``part_chars`` JSON characters is one row; a longer one is several rows, which together
+    have every order and line once.  An order longer than ``part_chars`` is several elements with
+    the same fields and a share of its lines each.  Parts are cut by running sums of predicted
+    lengths before anything is collected; no part is longer than about twice ``part_chars``.
+    Predicted: ``key``, ``part`` and ``json_length``, the length that ``to_json`` of the key and
+    the part's array will have.
+    """
+    line = F.length(F.to_json(F.struct(*[F.col(c) for c in sub_fields])))
+    subs = sub.where(F.col(mid_id).isNotNull()).select(mid_id, *sub_fields, line.cast("bigint").alias("__len"))
+    totals = subs.groupBy(mid_id).agg(F.sum(F.col("__len") + 1).alias("__total"))
+    subs, _ = _dealt(subs.withColumn("__size", F.col("__len") + 1), mid_id, sub_fields, "__size", totals, part_chars,
+                     "__piece")
+    pieces = subs.groupBy(mid_id, "__piece").agg(F.sum("__len").alias("__s"), F.count(F.lit(1)).alias("__n"))
+    empty = F.array().cast("array<string>").alias(sub_name)
+    base = F.length(F.to_json(F.struct(*[F.col(c) for c in mid_fields], empty))) - 2
+    units = (mid.where(F.col(key).isNotNull()).select(key, *dict.fromkeys([mid_id, *mid_fields])).join(pieces, mid_id, "left")
+             .withColumn("__ml", (base + _array_json_length(F.col("__n"), F.col("__s"))).cast("bigint"))
+             .drop("__s", "__n").withColumn("__size", F.col("__ml") + 1))
+    totals = units.groupBy(key).agg(F.sum("__size").alias("__total"))
+    units, large = _dealt(units, key, [*dict.fromkeys([mid_id, *mid_fields]), "__piece"], "__size", totals, part_chars,
+                          "part")
+    whole = parent.join(large, key, "left").withColumn(
+        "part", F.explode(F.sequence(F.lit(1).cast("bigint"), F.coalesce("__parts", F.lit(1).cast("bigint"))))).drop("__parts")
+
+    sums = units.groupBy(key, "part").agg(F.sum("__ml").alias("__s"), F.count(F.lit(1)).alias("__n"))
+    head = F.length(F.to_json(F.struct(F.col(key)))) - 1
+    predicted = whole.select(key, "part").join(sums, [key, "part"], "left").select(
+        key, "part", (head + F.lit(len(mid_name) + 5) + _array_json_length(F.col("__n"), F.col("__s")))
+        .cast("bigint").alias("json_length"))
+
+    inner = nest(subs, [mid_id, "__piece"], sub_fields, sub_name)
+    full = units.join(inner, [mid_id, "__piece"], "left")
+    full = full.withColumn(sub_name, F.coalesce(F.col(sub_name), F.array().cast(inner.schema[sub_name].dataType)))
+    outer = nest(full, [key, "part"], [*mid_fields, sub_name], mid_name)
+    docs = whole.join(outer, [key, "part"], "left").withColumn(
+        mid_name, F.coalesce(F.col(mid_name), F.array().cast(outer.schema[mid_name].dataType)))
+    return docs.select(*parent.columns, "part", mid_name), predicted

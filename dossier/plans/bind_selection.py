@@ -144,22 +144,20 @@ def x_08_entity_edges(spark, sf):
 
 # ---------------------------------------------------------------- documents
 
-def _documents(spark, sf, max_chars=DOC.MAX_DOCUMENT_CHARS):
+def _documents(spark, sf):
     t = T(spark, sf)
     orders = t.orders.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_orderstatus",
                              F.to_date("o_orderdate").alias("o_orderdate"))
     lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_quantity")
-    return DOC.build_documents_2(t.customer.select("c_custkey", "c_name"), "c_custkey", orders, "o_orderkey",
-                                 ["o_orderkey", "o_orderstatus", "o_orderdate"], lines,
-                                 ["l_linenumber", "l_partkey", "l_quantity"], "orders", "lines", max_chars)
+    return DOC.build_document_parts(t.customer.select("c_custkey", "c_name"), "c_custkey", orders, "o_orderkey",
+                                    ["o_orderkey", "o_orderstatus", "o_orderdate"], lines,
+                                    ["l_linenumber", "l_partkey", "l_quantity"], "orders", "lines")
 
 
 @register("d_01_build_documents")
 def d_01_build_documents(spark, sf):
-    """One row per client; one whose document is too long has its length instead of its orders."""
-    docs, over = _documents(spark, sf)
-    names = T(spark, sf).customer.select("c_custkey", "c_name")
-    return docs.unionByName(names.join(over, "c_custkey"), allowMissingColumns=True)
+    """Every client with all its orders and lines; a long document is several rows (parts)."""
+    return _documents(spark, sf)[0]
 
 
 @register("d_01_document_counts", """
@@ -168,19 +166,25 @@ SELECT c_custkey, count(o_orderkey) AS n_orders, CAST(coalesce(sum(l.n), 0) AS I
 FROM customer LEFT JOIN orders ON o_custkey = c_custkey LEFT JOIN l ON l.l_orderkey = o_orderkey
 GROUP BY c_custkey""")
 def d_01_document_counts(spark, sf):
-    docs, _ = _documents(spark, sf)
-    n_lines = F.aggregate("orders", F.lit(0), lambda acc, o: acc + F.size(o.getField("lines")))
-    return docs.select("c_custkey", F.size("orders").cast("bigint").alias("n_orders"), n_lines.alias("n_lines"))
+    t = T(spark, sf)
+    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("n"))
+    per = (t.orders.select("o_custkey", "o_orderkey").join(lines, "o_orderkey", "left")
+           .groupBy(F.col("o_custkey").alias("c_custkey"))
+           .agg(F.count("o_orderkey").alias("n_orders"), F.sum("n").alias("n_lines")))
+    return t.customer.select("c_custkey").join(per, "c_custkey", "left").select(
+        "c_custkey", F.coalesce("n_orders", F.lit(0).cast("bigint")).alias("n_orders"),
+        F.coalesce("n_lines", F.lit(0)).cast("int").alias("n_lines"))
 
 
 @register("d_01_document_length_check")
 def d_01_document_length_check(spark, sf):
-    """Predicted JSON length (computed before collecting) against the real one: must be equal."""
-    docs, _ = _documents(spark, sf)
-    predicted = _documents(spark, sf, max_chars=-1)[1]   # every client "dropped": all predictions
-    real = docs.select("c_custkey", F.length(F.to_json(F.struct("c_custkey", "orders"))).alias("real_length"))
-    return real.join(predicted, "c_custkey", "left").where(
-        F.coalesce(F.col("json_length"), F.lit(-1)) != F.col("real_length"))
+    """Predicted JSON length (computed before collecting) against the real one, for every part of
+    every client: must be equal."""
+    docs, predicted = _documents(spark, sf)
+    real = docs.select("c_custkey", "part",
+                       F.length(F.to_json(F.struct("c_custkey", "orders"))).alias("real_length"))
+    return real.join(predicted, ["c_custkey", "part"], "full").where(
+        ~F.col("json_length").eqNullSafe(F.col("real_length")))
 
 
 @register("d_02_document_size_guard")
