@@ -107,7 +107,9 @@ class Bands:
         return 1 if self.differ[band] > 3 else 0
 
     def of(self, size: int) -> list[int]:
-        """The bands that a set takes part in; none if only equal sets can be similar to it."""
+        """The bands that a set takes part in; none if it is empty or only equal sets can be similar to it."""
+        if size == 0:
+            return []
         k = int(np.searchsorted(self.lo, size, side="right")) - 1
         both = [k, k + 1] if size * self.q // self.p >= self.lo[k + 1] else [k]
         return [b for b in both if self.differ[b] > 0]
