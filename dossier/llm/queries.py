@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dossier.llm import (bpe, chat, exact_dedup, language, mixing, ngram_join, quality_rules, sharding,
+from dossier.llm import (bpe, chat, exact_dedup, filter_audit, language, mixing, ngram_join, quality_rules, sharding,
                          suffix_dedup, token_store)
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_sharding": sharding.op8_sharding,
     "op9_ngram_join": ngram_join.op9_ngram_join,
     "op10_language_id": language.op10_language_id,
+    "op11_filter_audit": filter_audit.op11_filter_audit,
 }
 
 ORACLE_SQL = {
@@ -23,4 +24,5 @@ ORACLE_SQL = {
     "op4_exact_dedup": exact_dedup.SQL,
     "op5_chat": chat.SQL,
     "op7_mixing": mixing.SQL,
+    "op11_filter_audit": filter_audit.SQL,
 }
