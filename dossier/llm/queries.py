@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from dossier.llm import (bpe, chat, exact_dedup, filter_audit, language, mixing, ngram_join, quality_rules, sharding,
-                         suffix_dedup, token_store)
+from dossier.llm import (bpe, chat, exact_dedup, filter_audit, hard_negatives, language, mixing, ngram_join,
+                         quality_rules, sharding, suffix_dedup, token_store)
 
 QUERIES = {
     "op1_token_store": token_store.op1_token_store,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_ngram_join": ngram_join.op9_ngram_join,
     "op10_language_id": language.op10_language_id,
     "op11_filter_audit": filter_audit.op11_filter_audit,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 
 ORACLE_SQL = {
@@ -25,4 +26,5 @@ ORACLE_SQL = {
     "op5_chat": chat.SQL,
     "op7_mixing": mixing.SQL,
     "op11_filter_audit": filter_audit.SQL,
+    "op13_hard_negatives": hard_negatives.SQL,
 }
