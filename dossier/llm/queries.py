@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dossier.llm import (bpe, chat, exact_dedup, filter_audit, hard_negatives, language, mixing, ngram_join,
+from dossier.llm import (bpe, chat, chosen_path, exact_dedup, filter_audit, hard_negatives, language, mixing, ngram_join,
                          quality_rules, sharding, suffix_dedup, token_store)
 
 QUERIES = {
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_ngram_join": ngram_join.op9_ngram_join,
     "op10_language_id": language.op10_language_id,
     "op11_filter_audit": filter_audit.op11_filter_audit,
+    "op12_minhash_paths": chosen_path.op12_minhash_paths,
     "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 
