@@ -12,7 +12,9 @@ Linked documents have shingle sets with a Jaccard similarity of at least p / q.
   their own at the root are repeated until a pair just at the threshold is missed with the
   probability 1 - RECALL at most.  A child with one set ends at once, which most do.
 * Leaves are compared exhaustively, by sketches first: a pair whose sketches agree in fewer
-  coordinates than a similar pair's would in all but FILTER_MISS of cases is left out.
+  coordinates than a similar pair's would in all but FILTER_MISS of cases is left out.  Then an
+  exact bound: sets that are counted in CELLS parts of the universe differ by as much as their
+  counts do at least, so a pair whose counts differ by more than a link allows is left out too.
 * Links are confirmed on the full sets: the words of both texts are numbered by an exact
   dictionary, and their windows are compared as wholes.
 
@@ -55,7 +57,9 @@ BRANCHES, DEPTH, LEAF = 2, 4, 1024
 #: Probability that a pair at the threshold is together in a leaf of some tree; that its sketches hide it.
 RECALL, FILTER_MISS = 0.9999, 1e-6
 #: Sets that are compared with each other in one go.
-BLOCK = 2048
+BLOCK = 512
+#: Parts of the universe of shingles that a set is counted in, and the largest count told apart.
+CELLS, MOST_IN_CELL = 1024, 127
 SEED = 12
 
 
@@ -181,21 +185,35 @@ def _near(pairs: DataFrame, sets: DataFrame, least: int, p: int, q: int) -> Data
     return sized.select("x", "y", "sx", "sy").mapInArrow(run, "x long, y long, agreement long")
 
 
-def _across(spark: SparkSession, members: DataFrame, sets: DataFrame, least: int, p: int, q: int) -> DataFrame:
-    """(x, y): pairs of different components in one leaf that sketches and sizes allow.
+def _counted(packed: DataFrame, words: int) -> DataFrame:
+    """node and the number of its shingles in each of CELLS parts of the universe, a byte each."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, unpack = Shingler(words), zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            counts = [np.bincount((shingler(unpack(x)) % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+                      for x in batch.column(1).to_pylist()]
+            data = [np.minimum(c, MOST_IN_CELL).astype(np.int8).tobytes() for c in counts]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], names=["node", "cells"])
+
+    return packed.select("node", "packed").mapInArrow(run, "node long, cells binary")
+
+
+def _across(members: DataFrame, sets: DataFrame, cells: DataFrame, least: int, p: int, q: int) -> DataFrame:
+    """(x, y): pairs of different components in one leaf that sizes, sketches and counts allow.
 
     A leaf of more than BLOCK sets is dealt out as pairs of blocks.
     """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    rows = (members.join(sets.select("node", "sketch", "n"), "node")
+    rows = (members.join(sets.select("node", "sketch", "n"), "node").join(cells, "node")
             .withColumn("mine", F.pmod(F.xxhash64("node"), blocks).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
             .select("path", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"),
-                    "mine", "node", "root", "n", "sketch"))
+                    "mine", "node", "root", "n", "sketch", "cells"))
 
     def compare(held: pa.Table) -> pa.RecordBatch:
         node, root, n, mine = (held.column(c).to_numpy() for c in ("node", "root", "n", "mine"))
         sketch = np.frombuffer(b"".join(held.column("sketch").to_pylist()), "<u4").reshape(-1, COORDINATES)
+        counts = np.frombuffer(b"".join(held.column("cells").to_pylist()), np.int8).reshape(-1, CELLS)
         lo, hi = held.column("lo")[0].as_py(), held.column("hi")[0].as_py()
         left = np.flatnonzero(mine == lo)
         right = np.arange(len(node)) if lo == hi else np.flatnonzero(mine == hi)
@@ -205,9 +223,12 @@ def _across(spark: SparkSession, members: DataFrame, sets: DataFrame, least: int
             good = ((root[a][:, None] != root[right]) & ((lo != hi) | (a[:, None] < right))
                     & (q * np.minimum(n[a][:, None], n[right]) >= p * np.maximum(n[a][:, None], n[right])))
             i, j = np.nonzero(good)
-            for k in range(0, len(i), 1 << 14):  # bounds the memory of the comparison
-                u, v = a[i[k:k + (1 << 14)]], right[j[k:k + (1 << 14)]]
+            for k in range(0, len(i), 1 << 13):  # bounds the memory of the comparison
+                u, v = a[i[k:k + (1 << 13)]], right[j[k:k + (1 << 13)]]
                 near = (sketch[u] == sketch[v]).sum(axis=1) >= least
+                u, v = u[near], v[near]
+                apart = np.abs(counts[u].astype(np.int16) - counts[v]).sum(axis=1, dtype=np.int64)
+                near = apart * (q + p) <= (n[u] + n[v]) * (q - p)
                 out.append((node[u[near]], node[v[near]]))
         u, v = (np.concatenate([np.empty(0, np.int64), *z]) for z in zip(*out)) if out else (np.empty(0, np.int64),) * 2
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["x", "y"])
@@ -280,7 +301,9 @@ def groups(spark: SparkSession, docs: DataFrame, words: int = 5, p: int = 80, q:
         more = written(spark, _confirmed(best, packed, words, p, q), "paths-links")
         links = more if links is None else links.unionByName(more)
         members = _open(spark, members, links)
-    rest = _across(spark, members, sets, least, p, q)
+    alone = written(spark, members.select("node").distinct(), "paths-alone")
+    cells = written(spark, _counted(packed.join(alone, "node", "left_semi"), words), "paths-cells")
+    rest = _across(members, sets, cells, least, p, q)
     links = links.unionByName(written(spark, _confirmed(rest, packed, words, p, q), "paths-links"))
     roots = written(spark, components(spark, links), "paths-roots")
     linked = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
