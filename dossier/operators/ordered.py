@@ -1,12 +1,18 @@
 """Ordered per-key scans that stay parallel when one key holds a large share of the rows.
 
-``Window.partitionBy(key).orderBy(...)`` sends every row of a key to one
-task.  Here rows are range-partitioned on (key, order) instead: a hot key
-is split into contiguous *chunks* spread over many tasks (equal sort keys
-always share a chunk).  Each chunk computes its local running values, a
-small per-(key, chunk) summary carries what crosses chunk borders (row
-counts, running totals, the last / first row), and a prefix over the
-chunks of each key (a few rows per key) is joined back.
+``Window.partitionBy(key).orderBy(...)`` sends every row of a key to one task.  Here a key that
+fills more than one partition's share is cut into contiguous *chunks* of (key, order), and the scan
+is a distributed prefix scan: each chunk computes its running values by itself, every chunk hands
+on one carry row (row count, running totals, last and first value), the carries of a key are
+combined in order, and the result is joined back to the chunk's rows.
+
+One plan serves every size, and nothing runs while it is built.  The chunk borders come from a
+scalar subquery of the plan itself: of the rows with the least hashes of (keys, order), a bounded
+and repeatable choice, every key with more than a partition's share gives borders at equal
+distances.  A row's chunk is a pure function of its values and these borders (a binary search), so
+every branch and every recomputation after a lost executor agrees.  Keys without borders have
+chunk 0 and no carries: only rows of split keys take part in the carry branch, whose result has at
+most two rows per border and is broadcast.
 
 Supported outputs, all over a caller-supplied *total* order:
 
@@ -20,176 +26,128 @@ Supported outputs, all over a caller-supplied *total* order:
 * ``("rank",)`` / ``("dense_rank",)``  rank of the row's ``rank_by`` values (peers share
   a chunk, so per-chunk counts add up)
 
-``chunk_col`` lets a second scan reuse the chunks (and the partitioning)
-of a first one, so chained scans add no new range shuffle.
+An order is a list of column names or of tuples (name, ascending[, nulls first]); nulls come
+first where ascending and last where descending unless said.  NULL keys form a group of their own.
+``chunk_col`` lets a second scan reuse the chunks (and the partitioning) of a first one, so chained
+scans add no new shuffle.
+
+Limits: rows that are equal in keys and order share a chunk, whatever their number, and a key is cut
+along its leading order columns of atomic types only.
 """
 
 from __future__ import annotations
 
-import functools
-import re
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHUNK = "__chunk"
-# a key is split only when it holds more than one chunk's share of the rows
-# *and* more than this many rows (estimated): below that one task copes fine
-HOT_MIN_ROWS = 1_000_000
-# chunk even without a hot key (tests exercise the chunked path on small data)
-FORCE_CHUNKS = False
+#: Chunks that an input is cut into at most; None: as many as there are shuffle partitions.
+CHUNKS: int | None = None
+#: Rows of the choice per chunk.
+PER_CHUNK = 64
+
+Order = str | tuple[str, bool] | tuple[str, bool, bool]
 
 
-def _spec(o) -> tuple[str, bool, bool]:
-    """(column, ascending, nulls_first) from a name, a tuple or ``F.col(name)`` with a sort order."""
-    if isinstance(o, tuple):
-        name, asc = o[0], o[1]
-        return name, asc, (o[2] if len(o) > 2 else asc)
+def _spec(o: Order) -> tuple[str, bool, bool]:
+    """(column, ascending, nulls first)."""
     if isinstance(o, str):
         return o, True, True
-    txt = o._jc.toString()
-    m = re.match(r"^`?([A-Za-z_][A-Za-z0-9_]*)`?( ASC| DESC)?( NULLS (FIRST|LAST))?$", txt)
-    if not m:
-        raise ValueError(f"order must be plain columns, got {txt}")
-    asc = m.group(2) != " DESC"
-    nulls_first = (m.group(4) == "FIRST") if m.group(4) else asc
-    return m.group(1), asc, nulls_first
-
-
-def _cmp(a, b, asc: bool, nulls_first: bool) -> int:
-    if a is None or b is None:
-        if a is None and b is None:
-            return 0
-        return (-1 if nulls_first else 1) * (1 if a is None else -1)
-    c = (a > b) - (a < b)
-    return c if asc else -c
-
-
-def _before(x: Column, b, asc: bool, nulls_first: bool) -> Column:
-    """``x`` sorts strictly before the literal ``b``."""
-    if b is None:
-        return F.lit(False) if nulls_first else x.isNotNull()
-    lit = F.lit(b)
-    smaller = (x < lit) if asc else (x > lit)
-    return (x.isNull() | smaller) if nulls_first else (x.isNotNull() & smaller)
-
-
-def _at_or_after(cols: list[tuple[str, bool, bool]], bound: tuple) -> Column:
-    """Row >= boundary in lexicographic (key, order) order."""
-    lt = F.lit(False)
-    for (c, asc, nf), b in reversed(list(zip(cols, bound))):
-        x = F.col(c)
-        eq = x.eqNullSafe(F.lit(b)) if b is not None else x.isNull()
-        lt = _before(x, b, asc, nf) | (eq & lt)
-    return ~lt
-
-
-def _estimated_rows(df: DataFrame) -> int:
-    """Row estimate from the optimizer's statistics (no job)."""
-    st = df._jdf.queryExecution().optimizedPlan().stats()
-    rc = st.rowCount()
-    if rc.isDefined():
-        return int(str(rc.get()))
-    return max(1, int(str(st.sizeInBytes())) // 64)
-
-
-def chunk_boundaries(df: DataFrame, cols: list[tuple[str, bool, bool]], n: int, per_chunk: int = 64,
-                     max_sample: int = 200_000, n_keys: int | None = None) -> tuple[list[tuple], bool]:
-    """Up to ``n - 1`` boundaries of (key, order) from a deterministic, bounded sample.
-
-    Rows are selected by a hash of their sort values (equal values are
-    selected together); the modulus comes from the optimizer's row
-    estimate and at most ``max_sample`` rows reach the driver.  Boundaries
-    only steer balance: any boundaries give correct results.  Also returns
-    whether some key (the first ``n_keys`` columns) holds more than one
-    chunk's share of the sample, i.e. whether chunking is worth it.
-    """
-    names = [c for c, _, _ in cols]
-    est = _estimated_rows(df)
-    if est > 10 ** 13:  # no usable statistics (e.g. a local relation): count once
-        est = df.count()
-    m = min(1 << 40, max(1, est // max(1, n * per_chunk)))
-    h = F.xxhash64(*[F.col(c) for c in names])
-    sample = [tuple(r) for r in
-              df.select(*names).where(F.pmod(h, F.lit(m)) == 0).limit(max_sample).collect()]
-
-    def key_cmp(a, b):
-        for (_, asc, nf), x, y in zip(cols, a, b):
-            c = _cmp(x, y, asc, nf)
-            if c:
-                return c
-        return 0
-    nk = len(cols) if n_keys is None else n_keys
-    counts: dict = {}
-    for r in sample:
-        counts[r[:nk]] = counts.get(r[:nk], 0) + 1
-    top = max(counts.values()) if counts else 0
-    hot = bool(sample) and (FORCE_CHUNKS or (top * n > len(sample) and top * m > HOT_MIN_ROWS))
-    sample.sort(key=functools.cmp_to_key(key_cmp))
-    out = []
-    for i in range(1, n):
-        k = i * len(sample) // n
-        if 0 < k < len(sample):
-            b = sample[k]
-            if not out or key_cmp(out[-1], b) != 0:
-                out.append(b)
-    return out, hot
-
-
-def add_chunks(df: DataFrame, keys: Sequence[str], order: Sequence, n: int | None = None) -> DataFrame:
-    """Tag every row with the chunk of its (keys, order) value.
-
-    Chunks are contiguous ranges of the (keys, order) ordering; a row's chunk
-    is a pure function of its values and boundaries fixed in the plan, so
-    every branch and every recomputation (after a lost executor) agrees.
+    name, asc = o[0], o[1]
+    return name, asc, (o[2] if len(o) > 2 else asc)
+
+
+def sort_column(o: Order) -> Column:
+    """The sort expression of an order entry."""
+    name, asc, nulls_first = _spec(o)
+    c = F.col(name)
+    if asc:
+        return c.asc_nulls_first() if nulls_first else c.asc_nulls_last()
+    return c.desc_nulls_first() if nulls_first else c.desc_nulls_last()
+
+
+def _falling(name: str, kind: T.DataType) -> list[Column] | None:
+    """Columns whose ascending order is the descending order of a non-NULL ``name``; None if there are none."""
+    c = F.col(name)
+    if isinstance(kind, T.BooleanType):
+        return [~c]
+    if isinstance(kind, T.IntegralType):
+        return [F.bitwise_not(c)]
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return [~F.isnan(c), -c]  # NaN is the greatest
+    if isinstance(kind, T.DecimalType):
+        return [-c]
+    if isinstance(kind, T.DateType):
+        return [F.bitwise_not(F.unix_date(c))]
+    if isinstance(kind, T.TimestampNTZType):
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return [F.bitwise_not(F.timestamp_diff("MICROSECOND", epoch, c))]
+    if isinstance(kind, T.TimestampType):
+        return [F.bitwise_not(F.unix_micros(c))]
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        # complemented hex digits, with an end that is greater than any digit
+        digits = "0123456789ABCDEF"
+        return [F.concat(F.translate(F.hex(c), digits, digits[::-1]), F.lit("~"))]
+    return None
+
+
+def _ascending(df: DataFrame, order: Sequence[Order]) -> Column:
+    """A struct whose natural order is ``order``, as far as its leading columns can be said so."""
+    fields: list[Column] = []
+    for o in order:
+        name, asc, nulls_first = _spec(o)
+        kind = df.schema[name].dataType
+        if not isinstance(kind, T.AtomicType):
+            break
+        value = [F.col(name)] if asc else _falling(name, kind)
+        if value is None:
+            break
+        fields += [F.col(name).isNotNull() if nulls_first else F.col(name).isNull(), *value]
+    return F.struct(F.lit(True), *fields)
+
+
+def _borders(df: DataFrame, keys: Sequence[str], cut: Sequence[Order], order: Sequence[Order], n: int) -> DataFrame:
+    """One row, one array: the borders (k, o) of the keys that hold more than 1 / n of the rows."""
+    values = [F.col(x) for x in dict.fromkeys([*keys, *[_spec(o)[0] for o in order]])]
+    chosen = (df.select(F.struct(*keys).alias("k"), _ascending(df, cut).alias("o"), F.xxhash64(*values).alias("h"))
+              .orderBy("h").limit(n * PER_CHUNK).select("k", "o"))
+    of_key = Window.partitionBy("k")
+    placed = chosen.select("k", "o", F.count(F.lit(1)).over(of_key).alias("held"),
+                           F.row_number().over(of_key.orderBy("o")).alias("nth"),
+                           F.count(F.lit(1)).over(Window.partitionBy()).alias("total"))
+    steps = F.floor(F.col("nth") * n / F.col("total")) > F.floor((F.col("nth") - 1) * n / F.col("total"))
+    hot = placed.where(F.col("held") * n > F.col("total")).where(steps & (F.col("nth") > 1))
+    return hot.agg(F.sort_array(F.collect_set(F.struct("k", "o"))).alias("borders"))
+
+
+def add_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[Order], n: int | None = None,
+               cut: Sequence[Order] | None = None) -> DataFrame:
+    """Tag every row with its chunk: 0 where its key is not split, else contiguous ranges of (keys, cut).
+
+    ``cut`` is a prefix of ``order``; rows that are equal in it share a chunk.
     """
-    spark = df.sparkSession
-    n = n or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = [(k, True, True) for k in keys] + [_spec(o) for o in order]
-    bounds, hot = chunk_boundaries(df, cols, n, n_keys=len(keys))
-    if not hot or not bounds:
-        # no key needs more than one task: a single chunk, plain windows downstream
-        return df.withColumn(CHUNK, F.lit(0).alias(CHUNK, metadata={"chunks": 1}))
-
-    def search(lo: int, hi: int) -> Column:  # chunk in [lo, hi]; chunk i >= bounds[i-1]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(_at_or_after(cols, bounds[mid - 1]), search(mid, hi)).otherwise(search(lo, mid - 1))
-    return df.withColumn(CHUNK, search(0, len(bounds)).alias(CHUNK, metadata={"chunks": len(bounds) + 1}))
-
-
-def _plain_scan(x: DataFrame, keys: Sequence[str], order: Sequence[Column], specs: dict[str, tuple],
-                rb: Sequence[Column]) -> DataFrame:
-    """The same outputs with ordinary per-key windows (no key is hot)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cols = []
-    for out, spec in specs.items():
-        kind = spec[0]
-        col = spec[1] if len(spec) > 1 else None
-        c = {"row_number": lambda: F.row_number().over(w),
-             "is_first": lambda: F.row_number().over(w) == 1,
-             "lag": lambda: F.lag(col, 1).over(w),
-             "lead": lambda: F.lead(col, 1).over(w),
-             "sum": lambda: F.sum(col).over(run),
-             "max": lambda: F.max(col).over(run),
-             "min": lambda: F.min(col).over(run),
-             "max_before": lambda: F.max(col).over(w.rowsBetween(Window.unboundedPreceding, -1)),
-             "last_nonnull": lambda: F.last(col, ignorenulls=True).over(run),
-             "next_nonnull": lambda: F.first(col, ignorenulls=True).over(
-                 w.rowsBetween(Window.currentRow, Window.unboundedFollowing)),
-             "rank": lambda: F.rank().over(Window.partitionBy(*keys).orderBy(*rb)),
-             "dense_rank": lambda: F.dense_rank().over(Window.partitionBy(*keys).orderBy(*rb)),
-             }[kind]()
-        cols.append(c.alias(out))
-    return x.select("*", *cols)
-
-
-def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column], specs: dict[str, tuple],
+    n = n or CHUNKS or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = list(order if cut is None else cut)
+    x = df.withColumns({"__borders": _borders(df, keys, cut, order, n).scalar(),
+                        "__at": F.struct(F.struct(*keys).alias("k"), _ascending(df, cut).alias("o"))})
+    # how many borders are at or before the row: at most n, so a few halving steps
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(n.bit_length()))])
+    place = F.aggregate(steps, F.lit(0), lambda at, s: F.when(
+        F.get("__borders", at + s - 1) <= F.col("__at"), at + s).otherwise(at))
+    x = x.withColumn("__place", F.when(F.size("__borders") == 0, 0).otherwise(place))
+    key = F.col("__at.k")
+    split = (F.get("__borders", F.col("__place") - 1)["k"].eqNullSafe(key)
+             | F.get("__borders", F.col("__place"))["k"].eqNullSafe(key))
+    return x.withColumn(CHUNK, F.when(split, F.col("__place") + 1).otherwise(0)).drop("__borders", "__at", "__place")
+
+
+def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Order], specs: dict[str, tuple],
                  chunk_col: str | None = None, n_chunks: int | None = None, keep_chunk: bool = False,
-                 rank_by: Sequence[Column] | None = None) -> DataFrame:
+                 rank_by: Sequence[Order] | None = None) -> DataFrame:
     """Add the ``specs`` outputs (see module doc) computed over ``order`` within ``keys``.
 
     ``rank_by`` (a prefix of the ordering, default ``order``) defines peers
@@ -198,103 +156,99 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column], sp
     """
     rb = list(rank_by) if rank_by is not None else list(order)
     has_rank = any(s[0] in ("rank", "dense_rank") for s in specs.values())
-    x = df if chunk_col else add_chunks(df, keys, rb if has_rank else order, n_chunks)
+    x = df if chunk_col else add_chunks(df, keys, order, n_chunks, cut=rb if has_rank else order)
     ch = chunk_col or CHUNK
-    if x.schema[ch].metadata.get("chunks", 2) == 1:
-        out = _plain_scan(x, keys, order, specs, rb)
-        return out if (keep_chunk or chunk_col) else out.drop(CHUNK)
     part = [*keys, ch]
-    w = Window.partitionBy(*part).orderBy(*order)
-    w_run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w_before = w.rowsBetween(Window.unboundedPreceding, -1)
-    w_after = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    x = x.withColumn("__lrn", F.row_number().over(w)) \
-         .withColumn("__lcnt", F.count(F.lit(1)).over(Window.partitionBy(*part)))
+    w = Window.partitionBy(*part).orderBy(*map(sort_column, order))
+    peers = Window.partitionBy(*part).orderBy(*map(sort_column, rb))
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    # per-chunk summary: what later / earlier chunks need to know
-    agg = [F.count(F.lit(1)).alias("__c_n")]
-    local = {}
-    for out, spec in specs.items():
-        kind = spec[0]
-        col = spec[1] if len(spec) > 1 else None
+    # running values within the chunk, and what a chunk hands on (c_): those of its last or first row
+    local = {"__nth": F.row_number().over(w)}
+    carry = {}
+    for out, (kind, *cols) in specs.items():
+        col = cols[0] if cols else None
         if kind == "lag":
-            local[out] = F.lag(col, 1).over(w)
-            agg.append(F.max_by(F.col(col), F.col("__lrn")).alias(f"__c_last_{out}"))
+            local[f"__l_{out}"] = F.lag(col, 1).over(w)
+            carry[out] = F.max_by(F.col(col), "__nth")
         elif kind == "lead":
-            local[out] = F.lead(col, 1).over(w)
-            agg.append(F.min_by(F.col(col), F.col("__lrn")).alias(f"__c_first_{out}"))
+            local[f"__l_{out}"] = F.lead(col, 1).over(w)
+            local["__end"] = F.lead(F.lit(True), 1).over(w).isNull()
+            carry[out] = F.min_by(F.col(col), "__nth")
         elif kind in ("sum", "max", "min"):
             fn = {"sum": F.sum, "max": F.max, "min": F.min}[kind]
-            local[out] = fn(col).over(w_run)
-            agg.append(fn(col).alias(f"__c_tot_{out}"))
+            local[f"__l_{out}"] = fn(col).over(run)
+            carry[out] = fn(col)
         elif kind == "max_before":
-            local[out] = F.max(col).over(w_before)
-            agg.append(F.max(col).alias(f"__c_tot_{out}"))
+            local[f"__l_{out}"] = F.max(col).over(w.rowsBetween(Window.unboundedPreceding, -1))
+            carry[out] = F.max(col)
         elif kind == "last_nonnull":
-            local[out] = F.last(col, ignorenulls=True).over(w_run)
-            agg.append(F.max_by(F.col(col), F.when(F.col(col).isNotNull(), F.col("__lrn"))).alias(f"__c_last_{out}"))
+            local[f"__l_{out}"] = F.last(col, ignorenulls=True).over(run)
+            carry[out] = F.max_by(F.col(col), F.when(F.col(col).isNotNull(), F.col("__nth")))
         elif kind == "next_nonnull":
-            local[out] = F.first(col, ignorenulls=True).over(w_after)
-            agg.append(F.min_by(F.col(col), F.when(F.col(col).isNotNull(), F.col("__lrn"))).alias(f"__c_first_{out}"))
+            local[f"__l_{out}"] = F.first(col, ignorenulls=True).over(
+                w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+            carry[out] = F.min_by(F.col(col), F.when(F.col(col).isNotNull(), F.col("__nth")))
         elif kind == "rank":
-            local[out] = F.rank().over(Window.partitionBy(*part).orderBy(*rb))
+            local[f"__l_{out}"] = F.rank().over(peers)
         elif kind == "dense_rank":
-            local[out] = F.dense_rank().over(Window.partitionBy(*part).orderBy(*rb))
-            # distinct rank values in the chunk = its largest local dense rank
-            agg.append(F.max(f"__l_{out}").alias(f"__c_tot_{out}"))
-        elif kind in ("row_number", "is_first"):
-            pass
-        else:
+            local[f"__l_{out}"] = F.dense_rank().over(peers)
+            carry[out] = F.max(f"__l_{out}")  # distinct rank values in the chunk
+        elif kind not in ("row_number", "is_first"):
             raise ValueError(kind)
-    for out, c in local.items():
-        x = x.withColumn(f"__l_{out}", c)
+    x = x.select("*", *[c.alias(name) for name, c in local.items()])
 
-    summ = x.groupBy(*part).agg(*agg)
+    # one carry row per chunk of a split key, combined over the chunks before (or after) it
+    handed = (x.where(F.col(ch) > 0).groupBy(*part)
+              .agg(F.count(F.lit(1)).alias("__n"), *[c.alias(f"__c_{out}") for out, c in carry.items()]))
     wk = Window.partitionBy(*keys).orderBy(ch)
-    prev = wk.rowsBetween(Window.unboundedPreceding, -1)
-    nxt = wk.rowsBetween(1, Window.unboundedFollowing)
-    carry = [F.coalesce(F.sum("__c_n").over(prev), F.lit(0)).alias("__off")]
-    for out, spec in specs.items():
-        kind = spec[0]
+    before = wk.rowsBetween(Window.unboundedPreceding, -1)
+    after = wk.rowsBetween(1, Window.unboundedFollowing)
+    given = [F.sum("__n").over(before).alias("__off")]
+    for out, (kind, *_) in specs.items():
+        c, name = f"__c_{out}", f"__k_{out}"
         if kind == "lag":
-            carry.append(F.lag(f"__c_last_{out}", 1).over(wk).alias(f"__k_{out}"))
+            given.append(F.lag(c, 1).over(wk).alias(name))
         elif kind == "lead":
-            carry.append(F.lead(f"__c_first_{out}", 1).over(wk).alias(f"__k_{out}"))
-        elif kind in ("sum", "max", "min", "max_before", "dense_rank"):
-            fn = {"sum": F.sum, "max": F.max, "min": F.min, "max_before": F.max, "dense_rank": F.sum}[kind]
-            carry.append(fn(f"__c_tot_{out}").over(prev).alias(f"__k_{out}"))
+            given.append(F.lead(c, 1).over(wk).alias(name))
+        elif kind in ("sum", "dense_rank"):
+            given.append(F.sum(c).over(before).alias(name))
+        elif kind in ("max", "max_before"):
+            given.append(F.max(c).over(before).alias(name))
+        elif kind == "min":
+            given.append(F.min(c).over(before).alias(name))
         elif kind == "last_nonnull":
-            carry.append(F.last(f"__c_last_{out}", ignorenulls=True).over(prev).alias(f"__k_{out}"))
+            given.append(F.last(c, ignorenulls=True).over(before).alias(name))
         elif kind == "next_nonnull":
-            carry.append(F.first(f"__c_first_{out}", ignorenulls=True).over(nxt).alias(f"__k_{out}"))
-    summ = summ.select(*part, *carry)
-    j = x.join(summ, part, "inner")
+            given.append(F.first(c, ignorenulls=True).over(after).alias(name))
+    handed = handed.select(*[F.col(k).alias(f"__g{i}") for i, k in enumerate(part)], *given)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__g{i}")) for i, k in enumerate(part)])
+    j = x.join(F.broadcast(handed), same, "left")  # two rows per border at most, and n borders
 
+    off = F.coalesce(F.col("__off"), F.lit(0))
     cols = []
-    for out, spec in specs.items():
-        kind = spec[0]
+    for out, (kind, *_) in specs.items():
+        here, there = F.col(f"__l_{out}"), F.col(f"__k_{out}")
         if kind == "row_number":
-            cols.append((F.col("__off") + F.col("__lrn")).alias(out))
+            c = off + F.col("__nth")
         elif kind == "is_first":
-            cols.append(((F.col("__off") == 0) & (F.col("__lrn") == 1)).alias(out))
+            c = (off == 0) & (F.col("__nth") == 1)
         elif kind == "rank":
-            cols.append((F.col("__off") + F.col(f"__l_{out}")).alias(out))
+            c = off + here
         elif kind == "dense_rank":
-            cols.append((F.coalesce(F.col(f"__k_{out}"), F.lit(0)) + F.col(f"__l_{out}")).alias(out))
+            c = F.coalesce(there, F.lit(0)) + here
         elif kind == "lag":
-            cols.append(F.when(F.col("__lrn") == 1, F.col(f"__k_{out}")).otherwise(F.col(f"__l_{out}")).alias(out))
+            c = F.when(F.col("__nth") == 1, there).otherwise(here)
         elif kind == "lead":
-            cols.append(F.when(F.col("__lrn") == F.col("__lcnt"), F.col(f"__k_{out}"))
-                        .otherwise(F.col(f"__l_{out}")).alias(out))
+            c = F.when(F.col("__end"), there).otherwise(here)
         elif kind == "sum":
-            cols.append(F.when(F.col(f"__k_{out}").isNull(), F.col(f"__l_{out}"))
-                        .when(F.col(f"__l_{out}").isNull(), F.col(f"__k_{out}"))
-                        .otherwise(F.col(f"__k_{out}") + F.col(f"__l_{out}")).alias(out))
+            c = F.when(there.isNull(), here).when(here.isNull(), there).otherwise(there + here)
         elif kind in ("max", "max_before"):
-            cols.append(F.greatest(F.col(f"__k_{out}"), F.col(f"__l_{out}")).alias(out))
+            c = F.greatest(there, here)
         elif kind == "min":
-            cols.append(F.least(F.col(f"__k_{out}"), F.col(f"__l_{out}")).alias(out))
-        elif kind in ("last_nonnull", "next_nonnull"):
-            cols.append(F.coalesce(F.col(f"__l_{out}"), F.col(f"__k_{out}")).alias(out))
-    keep = [c for c in df.columns] + ([ch] if (keep_chunk or chunk_col) and ch not in df.columns else [])
+            c = F.least(there, here)
+        else:
+            c = F.coalesce(here, there)
+        cols.append(c.alias(out))
+    keep = list(df.columns) + ([ch] if (keep_chunk or chunk_col) and ch not in df.columns else [])
     return j.select(*keep, *cols)

@@ -15,7 +15,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dossier.operators.ordered import CHUNK, add_chunks, ordered_scan
+from dossier.operators.ordered import CHUNK, Order, add_chunks, ordered_scan
 
 
 def _c(x) -> Column:
@@ -40,19 +40,6 @@ def rank_keep_ties(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return df.withColumn("__rk", F.rank().over(w)).where(F.col("__rk") <= 1).drop("__rk")
 
 
-def previous_value(col: str, keys: Sequence[str], order: Sequence[Column],
-                   blank_when_equal: bool = True) -> Column:
-    """W-05 as a Column: LAG over the key; NULL when the previous value equals the current one.
-
-    A plain per-key window (one task per key).  For keys that may be hot use
-    ``ordered_scan(df, keys, order, {"prev": ("lag", col)})``, which the
-    registered W-05 query does.
-    """
-    w = Window.partitionBy(*keys).orderBy(*order)
-    prev = F.lag(col, 1).over(w)
-    return F.when(~prev.eqNullSafe(F.col(col)), prev) if blank_when_equal else prev
-
-
 def with_key_aggregates(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
     """Per-key aggregates on every row (``agg() OVER (PARTITION BY keys)``) without a window.
 
@@ -71,22 +58,22 @@ def gaps_and_islands(df: DataFrame, keys: Sequence[str], start: str, end: str,
 
     A new island starts when the start is more than the gap after the
     latest end seen so far (running max, so nested intervals merge too).
-    Both running passes are chunked ordered scans (a hot key is split over
-    tasks); the second reuses the first one's chunks.
+    Both running passes are ordered scans (a hot key is split over tasks);
+    the second reuses the first one's chunks.
     """
-    order = [F.col(start), F.col(end)]
+    order = [start, end]
     x = ordered_scan(df, keys, order, {"__pe": ("max_before", end)}, keep_chunk=True)
     flag = F.when(F.col("__pe").isNull() | (F.datediff(F.col(start), F.col("__pe")) > max_gap_days), 1) \
         .otherwise(0)
     # identical intervals tie; the pass-1 flag orders them so both passes agree
-    x = ordered_scan(x.withColumn("__new", flag), keys, [*order, F.col("__new").desc()],
+    x = ordered_scan(x.withColumn("__new", flag), keys, [*order, ("__new", False)],
                      {"island": ("sum", "__new")}, chunk_col=CHUNK)
     return x.groupBy(*keys, "island").agg(
         F.min(start).alias("island_start"), F.max(end).alias("island_end"),
         F.count(F.lit(1)).alias("n_items"))
 
 
-def state_transitions(df: DataFrame, keys: Sequence[str], order: Sequence[Column], state: str,
+def state_transitions(df: DataFrame, keys: Sequence[str], order: Sequence[Order], state: str,
                       from_state: str, to_state: str) -> DataFrame:
     """W-17: number of direct ``from_state -> to_state`` changes per key (LAG over a chunked scan)."""
     x = ordered_scan(df, keys, order, {"__prev": ("lag", state)})
@@ -120,13 +107,13 @@ def nearest_in_time(left: DataFrame, right: DataFrame, key: str, left_date: str,
     u = u.withColumn("__cand", F.when(F.col("__side") == 0,
                                       F.struct(F.col("__d").alias("d"), F.col("__rid").alias("id"))))
     # both scans order by day first: one chunking on (key, day) serves both
-    u = add_chunks(u, ["__k"], [F.col("__d")])
+    u = add_chunks(u, ["__k"], ["__d"])
     # previous: right rows of the same day sort before the left row; among
     # equal days the smallest id is the last one seen
-    u = ordered_scan(u, ["__k"], [F.col("__d"), F.col("__side"), F.col("__rid").desc_nulls_last()],
+    u = ordered_scan(u, ["__k"], ["__d", "__side", ("__rid", False)],
                      {"__prev": ("last_nonnull", "__cand")}, chunk_col=CHUNK)
     # next: right rows of the same day sort after the left row, smallest id first
-    u = ordered_scan(u, ["__k"], [F.col("__d"), F.col("__side").desc(), F.col("__rid").asc_nulls_last()],
+    u = ordered_scan(u, ["__k"], ["__d", ("__side", False), ("__rid", True, False)],
                      {"__next": ("next_nonnull", "__cand")}, chunk_col=CHUNK).where(F.col("__side") == 1)
     dp = F.datediff(F.col("__d"), F.col("__prev.d"))
     dn = F.datediff(F.col("__next.d"), F.col("__d"))
@@ -178,7 +165,7 @@ def priority_rank(col: str, patterns: Sequence[str], default: int) -> Column:
     return expr.otherwise(F.lit(default))
 
 
-def resolve_single_latest(df: DataFrame, key: str, flag: str, order: Sequence[Column],
+def resolve_single_latest(df: DataFrame, key: str, flag: str, order: Sequence[Order],
                           out: str | None = None) -> DataFrame:
     """W-16: for keys with more than one flagged row keep the flag on the best one only.
 
@@ -189,7 +176,7 @@ def resolve_single_latest(df: DataFrame, key: str, flag: str, order: Sequence[Co
     out = out or flag
     flagged = F.col(flag) == F.lit(True)
     x = df.withColumn("__fo", F.when(flagged, 0).otherwise(1))
-    x = ordered_scan(x, [key], [F.col("__fo"), *order], {"__rn": ("row_number",)})
+    x = ordered_scan(x, [key], ["__fo", *order], {"__rn": ("row_number",)})
     x = with_key_aggregates(x, [key], [F.count(F.when(F.col(flag) == F.lit(True), 1)).alias("__nflag")])
     res = F.when(F.col("__nflag") <= 1, F.col(flag)).otherwise(flagged & (F.col("__rn") == 1))
     return x.withColumn(out, res).drop("__fo", "__rn", "__nflag")

@@ -46,14 +46,14 @@ def workday_count(start, end) -> Column:
 def merge_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
     """Union of [start, end] day intervals per key (overlapping or touching intervals merge).
 
-    Two chunked ordered scans (running max of earlier ends, running count of
+    Two ordered scans (running max of earlier ends, running count of
     island starts), so a key with a large share of the rows is split over tasks.
     """
-    order = [F.col(start), F.col(end)]
+    order = [start, end]
     x = ordered_scan(df, keys, order, {"__pe": ("max_before", end)}, keep_chunk=True)
     new = F.when(F.col("__pe").isNull() | (F.datediff(F.col(start), F.col("__pe")) > 1), 1).otherwise(0)
     # identical intervals tie; the pass-1 flag orders them so both passes agree
-    isl = ordered_scan(x.withColumn("__new", new), keys, [*order, F.col("__new").desc()],
+    isl = ordered_scan(x.withColumn("__new", new), keys, [*order, ("__new", False)],
                        {"__isl": ("sum", "__new")}, chunk_col=CHUNK)
     return isl.groupBy(*keys, "__isl").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("__isl")
 
@@ -84,7 +84,7 @@ def days_in_rebound(events: DataFrame, keys: Sequence[str], status: str, ts: str
     per-key ``min(when)`` window), merged and counted in closed form.
     """
     e = events.select(*keys, status, *[c for c in order if c not in (*keys, status)])
-    e = ordered_scan(e, keys, [F.col(c) for c in order], {"__next_ts": ("lead", ts)})
+    e = ordered_scan(e, keys, list(order), {"__next_ts": ("lead", ts)})
     e = with_key_aggregates(e, keys, [F.min(F.when(F.col(status) == after_status, F.to_date(ts))).alias("__first")])
     e = (e.withColumn("__s", F.to_date(ts))
          .withColumn("__e", F.coalesce(F.to_date("__next_ts"), F.to_date(ts))))
@@ -142,7 +142,7 @@ def completed_on_time(cases: DataFrame, client: str, case_id: str, review_type:
     """
     base = cases.select(client, case_id, F.col(review_type).alias("__type"), F.to_date(signoff).alias("signoff"),
                         F.to_date(next_review).alias("nrd"), F.col(duration).alias("__days"))
-    order = [F.col("signoff"), F.col(case_id)]
+    order = ["signoff", case_id]
     former = ordered_scan(base, [client], order, {"__former": ("lag", "nrd")})
     out = former.where((F.col("nrd") == F.col("__former")) & (F.col("__type") != "Offboarding")).select(client).distinct()
     scope = base.join(out, client, "left_anti").where(F.col("__type") != "QC EDR")

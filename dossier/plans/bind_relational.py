@@ -349,7 +349,7 @@ def j_interval(spark, sf):
     e = T(spark, sf).events
     from dossier.operators.ordered import ordered_scan
     s = ordered_scan(e.where(F.col("event_type") == "signup").select("user_id", "event_id", F.col("ts").alias("act")),
-                     ["user_id"], [F.col("act"), F.col("event_id")], {"repl": ("lead", "act")}).drop("event_id")
+                     ["user_id"], ["act", "event_id"], {"repl": ("lead", "act")}).drop("event_id")
     far = F.lit(AS_OF).cast("timestamp_ntz") + F.expr("INTERVAL 9999 DAYS")
     s = s.withColumn("until", F.coalesce("repl", far))
     p = e.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")

@@ -62,7 +62,7 @@ def k_03_conditional_update(spark, sf):
     from dossier.operators.ordered import ordered_scan
     e = T(spark, sf).events.select("event_id", "user_id", "event_type", "ts")
     target = e.withColumn("valid_to", F.lit(None).cast("timestamp_ntz")).withColumn("status", F.lit("open"))
-    closing = (ordered_scan(e, ["user_id", "event_type"], [F.col("ts"), F.col("event_id")], {"close_ts": ("lead", "ts")})
+    closing = (ordered_scan(e, ["user_id", "event_type"], ["ts", "event_id"], {"close_ts": ("lead", "ts")})
                .where(F.col("close_ts").isNotNull()).withColumn("new_status", F.lit("closed")))
     return K.conditional_update(target, closing, ["event_id"], {"valid_to": "close_ts", "status": "new_status"})
 

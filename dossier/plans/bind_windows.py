@@ -48,9 +48,9 @@ SELECT s_suppkey, s_nationkey,
 FROM supplier""")
 def w_04_dense_rank(spark, sf):
     s = T(spark, sf).supplier.select("s_suppkey", "s_nationkey", F.round("s_acctbal", -3).alias("__b"))
-    r = ordered_scan(s, ["s_nationkey"], [F.col("__b").desc(), F.col("s_suppkey")],
-                     {"balance_rank": ("dense_rank",)}, rank_by=[F.col("__b").desc()])
-    return r.select("s_suppkey", "s_nationkey", "balance_rank")
+    r = ordered_scan(s, ["s_nationkey"], [("__b", False), "s_suppkey"],
+                     {"balance_rank": ("dense_rank",)}, rank_by=[("__b", False)])
+    return r.select("s_suppkey", "s_nationkey", F.col("balance_rank").cast("int").alias("balance_rank"))
 
 
 @register("w_05_previous_value", """
@@ -60,7 +60,7 @@ FROM (SELECT *, lag(o_orderpriority) OVER (PARTITION BY o_custkey ORDER BY o_ord
         AS prev FROM orders)""")
 def w_05_previous_value(spark, sf):
     o = T(spark, sf).orders.select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
-    x = ordered_scan(o, ["o_custkey"], [F.col("o_orderdate"), F.col("o_orderkey")],
+    x = ordered_scan(o, ["o_custkey"], ["o_orderdate", "o_orderkey"],
                      {"__prev": ("lag", "o_orderpriority")})
     prev = F.when(~F.col("__prev").eqNullSafe(F.col("o_orderpriority")), F.col("__prev"))
     return x.select("o_orderkey", "o_custkey", "o_orderpriority", prev.alias("previous_priority"))
@@ -71,7 +71,7 @@ SELECT o_orderkey, lead(o_orderdate, 1, NULL) OVER (PARTITION BY o_custkey
   ORDER BY o_orderdate, o_orderkey) AS next_order_date FROM orders""")
 def w_06_next_value(spark, sf):
     o = T(spark, sf).orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    x = ordered_scan(o, ["o_custkey"], [F.col("o_orderdate"), F.col("o_orderkey")],
+    x = ordered_scan(o, ["o_custkey"], ["o_orderdate", "o_orderkey"],
                      {"next_order_date": ("lead", "o_orderdate")})
     return x.select("o_orderkey", "next_order_date")
 
@@ -91,7 +91,7 @@ SELECT event_id, round(sum(value) OVER (PARTITION BY user_id ORDER BY ts
   RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS running_value FROM events""")
 def w_08_running_sum(spark, sf):
     e = T(spark, sf).events.select("event_id", "user_id", "ts", "value")
-    x = ordered_scan(e, ["user_id"], [F.col("ts"), F.col("event_id")], {"__s": ("sum", "value")})
+    x = ordered_scan(e, ["user_id"], ["ts", "event_id"], {"__s": ("sum", "value")})
     # RANGE frame: rows sharing a timestamp (peers) all get the total at the last peer
     x = with_key_aggregates(x, ["user_id", "ts"], [F.max_by("__s", "event_id").alias("__r")])
     return x.select("event_id", F.round("__r", 2).alias("running_value"))
@@ -106,7 +106,7 @@ FROM lineitem""")
 def w_09_count_over(spark, sf):
     li = T(spark, sf).lineitem
     rest = [c.strip() for c in LI_REST.split(",")]
-    x = ordered_scan(li, ["l_orderkey"], [F.col(c) for c in rest], {"running_lines": ("row_number",)})
+    x = ordered_scan(li, ["l_orderkey"], rest, {"running_lines": ("row_number",)})
     x = with_key_aggregates(x, ["l_orderkey"], [F.count(F.lit(1)).alias("lines_in_order")])
     return x.select("l_orderkey", "l_linenumber", "l_partkey", "lines_in_order",
                     F.col("running_lines").cast("bigint").alias("running_lines"))
@@ -218,8 +218,7 @@ FROM f""")
 def w_16_resolve_single_latest(spark, sf):
     o = T(spark, sf).orders.withColumn("approved", F.col("o_orderstatus") == "F")
     r = resolve_single_latest(o, "o_custkey", "approved",
-                              [F.col("o_orderpriority"), F.col("o_orderdate").desc_nulls_last(),
-                               F.col("o_orderkey")], out="is_latest_approved")
+                              ["o_orderpriority", ("o_orderdate", False), "o_orderkey"], out="is_latest_approved")
     return r.select("o_orderkey", "o_custkey", "is_latest_approved")
 
 
@@ -231,7 +230,7 @@ FROM (SELECT user_id, event_type,
 GROUP BY user_id""")
 def w_17_state_transitions(spark, sf):
     e = T(spark, sf).events
-    return state_transitions(e, ["user_id"], [F.col("ts"), F.col("event_id")], "event_type",
+    return state_transitions(e, ["user_id"], ["ts", "event_id"], "event_type",
                              "view", "purchase")
 
 
@@ -244,10 +243,10 @@ WINDOW w AS (PARTITION BY user_id, event_type, CAST(ts AS DATE) ORDER BY ts, eve
 def w_18_retry_number(spark, sf):
     e = T(spark, sf).events.select("event_id", F.col("user_id").alias("job"), F.col("event_type").alias("task"),
                                    F.to_date("ts").alias("run_date"), "ts")
-    x = ordered_scan(e, ["job", "task", "run_date"], [F.col("ts"), F.col("event_id")],
+    x = ordered_scan(e, ["job", "task", "run_date"], ["ts", "event_id"],
                      {"retry_no": ("row_number",), "__prev_ts": ("lag", "ts")})
     micros = F.timestamp_diff("MICROSECOND", F.col("__prev_ts"), F.col("ts"))
-    return x.select("event_id", "job", "task", "run_date", "retry_no",
+    return x.select("event_id", "job", "task", "run_date", F.col("retry_no").cast("int").alias("retry_no"),
                     F.floor(micros / 60000000).cast("bigint").alias("minutes_since_prev"))
 
 

@@ -1,62 +1,114 @@
-"""Chunked ordered scans equal plain windows, including a key holding most rows."""
+"""Ordered scans equal plain windows, whichever keys are split; hot keys are split, and nothing runs while planning."""
 
-from pyspark.sql import Window
-from pyspark.sql import functions as F
+import datetime as dt
+from decimal import Decimal
 
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 import dossier.operators.ordered as ordered_mod
-from dossier.operators.ordered import ordered_scan
-
+from dossier.operators.ordered import CHUNK, add_chunks, ordered_scan, sort_column
 
-@pytest.fixture(autouse=True)
-def _small_hot_threshold(monkeypatch):
-    # the fixtures are small: treat any over-represented key as hot
-    monkeypatch.setattr(ordered_mod, "HOT_MIN_ROWS", 0)
+SPECS = {"rn": ("row_number",), "lg": ("lag", "v"), "ld": ("lead", "v"), "s": ("sum", "v"),
+         "mx": ("max", "v"), "mn": ("min", "v"), "mb": ("max_before", "v"),
+         "ln": ("last_nonnull", "v"), "nn": ("next_nonnull", "v"), "f": ("is_first",)}
 
 
-def test_ordered_scan_matches_windows(spark):
-    # key 0 holds ~70 % of the rows; NULL values sprinkled in
-    df = spark.range(3000).select(
-        F.when(F.col("id") % 10 < 7, 0).otherwise(F.col("id") % 13).alias("k"),
-        F.col("id").alias("t"),
-        F.when(F.col("id") % 17 == 0, None).otherwise(F.col("id") % 101).alias("v"))
-    order = [F.col("t")]
-    specs = {"rn": ("row_number",), "lg": ("lag", "v"), "ld": ("lead", "v"), "s": ("sum", "v"),
-             "mx": ("max", "v"), "mn": ("min", "v"), "mb": ("max_before", "v"),
-             "ln": ("last_nonnull", "v"), "nn": ("next_nonnull", "v"), "f": ("is_first",)}
-    got = ordered_scan(df, ["k"], order, specs, n_chunks=7)
-    w = Window.partitionBy("k").orderBy("t")
+def plain(df, keys, order):
+    """SPECS by ordinary windows."""
+    w = Window.partitionBy(*keys).orderBy(*map(sort_column, order))
     run = w.rowsBetween(Window.unboundedPreceding, 0)
-    want = df.select("*", F.row_number().over(w).alias("rn"), F.lag("v").over(w).alias("lg"),
+    return df.select("*", F.row_number().over(w).cast("long").alias("rn"), F.lag("v").over(w).alias("lg"),
                      F.lead("v").over(w).alias("ld"), F.sum("v").over(run).alias("s"),
                      F.max("v").over(run).alias("mx"), F.min("v").over(run).alias("mn"),
                      F.max("v").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("mb"),
                      F.last("v", True).over(run).alias("ln"),
                      F.first("v", True).over(w.rowsBetween(0, Window.unboundedFollowing)).alias("nn"),
                      (F.row_number().over(w) == 1).alias("f"))
-    cols = ["k", "t", "v", "rn", "lg", "ld", "s", "mx", "mn", "mb", "ln", "nn", "f"]
-    assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0
-    assert want.select(*cols).exceptAll(got.select(*cols)).count() == 0
 
 
-def test_hot_key_is_split_across_chunks(spark):
-    df = spark.range(5000).select(F.lit(1).alias("k"), F.col("id").alias("t"))
-    from dossier.operators.ordered import add_chunks
-    n = add_chunks(df, ["k"], [F.col("t")], 8).select("__chunk").distinct().count()
-    assert n >= 4
+def same(got, want):
+    got = got.select(want.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
-def test_rank_and_dense_rank_with_peers(spark):
+@pytest.mark.parametrize("n", [1, 7, 300])
+def test_ordered_scan_matches_windows(spark, n):
+    # key 0 holds ~70 % of the rows, one key is NULL; NULL values sprinkled in
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 10 < 7, 0).when(F.col("id") % 13 > 0, F.col("id") % 13).alias("k"), F.lit("x").alias("g"),
+        F.col("id").alias("t"), F.when(F.col("id") % 17 == 0, None).otherwise(F.col("id") % 101).alias("v"))
+    same(ordered_scan(df, ["k", "g"], ["t"], SPECS, n_chunks=n), plain(df, ["k", "g"], ["t"]))
+
+
+VALUES = {
+    "long": ("bigint", [5, -3, -(1 << 63), (1 << 63) - 1, 0, None]),
+    "double": ("double", [0.5, -0.0, 0.0, float("nan"), float("inf"), -float("inf"), None]),
+    "decimal": ("decimal(9,2)", [Decimal("1.50"), Decimal("-7.25"), Decimal("0"), None]),
+    "boolean": ("boolean", [True, False, None]),
+    "string": ("string", ["", "a", "ab", "b", "aé", "日本", "A", None]),
+    "binary": ("binary", [b"", b"\x00", b"\xff", b"a", b"ab", None]),
+    "date": ("date", [dt.date(1969, 12, 31), dt.date(2024, 2, 29), dt.date(1, 1, 1), None]),
+    "stamp": ("timestamp", [dt.datetime(1969, 12, 31, 23), dt.datetime(2024, 2, 29, 1, 2, 3, 4), None]),
+    "wall": ("timestamp_ntz", [dt.datetime(1960, 1, 1), dt.datetime(2024, 2, 29, 1, 2, 3, 4), None]),
+    "array": ("array<int>", [[1], [2, 3], None]),  # no leading column to cut along
+}
+
+
+@pytest.mark.parametrize("name", VALUES)
+def test_every_type_and_direction_is_cut_in_order(spark, name):
+    kind, values = VALUES[name]
+    rows = [(1, values[i % len(values)], i, i % 7 or None) for i in range(60)] + [(2, values[0], 60, 1)]
+    df = spark.createDataFrame(rows, f"k int, o {kind}, t int, v int")
+    for order in (["o", "t"], [("o", False), "t"], [("o", True, False), ("t", False)], [("o", False, True), "t"]):
+        same(ordered_scan(df, ["k"], order, SPECS, n_chunks=5), plain(df, ["k"], order))
+    chunks = add_chunks(df, ["k"], [("o", False)], 5).where("k = 1").select(CHUNK).distinct().count()
+    assert chunks == 1 if name == "array" else chunks > 1
+
+
+def test_hot_key_after_a_join_is_split_over_many_tasks(spark):
+    facts = spark.range(20000).select((F.col("id") % 100).alias("a"), F.col("id").alias("t"), F.col("id").alias("v"))
+    names = spark.range(100).select(F.col("id").alias("a"), F.when(F.col("id") < 50, 0).otherwise(F.col("id")).alias("k"))
+    df = facts.join(names, "a").select("k", "t", "v")  # half of all rows have the key 0
+    sizes = [r["count"] for r in add_chunks(df, ["k"], ["t"], 40).where("k = 0").groupBy(CHUNK).count().collect()]
+    assert len(sizes) >= 18 and max(sizes) <= 3 * 20000 / 40
+    tasks = ordered_scan(df, ["k"], ["t"], {"rn": ("row_number",)}, n_chunks=40, keep_chunk=True) \
+        .where("k = 0").groupBy(F.spark_partition_id()).count().count()
+    assert tasks >= 3  # of four shuffle partitions
+    same(ordered_scan(df, ["k"], ["t"], SPECS, n_chunks=40), plain(df, ["k"], ["t"]))
+
+
+def test_keys_below_a_partitions_share_are_not_split(spark):
+    df = spark.range(3000).select((F.col("id") % 500).alias("k"), F.col("id").alias("t"))
+    assert add_chunks(df, ["k"], ["t"], 8).where(f"{CHUNK} <> 0").isEmpty()
+
+
+def test_nothing_runs_while_the_plan_is_built(spark):
+    df = spark.range(100).select(F.lit(1).alias("k"), F.col("id").alias("t"), F.col("id").alias("v"))
+    spark.sparkContext.setJobGroup("ordered-plan", "building")
+    try:
+        out = ordered_scan(df, ["k"], ["t"], SPECS)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("ordered-plan")) == []
+        assert out.count() == 100
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("ordered-plan")) > 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_empty_input(spark):
+    df = spark.range(0).select(F.lit(1).alias("k"), F.col("id").alias("t"), F.col("id").alias("v"))
+    assert ordered_scan(df, ["k"], ["t"], SPECS).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 6, 60])
+def test_rank_and_dense_rank_with_peers(spark, n):
     df = spark.range(4000).select(F.when(F.col("id") % 5 < 4, 0).otherwise(1).alias("k"),
                                   (F.col("id") % 97).alias("score"), F.col("id").alias("t"))
-    got = ordered_scan(df, ["k"], [F.col("score").desc(), F.col("t")],
-                       {"r": ("rank",), "d": ("dense_rank",)}, rank_by=[F.col("score").desc()], n_chunks=6)
+    got = ordered_scan(df, ["k"], [("score", False), "t"], {"r": ("rank",), "d": ("dense_rank",)},
+                       rank_by=[("score", False)], n_chunks=n)
     w = Window.partitionBy("k").orderBy(F.col("score").desc())
-    want = df.select("*", F.rank().over(w).alias("r"), F.dense_rank().over(w).alias("d"))
-    cols = ["k", "t", "score", "r", "d"]
-    assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0
-    assert want.select(*cols).exceptAll(got.select(*cols)).count() == 0
+    same(got, df.select("*", F.rank().over(w).alias("r"), F.dense_rank().over(w).alias("d")))
 
 
 def test_merge_intervals_with_identical_rows(spark):
@@ -69,17 +121,6 @@ def test_merge_intervals_with_identical_rows(spark):
     assert got == [(1, "2024-01-03", "2024-01-10"), (1, "2024-01-20", "2024-01-21"), (2, "2024-01-01", "2024-01-01")]
 
 
-def test_plain_path_when_no_key_is_hot(spark):
-    from dossier.operators.ordered import CHUNK, add_chunks
-    df = spark.range(3000).select((F.col("id") % 500).alias("k"), F.col("id").alias("t"))
-    x = add_chunks(df, ["k"], [F.col("t")], 8)
-    assert x.schema[CHUNK].metadata.get("chunks") == 1
-    got = ordered_scan(df, ["k"], [F.col("t")], {"rn": ("row_number",), "lg": ("lag", "t")})
-    w = Window.partitionBy("k").orderBy("t")
-    want = df.select("*", F.row_number().over(w).alias("rn"), F.lag("t").over(w).alias("lg"))
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-
-
 CHUNKED_QUERIES = ["w_04_dense_rank", "w_05_previous_value", "w_06_next_value", "w_08_running_sum",
                    "w_09_count_over", "w_12_gaps_and_islands", "w_16_resolve_single_latest",
                    "w_17_state_transitions", "w_18_retry_number", "w_19_nearest_in_time", "j_interval",
@@ -88,14 +129,9 @@ CHUNKED_QUERIES = ["w_04_dense_rank", "w_05_previous_value", "w_06_next_value",
 
 
 @pytest.mark.parametrize("name", CHUNKED_QUERIES)
-def test_registered_queries_on_chunked_path(spark, small_dir, name, monkeypatch):
+def test_registered_queries_with_split_keys(spark, small_dir, name, monkeypatch):
     import __spark_entry__ as E
-    monkeypatch.setattr(ordered_mod, "FORCE_CHUNKS", True)
+    monkeypatch.setattr(ordered_mod, "CHUNKS", 512)  # keys with three rows or more are split
     from tools.oracle_check import compare, duck_conn
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "64")
-    try:
-        status, msg = compare(name, E.queries()[name], E.oracle_sql()[name], spark, duck_conn(small_dir), small_dir)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+    status, msg = compare(name, E.queries()[name], E.oracle_sql()[name], spark, duck_conn(small_dir), small_dir)
     assert status == "OK", msg
