@@ -12,10 +12,11 @@ of at least p / q differ in at most H = (|r| + |s|)(q - p) / (q + p) shingles.
 * One-deletion neighbourhoods.  A segment pair that differs in one shingle meets if both index
   the subset and all subsets with one shingle less.  Then H can be spread two per segment, and
   m = (H + 1) / 2 segments, twice as long, are enough.
-* Allocation by cost.  Plain segments are cheap, one row for about six shingles, but small
-  segments are shared by chance.  Bands whose plain segments would hold fewer than MIN_SHINGLES
-  get neighbourhoods.  So do documents in a bucket of more than MANY members that are not all in
-  one component: pairs that meet in such buckets only are found by their neighbourhoods.
+* Allocation by cost.  A band takes the scheme with fewer index rows for a set: plain segments
+  have one row each, neighbourhoods one for each shingle and segment.  What small segments cost
+  by being shared by chance is measured: documents in a bucket of more than MANY members that are
+  not all in one component get neighbourhoods besides, and pairs that meet in such buckets only
+  are found by these.
   A band also has a few segments more than needed, and every set leaves out as many of its
   costliest buckets, those with the most members.
 * Verification is exact: every candidate pair compares whole shingle sets.
@@ -48,8 +49,6 @@ from pyspark.sql import functions as F
 from dossier.llm.common import documents, small_batches, written
 from dossier.llm.components import components
 
-#: Plain segments hold this many shingles at least, else neighbourhoods are taken.
-MIN_SHINGLES = 4
 #: Members of a bucket beyond which its documents get neighbourhoods.
 MANY = 64
 #: Parts of the universe whose counts are compared before a pair is made, and the largest count told apart.
@@ -87,9 +86,10 @@ class Bands:
             self.lo.append(lo)
             self.differ.append(most)
             self.spare.append(spare)
-            self.plain.append(m if lo >= MIN_SHINGLES * m else 0)  # 0: neighbourhoods
+            near = (most + 2) // 2 + (1 if most > 3 else 0)
+            self.plain.append(m if m < lo + near else 0)  # 0: neighbourhoods
             self.skipped.append(skipped)
-            self.near.append((most + 2) // 2 + (1 if most > 3 else 0))
+            self.near.append(near)
             lo = hi + 1
         self.lo = np.array(self.lo)
 
@@ -115,13 +115,21 @@ class Bands:
         return [b for b in both if self.differ[b] > 0]
 
 
+class _Hashes(dict):
+    """Hashes of words, made as they are asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
 class Shingler:
     """Shingle hashes of texts, with a bounded cache of word hashes."""
 
     def __init__(self, words: int):
         self.words = words
         self._factors = _mix(np.arange(1, words + 1, dtype=np.uint64)) | np.uint64(1)
-        self._cache: dict[bytes, int] = {}
+        self._cache = _Hashes()
 
     def __call__(self, text: bytes) -> np.ndarray:
         """The sorted distinct shingle hashes of a text."""
@@ -129,8 +137,6 @@ class Shingler:
         cache, n = self._cache, len(words)
         if len(cache) > CACHED_WORDS:
             cache.clear()
-        for w in set(words).difference(cache):
-            cache[w] = xxhash.xxh3_64_intdigest(w)
         ids = np.fromiter(map(cache.__getitem__, words), dtype=np.uint64, count=n)
         if n < self.words:
             whole = (ids * self._factors[:n]).sum(dtype=np.uint64) + np.uint64(n)

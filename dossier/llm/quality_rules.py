@@ -173,9 +173,9 @@ def judge(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 def keep(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The input rows that are kept, with all their columns."""
-    posterior = _fitted(spark, _voted(features(docs)))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
-    return _judged(_voted(features(rows, "row")), posterior).where("kept").select("row.*")
+    voted = written(spark, _voted(features(rows, "row")), "quality-rows")  # features cost more than a copy
+    return _judged(voted, _fitted(spark, voted)).where("kept").select("row.*")
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
