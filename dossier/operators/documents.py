@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dossier.operators.ordered import ordered_scan
+
 MAX_DOCUMENT_CHARS = 2_000_000
 #: D-01 starts a new part of a client's document (and of an order's lines) every so many JSON characters.
 PART_CHARS = 1_000_000
@@ -22,32 +25,6 @@ def nest(child: DataFrame, keys: Sequence[str], fields: Sequence[str], name: str
     return child.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias(name))
 
 
-def build_documents(parent: DataFrame, key: str, child: DataFrame, child_fields: Sequence[str],
-                    name: str, max_chars: int = MAX_DOCUMENT_CHARS) -> tuple[DataFrame, DataFrame]:
-    """D-01 (+D-02 guard): one document per parent key with its children as a sorted array.
-
-    The JSON length each document would have is computed exactly from the
-    per-child JSON lengths (a partial aggregate, safe for hot keys) *before*
-    anything is collected; keys whose document would exceed ``max_chars``
-    are not collected at all and are returned separately with their size.
-    Returns (documents, dropped).
-    """
-    kt = parent.schema[key].dataType.simpleString()
-    elem = F.to_json(F.struct(*[F.col(c) for c in child_fields]))
-    sizes = child.groupBy(key).agg(F.sum(F.length(elem)).alias("__sum"), F.count(F.lit(1)).alias("__n"))
-    # {"<key>":<v>,"<name>":[e1,e2,...]} = head + ',"<name>":[' + elements + ']}'
-    head = F.length(F.to_json(F.struct(F.col(key)))) - 1  # '{"key":v' without the closing brace
-    p = parent.select(key).join(sizes, key, "left")
-    body = F.coalesce("__sum", F.lit(0)) + F.greatest(F.coalesce("__n", F.lit(0)) - 1, F.lit(0))
-    p = p.withColumn("json_length", (head + F.lit(len(name) + 7) + body).cast("bigint"))
-    keep = p.where(F.col("json_length") <= max_chars).select(key)
-    dropped = p.where(F.col("json_length") > max_chars).select(key, "json_length")
-    nested = nest(child.join(keep, key, "left_semi"), [key], child_fields, name)
-    docs = parent.join(keep, key, "left_semi").join(nested, key, "left").withColumn(
-        name, F.coalesce(F.col(name), F.array().cast(nested.schema[name].dataType)))
-    return docs, dropped
-
-
 def document_size_guard(docs: DataFrame, key: str, priority: Column, payload: Sequence[str],
                         max_chars: int = MAX_DOCUMENT_CHARS) -> DataFrame:
     """D-02: JSON length per record, drop records over ``max_chars``, then keep one record
@@ -160,73 +137,75 @@ def build_documents_2(parent: DataFrame, key: str, mid: DataFrame, mid_id: str,
     return docs, dropped
 
 
-def _dealt(rows: DataFrame, key: str, order: Sequence[str], size: str, totals: DataFrame, width: int, name: str
-           ) -> tuple[DataFrame, DataFrame]:
-    """``rows`` with the number ``name`` (from 1) of their part, and the number of parts of each large key.
+def _present(fields: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(f).isNotNull() for f in fields])
 
-    ``totals`` has the summed ``size`` of every key.  Keys within ``width`` are one part.  The rows of
-    a larger key are dealt into hash buckets, about one per ``width``, and a running sum of sizes
-    starts a part every ``width`` in each bucket, so no task needs to hold or order a whole key.
-    """
-    large = totals.where(F.col("__total") > width).select(key, F.ceil(F.col("__total") / width).alias("__nb"))
-    one = rows.join(large, key, "left_anti").withColumn(name, F.lit(1).cast("bigint"))
-    cut = rows.join(large, key).withColumn("__b", F.pmod(F.xxhash64(*order), "__nb"))
-    before = F.sum(size).over(Window.partitionBy(key, "__b").orderBy(*order)
-                              .rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col(size)
-    cut = cut.withColumn("__at", F.floor(before / width))
-    # parts that have rows, numbered over the buckets of their key
-    parts = cut.select(key, "__b", "__at").distinct()
-    held = parts.groupBy(key, "__b").agg(F.count(F.lit(1)).alias("__np"))
-    base = held.withColumn("__base", F.sum("__np").over(
-        Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("__np"))
-    nth = F.row_number().over(Window.partitionBy(key, "__b").orderBy("__at"))
-    numbered = (parts.withColumn("__nth", nth).join(base, [key, "__b"])
-                .select(key, "__b", "__at", (F.col("__base") + F.col("__nth")).cast("bigint").alias(name)))
-    cut = cut.join(numbered, [key, "__b", "__at"]).select(*rows.columns, name)
-    return one.unionByName(cut), held.groupBy(key).agg(F.sum("__np").alias("__parts"))
-
-
-def build_document_parts(parent: DataFrame, key: str, mid: DataFrame, mid_id: str, mid_fields: Sequence[str],
-                         sub: DataFrame, sub_fields: Sequence[str], mid_name: str, sub_name: str,
-                         part_chars: int = PART_CHARS) -> tuple[DataFrame, DataFrame]:
-    """D-01 over two levels (client -> orders -> lines), whole at any size.
-
-    Returns (documents, predicted).  Documents: the parent's columns, ``part`` (from 1) and
-    ``mid_name``, a sorted array of ``struct(*mid_fields, sub_name)``.  A client whose document has
-    at most ``part_chars`` JSON characters is one row; a longer one is several rows, which together
-    have every order and line once.  An order longer than ``part_chars`` is several elements with
-    the same fields and a share of its lines each.  Parts are cut by running sums of predicted
-    lengths before anything is collected; no part is longer than about twice ``part_chars``.
-    Predicted: ``key``, ``part`` and ``json_length``, the length that ``to_json`` of the key and
-    the part's array will have.
+
+def nest_siblings(rows: DataFrame, key: str, parent: Sequence[str], sets: dict[str, Sequence[str]],
+                  chain: tuple[str, Sequence[str], str, Sequence[str]], part_chars: int = PART_CHARS) -> DataFrame:
+    """D-01: nested documents with several sibling arrays and one chain of two levels, in one pass.
+
+    ``rows`` is a typed union: ``key``, ``kind`` and every field of every kind, NULL where it belongs
+    to another kind.  Kind '' is the parent itself (one row per key, with the ``parent`` fields); the
+    kinds of ``sets`` give arrays of distinct structs; the kind named by ``chain`` (array name,
+    fields, inner array name, inner fields) has one row per inner element, or one with NULL inner
+    fields for an element without any.
+
+    Equal rows meet first (partial aggregates).  One ordered scan per key then carries the parent's
+    fields to all rows and sums up JSON lengths; a part ends every ``part_chars`` characters, so a
+    document is one row, or several that have every element once.  A part holds about twice
+    ``part_chars`` at most, unless a single element is longer; an element of the chain at a border
+    is an element of both parts, each with its share of inner elements.  Its own fields count once
+    for every inner element when parts are cut.  Nothing is collected before it is cut.
+
+    Result: key, parent fields, ``part`` (1, 2, ...), the sets' arrays and the chain's, all sorted,
+    and ``json_length``, the length that ``to_json`` of the key and the arrays has, as predicted from
+    the elements' lengths.  Rows whose key is NULL or has no parent are left out.
     """
-    line = F.length(F.to_json(F.struct(*[F.col(c) for c in sub_fields])))
-    subs = sub.where(F.col(mid_id).isNotNull()).select(mid_id, *sub_fields, line.cast("bigint").alias("__len"))
-    totals = subs.groupBy(mid_id).agg(F.sum(F.col("__len") + 1).alias("__total"))
-    subs, _ = _dealt(subs.withColumn("__size", F.col("__len") + 1), mid_id, sub_fields, "__size", totals, part_chars,
-                     "__piece")
-    pieces = subs.groupBy(mid_id, "__piece").agg(F.sum("__len").alias("__s"), F.count(F.lit(1)).alias("__n"))
+    name, mid, sub_name, sub = chain
+    fields = list(dict.fromkeys([*parent, *[f for fs in sets.values() for f in fs], *mid, *sub]))
+    is_chain, has_sub = F.col("kind") == name, _present(sub)
+    line = F.length(F.to_json(F.struct(*sub))).cast("bigint")
     empty = F.array().cast("array<string>").alias(sub_name)
-    base = F.length(F.to_json(F.struct(*[F.col(c) for c in mid_fields], empty))) - 2
-    units = (mid.where(F.col(key).isNotNull()).select(key, *dict.fromkeys([mid_id, *mid_fields])).join(pieces, mid_id, "left")
-             .withColumn("__ml", (base + _array_json_length(F.col("__n"), F.col("__s"))).cast("bigint"))
-             .drop("__s", "__n").withColumn("__size", F.col("__ml") + 1))
-    totals = units.groupBy(key).agg(F.sum("__size").alias("__total"))
-    units, large = _dealt(units, key, [*dict.fromkeys([mid_id, *mid_fields]), "__piece"], "__size", totals, part_chars,
-                          "part")
-    whole = parent.join(large, key, "left").withColumn(
-        "part", F.explode(F.sequence(F.lit(1).cast("bigint"), F.coalesce("__parts", F.lit(1).cast("bigint"))))).drop("__parts")
-
-    sums = units.groupBy(key, "part").agg(F.sum("__ml").alias("__s"), F.count(F.lit(1)).alias("__n"))
-    head = F.length(F.to_json(F.struct(F.col(key)))) - 1
-    predicted = whole.select(key, "part").join(sums, [key, "part"], "left").select(
-        key, "part", (head + F.lit(len(mid_name) + 5) + _array_json_length(F.col("__n"), F.col("__s")))
-        .cast("bigint").alias("json_length"))
-
-    inner = nest(subs, [mid_id, "__piece"], sub_fields, sub_name)
-    full = units.join(inner, [mid_id, "__piece"], "left")
-    full = full.withColumn(sub_name, F.coalesce(F.col(sub_name), F.array().cast(inner.schema[sub_name].dataType)))
-    outer = nest(full, [key, "part"], [*mid_fields, sub_name], mid_name)
-    docs = whole.join(outer, [key, "part"], "left").withColumn(
-        mid_name, F.coalesce(F.col(mid_name), F.array().cast(outer.schema[mid_name].dataType)))
-    return docs.select(*parent.columns, "part", mid_name), predicted
+    base = (F.length(F.to_json(F.struct(*mid, empty))) - 2).cast("bigint")
+    element = reduce(lambda e, k: e.when(F.col("kind") == k, F.length(F.to_json(F.struct(*sets[k]))).cast("bigint")), sets,
+                     F.when(is_chain, base)).otherwise(F.lit(0).cast("bigint"))
+    alike = (rows.where(F.col(key).isNotNull()).groupBy(key, "kind", *fields).agg(F.count(F.lit(1)).alias("__n"))
+             .withColumns({"__len": element, "__line": F.when(is_chain & has_sub, line).otherwise(0)}))
+    # equal inner elements stay in number, in pieces that fit into a part
+    copies = F.when(F.col("__line") > 0, F.greatest(F.lit(1), F.floor(F.lit(part_chars) / F.col("__line")))).otherwise(F.col("__n"))
+    pieces = alike.withColumn("__fit", copies).withColumn(
+        "__piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("__n") - 1) / F.col("__fit")))))
+    held = F.when(F.col("__line") > 0, F.least(F.col("__fit"), F.col("__n") - F.col("__piece") * F.col("__fit"))).otherwise(0)
+    sized = (pieces.withColumn("__held", held)
+             .withColumn("__size", F.least(F.lit(part_chars).cast("bigint"),
+                                           F.col("__len") + 1 + F.col("__held") * (F.col("__line") + 1)))
+             .withColumn("__parent", F.when(F.col("kind") == "", F.struct(F.lit(True).alias("__is"), *parent)))
+             .drop("__n", "__fit"))
+    # any order does that keeps a kind's equal elements, and the inner elements of one, together
+    own = list(dict.fromkeys([*[f for fs in sets.values() for f in fs], *mid]))
+    sized = sized.withColumns({"__h": F.xxhash64("kind", *own), "__hs": F.xxhash64(*sub), "__child": F.col("kind") != ""})
+    scanned = ordered_scan(sized, [key], ["__child", "__h", "__hs", "__piece"],
+                           {"__sum": ("sum", "__size"), "__of": ("last_nonnull", "__parent")})
+    part = (F.floor((F.col("__sum") - F.col("__size")) / part_chars) + 1).cast("bigint")
+    dealt = (scanned.where(F.col("__of").isNotNull()).withColumns({"part": part, "__chain": is_chain})
+             .repartition(key, "part"))  # both aggregates below use this partitioning
+    inner = dealt.groupBy(key, "part", "__chain", *mid).agg(
+        F.max("__of").alias("__of"), F.max("__len").alias("__base"),
+        F.sum(F.col("__held") * F.col("__line")).alias("__sub_len"), F.sum("__held").alias("__sub_n"),
+        F.sort_array(F.flatten(F.collect_list(F.when(F.col("__held") > 0, F.array_repeat(
+            F.struct(*sub), F.col("__held").cast("int")))))).alias(sub_name),
+        *[x for k in sets for x in (F.collect_list(F.when(F.col("kind") == k, F.struct(*sets[k]))).alias(k),
+                                    F.sum(F.when(F.col("kind") == k, F.col("__len"))).alias(f"__len_{k}"))])
+    ours = F.col("__chain")
+    outer = inner.groupBy(key, "part").agg(
+        F.max("__of").alias("__of"),
+        F.sort_array(F.collect_list(F.when(ours, F.struct(*mid, sub_name)))).alias(name),
+        F.sum(F.when(ours, F.col("__base") + _array_json_length(F.col("__sub_n"), F.col("__sub_len")))).alias("__len"),
+        *[x for k in sets for x in (F.sort_array(F.flatten(F.collect_list(F.when(~ours, F.col(k))))).alias(k),
+                                    F.sum(f"__len_{k}").alias(f"__len_{k}"))])
+    length = F.length(F.to_json(F.struct(key)))
+    for array, total in [*[(k, f"__len_{k}") for k in sets], (name, "__len")]:
+        length = length + F.lit(len(array) + 4) + _array_json_length(F.size(array), F.col(total))
+    return outer.select(key, *[F.col("__of")[f].alias(f) for f in parent], "part", *sets, name,
+                        length.cast("bigint").alias("json_length"))

@@ -1,15 +1,14 @@
 """Ordered per-key scans that stay parallel when one key holds a large share of the rows.
 
 ``Window.partitionBy(key).orderBy(...)`` sends every row of a key to one task.  Here a key that
-fills more than one partition's share is cut into contiguous *chunks* of (key, order), and the scan
+holds more than SHARES partitions' shares of the rows is cut into contiguous *chunks* of (key, order), and the scan
 is a distributed prefix scan: each chunk computes its running values by itself, every chunk hands
 on one carry row (row count, running totals, last and first value), the carries of a key are
 combined in order, and the result is joined back to the chunk's rows.
 
 One plan serves every size, and nothing runs while it is built.  The chunk borders come from a
 scalar subquery of the plan itself: of the rows with the least hashes of (keys, order), a bounded
-and repeatable choice, every key with more than a partition's share gives borders at equal
-distances.  A row's chunk is a pure function of its values and these borders (a binary search), so
+and repeatable choice, every such key gives borders at the distance of one partition's share.  A row's chunk is a pure function of its values and these borders (a binary search), so
 every branch and every recomputation after a lost executor agrees.  Keys without borders have
 chunk 0 and no carries: only rows of split keys take part in the carry branch, whose result has at
 most two rows per border and is broadcast.
@@ -37,18 +36,17 @@ along its leading order columns of atomic types only.
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHUNK = "__chunk"
 #: Chunks that an input is cut into at most; None: as many as there are shuffle partitions.
 CHUNKS: int | None = None
-#: Rows of the choice per chunk.
-PER_CHUNK = 64
+#: Rows of the choice per chunk; a key is split if it holds as many chunks' shares of them.
+PER_CHUNK, SHARES = 16, 4
 
 Order = str | tuple[str, bool] | tuple[str, bool, bool]
 
@@ -70,58 +68,65 @@ def sort_column(o: Order) -> Column:
     return c.desc_nulls_first() if nulls_first else c.desc_nulls_last()
 
 
-def _falling(name: str, kind: T.DataType) -> list[Column] | None:
-    """Columns whose ascending order is the descending order of a non-NULL ``name``; None if there are none."""
-    c = F.col(name)
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _order_by(order: Sequence[Order]) -> str:
+    def one(o: Order) -> str:
+        name, asc, nulls_first = _spec(o)
+        return f"{_q(name)} {'ASC' if asc else 'DESC'} NULLS {'FIRST' if nulls_first else 'LAST'}"
+    return ", ".join(map(one, order))
+
+
+def _falling(c: str, kind: T.DataType) -> list[str] | None:
+    """SQL whose ascending order is the descending order of a non-NULL ``c``; None if there is none."""
     if isinstance(kind, T.BooleanType):
-        return [~c]
+        return [f"NOT {c}"]
     if isinstance(kind, T.IntegralType):
-        return [F.bitwise_not(c)]
+        return [f"~{c}"]
     if isinstance(kind, (T.FloatType, T.DoubleType)):
-        return [~F.isnan(c), -c]  # NaN is the greatest
+        return [f"NOT isnan({c})", f"-{c}"]  # NaN is the greatest
     if isinstance(kind, T.DecimalType):
-        return [-c]
+        return [f"-{c}"]
     if isinstance(kind, T.DateType):
-        return [F.bitwise_not(F.unix_date(c))]
+        return [f"~unix_date({c})"]
     if isinstance(kind, T.TimestampNTZType):
-        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-        return [F.bitwise_not(F.timestamp_diff("MICROSECOND", epoch, c))]
+        return [f"~timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', {c})"]
     if isinstance(kind, T.TimestampType):
-        return [F.bitwise_not(F.unix_micros(c))]
+        return [f"~unix_micros({c})"]
     if isinstance(kind, (T.StringType, T.BinaryType)):
         # complemented hex digits, with an end that is greater than any digit
-        digits = "0123456789ABCDEF"
-        return [F.concat(F.translate(F.hex(c), digits, digits[::-1]), F.lit("~"))]
+        return [f"concat(translate(hex({c}), '0123456789ABCDEF', 'FEDCBA9876543210'), '~')"]
     return None
 
 
-def _ascending(df: DataFrame, order: Sequence[Order]) -> Column:
-    """A struct whose natural order is ``order``, as far as its leading columns can be said so."""
-    fields: list[Column] = []
+def _ascending(schema: T.StructType, order: Sequence[Order]) -> str:
+    """SQL of a struct whose natural order is ``order``, as far as its leading columns can be said so."""
+    fields = ["true"]
     for o in order:
         name, asc, nulls_first = _spec(o)
-        kind = df.schema[name].dataType
-        if not isinstance(kind, T.AtomicType):
-            break
-        value = [F.col(name)] if asc else _falling(name, kind)
+        kind = schema[name].dataType
+        value = None
+        if isinstance(kind, T.AtomicType):
+            value = [_q(name)] if asc else _falling(_q(name), kind)
         if value is None:
             break
-        fields += [F.col(name).isNotNull() if nulls_first else F.col(name).isNull(), *value]
-    return F.struct(F.lit(True), *fields)
+        fields += [f"{_q(name)} IS {'NOT ' if nulls_first else ''}NULL", *value]
+    return f"struct({', '.join(fields)})"
+
 
+def _borders(df: DataFrame, keys: Sequence[str], at: str, order: Sequence[Order], n: int) -> DataFrame:
+    """One row, one array: the borders (k, o) of the keys that hold more than SHARES / n of the rows.
 
-def _borders(df: DataFrame, keys: Sequence[str], cut: Sequence[Order], order: Sequence[Order], n: int) -> DataFrame:
-    """One row, one array: the borders (k, o) of the keys that hold more than 1 / n of the rows."""
-    values = [F.col(x) for x in dict.fromkeys([*keys, *[_spec(o)[0] for o in order]])]
-    chosen = (df.select(F.struct(*keys).alias("k"), _ascending(df, cut).alias("o"), F.xxhash64(*values).alias("h"))
-              .orderBy("h").limit(n * PER_CHUNK).select("k", "o"))
-    of_key = Window.partitionBy("k")
-    placed = chosen.select("k", "o", F.count(F.lit(1)).over(of_key).alias("held"),
-                           F.row_number().over(of_key.orderBy("o")).alias("nth"),
-                           F.count(F.lit(1)).over(Window.partitionBy()).alias("total"))
-    steps = F.floor(F.col("nth") * n / F.col("total")) > F.floor((F.col("nth") - 1) * n / F.col("total"))
-    hot = placed.where(F.col("held") * n > F.col("total")).where(steps & (F.col("nth") > 1))
-    return hot.agg(F.sort_array(F.collect_set(F.struct("k", "o"))).alias("borders"))
+    ``at`` is the SQL of a row's (k, o).
+    """
+    values = ", ".join(map(_q, dict.fromkeys([*keys, *[_spec(o)[0] for o in order]])))
+    return (df.selectExpr(f"inline(array({at}))", f"xxhash64({values}) AS h").orderBy("h").limit(n * PER_CHUNK)
+            .selectExpr("k", "o", "count(*) OVER (PARTITION BY k) AS held",
+                        "row_number() OVER (PARTITION BY k ORDER BY o) AS nth", "count(*) OVER () AS total")
+            .where(f"held * {n} > {SHARES} * total AND nth > 1 AND floor(nth * {n} / total) > floor((nth - 1) * {n} / total)")
+            .selectExpr("sort_array(collect_set(struct(k, o))) AS borders"))
 
 
 def add_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[Order], n: int | None = None,
@@ -131,18 +136,42 @@ def add_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[Order], n: in
     ``cut`` is a prefix of ``order``; rows that are equal in it share a chunk.
     """
     n = n or CHUNKS or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = list(order if cut is None else cut)
-    x = df.withColumns({"__borders": _borders(df, keys, cut, order, n).scalar(),
-                        "__at": F.struct(F.struct(*keys).alias("k"), _ascending(df, cut).alias("o"))})
+    at = (f"named_struct('k', struct({', '.join(map(_q, keys))}), "
+          f"'o', {_ascending(df.schema, order if cut is None else cut)})")
     # how many borders are at or before the row: at most n, so a few halving steps
-    steps = F.array(*[F.lit(1 << b) for b in reversed(range(n.bit_length()))])
-    place = F.aggregate(steps, F.lit(0), lambda at, s: F.when(
-        F.get("__borders", at + s - 1) <= F.col("__at"), at + s).otherwise(at))
-    x = x.withColumn("__place", F.when(F.size("__borders") == 0, 0).otherwise(place))
-    key = F.col("__at.k")
-    split = (F.get("__borders", F.col("__place") - 1)["k"].eqNullSafe(key)
-             | F.get("__borders", F.col("__place"))["k"].eqNullSafe(key))
-    return x.withColumn(CHUNK, F.when(split, F.col("__place") + 1).otherwise(0)).drop("__borders", "__at", "__place")
+    steps = ", ".join(str(1 << b) for b in reversed(range(n.bit_length())))
+    place = (f"CASE WHEN size(__borders) = 0 THEN 0 ELSE aggregate(array({steps}), 0, (at, s) -> "
+             "CASE WHEN get(__borders, at + s - 1) <= __at THEN at + s ELSE at END) END")
+    split = "get(__borders, __place - 1).k <=> __at.k OR get(__borders, __place).k <=> __at.k"
+    return (df.select("*", _borders(df, keys, at, order, n).scalar().alias("__borders"), F.expr(f"{at} AS __at"))
+            .selectExpr("*", f"{place} AS __place")
+            # an array of one: a filter on the chunk stays above it, and does not repeat the search
+            .selectExpr(*map(_q, df.columns), f"explode(array(CASE WHEN {split} THEN __place + 1 ELSE 0 END)) AS {CHUNK}"))
+
+
+#: kind -> running value within the chunk, what a chunk hands on, how carries combine, and the result of both.
+#: w, run, rest and peers stand for windows over the chunk, wk for one over the chunks of a key; c is the
+#: column, l the running value, k the combined carry, h what was handed on.
+_BEFORE = "(wk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+_AFTER = "(wk ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)"
+KINDS = {
+    "row_number": (None, None, None, "coalesce(__off, 0) + __nth"),
+    "is_first": (None, None, None, "coalesce(__off, 0) = 0 AND __nth = 1"),
+    "rank": ("rank() OVER (peers)", None, None, "coalesce(__off, 0) + {l}"),
+    "dense_rank": ("dense_rank() OVER (peers)", "max({l})", f"sum({{h}}) OVER {_BEFORE}", "coalesce({k}, 0) + {l}"),
+    "lag": ("lag({c}) OVER (w)", "max_by({c}, __nth)", "lag({h}) OVER (wk)", "CASE WHEN __nth = 1 THEN {k} ELSE {l} END"),
+    "lead": ("lead({c}) OVER (w)", "min_by({c}, __nth)", "lead({h}) OVER (wk)", "CASE WHEN __end THEN {k} ELSE {l} END"),
+    "sum": ("sum({c}) OVER (run)", "sum({c})", f"sum({{h}}) OVER {_BEFORE}",
+            "CASE WHEN {k} IS NULL THEN {l} WHEN {l} IS NULL THEN {k} ELSE {k} + {l} END"),
+    "max": ("max({c}) OVER (run)", "max({c})", f"max({{h}}) OVER {_BEFORE}", "greatest({k}, {l})"),
+    "min": ("min({c}) OVER (run)", "min({c})", f"min({{h}}) OVER {_BEFORE}", "least({k}, {l})"),
+    "max_before": ("max({c}) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)", "max({c})",
+                   f"max({{h}}) OVER {_BEFORE}", "greatest({k}, {l})"),
+    "last_nonnull": ("last({c}, true) OVER (run)", "max_by({c}, CASE WHEN {c} IS NOT NULL THEN __nth END)",
+                     f"last({{h}}, true) OVER {_BEFORE}", "coalesce({l}, {k})"),
+    "next_nonnull": ("first({c}, true) OVER (rest)", "min_by({c}, CASE WHEN {c} IS NOT NULL THEN __nth END)",
+                     f"first({{h}}, true) OVER {_AFTER}", "coalesce({l}, {k})"),
+}
 
 
 def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Order], specs: dict[str, tuple],
@@ -159,96 +188,32 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Order], spe
     x = df if chunk_col else add_chunks(df, keys, order, n_chunks, cut=rb if has_rank else order)
     ch = chunk_col or CHUNK
     part = [*keys, ch]
-    w = Window.partitionBy(*part).orderBy(*map(sort_column, order))
-    peers = Window.partitionBy(*part).orderBy(*map(sort_column, rb))
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    # running values within the chunk, and what a chunk hands on (c_): those of its last or first row
-    local = {"__nth": F.row_number().over(w)}
-    carry = {}
-    for out, (kind, *cols) in specs.items():
-        col = cols[0] if cols else None
-        if kind == "lag":
-            local[f"__l_{out}"] = F.lag(col, 1).over(w)
-            carry[out] = F.max_by(F.col(col), "__nth")
-        elif kind == "lead":
-            local[f"__l_{out}"] = F.lead(col, 1).over(w)
-            local["__end"] = F.lead(F.lit(True), 1).over(w).isNull()
-            carry[out] = F.min_by(F.col(col), "__nth")
-        elif kind in ("sum", "max", "min"):
-            fn = {"sum": F.sum, "max": F.max, "min": F.min}[kind]
-            local[f"__l_{out}"] = fn(col).over(run)
-            carry[out] = fn(col)
-        elif kind == "max_before":
-            local[f"__l_{out}"] = F.max(col).over(w.rowsBetween(Window.unboundedPreceding, -1))
-            carry[out] = F.max(col)
-        elif kind == "last_nonnull":
-            local[f"__l_{out}"] = F.last(col, ignorenulls=True).over(run)
-            carry[out] = F.max_by(F.col(col), F.when(F.col(col).isNotNull(), F.col("__nth")))
-        elif kind == "next_nonnull":
-            local[f"__l_{out}"] = F.first(col, ignorenulls=True).over(
-                w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-            carry[out] = F.min_by(F.col(col), F.when(F.col(col).isNotNull(), F.col("__nth")))
-        elif kind == "rank":
-            local[f"__l_{out}"] = F.rank().over(peers)
-        elif kind == "dense_rank":
-            local[f"__l_{out}"] = F.dense_rank().over(peers)
-            carry[out] = F.max(f"__l_{out}")  # distinct rank values in the chunk
-        elif kind not in ("row_number", "is_first"):
-            raise ValueError(kind)
-    x = x.select("*", *[c.alias(name) for name, c in local.items()])
-
+    by = f"PARTITION BY {', '.join(map(_q, part))} ORDER BY "
+    w = by + _order_by(order)
+    windows = {"(w)": f"({w})", "(w ": f"({w} ", "(run)": f"({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
+               "(rest)": f"({w} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)", "(peers)": f"({by}{_order_by(rb)})",
+               "wk": f"PARTITION BY {', '.join(f'__g{i}' for i in range(len(keys)))} ORDER BY __g{len(keys)}"}
+
+    def said(step: int) -> list[tuple[str, str]]:
+        """(output, SQL) of one step of KINDS for the outputs that have it."""
+        found = []
+        for out, (kind, *col) in specs.items():
+            sql = KINDS[kind][step]
+            if sql is not None:
+                if step in (0, 2):
+                    for name, text in windows.items():
+                        sql = sql.replace(name, text)
+                found.append((out, sql.format(c=_q(col[0]) if col else "", l=_q(f"__l_{out}"), k=_q(f"__k_{out}"), h=_q(f"__c_{out}"))))
+        return found
+
+    x = x.selectExpr("*", f"row_number() OVER ({w}) AS __nth", f"lead(true) OVER ({w}) IS NULL AS __end",
+                     *[f"{sql} AS {_q(f'__l_{out}')}" for out, sql in said(0)])
     # one carry row per chunk of a split key, combined over the chunks before (or after) it
-    handed = (x.where(F.col(ch) > 0).groupBy(*part)
-              .agg(F.count(F.lit(1)).alias("__n"), *[c.alias(f"__c_{out}") for out, c in carry.items()]))
-    wk = Window.partitionBy(*keys).orderBy(ch)
-    before = wk.rowsBetween(Window.unboundedPreceding, -1)
-    after = wk.rowsBetween(1, Window.unboundedFollowing)
-    given = [F.sum("__n").over(before).alias("__off")]
-    for out, (kind, *_) in specs.items():
-        c, name = f"__c_{out}", f"__k_{out}"
-        if kind == "lag":
-            given.append(F.lag(c, 1).over(wk).alias(name))
-        elif kind == "lead":
-            given.append(F.lead(c, 1).over(wk).alias(name))
-        elif kind in ("sum", "dense_rank"):
-            given.append(F.sum(c).over(before).alias(name))
-        elif kind in ("max", "max_before"):
-            given.append(F.max(c).over(before).alias(name))
-        elif kind == "min":
-            given.append(F.min(c).over(before).alias(name))
-        elif kind == "last_nonnull":
-            given.append(F.last(c, ignorenulls=True).over(before).alias(name))
-        elif kind == "next_nonnull":
-            given.append(F.first(c, ignorenulls=True).over(after).alias(name))
-    handed = handed.select(*[F.col(k).alias(f"__g{i}") for i, k in enumerate(part)], *given)
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__g{i}")) for i, k in enumerate(part)])
+    handed = (x.where(f"{_q(ch)} > 0").groupBy(*[F.expr(f"{_q(k)} AS __g{i}") for i, k in enumerate(part)])
+              .agg(F.expr("count(*) AS __n"), *[F.expr(f"{sql} AS {_q(f'__c_{out}')}") for out, sql in said(1)])
+              .selectExpr(*[f"__g{i}" for i in range(len(part))], f"sum(__n) OVER {_BEFORE} AS __off".replace("wk", windows["wk"]),
+                          *[f"{sql} AS {_q(f'__k_{out}')}" for out, sql in said(2)]))
+    same = F.expr(" AND ".join(f"{_q(k)} <=> __g{i}" for i, k in enumerate(part)))
     j = x.join(F.broadcast(handed), same, "left")  # two rows per border at most, and n borders
-
-    off = F.coalesce(F.col("__off"), F.lit(0))
-    cols = []
-    for out, (kind, *_) in specs.items():
-        here, there = F.col(f"__l_{out}"), F.col(f"__k_{out}")
-        if kind == "row_number":
-            c = off + F.col("__nth")
-        elif kind == "is_first":
-            c = (off == 0) & (F.col("__nth") == 1)
-        elif kind == "rank":
-            c = off + here
-        elif kind == "dense_rank":
-            c = F.coalesce(there, F.lit(0)) + here
-        elif kind == "lag":
-            c = F.when(F.col("__nth") == 1, there).otherwise(here)
-        elif kind == "lead":
-            c = F.when(F.col("__end"), there).otherwise(here)
-        elif kind == "sum":
-            c = F.when(there.isNull(), here).when(here.isNull(), there).otherwise(there + here)
-        elif kind in ("max", "max_before"):
-            c = F.greatest(there, here)
-        elif kind == "min":
-            c = F.least(there, here)
-        else:
-            c = F.coalesce(here, there)
-        cols.append(c.alias(out))
     keep = list(df.columns) + ([ch] if (keep_chunk or chunk_col) and ch not in df.columns else [])
-    return j.select(*keep, *cols)
+    return j.selectExpr(*map(_q, keep), *[f"{sql} AS {_q(out)}" for out, sql in said(3)])

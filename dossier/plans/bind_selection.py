@@ -144,20 +144,90 @@ def x_08_entity_edges(spark, sf):
 
 # ---------------------------------------------------------------- documents
 
+SETS = {"addresses": ["address_type", "country", "region"], "activities": ["activity"],
+        "parties": ["party_id", "party_name"], "relationships": ["relation", "related_id"]}
+CHAIN = ("orders", ["o_orderkey", "o_orderstatus", "o_orderdate"], "lines", ["l_linenumber", "l_partkey", "l_quantity"])
+
+
 def _documents(spark, sf):
+    """Every client with its addresses, activities, parties, relationships, and orders with their lines.
+
+    All child kinds are stacked into one frame with one scan per table.  A client is registered in
+    its own country and operates in those of its suppliers; its activities are the types of the parts
+    it orders; its parties are its suppliers, related by supply or return.
+    """
     t = T(spark, sf)
-    orders = t.orders.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_orderstatus",
-                             F.to_date("o_orderdate").alias("o_orderdate"))
-    lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_quantity")
-    return DOC.build_document_parts(t.customer.select("c_custkey", "c_name"), "c_custkey", orders, "o_orderkey",
-                                    ["o_orderkey", "o_orderstatus", "o_orderdate"], lines,
-                                    ["l_linenumber", "l_partkey", "l_quantity"], "orders", "lines")
+    kinds = {"": ["c_name"], **SETS, CHAIN[0]: [*CHAIN[1], *CHAIN[3]]}
+    o = t.orders.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_orderstatus",
+                        F.to_date("o_orderdate").alias("o_orderdate"))
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
+    facts = (o.join(lines, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+             .join(t.part.select("p_partkey", "p_type"), F.col("p_partkey") == F.col("l_partkey"), "left")
+             .join(t.supplier.select("s_suppkey", "s_name", "s_nationkey"), F.col("s_suppkey") == F.col("l_suppkey"), "left"))
+    relation = F.when(F.col("l_returnflag") == "R", "Returns to").otherwise("Supplied by")
+    own = {"c_name": "string", "address_type": "string", "activity": "string", "party_id": "bigint", "party_name": "string",
+           "relation": "string", "related_id": "bigint", "o_orderkey": "bigint", "o_orderstatus": "string",
+           "o_orderdate": "date", "l_linenumber": "int", "l_partkey": "bigint", "l_quantity": "double", "nationkey": "int"}
+
+    def row(kind: str, **values) -> F.Column:
+        return F.struct(F.lit(kind).alias("kind"), *[
+            (values[c] if c in values else F.lit(None)).cast(kind_of).alias(c) for c, kind_of in own.items()])
+
+    child = F.array(
+        row("orders", **{c: F.col(c) for c in kinds["orders"]}),
+        row("activities", activity=F.col("p_type")), row("parties", party_id=F.col("s_suppkey"), party_name=F.col("s_name")),
+        row("relationships", relation=relation, related_id=F.col("s_suppkey")),
+        row("addresses", address_type=F.lit("Operating"), nationkey=F.col("s_nationkey")))
+    client = F.array(row("", c_name=F.col("c_name")),
+                     row("addresses", address_type=F.lit("Registered"), nationkey=F.col("c_nationkey")))
+    stacked = (facts.select("c_custkey", F.inline(child))
+               .unionByName(t.customer.select("c_custkey", F.inline(client)))
+               # an order without lines has no supplier and no part
+               .where("kind IN ('', 'orders') OR coalesce(activity, CAST(party_id AS STRING), CAST(related_id AS STRING),"
+                      " CAST(nationkey AS STRING)) IS NOT NULL"))
+    places = (t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+              .select(F.col("n_nationkey").alias("nationkey"), F.col("n_name").alias("country"), F.col("r_name").alias("region")))
+    return DOC.nest_siblings(stacked.join(places, "nationkey", "left"), "c_custkey", ["c_name"], SETS, CHAIN)
 
 
 @register("d_01_build_documents")
 def d_01_build_documents(spark, sf):
-    """Every client with all its orders and lines; a long document is several rows (parts)."""
-    return _documents(spark, sf)[0]
+    """Every client with its arrays, whole; a long document is several rows (parts)."""
+    return _documents(spark, sf)
+
+
+@register("d_01_document_json", """
+WITH li AS (SELECT o_custkey AS c, o_orderkey, o_orderstatus, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate,
+                   l_linenumber, l_partkey, l_quantity, p_type, s_suppkey, s_name, s_nationkey, l_returnflag
+            FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey LEFT JOIN part ON p_partkey = l_partkey
+            LEFT JOIN supplier ON s_suppkey = l_suppkey),
+ad AS (SELECT c_custkey AS c, 'Registered' AS address_type, c_nationkey AS nk FROM customer
+       UNION SELECT c, 'Operating', s_nationkey FROM li WHERE s_suppkey IS NOT NULL),
+addresses AS (SELECT c, list({address_type: address_type, country: n_name, region: r_name}
+                             ORDER BY address_type, n_name, r_name) AS x
+              FROM ad JOIN nation ON n_nationkey = nk JOIN region ON r_regionkey = n_regionkey GROUP BY c),
+activities AS (SELECT c, list({activity: p_type} ORDER BY p_type) AS x
+               FROM (SELECT DISTINCT c, p_type FROM li WHERE p_type IS NOT NULL) GROUP BY c),
+parties AS (SELECT c, list({party_id: s_suppkey, party_name: s_name} ORDER BY s_suppkey, s_name) AS x
+            FROM (SELECT DISTINCT c, s_suppkey, s_name FROM li WHERE s_suppkey IS NOT NULL) GROUP BY c),
+relationships AS (SELECT c, list({relation: relation, related_id: s_suppkey} ORDER BY relation, s_suppkey) AS x
+  FROM (SELECT DISTINCT c, CASE WHEN l_returnflag = 'R' THEN 'Returns to' ELSE 'Supplied by' END AS relation, s_suppkey
+        FROM li WHERE s_suppkey IS NOT NULL) GROUP BY c),
+o AS (SELECT c, o_orderkey, o_orderstatus, o_orderdate,
+        list({l_linenumber: l_linenumber, l_partkey: l_partkey, l_quantity: l_quantity}
+             ORDER BY l_linenumber, l_partkey, l_quantity) FILTER (l_linenumber IS NOT NULL) AS lines FROM li GROUP BY ALL),
+orders_ AS (SELECT c, list({o_orderkey: o_orderkey, o_orderstatus: o_orderstatus, o_orderdate: o_orderdate,
+                            lines: coalesce(lines, [])} ORDER BY o_orderkey, o_orderstatus, o_orderdate) AS x FROM o GROUP BY c),
+d AS (SELECT c_custkey, CAST(1 AS BIGINT) AS part, CAST(to_json({c_custkey: c_custkey, addresses: coalesce(a.x, []),
+        activities: coalesce(b.x, []), parties: coalesce(p.x, []), relationships: coalesce(r.x, []),
+        orders: coalesce(q.x, [])}) AS VARCHAR) AS document
+      FROM customer LEFT JOIN addresses a ON a.c = c_custkey LEFT JOIN activities b ON b.c = c_custkey
+      LEFT JOIN parties p ON p.c = c_custkey LEFT JOIN relationships r ON r.c = c_custkey LEFT JOIN orders_ q ON q.c = c_custkey)
+SELECT *, CAST(length(document) AS BIGINT) AS json_length FROM d""")
+def d_01_document_json(spark, sf):
+    """The documents as JSON text, with the length predicted before anything was collected."""
+    d = _documents(spark, sf)
+    return d.select("c_custkey", "part", F.to_json(F.struct("c_custkey", *SETS, CHAIN[0])).alias("document"), "json_length")
 
 
 @register("d_01_document_counts", """
@@ -176,15 +246,15 @@ def d_01_document_counts(spark, sf):
         F.coalesce("n_lines", F.lit(0)).cast("int").alias("n_lines"))
 
 
-@register("d_01_document_length_check")
+@register("d_01_document_length_check", """
+SELECT CAST(NULL AS BIGINT) AS c_custkey, CAST(NULL AS BIGINT) AS part, CAST(NULL AS INTEGER) AS real_length,
+       CAST(NULL AS BIGINT) AS json_length FROM customer WHERE FALSE""")
 def d_01_document_length_check(spark, sf):
     """Predicted JSON length (computed before collecting) against the real one, for every part of
     every client: must be equal."""
-    docs, predicted = _documents(spark, sf)
-    real = docs.select("c_custkey", "part",
-                       F.length(F.to_json(F.struct("c_custkey", "orders"))).alias("real_length"))
-    return real.join(predicted, ["c_custkey", "part"], "full").where(
-        ~F.col("json_length").eqNullSafe(F.col("real_length")))
+    real = F.length(F.to_json(F.struct("c_custkey", *SETS, CHAIN[0])))
+    return (_documents(spark, sf).select("c_custkey", "part", real.alias("real_length"), "json_length")
+            .where(~F.col("json_length").eqNullSafe(F.col("real_length"))))
 
 
 @register("d_02_document_size_guard")

@@ -131,7 +131,7 @@ CHUNKED_QUERIES = ["w_04_dense_rank", "w_05_previous_value", "w_06_next_value",
 @pytest.mark.parametrize("name", CHUNKED_QUERIES)
 def test_registered_queries_with_split_keys(spark, small_dir, name, monkeypatch):
     import __spark_entry__ as E
-    monkeypatch.setattr(ordered_mod, "CHUNKS", 512)  # keys with three rows or more are split
+    monkeypatch.setattr(ordered_mod, "CHUNKS", 512)  # keys with a dozen rows or fewer are split already
     from tools.oracle_check import compare, duck_conn
     status, msg = compare(name, E.queries()[name], E.oracle_sql()[name], spark, duck_conn(small_dir), small_dir)
     assert status == "OK", msg

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from dossier.operators.documents import build_document_parts
+import dossier.operators.ordered as ordered_mod
+from dossier.operators.documents import nest_siblings
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +25,8 @@ def hot_dir(spark, small_dir, tmp_path_factory):
             one = more.withColumn("l_orderkey", F.lit(least).cast(df.schema["l_orderkey"].dataType))
             df = df.unionByName(more.drop("copy")).unionByName(one.drop("copy"))
         df.write.parquet(f"{d}/{t}.parquet")
+    for t in ("nation", "region", "part", "supplier"):
+        spark.read.parquet(f"{small_dir}/{t}.parquet").write.parquet(f"{d}/{t}.parquet")
     return str(d)
 
 
@@ -43,23 +46,44 @@ def test_hot_client_is_whole(spark, hot_dir):
     assert len(parts) > 2 and parts == list(range(1, len(parts) + 1))
     assert docs.agg(F.max(F.length(F.to_json("orders")))).collect()[0][0] <= 2_000_000
     assert q["d_01_document_length_check"](spark, hot_dir).isEmpty()
+    for name, field in (("addresses", "a"), ("activities", "a"), ("parties", "a"), ("relationships", "a")):
+        each = docs.select("c_custkey", F.explode(name).alias(field))  # distinct over all parts
+        assert each.count() == each.distinct().count()
+    assert docs.where("c_custkey = 1").select(F.explode("parties")).count() == spark.read.parquet(f"{hot_dir}/supplier.parquet").count()
 
 
+@pytest.mark.parametrize("chunks", [None, 64])  # 64: the scan splits the client
 @pytest.mark.parametrize("chars", [1, 150, 10_000])
-def test_parts_have_every_row_once(spark, chars):
-    parent = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "c int, name string")
+def test_parts_have_every_row_once(spark, chars, chunks, monkeypatch):
+    monkeypatch.setattr(ordered_mod, "CHUNKS", chunks)
+    parent = [(1, "x"), (2, "y"), (3, "z")]
     orders = [(1, o) for o in range(10, 30)] + [(1, 10), (2, 50), (None, 60), (9, 61), (1, None)]
     lines = [(10, "a" * k) for k in range(40)] + [(10, "a")] * 5 + [(11, None), (50, "b"), (60, "c"), (None, "d")]
+    tags = [(1, t % 9) for t in range(30)] + [(2, None), (9, 1)]
     mid, sub = spark.createDataFrame(orders, "c int, o int"), spark.createDataFrame(lines, "o int, t string")
-    docs, predicted = build_document_parts(parent, "c", mid, "o", ["o"], sub, ["t"], "orders", "lines", chars)
+    chain = mid.join(sub.withColumn("k", F.lit(1)), "o", "left").select("c", F.lit("orders").alias("kind"), "o", "t", "k")
+    rows = (spark.createDataFrame(parent, "c int, name string").withColumn("kind", F.lit(""))
+            .unionByName(chain, allowMissingColumns=True)
+            .unionByName(spark.createDataFrame(tags, "c int, tag int").withColumn("kind", F.lit("tags")), allowMissingColumns=True))
+    docs = nest_siblings(rows, "c", ["name"], {"tags": ["tag"]}, ("orders", ["o"], "lines", ["t", "k"]), chars)
     rows = docs.collect()
     got = Counter((r["c"], r["name"], o["o"], x["t"]) for r in rows for o in r["orders"] for x in o["lines"])
-    want = Counter((c, n, o, t) for c, n in [(1, "x"), (2, "y"), (3, "z")] for d, o in orders if d == c
+    want = Counter((c, n, o, t) for c, n in parent for d, o in orders if d == c
                    for p, t in lines if p == o and o is not None)
     assert got == want
     assert {(r["c"], o["o"]) for r in rows for o in r["orders"]} == {(c, o) for c, o in orders if c in (1, 2)}
+    assert sorted((r["c"], x["tag"]) for r in rows for x in r["tags"] if r["c"] == 1) == [(1, t) for t in range(9)]
+    assert [x["tag"] for r in rows if r["c"] == 2 for x in r["tags"]] == [None] and {r["c"] for r in rows} == {1, 2, 3}
     for c in (1, 2, 3):
         parts = sorted(r["part"] for r in rows if r["c"] == c)
         assert parts == list(range(1, len(parts) + 1)) and (len(parts) == 1 or chars < 10_000)
-    real = {(r["c"], r["part"]): r["n"] for r in docs.select("c", "part", F.length(F.to_json(F.struct("c", "orders"))).alias("n")).collect()}
-    assert real == {(r["c"], r["part"]): r["json_length"] for r in predicted.collect()}
+    real = docs.select("json_length", F.length(F.to_json(F.struct("c", "tags", "orders"))).alias("n")).collect()
+    assert all(r["json_length"] == r["n"] for r in real) and max(r["n"] for r in real) < 2 * max(chars, 150) + 100
+
+
+def test_documents_read_each_table_once(spark, small_dir):
+    """One scan per table in the documents' own plan; the only others choose the ordered scan's borders and carries."""
+    docs = E.queries()["d_01_build_documents"](spark, small_dir)
+    plan = docs._jdf.queryExecution().optimizedPlan().toString()
+    # the ordered scan has a main branch and a carry branch, each with the choice of borders
+    assert plan.count("Relation [l_orderkey") == plan.count("Relation [o_orderkey") == plan.count("Relation [c_custkey") <= 4
