@@ -4,10 +4,23 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def period_dimension(values: DataFrame, code: str, month: str, last: Column) -> DataFrame:
+    """Values by (code, month) with the gaps filled: a month without a row has the last earlier one.
+
+    ``values`` has one row per code and month (first of the month); ``last`` is the last month
+    needed.  The result has at most codes x months rows, whatever the facts, so facts meet it by a
+    plain equi join on (code, month).  Months before a code's first row have none.
+    """
+    until = F.coalesce(F.lead(month).over(Window.partitionBy(code).orderBy(month)), F.add_months(last, 1))
+    held = values.withColumn("__until", F.greatest(F.add_months(F.col(month), 1), until))
+    months = F.sequence(F.col(month), F.add_months("__until", -1), F.expr("INTERVAL 1 MONTH"))
+    return held.select(*[c for c in values.columns if c != month], F.explode(months).alias(month))
+
+
 def to_base_currency(df: DataFrame, rates: DataFrame, amount: str, currency: str, base: str,
                      keys: Sequence[str] = (), rate_col: str = "rate", out: str = "amount_base",
                      scale: int | None = 2) -> DataFrame:

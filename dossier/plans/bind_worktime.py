@@ -216,10 +216,17 @@ def t_11_utc_to_local(spark, sf):
 
 # ---------------------------------------------------------------------- money
 
-# Conversion rates to the base currency (EUR) per currency.
-RATES = [("EUR", 1.0), ("USD", 0.5), ("GBP", 0.25), ("CHF", 0.0)]
 CURRENCY_SQL = ("CASE WHEN l_linestatus = 'O' AND l_returnflag = 'R' THEN 'CHF' WHEN l_returnflag = 'A' THEN 'EUR' "
                 "WHEN l_returnflag = 'N' THEN 'USD' ELSE 'GBP' END")
+#: The month of a line, and the average rate per currency and month: price per piece of the first line of an order.
+#: No rate is quoted in the last month of a quarter, where the month before counts.
+MONTH_SQL = "CAST(date_trunc('month', l_shipdate) AS DATE)"
+RATES_SQL = f"""rates AS (
+  SELECT {CURRENCY_SQL} AS currency, {MONTH_SQL} AS month,
+         CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE)
+         / (CAST(sum(CAST(l_quantity AS BIGINT)) AS DOUBLE) * 100000) AS rate
+  FROM lineitem WHERE l_linenumber = 1 AND month(l_shipdate) % 3 <> 0 GROUP BY 1, 2)"""
+BASE_SQL = "CASE WHEN y.currency = 'EUR' THEN l_extendedprice ELSE l_extendedprice / nullif(r.rate, 0) END"
 
 
 def _currency():
@@ -227,18 +234,29 @@ def _currency():
             .when(F.col("l_returnflag") == "A", "EUR").when(F.col("l_returnflag") == "N", "USD").otherwise("GBP"))
 
 
+def _month(c):
+    return F.trunc(F.to_date(c), "month")
+
+
+def _rates(t):
+    """Average rates per currency and month, derived from the lines, with gaps filled by the last earlier month."""
+    quoted = t.lineitem.where((F.col("l_linenumber") == 1) & (F.month("l_shipdate") % 3 != 0))
+    cents, pieces = F.round(F.col("l_extendedprice") * 100).cast("bigint"), F.col("l_quantity").cast("bigint")
+    rate = F.sum(cents).cast("double") / (F.sum(pieces).cast("double") * 100000)
+    rates = quoted.groupBy(_currency().alias("currency"), _month("l_shipdate").alias("month")).agg(rate.alias("rate"))
+    return M.period_dimension(rates, "currency", "month", t.lineitem.agg(F.max(_month("l_shipdate"))).scalar())
+
+
 @register("m_01_to_base_currency", f"""
-WITH r(currency, rate) AS (VALUES ('EUR', 1.0), ('USD', 0.5), ('GBP', 0.25), ('CHF', 0.0)),
-x AS (SELECT l_orderkey, l_linenumber, l_extendedprice, {CURRENCY_SQL} AS currency FROM lineitem)
-SELECT x.l_orderkey, x.l_linenumber, x.currency,
-  CAST(CASE WHEN x.currency = 'EUR' THEN l_extendedprice ELSE l_extendedprice / nullif(r.rate, 0) END
-       AS DECIMAL(20, 2)) AS amount_base
-FROM x LEFT JOIN r ON x.currency = r.currency""")
+WITH {RATES_SQL},
+y AS (SELECT l_orderkey, l_linenumber, l_extendedprice, {MONTH_SQL} AS month, {CURRENCY_SQL} AS currency FROM lineitem)
+SELECT y.l_orderkey, y.l_linenumber, y.month, y.currency, CAST({BASE_SQL} AS DECIMAL(20, 2)) AS amount_base
+FROM y ASOF LEFT JOIN rates r ON y.currency = r.currency AND y.month >= r.month""")
 def m_01_to_base_currency(spark, sf):
-    li = T(spark, sf).lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice", _currency().alias("currency"))
-    rates = spark.createDataFrame(RATES, "currency string, rate double")
-    out = M.to_base_currency(li, F.broadcast(rates), "l_extendedprice", "currency", "EUR")
-    return out.drop("l_extendedprice")
+    t = T(spark, sf)
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice", _month("l_shipdate").alias("month"),
+                           _currency().alias("currency"))
+    return M.to_base_currency(li, _rates(t), "l_extendedprice", "currency", "EUR", keys=["month"]).drop("l_extendedprice")
 
 
 @register("m_02_limit_breach", """
@@ -272,55 +290,63 @@ def m_02_limit_breach(spark, sf):
                                         F.col("available")))
 
 
+#: name -> (Spark SQL and DuckDB alike) high risk of a country in a month, from its orders there:
+#: n orders, f finished ones, cents of all
+RISKS = {"sanction_risk": "n % 5 = 0", "ml_risk": "2 * f > n", "tf_risk": "f % 3 = 0", "tax_risk": "cents % 7 < 3",
+         "corruption_risk": "n % 2 = 0"}
+
+
 @register("m_03_transaction_rollup", f"""
-WITH tx AS (
-  SELECT DISTINCT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_extendedprice, l.l_quantity, l.l_returnflag,
-         l.l_linestatus, l.l_shipdate, c.c_nationkey, n.n_name
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
-  JOIN nation n ON c.c_nationkey = n.n_nationkey),
-y AS (
-  SELECT *, {CURRENCY_SQL} AS currency,
-    CASE WHEN l_quantity > 40 THEN 'batch' ELSE 'single' END AS batch_kind,
-    coalesce(CASE WHEN regexp_matches(iban, '^[A-Z]{{2}}[0-9]{{2}}') THEN substring(iban, 1, 2) END,
-             CASE WHEN length(bic) >= 6 THEN substring(bic, 5, 2) END, field_country) AS country
-  FROM (SELECT *,
-          CASE WHEN l_returnflag = 'A' THEN upper(substring(n_name, 1, 2)) || '00BANK' END AS iban,
-          CASE WHEN l_linestatus = 'O' THEN 'BANK' || upper(substring(n_name, 8, 2)) || 'XX' END AS bic,
-          'N' || CAST(c_nationkey AS VARCHAR) AS field_country FROM tx)),
-r(currency, rate) AS (VALUES ('EUR', 1.0), ('USD', 0.5), ('GBP', 0.25), ('CHF', 0.0))
-SELECT date_trunc('month', l_shipdate)::DATE AS month, country, y.currency, batch_kind, l_returnflag, l_linestatus,
-       CASE WHEN c_nationkey < 5 THEN 'High' ELSE 'Low' END AS country_risk,
-       count(*) AS n_tx, sum(l_quantity) AS quantity,
-       CAST(sum(CAST(CASE WHEN y.currency = 'EUR' THEN l_extendedprice ELSE l_extendedprice / nullif(r.rate, 0) END
-                     AS DECIMAL(20, 2))) AS DECIMAL(38, 2)) AS amount_base
-FROM y LEFT JOIN r ON y.currency = r.currency
+WITH {RATES_SQL},
+ocn AS (SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate, c_nationkey, c_mktsegment, n_name
+        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+k AS (SELECT upper(substring(n_name, 1, 2)) AS country, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS n,
+             count(*) FILTER (o_orderstatus = 'F') AS f, sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS cents
+      FROM ocn WHERE month(o_orderdate) % 4 <> 0 GROUP BY 1, 2),
+li AS (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity, l_returnflag, l_linestatus, l_shipdate
+       FROM lineitem),
+tx AS (SELECT *, {CURRENCY_SQL} AS currency, {MONTH_SQL} AS month,
+         CASE WHEN l_quantity > 40 THEN 'batch' ELSE 'single' END AS batch_kind,
+         CASE WHEN l_linestatus = 'O' THEN 'C' ELSE 'D' END AS credit_debit,
+         'N' || CAST(c_nationkey AS VARCHAR) AS holder_country,
+         CASE WHEN l_returnflag = 'A' THEN upper(substring(n_name, 1, 2)) || '00BANK' END AS iban,
+         CASE WHEN l_linestatus = 'O' THEN 'BANK' || upper(substring(n_name, 8, 2)) || 'XX' END AS bic
+       FROM li JOIN ocn ON l_orderkey = o_orderkey),
+y AS (SELECT *, coalesce(CASE WHEN regexp_matches(iban, '^[A-Z]{{2}}[0-9]{{2}}') THEN substring(iban, 1, 2) END,
+                         CASE WHEN length(bic) >= 6 THEN substring(bic, 5, 2) END, holder_country) AS country FROM tx)
+SELECT batch_kind, c_mktsegment AS client_group, y.month, credit_debit, holder_country, y.country,
+  {', '.join(f"CASE WHEN k.n IS NULL THEN NULL WHEN {sql} THEN 'High' ELSE 'Low' END AS {name}" for name, sql in RISKS.items())},
+  y.currency, count(*) AS n_tx, sum(l_quantity) AS quantity,
+  CAST(sum(CAST({BASE_SQL} AS DECIMAL(20, 2))) AS DECIMAL(38, 2)) AS amount_base
+FROM y ASOF LEFT JOIN rates r ON y.currency = r.currency AND y.month >= r.month
+ASOF LEFT JOIN k ON y.country = k.country AND y.month >= k.month
 GROUP BY ALL""")
 def m_03_transaction_rollup(spark, sf):
     t = T(spark, sf)
-    # order-sized side first (orders -> customer -> nation), then one join with the
-    # big side on l_orderkey: lineitem is shuffled once, and the de-duplication
-    # below is already partitioned by l_orderkey
-    ocn = (t.orders.select("o_orderkey", "o_custkey")
-           .join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-           .join(t.nation.select("n_nationkey", "n_name"),
-                 F.col("c_nationkey") == F.col("n_nationkey"))
-           .select("o_orderkey", "c_nationkey", "n_name"))
-    # both sides grow with the data: a shuffle join, never a broadcast of the fact side
-    tx = (t.lineitem.join(ocn, F.col("l_orderkey") == F.col("o_orderkey"))
-          .select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity", "l_returnflag",
-                  "l_linestatus", "l_shipdate", "c_nationkey", "n_name")
-          .distinct())
+    # order, customer and nation follow from l_orderkey: the lines alone are made distinct, and the shuffle
+    # by l_orderkey serves both that and the join
+    li = (t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity", "l_returnflag",
+                            "l_linestatus", "l_shipdate").repartition("l_orderkey").distinct())
+    ocn = (t.orders.join(t.customer.select("c_custkey", "c_nationkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
+           .join(t.nation.select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"))
+           .select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "c_nationkey", "c_mktsegment", "n_name"))
     iban = F.when(F.col("l_returnflag") == "A", F.concat(F.upper(F.substring("n_name", 1, 2)), F.lit("00BANK")))
     bic = F.when(F.col("l_linestatus") == "O", F.concat(F.lit("BANK"), F.upper(F.substring("n_name", 8, 2)), F.lit("XX")))
-    y = tx.select("*", _currency().alias("currency"),
-                  F.when(F.col("l_quantity") > 40, "batch").otherwise("single").alias("batch_kind"),
-                  M.counterparty_country(iban, bic, F.concat(F.lit("N"), F.col("c_nationkey").cast("string")))
-                  .alias("country"),
-                  F.when(F.col("c_nationkey") < 5, "High").otherwise("Low").alias("country_risk"))
-    rates = spark.createDataFrame(RATES, "currency string, rate double")
-    y = M.to_base_currency(y, F.broadcast(rates), "l_extendedprice", "currency", "EUR")
-    return y.groupBy(F.trunc(F.to_date("l_shipdate"), "month").alias("month"), "country", "currency", "batch_kind",
-                     "l_returnflag", "l_linestatus", "country_risk").agg(
+    holder = F.concat(F.lit("N"), F.col("c_nationkey").cast("string"))
+    y = li.join(ocn.select("o_orderkey", "c_nationkey", "c_mktsegment", "n_name"), F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.when(F.col("l_quantity") > 40, "batch").otherwise("single").alias("batch_kind"),
+        F.col("c_mktsegment").alias("client_group"), _month("l_shipdate").alias("month"),
+        F.when(F.col("l_linestatus") == "O", "C").otherwise("D").alias("credit_debit"), holder.alias("holder_country"),
+        M.counterparty_country(iban, bic, holder).alias("country"), _currency().alias("currency"), "l_quantity", "l_extendedprice")
+    months = ocn.where(F.month("o_orderdate") % 4 != 0).groupBy(
+        F.upper(F.substring("n_name", 1, 2)).alias("country"), _month("o_orderdate").alias("month")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("o_orderstatus") == "F").alias("f"),
+        F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents"))
+    listed = months.select("country", "month", *[F.when(F.expr(sql), "High").otherwise("Low").alias(name)
+                                                  for name, sql in RISKS.items()])
+    risks = M.period_dimension(listed, "country", "month", t.lineitem.agg(F.max(_month("l_shipdate"))).scalar())
+    y = M.to_base_currency(y.join(risks, ["country", "month"], "left"), _rates(t), "l_extendedprice", "currency", "EUR", keys=["month"])
+    return y.groupBy("batch_kind", "client_group", "month", "credit_debit", "holder_country", "country", *RISKS, "currency").agg(
         F.count(F.lit(1)).alias("n_tx"), F.sum("l_quantity").alias("quantity"),
         F.sum("amount_base").cast("decimal(38,2)").alias("amount_base"))
 
