@@ -19,8 +19,8 @@ Linked documents have shingle sets with a Jaccard similarity of at least p / q.
   dictionary, and their windows are compared as wholes.
 
 A group of near copies must not give all its pairs.  Every member first meets the member that
-shares most nodes; links are contracted; only pairs of different components in one leaf are left
-to compare.  Nodes that stay large down to DEPTH are such groups.  Their rest is compared
+shares most nodes; links are contracted, twice; only pairs of different components in one leaf
+are left to compare.  Nodes that stay large down to DEPTH are such groups.  Their rest is compared
 in blocks of BLOCK sets, so the work on many sets that stay together and are yet not connected
 (similarity just below the threshold throughout) grows with the square of their number, in
 bounded memory; no pair is skipped.
@@ -295,10 +295,13 @@ def groups(spark: SparkSession, docs: DataFrame, words: int = 5, p: int = 80, q:
     met = written(spark, sets.join(members.select("node").distinct(), "node"), "paths-met")
     packed = written(spark, rows.join(met, (rows["d"] == met["d"]) & rows["doc_id"].eqNullSafe(met["first"]))
                      .select("node", "packed").dropDuplicates(["node"]), "paths-packed")
-    near = _near(_leaders(members), met, least, p, q)  # every member meets its nearest leader
-    best = near.groupBy("x").agg(F.max(F.struct("agreement", "y")).alias("best")).select("x", "best.y")
-    links = written(spark, _confirmed(best, packed, words, p, q), "paths-links")
-    members = _open(spark, members, links)
+    links = None
+    for _ in range(2):  # every member meets its nearest leader
+        near = _near(_leaders(members), met, least, p, q)
+        best = near.groupBy("x").agg(F.max(F.struct("agreement", "y")).alias("best")).select("x", "best.y")
+        more = written(spark, _confirmed(best, packed, words, p, q), "paths-links")
+        links = more if links is None else links.unionByName(more)
+        members = _open(spark, members, links)
     alone = written(spark, members.select("node").distinct(), "paths-alone")
     cells = written(spark, _counted(packed.join(alone, "node", "left_semi"), words), "paths-cells")
     rest = _across(members, met, cells, least, p, q)
