@@ -45,7 +45,7 @@ KNOWN_WORDS = 200_000
 SIMPLE = re.compile(r"( ?[A-Za-z]+)([.,;:!?]*)\Z")
 
 
-def _byte_of_char() -> dict[str, int]:
+def byte_of_char() -> dict[str, int]:
     """The byte that each character of a byte-level vocabulary stands for."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     hidden = [b for b in range(256) if b not in set(shown)]
@@ -59,7 +59,7 @@ class Bpe:
         import public_tokenizers
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        chars = _byte_of_char()
+        chars = byte_of_char()
         vocab = {bytes(chars[c] for c in token): i for token, i in spec["model"]["vocab"].items()}
         added = spec["added_tokens"][0]
         self.special = added["content"]

@@ -27,11 +27,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from dossier.llm.bpe import byte_of_char
 from dossier.llm.common import documents, small_batches, written
 from dossier.llm.pieces import PieceEncoder
 from dossier.session import scratch_path
@@ -43,10 +45,10 @@ SAMPLE_DOCS, SAMPLE_IDS, DICTIONARY_BYTES = 512, 4096, 1 << 16
 #: A block ends at this many documents or compressed bytes.
 BLOCK_DOCS, BLOCK_BYTES = 256, 1 << 20
 LEVEL = 3
-#: Words that a worker remembers.
-KNOWN_WORDS = 200_000
-#: A plain piece: letters, then marks; the pre-tokenizer parts them just there.
-SIMPLE = re.compile(r"( ?[A-Za-z]+)([.,;:!?]*)\Z")
+#: Words and pieces that a worker remembers.
+KNOWN_WORDS, KNOWN_PIECES = 600_000, 250_000
+#: A plain piece: letters of Latin or Cyrillic, then marks; the pre-tokenizer parts them just there.
+SIMPLE = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ɏЀ-ҁҊ-ԯ]+)([.,;:!?]*)\Z")
 BLOCK_SCHEMA = ("shard int, start_in_shard long, first_doc_id long, last_doc_id long, n_ids long, "
                 "dictionary_sha256 string, doc_ids array<long>, n_tokens array<long>, offsets array<long>, frames binary")
 
@@ -54,30 +56,35 @@ BLOCK_SCHEMA = ("shard int, start_in_shard long, first_doc_id long, last_doc_id
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> PieceEncoder:
     """Piece by piece through the tokenizers library; once per worker."""
+    import public_tokenizers
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(path)
     added = next(iter(tokenizer.get_added_tokens_decoder().items()))
-    cut, model = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model.tokenize
+    model, cut = tokenizer.model.tokenize, regex.compile(public_tokenizers.PATTERN).findall
+    shown = {byte: char for char, byte in byte_of_char().items()}  # how the model's vocabulary writes bytes
     known: dict[str, bytes] = {}  # words of pieces: a word with a comma is a new piece, not a new word
 
     def of_word(word: str) -> bytes:
         ids = known.get(word)
         if ids is None:
-            ids = known[word] = array("I", [t.id for t in model(word)]).tobytes()
+            written_out = word.encode().decode("latin-1").translate(shown)
+            ids = known[word] = array("I", [t.id for t in model(written_out)]).tobytes()
         return ids
 
-    def words(piece: str) -> list[str]:
+    def of_piece(piece: str) -> bytes:
         simple = SIMPLE.match(piece)
-        if simple:  # what the pre-tokenizer gives for plain words, without asking it
-            return [simple[1].replace(" ", "\u0120"), *simple.group(2, 2)[:bool(simple[2])]]
-        return [word for word, _ in cut(piece)]
+        if not simple:
+            return b"".join(map(of_word, cut(piece)))
+        marks = simple[2]
+        return of_word(simple[1]) + of_word(marks) if marks else of_word(piece)
 
     def encode_parts(parts: list[str]) -> list[bytes]:
         if len(known) > KNOWN_WORDS:
             known.clear()
-        return [b"".join(map(of_word, words(p))) for p in parts]
+        return list(map(of_piece, parts))
 
-    return PieceEncoder(encode_parts, (added[1].content, np.array([added[0]], dtype="<u4").tobytes()))
+    return PieceEncoder(encode_parts, (added[1].content, np.array([added[0]], dtype="<u4").tobytes()),
+                        KNOWN_PIECES)
 
 
 def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
