@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,13 +29,35 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+#: Tables written since the innermost ``settled`` began; None outside of it.
+_STEPS: ContextVar[list[str] | None] = ContextVar("steps", default=None)
+
+
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` below the shared checkpoint folder and read it again."""
     path = scratch_path(spark, name)
+    if _STEPS.get() is not None:
+        _STEPS.get().append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """Write what ``build`` gives and delete the tables that were written on the way."""
+    steps: list[str] = []
+    token = _STEPS.set(steps)
+    try:
+        result = build()
+        _STEPS.reset(token)  # the result itself belongs to the step around this one, if any
+        return written(spark, result, name)
+    finally:
+        if _STEPS.get() is steps:
+            _STEPS.reset(token)
+        for step in steps:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(step)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def words_of(text: Column) -> Column:
     """Words of a text as an array; null and blank texts have none.
 

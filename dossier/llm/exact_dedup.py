@@ -2,7 +2,7 @@
 
 1. Entries.  Rows are pre-aggregated on (fingerprint, digest, text): copies meet inside each
    map task first, so a group with a third of all rows sends one row per task, and grouping on
-   the text itself compares bytes.  Entries are written with their text.
+   the text itself compares bytes.  Entries are written without their text.
 2. Directory.  Fingerprints are counted in cells of their first ``LEVEL_BITS`` bits.  A bucket
    starts at depth 0 and splits by one more bit (its directory doubles) until it holds at most
    ``capacity`` entries.  A cell that is still overfull gets the next ``LEVEL_BITS`` bits.  Equal
@@ -40,13 +40,19 @@ def sha256(text: Column) -> Column:
 
 
 def _keyed(docs: DataFrame, fingerprint: Key, digest: Key) -> DataFrame:
-    """row (the input row), text, doc_id, fp, digest."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    return (docs.select(row).withColumn("text", F.coalesce("row.text", F.lit("")))
+    """row (the input row without its text), text, no_text (it was null), doc_id, fp, digest."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row")
+    return (docs.select(row, F.coalesce("text", F.lit("")).alias("text"), F.isnull("text").alias("no_text"))
             .withColumns({"doc_id": F.col("row.doc_id"), "fp": fingerprint(F.col("text")),
                           "digest": digest(F.col("text"))}))
 
 
+def _unkeyed(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The input rows of ``_keyed`` again."""
+    text = F.when(~F.col("no_text"), F.col("text")).alias("text")
+    return rows.select(*[text if c == "text" else F.col(f"row.`{c}`") for c in columns])
+
+
 def _prefix(bits: int) -> Column:
     return F.shiftrightunsigned("fp", 64 - bits) if bits else F.lit(0).cast("long")
 
@@ -77,16 +83,17 @@ def directory(spark: SparkSession, entries: DataFrame, capacity: int) -> list[Da
 
 def build_index(spark: SparkSession, docs: DataFrame, capacity: int = CAPACITY,
                 fingerprint: Key = F.xxhash64, digest: Key = sha256) -> tuple[DataFrame, DataFrame]:
-    """(entries with their texts, index), both in shared files.
+    """(entries with their texts, index); the index is in shared files, the entries are a plan.
+
+    Only texts that share fp and digest with another are ever asked of the entries.
 
     The index has one row per distinct text: bucket, depth, fp, chain, digest, same_digest (how
     many texts share fp and digest), keep_id, group_size.
     """
-    entries = written(spark, _keyed(docs, fingerprint, digest).groupBy("fp", "digest", "text")
-                      .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")),
-                      "dedup-entries")
-    narrow, placed = entries.drop("text"), None
-    for k, level in enumerate(directory(spark, entries, capacity)):
+    entries = (_keyed(docs, fingerprint, digest).groupBy("fp", "digest", "text")
+               .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
+    narrow, placed = written(spark, entries.drop("text"), "dedup-entries"), None
+    for k, level in enumerate(directory(spark, narrow, capacity)):
         here = level.where(F.col("depth").isNotNull())
         here = F.broadcast(here) if k == 0 else here  # the first level has 65,536 cells at most
         rows = narrow.withColumn("cell", _prefix((k + 1) * LEVEL_BITS)).join(here, "cell").drop("cell")
@@ -99,12 +106,18 @@ def build_index(spark: SparkSession, docs: DataFrame, capacity: int = CAPACITY,
     return entries, written(spark, index, "dedup-index")
 
 
-def _lookup(rows: DataFrame, entries: DataFrame, index: DataFrame, *more: tuple[str, str]) -> DataFrame:
-    """``rows`` joined to their entry; ``more`` pairs a column of rows with one of the index."""
+def _by_id(id_column: str, prefix: str = "") -> dict[str, Column]:
+    """A doc_id as two columns without nulls, for a join that its rows stay dealt by."""
+    return {f"{prefix}id": F.coalesce(F.col(id_column).cast("string"), F.lit("")),
+            f"{prefix}no_id": F.isnull(id_column)}
+
+
+def _lookup(rows: DataFrame, entries: DataFrame, index: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
+    """``rows`` joined to their entry; ``more`` names columns of ``_by_id`` that must be the kept row's."""
     def on(a: DataFrame, b: DataFrame, keys) -> DataFrame:
         b = b.select(*keys, "keep_id", "group_size").withColumnsRenamed({k: f"_{k}" for k in keys})
-        cond = [a[k] == b[f"_{k}"] for k in keys] + [a[x].eqNullSafe(b[y]) for x, y in more]
-        return a.join(b, cond).drop(*[f"_{k}" for k in keys])
+        b, keys = b.withColumns(_by_id("keep_id", "_")), [*keys, *more]
+        return a.join(b, [a[k] == b[f"_{k}"] for k in keys]).drop("_id", "_no_id", *[f"_{k}" for k in keys])
 
     shared = index.where("same_digest > 1").select("fp", "digest").distinct()
     if shared.isEmpty():
@@ -115,19 +128,14 @@ def _lookup(rows: DataFrame, entries: DataFrame, index: DataFrame, *more: tuple[
     return alone.unionByName(compared)
 
 
-def _first(text: str) -> Column:
-    """The place of a row among repeated rows: equal fingerprint, digest, doc_id and ``text``."""
-    same = Window.partitionBy("fp", "digest", "doc_id", text)
-    return F.row_number().over(same.orderBy("doc_id"))
-
-
 def membership(docs: DataFrame, entries: DataFrame, index: DataFrame,
                fingerprint: Key = F.xxhash64, digest: Key = sha256) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256."""
     rows = _keyed(docs, fingerprint, digest)
     rows = rows.select("doc_id", "fp", "digest", "text", sha256(F.col("text")).alias("text_sha256"))
     # numbered before the lookup: rows are dealt by doc_id too, and the lookup's join can be split
-    hit = _lookup(rows.withColumn("nth", _first("text_sha256")), entries, index)
+    same = Window.partitionBy("fp", "digest", "doc_id", "text_sha256")
+    hit = _lookup(rows.withColumn("nth", F.row_number().over(same.orderBy("doc_id"))), entries, index)
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)
     return hit.withColumn("kept", kept).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -138,9 +146,12 @@ def survivors(docs: DataFrame, entries: DataFrame, index: DataFrame,
 
     The lookup includes doc_id = keep_id, so a hot group's rows are spread by their doc_id.
     """
-    rows = _keyed(docs, fingerprint, digest)
-    hit = _lookup(rows, entries, index, ("doc_id", "keep_id"))
-    return hit.withColumn("nth", _first("text")).where("nth = 1").select("row.*")
+    rows = _keyed(docs, fingerprint, digest).withColumns(_by_id("doc_id"))
+    hit = _lookup(rows, entries, index, ("id", "no_id"))
+    # the join is dealt by these columns, so the texts need no second shuffle here
+    same = Window.partitionBy("fp", "digest", "id", "no_id", "text")
+    hit = hit.withColumn("nth", F.row_number().over(same.orderBy("doc_id"))).where("nth = 1")
+    return _unkeyed(hit, docs.columns)
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

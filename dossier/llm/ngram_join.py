@@ -46,7 +46,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dossier.llm.common import documents, small_batches, written
+from dossier.llm.common import documents, settled, small_batches, written
 from dossier.llm.components import components
 
 #: Members of a bucket beyond which its documents get neighbourhoods.
@@ -427,4 +427,4 @@ def groups(spark: SparkSession, docs: DataFrame, words: int = 5, p: int = 80, q:
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return groups(spark, documents(spark, sf_dir), words=4, p=85, q=100)
+    return settled(spark, lambda: groups(spark, documents(spark, sf_dir), words=4, p=85, q=100), "ngram-groups")
