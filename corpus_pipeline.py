@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dossier.llm import bpe, exact_dedup, mixing, ngram_join, quality_rules
-from dossier.llm.common import documents, written
+from dossier.llm.common import documents, settled, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +31,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Documents without doc_id cannot be linked and stay.
     """
-    group = written(spark, ngram_join.groups(spark, docs, words=5, p=80, q=100), "pipeline-groups")
+    group = settled(spark, lambda: ngram_join.groups(spark, docs, words=5, p=80, q=100), "pipeline-groups")
     first = group.where("doc_id = component_id").select("doc_id").distinct()
     return docs.join(first, "doc_id", "left_semi").select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
