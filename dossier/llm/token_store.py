@@ -46,7 +46,7 @@ SAMPLE_DOCS, SAMPLE_IDS, DICTIONARY_BYTES = 512, 4096, 1 << 16
 BLOCK_DOCS, BLOCK_BYTES = 256, 1 << 20
 LEVEL = 3
 #: Words and pieces that a worker remembers.
-KNOWN_WORDS, KNOWN_PIECES = 600_000, 250_000
+KNOWN_WORDS, KNOWN_PIECES = 1_000_000, 400_000
 #: A plain piece: letters of Latin or Cyrillic, then marks; the pre-tokenizer parts them just there.
 SIMPLE = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ɏЀ-ҁҊ-ԯ]+)([.,;:!?]*)\Z")
 BLOCK_SCHEMA = ("shard int, start_in_shard long, first_doc_id long, last_doc_id long, n_ids long, "
