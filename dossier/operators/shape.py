@@ -28,6 +28,20 @@ def pivot_dynamic(df: DataFrame, keys: Sequence[str], pivot_col: str, agg: Colum
     return df.groupBy(*keys).pivot(pivot_col, vals).agg(agg)
 
 
+def pivot_open(df: DataFrame, keys: Sequence[str], pivot_col: str, agg: Column, null_name: str = "(null)",
+               out: str = "cells") -> DataFrame:
+    """R-01 with any number of values: per key one map from pivot value (as text) to aggregate.
+
+    Nothing is listed or collected while planning.  Values are aggregated per (key, value) first, so a
+    map gathers one entry per distinct value of its key; the NULL value is the entry ``null_name``, or
+    fails as a duplicate entry if that name is a value too.  Entries are sorted by value.
+    """
+    cells = (df.withColumn("__v", F.coalesce(F.col(pivot_col).cast("string"), F.lit(null_name)))
+             .groupBy(*keys, F.isnull(pivot_col).alias("__null"), "__v").agg(agg.alias("__a")))
+    entries = F.array_sort(F.collect_list(F.struct(F.col("__v").alias("key"), F.col("__a").alias("value"))))
+    return cells.groupBy(*keys).agg(F.map_from_entries(entries).alias(out))
+
+
 def unpivot(df: DataFrame, ids: Sequence[str], values: Sequence[str], name: str = "attribute",
             value: str = "value", drop_nulls: bool = False) -> DataFrame:
     """R-03 (keep NULL) / R-05 (drop NULL): wide to (ids, name, value)."""

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dossier.operators.shape import (explode_aligned, explode_list, explode_outer_multi,
-                                     flags_to_rows, last_element, pivot_dynamic, rows_to_flags,
-                                     unpivot, unpivot_groups)
+                                     flags_to_rows, last_element, pivot_dynamic, pivot_open,
+                                     rows_to_flags, unpivot, unpivot_groups)
 from dossier.plans.common import T
 from dossier.plans.registry import register
 
@@ -30,6 +30,22 @@ def r_01_pivot_dynamic(spark, sf):
                          F.array_join(F.array_sort(F.collect_set("k")), ","), max_values=100)
 
 
+@register("r_01_pivot_open", """
+WITH x AS (SELECT l_returnflag, l_linestatus,
+                  coalesce(CAST(CASE WHEN l_linenumber < 7 THEN l_partkey END AS VARCHAR), '(null)') AS v, l_quantity FROM lineitem),
+c AS (SELECT l_returnflag, l_linestatus, v, CAST(sum(l_quantity) AS BIGINT) AS q FROM x GROUP BY ALL)
+SELECT l_returnflag, l_linestatus, count(*)::INTEGER AS n_values, string_agg(v || '=' || q, ',' ORDER BY v) AS cells
+FROM c GROUP BY ALL""")
+def r_01_pivot_open(spark, sf):
+    """Quantity per part, one open set of parts per key; lines numbered 7 have no part."""
+    x = T(spark, sf).lineitem.select("l_returnflag", "l_linestatus", "l_quantity",
+                                     F.when(F.col("l_linenumber") < 7, F.col("l_partkey")).alias("part"))
+    cells = pivot_open(x, ["l_returnflag", "l_linestatus"], "part", F.sum("l_quantity").cast("long"))
+    texts = F.transform(F.map_entries("cells"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
+    return cells.select("l_returnflag", "l_linestatus", F.size("cells").alias("n_values"),
+                        F.array_join(texts, ",").alias("cells"))
+
+
 @register("r_02_pivot_sql", """
 SELECT o_orderpriority,
   count(*) FILTER (WHERE o_orderstatus = 'F') AS F,

@@ -219,15 +219,19 @@ WITH a(as_of) AS (VALUES """ + ", ".join(f"(DATE '{d}')" for d in BACKFILL_DATES
 SELECT o_orderstatus, count(*) AS n_orders, as_of FROM orders JOIN a
   ON CAST(o_orderdate AS DATE) <= a.as_of GROUP BY o_orderstatus, as_of""")
 def s_20_backfill(spark, sf):
-    o = T(spark, sf).orders
+    return S.counts_as_of(T(spark, sf).orders, ["o_orderstatus"], "o_orderdate", BACKFILL_DATES, out="n_orders")
+
 
-    def build(as_of):
-        return o.where(F.to_date("o_orderdate") <= F.lit(as_of.isoformat()).cast("date")) \
-            .groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_orders"))
-    out, failures = S.backfill(build, BACKFILL_DATES)
-    if failures:
-        raise RuntimeError(f"backfill failures: {failures}")
-    return out
+@register("s_20_backfill_valid", """
+WITH a(as_of) AS (VALUES """ + ", ".join(f"(DATE '{d}')" for d in BACKFILL_DATES) + """)
+SELECT o_orderpriority, count(*) AS n_open, as_of FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN a
+  ON CAST(o_orderdate AS DATE) <= a.as_of AND CAST(l_shipdate AS DATE) > a.as_of GROUP BY o_orderpriority, as_of""")
+def s_20_backfill_valid(spark, sf):
+    """Lines ordered but not yet shipped on each date."""
+    t = T(spark, sf)
+    lines = t.lineitem.select("l_orderkey", "l_shipdate").join(
+        t.orders.select("o_orderkey", "o_orderdate", "o_orderpriority"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return S.counts_as_of(lines, ["o_orderpriority"], "o_orderdate", BACKFILL_DATES, valid_to="l_shipdate", out="n_open")
 
 
 @register("s_21_period_calendar", """

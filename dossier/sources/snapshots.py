@@ -14,7 +14,7 @@ import re
 from dataclasses import dataclass
 from typing import Callable, Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dossier.operators.pick import dedupe_latest
@@ -269,6 +269,41 @@ def backfill(build: Callable[[dt.date], DataFrame], dates: Sequence[dt.date],
     return out, failures
 
 
+def counts_as_of(df: DataFrame, keys: Sequence[str], valid_from: str, dates: Sequence[dt.date],
+                 valid_to: str | None = None, out: str = "n", as_of_col: str = "as_of") -> DataFrame:
+    """S-20 for counts: rows valid on each of ``dates``, per key, from one scan for any number of dates.
+
+    A row is valid from ``valid_from`` on and before ``valid_to`` (NULL: for ever).  It is +1 at its
+    first day and -1 at its last; these are summed per key and day before they meet the date list, so
+    what is ordered has at most one row per key and listed date.  A running sum holds until the
+    key's next change.  Rows without ``valid_from``, and rows that end before they begin, count
+    nowhere; keys without a valid row on a date have no row for it.
+    """
+    listed = sorted(set(dates))
+    start = F.to_date(valid_from)
+    events = df.where(start.isNotNull())
+    if valid_to is not None:
+        end = F.to_date(valid_to)
+        events = events.where(end.isNull() | (start < end)).select(
+            *keys, F.explode(F.array(F.struct(start.alias("day"), F.lit(1).alias("step")),
+                                     F.struct(end.alias("day"), F.lit(-1).alias("step")))).alias("__e")) \
+            .where("__e.day IS NOT NULL").select(*keys, F.col("__e.day").alias("__day"), F.col("__e.step").alias("__step"))
+    else:
+        events = events.select(*keys, start.alias("__day"), F.lit(1).alias("__step"))
+    daily = events.groupBy(*keys, "__day").agg(F.sum("__step").alias("__n"))
+    days = F.array(*[F.lit(d.isoformat()).cast("date") for d in listed]).cast("array<date>")
+    # the first listed date on or after the day
+    place = F.size(F.filter(days, lambda d: d < F.col("__day")))
+    at = (daily.withColumn("__at", place).where(F.col("__at") < len(listed))
+          .groupBy(*keys, "__at").agg(F.sum("__n").alias("__n")))
+    w = Window.partitionBy(*keys).orderBy("__at")
+    held = at.select(*keys, "__at", F.sum("__n").over(w).alias(out),
+                     F.coalesce(F.lead("__at").over(w), F.lit(len(listed))).alias("__until"))
+    return (held.where(F.col(out) > 0)
+            .withColumn("__i", F.explode(F.sequence(F.col("__at"), F.col("__until") - 1)))
+            .select(*keys, out, F.element_at(days, F.col("__i") + 1).alias(as_of_col)))
+
+
 def period_calendar(last_loaded: Column, as_of: dt.date) -> Column:
     """S-21: months from the one after ``last_loaded`` to the last closed month before ``as_of``."""
     first = F.add_months(F.trunc(last_loaded, "month"), 1)
