@@ -13,6 +13,8 @@ from dossier.operators.ordered import ordered_scan
 MAX_DOCUMENT_CHARS = 2_000_000
 #: D-01 starts a new part of a client's document (and of an order's lines) every so many JSON characters.
 PART_CHARS = 1_000_000
+#: Cells of the vector index (X-07), and how many vectors of a cell a query meets in one task.
+PIVOTS, SLICE_ROWS = 8, 1_000_000
 
 
 def nest(child: DataFrame, keys: Sequence[str], fields: Sequence[str], name: str) -> DataFrame:
@@ -66,28 +68,75 @@ def cosine_similarity(a: Column, b: Column) -> Column:
     return F.try_divide(dot, na * nb)
 
 
+def _finite(v: Column) -> Column:
+    return v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & (F.abs(x.cast("double")) < float("inf")))
+
+
+def _distance(a: Column, b: Column) -> Column:
+    return F.when(F.size(a) == F.size(b), l2_distance(a, b)).otherwise(
+        F.raise_error(F.lit("vectors of unequal length")).cast("double"))
+
+
+def candidate_pairs(vectors: DataFrame, vec_id: str, vec: str, queries: DataFrame, query_id: str, query_vec: str,
+                    k: int) -> DataFrame:
+    """(qid, qv, id, v): the pairs that may be among the ``k`` nearest of their query.
+
+    Every vector belongs to the cell of its nearest pivot (PIVOTS vectors with the least hashes of
+    their ids) and keeps its distance to it.  In each cell k groups of vectors, dealt by hash, name
+    their least such distance; with the query's distance to the pivot added, the k-th least of these
+    sums bounds the k-th neighbour from above.  By the triangle inequality only vectors whose distance
+    to the pivot is within that bound of the query's own are joined.  Cells are dealt out in slices of
+    SLICE_ROWS vectors, so a cell may hold any share of them.
+    """
+    x = vectors.select(F.col(vec_id).alias("id"), F.col(vec).cast("array<double>").alias("v")).where(_finite(F.col("v")))
+    pivots = x.orderBy(F.xxhash64("id"), "id").limit(PIVOTS).agg(F.collect_list("v")).scalar()
+    # not nullable, or the join's null checks would be pushed down and have all distances computed again
+    inf = F.lit(float("inf"))
+    near = F.coalesce(F.array_min(F.transform("pivots", lambda p, i: F.struct(
+        F.coalesce(_distance(F.col("v"), p), inf).alias("d"), i.alias("cell")))), F.struct(inf.alias("d"), F.lit(-1).alias("cell")))
+    placed = x.withColumn("pivots", pivots).withColumn("near", near).select("id", "v", "near.d", "near.cell")
+    per_group = placed.groupBy("cell", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(k)).alias("g")).agg(
+        F.min("d").alias("lo"), F.max("d").alias("hi"), F.count(F.lit(1)).alias("n"))
+    per_cell = per_group.groupBy("cell").agg(
+        F.collect_list("lo").alias("los"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+        F.ceil(F.sum("n") / SLICE_ROWS).cast("int").alias("slices"))
+    cells = per_cell.agg(F.collect_list(F.struct("cell", "los", "lo", "hi", "slices"))).scalar()
+
+    q = (queries.select(F.col(query_id).alias("qid"), F.col(query_vec).cast("array<double>").alias("qv")).where(_finite(F.col("qv")))
+         .withColumns({"pivots": pivots, "cells": cells})
+         .withColumn("cells", F.transform("cells", lambda c: c.withField(
+             "dq", _distance(F.col("qv"), F.get(F.col("pivots"), c["cell"])))))
+         .withColumn("sums", F.flatten(F.transform("cells", lambda c: F.transform(c["los"], lambda lo: lo + c["dq"]))))
+         .withColumn("bound", F.coalesce(F.get(F.array_sort("sums"), F.lit(k - 1)), inf))
+         .select("qid", "qv", "bound", F.explode("cells").alias("c"))
+         # distances are rounded, so the bound has some slack
+         .withColumn("bound", F.col("bound") + (F.col("bound") + F.col("c.dq") + F.col("c.hi")) * 1e-9)
+         .where("c.dq - c.hi <= bound AND c.lo - c.dq <= bound")
+         .select("qid", "qv", F.col("c.cell").alias("q_cell"), F.expr("c.dq - bound").alias("from"),
+                 F.expr("c.dq + bound").alias("to"), F.explode(F.sequence(F.lit(0), F.col("c.slices") - 1)).alias("q_slice")))
+    mine = F.get(F.filter("cells", lambda c: c["cell"] == F.col("cell")), F.lit(0))
+    dealt = (placed.withColumn("cells", cells).withColumn("mine", mine)
+             .withColumn("slice", F.coalesce(F.pmod(F.xxhash64("id", F.lit(2)), F.col("mine.slices")).cast("int"), F.lit(0)))
+             .select("id", "v", "d", "cell", "slice"))
+    return dealt.join(q, (F.col("cell") == F.col("q_cell")) & (F.col("slice") == F.col("q_slice"))
+                      & F.col("d").between(F.col("from"), F.col("to"))).select("qid", "qv", "id", "v")
+
+
 def vector_top_k(vectors: DataFrame, vec_id: str, vec: str, queries: DataFrame, query_id: str, query_vec: str,
-                 k: int = 5, max_queries: int = 10_000) -> DataFrame:
-    """X-07: the ``k`` nearest vectors (L2) to every query vector, with cosine similarity.
+                 k: int = 5) -> DataFrame:
+    """X-07: the ``k`` nearest vectors (L2) to every query vector, with cosine similarity; exact.
 
-    The query set is proven small (at most ``max_queries`` rows, checked)
-    and attached as one array value; each vector is scored against it in one
-    projection.  The per-query top-k filter lets Spark keep only k rows per
-    query in every task before the shuffle (partial window-group limit).
+    Any number of queries: they are rows of a join (``candidate_pairs``).  Every task keeps k rows per
+    query before the shuffle (partial window-group limit).  Ties go to the smaller id; vectors and
+    queries that are null or have a null or non-finite component take no part; vectors of unequal
+    length raise an error; a query has fewer rows where there are fewer vectors.
     """
-    n = queries.limit(max_queries + 1).count()
-    if n > max_queries:
-        raise ValueError(f"more than {max_queries} query vectors")
-    # the checked query set as one array value (scalar subquery), shipped with the plan
-    qarr = queries.agg(F.collect_list(F.struct(F.col(query_id).alias("qid"), F.col(query_vec).alias("qv"))))
-    x = vectors.withColumn("__q", qarr.scalar())
-    scored = x.select(F.col(vec_id), F.explode(F.transform("__q", lambda q: F.struct(
-        q.getField("qid").alias("qid"), l2_distance(F.col(vec), q.getField("qv")).alias("l2"),
-        cosine_similarity(F.col(vec), q.getField("qv")).alias("cosine")))).alias("__s"))
-    s = scored.select(F.col("__s.qid").alias(query_id), vec_id, F.col("__s.l2").alias("l2_distance"),
-                      F.col("__s.cosine").alias("cosine_similarity"))
-    w = Window.partitionBy(query_id).orderBy("l2_distance", vec_id)
-    return s.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    pairs = candidate_pairs(vectors, vec_id, vec, queries, query_id, query_vec, k)
+    s = pairs.withColumn("l2_distance", l2_distance(F.col("qv"), F.col("v")))
+    w = Window.partitionBy("qid").orderBy("l2_distance", "id")
+    return s.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(
+        F.col("qid").alias(query_id), F.col("id").alias(vec_id), "l2_distance",
+        cosine_similarity(F.col("v"), F.col("qv")).alias("cosine_similarity"), "rank")
 
 
 def entity_edges(df: DataFrame, owner: str, text: str, pattern: str = r"[A-Z][a-z]+") -> DataFrame:

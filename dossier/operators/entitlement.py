@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MASK = "****-**-**"
@@ -25,6 +25,39 @@ def row_filter(df: DataFrame, key: str, ent_map: DataFrame, user: str) -> DataFr
     return df.join(mine, F.col(key) == F.col("__cid"), "left_semi")
 
 
+def entitlement_bitmaps(user_attrs: DataFrame, client_attrs: DataFrame, user: str = "upn",
+                        client: str = "client_id", value: str = "attribute_value") -> DataFrame:
+    """E-01 without pairs: (upn, bucket, clients), a user's clients as bitmaps of 32,768 ids each.
+
+    Clients become bitmaps per attribute value first (a partial aggregate, so a value may hold any
+    share of them); users are joined to bitmaps and theirs are merged.  Ids are integers; a null id
+    or value gives no entitlement; repeated rows change nothing.
+    """
+    c = client_attrs.select(F.col(client).cast("bigint").alias("__id"), F.col(value).alias("__v")).where("__id IS NOT NULL")
+    sets = (c.groupBy("__v", F.bitmap_bucket_number("__id").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("__id")).alias("clients")))
+    u = user_attrs.select(F.col(user).alias("upn"), F.col(value).alias("__v")).distinct()
+    return u.join(sets, "__v").groupBy("upn", "bucket").agg(F.bitmap_or_agg("clients").alias("clients"))
+
+
+def entitled_counts(bitmaps: DataFrame) -> DataFrame:
+    """Number of clients per user, from ``entitlement_bitmaps``."""
+    return bitmaps.groupBy("upn").agg(F.sum(F.bitmap_count("clients")).alias("n_clients"))
+
+
+def _has_bit(bitmap: Column, bit: Column) -> Column:
+    byte = F.conv(F.hex(F.substring(bitmap, F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.floor(byte / F.pow(F.lit(2), bit % 8)) % 2 == 1
+
+
+def bitmap_row_filter(df: DataFrame, key: str, bitmaps: DataFrame, user: str) -> DataFrame:
+    """E-02 by bitmaps: rows of ``df`` the given user may see; a null key is never seen."""
+    mine = bitmaps.where(F.col("upn") == user).select(F.col("bucket").alias("__bucket"), F.col("clients").alias("__clients"))
+    k = F.col(key).cast("bigint")
+    return (df.join(mine, F.bitmap_bucket_number(k) == F.col("__bucket"))
+            .where(_has_bit(F.col("__clients"), F.bitmap_bit_position(k))).select(*[df[c] for c in df.columns]))
+
+
 def apply_column_mask(df: DataFrame, col: str, region_col: str, user_attrs: DataFrame, user: str,
                       global_attr: str = "Global", out: str | None = None) -> DataFrame:
     """E-03: mask ``col`` unless the user holds the row's region or the global attribute."""

@@ -10,7 +10,7 @@ import datetime as dt
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -38,19 +38,40 @@ def dq_unique(df: DataFrame, keys: Sequence[str], rule: str = "uniqueness", wher
         "n_rows", "n_keys", "n_duplicate_keys", ex.scalar().alias("examples"))
 
 
-def dq_not_null(df: DataFrame, columns: Sequence[str] | None = None, rule: str = "not_null") -> DataFrame:
-    """Q-06: NULL count per column in one pass; one result row per column."""
+def _example_text(keys: DataFrame, key: str, n: int) -> DataFrame:
+    """One row: the ``n`` smallest distinct non-null keys as text (a bounded top-n)."""
+    top = keys.select(F.col(key).alias("__k")).where("__k IS NOT NULL").distinct().orderBy("__k").limit(n)
+    return top.agg(F.array_join(F.transform(F.array_sort(F.collect_list("__k")), lambda k: k.cast("string")), ","))
+
+
+def dq_not_null(df: DataFrame, columns: Sequence[str] | None = None, rule: str = "not_null",
+                where: Column | None = None, example_key: str | None = None, n_examples: int = 10) -> DataFrame:
+    """Q-06: NULL count per column in one pass; one result row per column.
+
+    ``where`` restricts the rows; with ``example_key`` the smallest distinct keys of the rows at fault
+    follow per column as ``examples`` (empty text where there are none; a NULL key is not named)."""
+    df = df.where(where) if where is not None else df
     cols = list(columns or df.columns)
     agg = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in cols])
     st = F.stack(F.lit(len(cols)), *[x for c in cols for x in (F.lit(c), F.col(c))])
     out = agg.select(st).toDF("column_name", "n_null")
-    return out.select(F.lit(rule).alias("rule"), "column_name", "n_null", _status(F.col("n_null") == 0).alias("status"))
-
-
-def dq_referential(a: DataFrame, a_key: str, b: DataFrame, b_key: str, ignore_null: bool = False) -> DataFrame:
-    """Q-07: keys of A missing from B with their row counts (a NULL key counts as missing
-    unless ``ignore_null``)."""
-    src = a.select(F.col(a_key).alias("key"))
+    out = out.select(F.lit(rule).alias("rule"), "column_name", "n_null", _status(F.col("n_null") == 0).alias("status"))
+    if example_key is None:
+        return out
+    at_fault = F.filter(F.array(*[F.when(F.col(c).isNull(), c) for c in cols]), lambda c: c.isNotNull())
+    bad = (df.where(F.col(example_key).isNotNull())
+           .select(F.explode(at_fault).alias("column_name"), F.col(example_key).alias("__k")).distinct())
+    w = Window.partitionBy("column_name").orderBy("__k")
+    ex = (bad.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n_examples).groupBy("column_name")
+          .agg(F.array_join(F.transform(F.array_sort(F.collect_list("__k")), lambda k: k.cast("string")), ",").alias("examples")))
+    return out.join(ex, "column_name", "left").withColumn("examples", F.coalesce("examples", F.lit("")))
+
+
+def dq_referential(a: DataFrame, a_key: str, b: DataFrame, b_key: str, ignore_null: bool = False,
+                   where: Column | None = None) -> DataFrame:
+    """Q-07: keys of A (its rows that meet ``where``) missing from B with their row counts (a NULL
+    key counts as missing unless ``ignore_null``)."""
+    src = (a.where(where) if where is not None else a).select(F.col(a_key).alias("key"))
     if ignore_null:
         src = src.where(F.col("key").isNotNull())
     miss = src.join(b.select(F.col(b_key).alias("__bk")).where(F.col("__bk").isNotNull()),
@@ -58,12 +79,28 @@ def dq_referential(a: DataFrame, a_key: str, b: DataFrame, b_key: str, ignore_nu
     return miss.groupBy("key").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def dq_condition(df: DataFrame, condition: Column, rule: str, description: str = "") -> DataFrame:
-    """Q-08: number of rows violating ``condition`` (NULL counts as a violation)."""
-    bad = F.count(F.when(~F.coalesce(condition, F.lit(False)), 1))
-    return df.agg(bad.alias("n_violations"), F.count(F.lit(1)).alias("n_rows")).select(
+def dq_referential_status(a: DataFrame, a_key: str, b: DataFrame, b_key: str, rule: str, ignore_null: bool = False,
+                          where: Column | None = None, n_examples: int = 10) -> DataFrame:
+    """Q-07 as one log row: Pass/Fail, missing rows and keys, the smallest missing keys."""
+    miss = dq_referential(a, a_key, b, b_key, ignore_null, where)
+    return miss.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_missing_rows"),
+                    F.count(F.lit(1)).alias("n_missing_keys")).select(
+        F.lit(rule).alias("rule"), _status(F.col("n_missing_keys") == 0).alias("status"), "n_missing_rows",
+        "n_missing_keys", _example_text(miss, "key", n_examples).scalar().alias("examples"))
+
+
+def dq_condition(df: DataFrame, condition: Column, rule: str, description: str = "", where: Column | None = None,
+                 example_key: str | None = None, n_examples: int = 10) -> DataFrame:
+    """Q-08: number of rows (that meet ``where``) violating ``condition`` (NULL counts as a violation);
+    with ``example_key`` the smallest keys of violating rows as ``examples``."""
+    df = df.where(where) if where is not None else df
+    violated = ~F.coalesce(condition, F.lit(False))
+    out = df.agg(F.count(F.when(violated, 1)).alias("n_violations"), F.count(F.lit(1)).alias("n_rows")).select(
         F.lit(rule).alias("rule"), F.lit(description).alias("description"), "n_rows", "n_violations",
         _status(F.col("n_violations") == 0).alias("status"))
+    if example_key is None:
+        return out
+    return out.withColumn("examples", _example_text(df.where(violated), example_key, n_examples).scalar())
 
 
 def dq_log(results: Sequence[DataFrame], object_name: str, run_ts: dt.datetime) -> DataFrame:

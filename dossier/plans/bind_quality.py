@@ -72,6 +72,54 @@ def q_08_dq_condition(spark, sf):
                            "discount <= 0.08 and tax <= 0.06")
 
 
+@register("q_06_dq_not_null_examples", """
+WITH j AS (SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+           WHERE d.source IS NOT NULL),
+n AS (SELECT 'lang' AS column_name, count(*) - count(lang) AS n_null FROM j
+      UNION ALL SELECT 'quality', count(*) - count(quality) FROM j
+      UNION ALL SELECT 'toxic', count(*) - count(toxic) FROM j),
+b AS (SELECT DISTINCT * FROM (SELECT 'lang' AS column_name, doc_id FROM j WHERE lang IS NULL
+      UNION ALL SELECT 'quality', doc_id FROM j WHERE quality IS NULL
+      UNION ALL SELECT 'toxic', doc_id FROM j WHERE toxic IS NULL) WHERE doc_id IS NOT NULL),
+e AS (SELECT column_name, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS examples
+      FROM (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY column_name ORDER BY doc_id) <= 10) GROUP BY 1)
+SELECT 'document_labels' AS rule, column_name, n_null, CASE WHEN n_null = 0 THEN 'Pass' ELSE 'Fail' END AS status,
+       coalesce(examples, '') AS examples
+FROM n LEFT JOIN e USING (column_name)""")
+def q_06_dq_not_null_examples(spark, sf):
+    t = T(spark, sf)
+    j = t.documents.select("doc_id", "lang", "source").join(t.labels, "doc_id", "left")
+    return DQ.dq_not_null(j, ["lang", "quality", "toxic"], "document_labels", F.col("source").isNotNull(), "doc_id")
+
+
+@register("q_07_dq_referential_status", """
+WITH m AS (SELECT o_custkey AS key, count(*) AS n FROM orders
+           WHERE o_orderstatus = 'F' AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey <> 0)
+           GROUP BY 1)
+SELECT 'order_client' AS rule, CASE WHEN count(*) = 0 THEN 'Pass' ELSE 'Fail' END AS status,
+       CAST(coalesce(sum(n), 0) AS BIGINT) AS n_missing_rows, count(*) AS n_missing_keys,
+       coalesce((SELECT string_agg(CAST(key AS VARCHAR), ',' ORDER BY key)
+                 FROM (SELECT key FROM m ORDER BY key LIMIT 10)), '') AS examples
+FROM m""")
+def q_07_dq_referential_status(spark, sf):
+    t = T(spark, sf)
+    return DQ.dq_referential_status(t.orders, "o_custkey", t.customer.where(F.col("c_nationkey") != 0), "c_custkey",
+                                    "order_client", where=F.col("o_orderstatus") == "F")
+
+
+@register("q_08_dq_condition_examples", """
+WITH x AS (SELECT l_orderkey, coalesce(l_discount <= 0.08, FALSE) AS ok FROM lineitem WHERE l_returnflag = 'R')
+SELECT 'returned_discount' AS rule, 'discount of returned lines' AS description, count(*) AS n_rows,
+  count(*) FILTER (WHERE NOT ok) AS n_violations,
+  CASE WHEN count(*) FILTER (WHERE NOT ok) = 0 THEN 'Pass' ELSE 'Fail' END AS status,
+  coalesce((SELECT string_agg(CAST(l_orderkey AS VARCHAR), ',' ORDER BY l_orderkey)
+            FROM (SELECT DISTINCT l_orderkey FROM x WHERE NOT ok ORDER BY 1 LIMIT 10)), '') AS examples
+FROM x""")
+def q_08_dq_condition_examples(spark, sf):
+    return DQ.dq_condition(T(spark, sf).lineitem, F.col("l_discount") <= 0.08, "returned_discount",
+                           "discount of returned lines", F.col("l_returnflag") == "R", "l_orderkey")
+
+
 @register("q_09_dq_log")
 def q_09_dq_log(spark, sf):
     t = T(spark, sf)

@@ -379,7 +379,7 @@ JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionke
 GROUP BY r_name""")
 def j_broadcast(spark, sf):
     t = T(spark, sf)
-    # nation / region: 25 / 5 rows by definition, checked before the hint
+    # no hint: AQE broadcasts nation and region by their measured sizes
     n = t.nation
     r = t.region
     j = (t.lineitem.select("l_suppkey", "l_extendedprice")

@@ -132,7 +132,7 @@ QUALIFY rank <= 5""")
 def x_07_vector_top_k(spark, sf):
     e = T(spark, sf).embeddings
     q = _centroids(e)
-    r = DOC.vector_top_k(e, "vec_id", "embedding", q, "label", "centroid", k=5, max_queries=10_000)
+    r = DOC.vector_top_k(e, "vec_id", "embedding", q, "label", "centroid", k=5)
     return r.select("label", "vec_id", "rank")
 
 
@@ -257,9 +257,8 @@ def d_01_document_length_check(spark, sf):
             .where(~F.col("json_length").eqNullSafe(F.col("real_length"))))
 
 
-@register("d_02_document_size_guard")
-def d_02_document_size_guard(spark, sf):
-    t = T(spark, sf)
+def _life_cycle_documents(t):
+    """One document per (client, life-cycle), size-guarded before anything is collected; and the rejected ones."""
     life = (F.when(F.col("o_orderstatus") == "O", "Active").when(F.col("o_orderstatus") == "P", "Prospect")
             .otherwise("Closed"))
     orders = t.orders.select(F.col("o_custkey").alias("c_custkey"), life.alias("lifecycle"), "o_orderkey",
@@ -267,14 +266,24 @@ def d_02_document_size_guard(spark, sf):
         .withColumn("doc_key", F.concat_ws("|", F.col("c_custkey").cast("string"), "lifecycle"))
     lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_quantity")
     parent = orders.select("doc_key", "c_custkey", "lifecycle").distinct()
-    # one document per (client, life-cycle), size-guarded before anything is collected
-    per, _ = DOC.build_documents_2(parent, "doc_key", orders, "o_orderkey", ["o_orderkey", "o_orderdate"],
-                                   lines, ["l_linenumber", "l_partkey", "l_quantity"], "orders", "lines")
+    return DOC.build_documents_2(parent, "doc_key", orders, "o_orderkey", ["o_orderkey", "o_orderdate"],
+                                 lines, ["l_linenumber", "l_partkey", "l_quantity"], "orders", "lines")
+
+
+@register("d_02_document_size_guard")
+def d_02_document_size_guard(spark, sf):
+    per, _ = _life_cycle_documents(T(spark, sf))
     prio = F.when(F.col("lifecycle") == "Active", 0).when(F.col("lifecycle") == "Prospect", 1).otherwise(2)
     g = DOC.document_size_guard(per, "c_custkey", prio, ["c_custkey", "lifecycle", "orders"])
     return g.select("c_custkey", "lifecycle", "json_length")
 
 
+@register("d_02_rejected_documents")
+def d_02_rejected_documents(spark, sf):
+    """Keys and JSON lengths of the documents that the size guard leaves out."""
+    return _life_cycle_documents(T(spark, sf))[1]
+
+
 # ---------------------------------------------------------------- entitlements
 
 USERS_SQL = """
@@ -309,6 +318,23 @@ def e_01_entitlement_map(spark, sf):
     return _ent_map(T(spark, sf))
 
 
+@register("e_01_entitled_counts", f"""
+WITH {USERS_SQL} SELECT upn, count(*) AS n_clients FROM em GROUP BY upn""")
+def e_01_entitled_counts(spark, sf):
+    t = T(spark, sf)
+    return ENT.entitled_counts(ENT.entitlement_bitmaps(_users(t), _client_regions(t)))
+
+
+@register("e_02_bitmap_row_filter", f"""
+WITH {USERS_SQL}
+SELECT o_orderkey, o_custkey FROM orders
+WHERE o_custkey IN (SELECT client_id FROM em WHERE upn = 'asia@bank.example')""")
+def e_02_bitmap_row_filter(spark, sf):
+    t = T(spark, sf)
+    bitmaps = ENT.entitlement_bitmaps(_users(t), _client_regions(t))
+    return ENT.bitmap_row_filter(t.orders.select("o_orderkey", "o_custkey"), "o_custkey", bitmaps, "asia@bank.example")
+
+
 @register("e_02_row_filter", f"""
 WITH {USERS_SQL}
 SELECT o_orderkey, o_custkey FROM orders
