@@ -43,6 +43,7 @@ def test_nearest_vectors_equal_brute_force(spark, k):
 def test_bound_rules_pairs_out_and_slices_lose_none(spark, monkeypatch):
     v, q, vectors, queries = _frames(spark)
     monkeypatch.setattr(DOC, "SLICE_ROWS", 7)
+    monkeypatch.setattr(DOC, "PIVOTS", 16)  # for twelve clusters
     n = DOC.candidate_pairs(vectors, "vec_id", "embedding", queries, "q", "qv", 5).count()
     assert len(q) * 5 <= n < len(v) * len(q) / 3
     ranks = DOC.vector_top_k(vectors, "vec_id", "embedding", queries, "q", "qv", 5)
