@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and
 read again as the next stage's docs.  Stages treat nulls, empty and very long texts, ties,
 repeated rows, empty tables and further columns as their operators' docstrings define; all
-columns of the input are carried through.
+columns of the input are carried through, but for the last stage's own (ids, decoded, n_tokens,
+round_trip), which take the place of input columns of those names; decoded is not returned.
 """
 
 from __future__ import annotations
