@@ -96,29 +96,48 @@ def representative_sample(df: DataFrame, key: str, weight: str, mandatory: str,
     Each candidate is a weighted sample without replacement: the mandatory
     rows plus the ``size - m`` other rows with the smallest ``-ln(u) / w``
     (Efraimidis-Spirakis keys, ``u`` a seeded hash draw per row and
-    candidate).  Rows are tested once per candidate inside one projection
-    (no join); the per-candidate top-``size`` filter is cut map-side by a
-    partial window-group limit, so no candidate ever gathers more than
-    ``size`` rows per task.  All distances come from one aggregate.
+    candidate).  Every row is tested for every candidate, in a projection
+    without a join; before anything is sorted, only draws within a bound stay:
+    the candidate's ``size``-th smallest draw among some of the rows (about
+    ``sqrt(rows * size)``, dealt by hash), which no member exceeds.  So
+    sorting and shuffling grow with the square root of the rows.  The mandatory
+    rows are counted once for all candidates, and only the best candidate's
+    rows are gathered.  All distances come from one aggregate.
     """
     from dossier.operators.recon import attribute_distribution
-    m = df.where(F.col(mandatory)).agg(F.count(F.lit(1))).scalar()
+    n_tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    mandatory_rows, others = df.where(F.col(mandatory)), df.where(~F.col(mandatory) & (F.col(weight) > 0))
+    m = mandatory_rows.agg(F.count(F.lit(1))).scalar()
     u = (F.abs(F.xxhash64(F.col(key), F.col("candidate"), F.lit(seed))) % F.lit(1 << 52) + 1) / F.lit(float(1 << 52))
-    cand = df.where(~F.col(mandatory) & (F.col(weight) > 0)) \
-        .select("*", F.explode(F.sequence(F.lit(0), F.lit(n_candidates - 1))).alias("candidate")) \
-        .withColumn("__es", -F.log(u) / F.col(weight))
-    w = Window.partitionBy("candidate").orderBy("__es", key)
-    chosen = (cand.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= size)  # literal: map-side cut
-              .where(F.col("__rn") <= F.lit(size) - m).drop("__rn", "__es"))
-    fixed = df.where(F.col(mandatory)).select("*", F.explode(F.sequence(F.lit(0), F.lit(n_candidates - 1)))
-                                             .alias("candidate"))
-    member = chosen.unionByName(fixed)
+    es = -F.log(u) / F.col(weight)
+    candidates = F.explode(F.sequence(F.lit(0), F.lit(n_candidates - 1))).alias("candidate")
+    w = Window.partitionBy("candidate").orderBy("__es", key, *attributes)
+
+    def drawn(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+        """The ``size`` smallest draws per candidate, numbered (literal: map-side cut)."""
+        x = rows.select(*columns, "candidate", es.alias("__es")).withColumn("__rn", F.row_number().over(w))
+        return x.where(F.col("__rn") <= size)
+
+    # few bytes, much work: spread over the tasks, whatever the files' number
+    slim = list(dict.fromkeys([key, weight, *attributes]))
+    pool = others.select(*slim).repartition(n_tasks, *slim)
+    every = others.agg(F.greatest(F.lit(1), F.floor(F.sqrt(F.count(F.lit(1)) / F.lit(size))))).scalar()
+    some = pool.where(F.pmod(F.xxhash64(*slim, F.lit(seed + 1)), every) == 0).select("*", candidates)
+    # all candidates have a bound, or none: they draw from the same rows
+    bounds = (drawn(some, slim).where(F.col("__rn") == size)
+              .agg(F.sort_array(F.collect_list(F.struct("candidate", "__es"))).alias("b"))
+              .select(F.transform("b", lambda x: x["__es"]))).scalar()
+    bound = F.get(bounds, F.col("candidate"))
+    within = pool.where(F.lit(size) > m).select("*", candidates).where(bound.isNull() | (es <= bound))
+    chosen = drawn(within, slim).where(F.col("__rn") <= F.lit(size) - m)
     pop = attribute_distribution(df, attributes)
-    long = member.select("candidate", *[F.col(a).cast("string").alias(a) for a in attributes])
-    st = F.stack(F.lit(len(attributes)), *[v for a in attributes for v in (F.lit(a), F.col(a))])
-    long = long.select("candidate", st).toDF("candidate", "attribute", "value")
-    cnt = long.groupBy("candidate", "attribute", "value").agg(F.count(F.lit(1)).alias("__n"))
-    totc = long.groupBy("candidate", "attribute").agg(F.count(F.lit(1)).alias("__t"))
+    st = F.stack(F.lit(len(attributes)), *[v for a in attributes for v in (F.lit(a), F.col(a).cast("string"))])
+    counted = chosen.select("candidate", st).toDF("candidate", "attribute", "value") \
+        .groupBy("candidate", "attribute", "value").agg(F.count(F.lit(1)).alias("__n"))
+    fixed = mandatory_rows.select(st).toDF("attribute", "value") \
+        .groupBy("attribute", "value").agg(F.count(F.lit(1)).alias("__n")).select(candidates, "*")
+    cnt = counted.unionByName(fixed).groupBy("candidate", "attribute", "value").agg(F.sum("__n").alias("__n"))
+    totc = cnt.groupBy("candidate", "attribute").agg(F.sum("__n").alias("__t"))
     samp = cnt.join(totc, ["candidate", "attribute"]).select(
         "candidate", "attribute", "value", (F.col("__n") / F.col("__t")).alias("__s"))
     j = samp.join(pop.select("attribute", "value", F.col("freq").alias("__pf")), ["attribute", "value"], "left")
@@ -126,10 +145,13 @@ def representative_sample(df: DataFrame, key: str, weight: str, mandatory: str,
         F.sum(F.abs(F.col("__s") - F.coalesce("__pf", F.lit(0.0)))).alias("__d1"),
         F.sum(F.coalesce("__pf", F.lit(0.0))).alias("__covered"))
     # population mass not covered by the candidate adds |p - 0| per missing value
-    dist = covered.select("candidate", (F.col("__d1") + (F.lit(float(len(attributes))) - F.col("__covered")))
+    # rounded: sums in another order tie, and the smaller candidate wins on every run
+    dist = covered.select("candidate", F.round(F.col("__d1") + (F.lit(float(len(attributes))) - F.col("__covered")), 9)
                           .alias("distance"))
     best = dist.agg(F.min_by("candidate", F.struct("distance", "candidate"))).scalar()
-    return member.where(F.col("candidate") == best)
+    rest = drawn(others.where(F.lit(size) > m).withColumn("candidate", best), df.columns).where(F.col("__rn") <= F.lit(size) - m)
+    return (rest.select(*df.columns, "candidate").unionByName(mandatory_rows.withColumn("candidate", best))
+            .where(F.col("candidate").isNotNull()))
 
 
 def generate_test_data(seeds: DataFrame, key: str, spec: dict[str, dict], seed: int = 42) -> DataFrame:

@@ -1,6 +1,7 @@
 """More edge cases: snapshots, sinks, reshape, relational helpers."""
 
 import datetime as dt
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -146,3 +147,33 @@ def test_theta_or_join_keeps_multiplicity(spark):
     got = sorted((tuple(r) for r in j.select("a", "b", "c", "d").collect()), key=str)
     want = sorted([(1, "x", 1, "q"), (1, "x", 1, "q"), (2, "y", 3, "y"), (None, "z", None, "z")], key=str)
     assert got == want
+
+
+def test_representative_sample_draws_are_those_of_all_rows(spark):
+    """The bound leaves every candidate's own draws, also where weights tie rows; few rows are sorted."""
+    import math
+    from dossier.operators.sampling import representative_sample
+    df = spark.range(4000).select((F.col("id") % 3990).alias("k"), (F.col("id") % 4 * 100.0).alias("w"), (F.col("id") % 900 == 5).alias("must"),
+                                  (F.col("id") % 3).cast("string").alias("seg"))
+    got = representative_sample(df, "k", "w", "must", ["seg"], size=20, n_candidates=15).collect()
+    drawn = df.select("*", F.explode(F.sequence(F.lit(0), F.lit(14))).alias("candidate")).select(
+        "*", F.xxhash64("k", "candidate", F.lit(42)).alias("h")).collect()
+    pop, lists = Counter(r["seg"] for r in drawn if r["candidate"] == 0), {}
+    for c in range(15):
+        mine = [r for r in drawn if r["candidate"] == c]
+        must = [r for r in mine if r["must"]]
+        rest = sorted((-math.log((abs(r["h"]) % (1 << 52) + 1) / (1 << 52)) / r["w"], r["k"], r["seg"], i)
+                      for i, r in enumerate(mine) if not r["must"] and r["w"] > 0)[:20 - len(must)]
+        lists[c] = [(r["k"], r["seg"]) for r in must] + [(k, seg) for _, k, seg, _ in rest]
+
+    def distance(c):
+        n = Counter(seg for _, seg in lists[c])
+        return round(sum(abs(n[v] / 20 - pop[v] / 4000) for v in pop), 9), c
+    best = min(lists, key=distance)
+    assert {r["candidate"] for r in got} == {best} and sorted((r["k"], r["seg"]) for r in got) == sorted(lists[best])
+    # more mandatory rows than the sample has: they are the sample, and the first candidate's
+    all_must = representative_sample(df.withColumn("must", F.col("k") < 50), "k", "w", "must", ["seg"], size=20, n_candidates=15)
+    rows = all_must.collect()
+    assert {r["candidate"] for r in rows} == {0} and len(rows) == df.where("k < 50").count()
+    # draws meet their candidate's bound before they are sorted
+    assert "get(scalar-subquery" in all_must._jdf.queryExecution().toString()
