@@ -8,7 +8,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dossier.operators.ordered import ordered_scan
+from dossier.operators import ordered
+from dossier.operators.ordered import CHUNK, add_chunks, chunk_borders, ordered_scan
 
 MAX_DOCUMENT_CHARS = 2_000_000
 #: D-01 starts a new part of a client's document (and of an order's lines) every so many JSON characters.
@@ -191,7 +192,8 @@ def _present(fields: Sequence[str]) -> Column:
 
 
 def nest_siblings(rows: DataFrame, key: str, parent: Sequence[str], sets: dict[str, Sequence[str]],
-                  chain: tuple[str, Sequence[str], str, Sequence[str]], part_chars: int = PART_CHARS) -> DataFrame:
+                  chain: tuple[str, Sequence[str], str, Sequence[str]], part_chars: int = PART_CHARS,
+                  unpack: Column | None = None, tasks: int | None = None) -> DataFrame:
     """D-01: nested documents with several sibling arrays and one chain of two levels, in one pass.
 
     ``rows`` is a typed union: ``key``, ``kind`` and every field of every kind, NULL where it belongs
@@ -200,7 +202,11 @@ def nest_siblings(rows: DataFrame, key: str, parent: Sequence[str], sets: dict[s
     fields, inner array name, inner fields) has one row per inner element, or one with NULL inner
     fields for an element without any.
 
-    Equal rows meet first (partial aggregates).  One ordered scan per key then carries the parent's
+    ``rows`` may also be packed: any rows with the ``key`` from which ``unpack`` makes an array of structs
+    (kind, fields).  They are shuffled as they are, into ``tasks`` tasks, and unpacked behind the shuffle;
+    only rows of a key that the ordered scan splits are shuffled once for each struct.
+
+    Equal rows meet in their key's (chunk's) task.  One ordered scan per key then carries the parent's
     fields to all rows and sums up JSON lengths; a part ends every ``part_chars`` characters, so a
     document is one row, or several that have every element once.  A part holds about twice
     ``part_chars`` at most, unless a single element is longer; an element of the chain at a border
@@ -219,7 +225,27 @@ def nest_siblings(rows: DataFrame, key: str, parent: Sequence[str], sets: dict[s
     base = (F.length(F.to_json(F.struct(*mid, empty))) - 2).cast("bigint")
     element = reduce(lambda e, k: e.when(F.col("kind") == k, F.length(F.to_json(F.struct(*sets[k]))).cast("bigint")), sets,
                      F.when(is_chain, base)).otherwise(F.lit(0).cast("bigint"))
-    alike = (rows.where(F.col(key).isNotNull()).groupBy(key, "kind", *fields).agg(F.count(F.lit(1)).alias("__n"))
+    # any order does that keeps a kind's equal elements, and the inner elements of one, together
+    own = list(dict.fromkeys([*[f for fs in sets.values() for f in fs], *mid]))
+
+    def place(at: str = "") -> dict[str, Column]:
+        return {"__child": F.col(f"{at}kind") != "", "__h": F.xxhash64(*[f"{at}{c}" for c in ("kind", *own)]),
+                "__hs": F.xxhash64(*[f"{at}{c}" for c in sub])}
+
+    order = list(place())
+    n_chunks = ordered.CHUNKS or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = rows.where(F.col(key).isNotNull())
+    held = F.array(F.struct("kind", *fields)) if unpack is None else unpack
+    # borders from whole packed rows with the least hashes; only their keys' structs get a place of their own
+    some = packed.orderBy(F.xxhash64(*rows.columns)).limit(n_chunks * ordered.PER_CHUNK).select(key, F.inline(held))
+    known = packed.withColumn("__borders", chunk_borders(some.withColumns(place()), [key], order, n_chunks).scalar())
+    split = F.exists("__borders", lambda b: b["k"][key] == F.col(key))
+    dealt = (known.withColumn("__nth", F.explode(F.when(split, F.sequence(F.lit(0), F.size(held) - 1)).otherwise(F.array(F.lit(-1)))))
+             .withColumn("__one", F.when(F.col("__nth") >= 0, F.get(held, F.col("__nth")))))
+    chunked = add_chunks(dealt.withColumns(place("__one.")), [key], order, n_chunks, borders="__borders")
+    near = chunked.select(*rows.columns, "__nth", CHUNK).repartition(tasks or n_chunks, key, CHUNK)
+    every = near.select(key, CHUNK, F.inline(F.when(F.col("__nth") < 0, held).otherwise(F.array(F.get(held, F.col("__nth"))))))
+    alike = (every.groupBy(key, CHUNK, "kind", *fields).agg(F.count(F.lit(1)).alias("__n"))
              .withColumns({"__len": element, "__line": F.when(is_chain & has_sub, line).otherwise(0)}))
     # equal inner elements stay in number, in pieces that fit into a part
     copies = F.when(F.col("__line") > 0, F.greatest(F.lit(1), F.floor(F.lit(part_chars) / F.col("__line")))).otherwise(F.col("__n"))
@@ -231,21 +257,23 @@ def nest_siblings(rows: DataFrame, key: str, parent: Sequence[str], sets: dict[s
                                            F.col("__len") + 1 + F.col("__held") * (F.col("__line") + 1)))
              .withColumn("__parent", F.when(F.col("kind") == "", F.struct(F.lit(True).alias("__is"), *parent)))
              .drop("__n", "__fit"))
-    # any order does that keeps a kind's equal elements, and the inner elements of one, together
-    own = list(dict.fromkeys([*[f for fs in sets.values() for f in fs], *mid]))
-    sized = sized.withColumns({"__h": F.xxhash64("kind", *own), "__hs": F.xxhash64(*sub), "__child": F.col("kind") != ""})
-    scanned = ordered_scan(sized, [key], ["__child", "__h", "__hs", "__piece"],
-                           {"__sum": ("sum", "__size"), "__of": ("last_nonnull", "__parent")})
+    scanned = ordered_scan(sized.withColumns(place()), [key], [*order, "__piece"],
+                           {"__sum": ("sum", "__size"), "__of": ("last_nonnull", "__parent")}, chunk_col=CHUNK)
     part = (F.floor((F.col("__sum") - F.col("__size")) / part_chars) + 1).cast("bigint")
-    dealt = (scanned.where(F.col("__of").isNotNull()).withColumns({"part": part, "__chain": is_chain})
-             .repartition(key, "part"))  # both aggregates below use this partitioning
-    inner = dealt.groupBy(key, "part", "__chain", *mid).agg(
+    cut = scanned.where(F.col("__of").isNotNull()).withColumns({"part": part, "__chain": is_chain})
+    # arrays within the scan's own tasks; then only arrays are shuffled, for parts that lie in several chunks
+    in_chunk = cut.groupBy(key, CHUNK, "part", "__chain", *mid).agg(
         F.max("__of").alias("__of"), F.max("__len").alias("__base"),
         F.sum(F.col("__held") * F.col("__line")).alias("__sub_len"), F.sum("__held").alias("__sub_n"),
-        F.sort_array(F.flatten(F.collect_list(F.when(F.col("__held") > 0, F.array_repeat(
-            F.struct(*sub), F.col("__held").cast("int")))))).alias(sub_name),
+        F.flatten(F.collect_list(F.when(F.col("__held") > 0, F.array_repeat(
+            F.struct(*sub), F.col("__held").cast("int"))))).alias(sub_name),
         *[x for k in sets for x in (F.collect_list(F.when(F.col("kind") == k, F.struct(*sets[k]))).alias(k),
                                     F.sum(F.when(F.col("kind") == k, F.col("__len"))).alias(f"__len_{k}"))])
+    inner = in_chunk.repartition(tasks or n_chunks, key, "part").groupBy(key, "part", "__chain", *mid).agg(
+        F.max("__of").alias("__of"), F.max("__base").alias("__base"),
+        F.sum("__sub_len").alias("__sub_len"), F.sum("__sub_n").alias("__sub_n"),
+        F.sort_array(F.flatten(F.collect_list(sub_name))).alias(sub_name),
+        *[x for k in sets for x in (F.flatten(F.collect_list(k)).alias(k), F.sum(f"__len_{k}").alias(f"__len_{k}"))])
     ours = F.col("__chain")
     outer = inner.groupBy(key, "part").agg(
         F.max("__of").alias("__of"),

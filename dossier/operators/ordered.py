@@ -129,24 +129,43 @@ def _borders(df: DataFrame, keys: Sequence[str], at: str, order: Sequence[Order]
             .selectExpr("sort_array(collect_set(struct(k, o))) AS borders"))
 
 
+def _count(df: DataFrame, n: int | None) -> int:
+    return n or CHUNKS or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _at(df: DataFrame, keys: Sequence[str], order: Sequence[Order]) -> str:
+    """SQL of a row's place (k, o)."""
+    return f"named_struct('k', struct({', '.join(map(_q, keys))}), 'o', {_ascending(df.schema, order)})"
+
+
+def chunk_borders(df: DataFrame, keys: Sequence[str], order: Sequence[Order], n: int | None = None) -> DataFrame:
+    """One row, one array: the borders (k, o) that ``add_chunks`` finds in ``df``; only split keys have some."""
+    return _borders(df, keys, _at(df, keys, order), order, _count(df, n))
+
+
 def add_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[Order], n: int | None = None,
-               cut: Sequence[Order] | None = None) -> DataFrame:
+               cut: Sequence[Order] | None = None, borders: str | None = None) -> DataFrame:
     """Tag every row with its chunk: 0 where its key is not split, else contiguous ranges of (keys, cut).
 
-    ``cut`` is a prefix of ``order``; rows that are equal in it share a chunk.
+    ``cut`` is a prefix of ``order``; rows that are equal in it share a chunk.  ``borders`` names a
+    column that holds the result of ``chunk_borders``, for the same ``n``; it is dropped.
     """
-    n = n or CHUNKS or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    at = (f"named_struct('k', struct({', '.join(map(_q, keys))}), "
-          f"'o', {_ascending(df.schema, order if cut is None else cut)})")
+    n = _count(df, n)
+    if borders:
+        columns = [c for c in df.columns if c != borders]
+        at = _at(df, keys, order if cut is None else cut)
+        known = df.selectExpr(*map(_q, columns), f"{_q(borders)} AS __borders", f"{at} AS __at")
+    else:
+        columns, at = df.columns, _at(df, keys, order if cut is None else cut)
+        known = df.select("*", _borders(df, keys, at, order, n).scalar().alias("__borders"), F.expr(f"{at} AS __at"))
     # how many borders are at or before the row: at most n, so a few halving steps
     steps = ", ".join(str(1 << b) for b in reversed(range(n.bit_length())))
     place = (f"CASE WHEN size(__borders) = 0 THEN 0 ELSE aggregate(array({steps}), 0, (at, s) -> "
              "CASE WHEN get(__borders, at + s - 1) <= __at THEN at + s ELSE at END) END")
     split = "get(__borders, __place - 1).k <=> __at.k OR get(__borders, __place).k <=> __at.k"
-    return (df.select("*", _borders(df, keys, at, order, n).scalar().alias("__borders"), F.expr(f"{at} AS __at"))
-            .selectExpr("*", f"{place} AS __place")
+    return (known.selectExpr("*", f"{place} AS __place")
             # an array of one: a filter on the chunk stays above it, and does not repeat the search
-            .selectExpr(*map(_q, df.columns), f"explode(array(CASE WHEN {split} THEN __place + 1 ELSE 0 END)) AS {CHUNK}"))
+            .selectExpr(*map(_q, columns), f"explode(array(CASE WHEN {split} THEN __place + 1 ELSE 0 END)) AS {CHUNK}"))
 
 
 #: kind -> running value within the chunk, what a chunk hands on, how carries combine, and the result of both.

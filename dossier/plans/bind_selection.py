@@ -152,42 +152,49 @@ CHAIN = ("orders", ["o_orderkey", "o_orderstatus", "o_orderdate"], "lines", ["l_
 def _documents(spark, sf):
     """Every client with its addresses, activities, parties, relationships, and orders with their lines.
 
-    All child kinds are stacked into one frame with one scan per table.  A client is registered in
+    A client's own row and the rows of its lines are stacked into one frame with one scan per table, and
+    unpacked into their kinds in their client's task.  A client is registered in
     its own country and operates in those of its suppliers; its activities are the types of the parts
     it orders; its parties are its suppliers, related by supply or return.
     """
     t = T(spark, sf)
-    kinds = {"": ["c_name"], **SETS, CHAIN[0]: [*CHAIN[1], *CHAIN[3]]}
+    chain = [*CHAIN[1], *CHAIN[3]]
     o = t.orders.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_orderstatus",
                         F.to_date("o_orderdate").alias("o_orderdate"))
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
     facts = (o.join(lines, F.col("l_orderkey") == F.col("o_orderkey"), "left")
              .join(t.part.select("p_partkey", "p_type"), F.col("p_partkey") == F.col("l_partkey"), "left")
              .join(t.supplier.select("s_suppkey", "s_name", "s_nationkey"), F.col("s_suppkey") == F.col("l_suppkey"), "left"))
-    relation = F.when(F.col("l_returnflag") == "R", "Returns to").otherwise("Supplied by")
-    own = {"c_name": "string", "address_type": "string", "activity": "string", "party_id": "bigint", "party_name": "string",
-           "relation": "string", "related_id": "bigint", "o_orderkey": "bigint", "o_orderstatus": "string",
-           "o_orderdate": "date", "l_linenumber": "int", "l_partkey": "bigint", "l_quantity": "double", "nationkey": "int"}
+    own = {"c_name": "string", "address_type": "string", "country": "string", "region": "string", "activity": "string",
+           "party_id": "bigint", "party_name": "string", "relation": "string", "related_id": "bigint", "o_orderkey": "bigint",
+           "o_orderstatus": "string", "o_orderdate": "date", "l_linenumber": "int", "l_partkey": "bigint", "l_quantity": "double"}
 
     def row(kind: str, **values) -> F.Column:
         return F.struct(F.lit(kind).alias("kind"), *[
             (values[c] if c in values else F.lit(None)).cast(kind_of).alias(c) for c, kind_of in own.items()])
 
-    child = F.array(
-        row("orders", **{c: F.col(c) for c in kinds["orders"]}),
-        row("activities", activity=F.col("p_type")), row("parties", party_id=F.col("s_suppkey"), party_name=F.col("s_name")),
-        row("relationships", relation=relation, related_id=F.col("s_suppkey")),
-        row("addresses", address_type=F.lit("Operating"), nationkey=F.col("s_nationkey")))
-    client = F.array(row("", c_name=F.col("c_name")),
-                     row("addresses", address_type=F.lit("Registered"), nationkey=F.col("c_nationkey")))
-    stacked = (facts.select("c_custkey", F.inline(child))
-               .unionByName(t.customer.select("c_custkey", F.inline(client)))
-               # an order without lines has no supplier and no part
-               .where("kind IN ('', 'orders') OR coalesce(activity, CAST(party_id AS STRING), CAST(related_id AS STRING),"
-                      " CAST(nationkey AS STRING)) IS NOT NULL"))
+    def address(kind: str) -> F.Column:
+        return row("addresses", address_type=F.lit(kind), country=F.col("country"), region=F.col("region"))
+
+    relation = F.when(F.col("returned"), "Returns to").otherwise("Supplied by")
+    registered, supplied = F.col("nationkey").isNotNull(), F.col("s_suppkey").isNotNull()
+    child = F.array_compact(F.array(
+        row("orders", **{c: F.col(c) for c in chain}),
+        # an order without lines has no supplier and no part
+        F.when(F.col("p_type").isNotNull(), row("activities", activity=F.col("p_type"))),
+        F.when(supplied, row("parties", party_id=F.col("s_suppkey"), party_name=F.col("s_name"))),
+        F.when(supplied, row("relationships", relation=relation, related_id=F.col("s_suppkey"))),
+        F.when(registered, address("Operating"))))
+    client = F.array_compact(F.array(row("", c_name=F.col("c_name")), F.when(registered, address("Registered"))))
+    unpack = F.when(F.col("is_client"), client).otherwise(child)
     places = (t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
               .select(F.col("n_nationkey").alias("nationkey"), F.col("n_name").alias("country"), F.col("r_name").alias("region")))
-    return DOC.nest_siblings(stacked.join(places, "nationkey", "left"), "c_custkey", ["c_name"], SETS, CHAIN)
+    stacked = (facts.select("c_custkey", *chain, "p_type", "s_suppkey", "s_name", (F.col("l_returnflag") == "R").alias("returned"),
+                            F.col("s_nationkey").alias("nationkey"), F.lit(False).alias("is_client"))
+               .unionByName(t.customer.select("c_custkey", "c_name", F.col("c_nationkey").alias("nationkey"),
+                                              F.lit(True).alias("is_client")), allowMissingColumns=True)
+               .join(places, "nationkey", "left"))
+    return DOC.nest_siblings(stacked, "c_custkey", ["c_name"], SETS, CHAIN, unpack=unpack, tasks=t.tasks("lineitem", 2))
 
 
 @register("d_01_build_documents")

@@ -87,3 +87,27 @@ def test_documents_read_each_table_once(spark, small_dir):
     plan = docs._jdf.queryExecution().optimizedPlan().toString()
     # the ordered scan has a main branch and a carry branch, each with the choice of borders
     assert plan.count("Relation [l_orderkey") == plan.count("Relation [o_orderkey") == plan.count("Relation [c_custkey") <= 4
+
+
+@pytest.mark.parametrize("chunks", [None, 64])  # 64: the scan splits both clients
+def test_packed_rows_give_the_same_documents(spark, chunks, monkeypatch):
+    monkeypatch.setattr(ordered_mod, "CHUNKS", chunks)
+    lines = spark.range(400).selectExpr("CAST(1 + id % 2 AS INT) AS c", "CAST(id DIV 8 AS INT) AS o", "concat('t', id % 7) AS t",
+                                        "CAST(id % 5 AS INT) AS tag", "CAST(NULL AS STRING) AS name", "false AS own")
+    packed = lines.unionByName(spark.createDataFrame([(1, "x", True), (2, "y", True)], "c int, name string, own boolean"), allowMissingColumns=True)
+    unpack = F.expr("""CASE WHEN own THEN array(named_struct('kind', '', 'name', name, 'tag', CAST(NULL AS INT), 'o', CAST(NULL AS INT), 't', CAST(NULL AS STRING)))
+        ELSE array(named_struct('kind', 'orders', 'name', CAST(NULL AS STRING), 'tag', CAST(NULL AS INT), 'o', o, 't', t),
+                   named_struct('kind', 'tags', 'name', CAST(NULL AS STRING), 'tag', tag, 'o', CAST(NULL AS INT), 't', CAST(NULL AS STRING))) END""")
+    args = "c", ["name"], {"tags": ["tag"]}, ("orders", ["o"], "lines", ["t"]), 300
+    one = nest_siblings(packed, *args, unpack=unpack, tasks=3)
+    many = nest_siblings(packed.select("c", F.inline(unpack)), *args)
+    assert one.count() > 4 and one.exceptAll(many).isEmpty() and many.exceptAll(one).isEmpty()
+    # the structs of a row are made behind the shuffle: no exchange by all fields
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(c" in plan and ", kind" not in "".join(x for x in plan.splitlines() if "Exchange hashpartitioning" in x)
+
+
+def test_tasks_follow_the_files(spark, small_dir):
+    from dossier.sources.tables import Tables
+    t = Tables(spark, small_dir)
+    assert t.tasks("lineitem", 2) == 4 and t.tasks("lineitem", 0.01) >= 11  # 4 shuffle partitions, 116 kB
