@@ -13,7 +13,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dossier.operators.ordered import CHUNK, ordered_scan
+from dossier.operators.ordered import CHUNK, add_chunks, ordered_scan
 from dossier.operators.pick import with_key_aggregates
 
 
@@ -43,32 +43,41 @@ def workday_count(start, end) -> Column:
     return F.when(s.isNull() | e.isNull() | (e < s), F.lit(0)).otherwise(out)
 
 
-def merge_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
+def merge_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str, tasks: int | None = None,
+                    near: Sequence[str] | None = None) -> DataFrame:
     """Union of [start, end] day intervals per key (overlapping or touching intervals merge).
 
     Two ordered scans (running max of earlier ends, running count of
     island starts), so a key with a large share of the rows is split over tasks.
+    With ``tasks`` the rows are dealt into that many tasks, so that a task's memory does not grow with
+    the input, and the result is partitioned by ``near`` (some of the keys, all by default).
     """
-    order = [start, end]
-    x = ordered_scan(df, keys, order, {"__pe": ("max_before", end)}, keep_chunk=True)
+    order, near = [start, end], list(near or keys)
+    x = add_chunks(df, keys, order)
+    if tasks:
+        x = x.repartition(tasks, *near, CHUNK)  # both scans and the first aggregate use this partitioning
+    x = ordered_scan(x, keys, order, {"__pe": ("max_before", end)}, chunk_col=CHUNK)
     new = F.when(F.col("__pe").isNull() | (F.datediff(F.col(start), F.col("__pe")) > 1), 1).otherwise(0)
     # identical intervals tie; the pass-1 flag orders them so both passes agree
     isl = ordered_scan(x.withColumn("__new", new), keys, [*order, ("__new", False)],
                        {"__isl": ("sum", "__new")}, chunk_col=CHUNK)
+    if tasks:
+        isl = (isl.groupBy(*keys, CHUNK, "__isl").agg(F.min(start).alias(start), F.max(end).alias(end))
+               .repartition(tasks, *near))
     return isl.groupBy(*keys, "__isl").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("__isl")
 
 
 def days_in_status(items: DataFrame, keys: Sequence[str], status: str, start: str, end: str,
-                   statuses: Sequence[str], prefix: str = "days_") -> DataFrame:
+                   statuses: Sequence[str], prefix: str = "days_", tasks: int | None = None) -> DataFrame:
     """T-02: distinct working days per key and status, one column per status.
 
     Overlapping items count a day once: intervals are merged per
     (key, status) first, then each merged interval is counted with the
-    closed form — no row per day is ever produced.
+    closed form — no row per day is ever produced.  ``tasks``: as in ``merge_intervals``.
     """
     it = items.select(*keys, status, F.to_date(start).alias("__s"), F.to_date(end).alias("__e")) \
         .where(F.col("__s").isNotNull() & F.col("__e").isNotNull() & (F.col("__e") >= F.col("__s")))
-    merged = merge_intervals(it, [*keys, status], "__s", "__e")
+    merged = merge_intervals(it, [*keys, status], "__s", "__e", tasks, keys)
     counted = merged.withColumn("__n", workday_count("__s", "__e"))
     wide = counted.groupBy(*keys).pivot(status, list(statuses)).agg(F.sum("__n"))
     return wide.select(*keys, *[F.coalesce(F.col(s), F.lit(0)).cast("bigint").alias(f"{prefix}{s}")
@@ -76,7 +85,7 @@ def days_in_status(items: DataFrame, keys: Sequence[str], status: str, start: st
 
 
 def days_in_rebound(events: DataFrame, keys: Sequence[str], status: str, ts: str, order: Sequence[str],
-                    in_status: str, after_status: str) -> DataFrame:
+                    in_status: str, after_status: str, tasks: int | None = None) -> DataFrame:
     """T-03: working days spent in ``in_status`` on or after the first ``after_status``.
 
     Each event's status lasts from its day to the day of the key's next
@@ -91,7 +100,7 @@ def days_in_rebound(events: DataFrame, keys: Sequence[str], status: str, ts: str
     x = (e.where((F.col(status) == in_status) & F.col("__first").isNotNull())
          .withColumn("__s", F.greatest("__s", "__first"))
          .where(F.col("__e") >= F.col("__s")))
-    merged = merge_intervals(x.select(*keys, "__s", "__e"), keys, "__s", "__e")
+    merged = merge_intervals(x.select(*keys, "__s", "__e"), keys, "__s", "__e", tasks)
     days = merged.groupBy(*keys).agg(F.sum(workday_count("__s", "__e")).cast("bigint").alias("rebound_days"))
     all_keys = events.select(*keys).distinct()
     return all_keys.join(days, list(keys), "left").select(

@@ -57,9 +57,10 @@ SELECT l_orderkey, count(*) FILTER (WHERE l_linestatus = 'F') AS days_F,
        count(*) FILTER (WHERE l_linestatus = 'O') AS days_O
 FROM y GROUP BY l_orderkey""")
 def t_02_days_in_status(spark, sf):
-    li = T(spark, sf).lineitem.select("l_orderkey", "l_linestatus", F.to_date("l_shipdate").alias("s"),
-                                      F.date_add(F.to_date("l_shipdate"), F.col("l_linenumber") * 3).alias("e"))
-    return W.days_in_status(li, ["l_orderkey"], "l_linestatus", "s", "e", ["F", "O"])
+    t = T(spark, sf)
+    li = t.lineitem.select("l_orderkey", "l_linestatus", F.to_date("l_shipdate").alias("s"),
+                           F.date_add(F.to_date("l_shipdate"), F.col("l_linenumber") * 3).alias("e"))
+    return W.days_in_status(li, ["l_orderkey"], "l_linestatus", "s", "e", ["F", "O"], tasks=t.tasks("lineitem", 2))
 
 
 @register("t_03_days_in_rebound", """
@@ -75,8 +76,9 @@ c AS (SELECT user_id, count(*) FILTER (WHERE isodow(d) < 6) AS n FROM d GROUP BY
 SELECT u.user_id, CAST(coalesce(c.n, 0) AS BIGINT) AS rebound_days
 FROM (SELECT DISTINCT user_id FROM events) u LEFT JOIN c ON u.user_id = c.user_id""")
 def t_03_days_in_rebound(spark, sf):
-    e = T(spark, sf).events
-    return W.days_in_rebound(e, ["user_id"], "event_type", "ts", ["ts", "event_id"], "view", "error")
+    t = T(spark, sf)
+    return W.days_in_rebound(t.events, ["user_id"], "event_type", "ts", ["ts", "event_id"], "view", "error",
+                             tasks=t.tasks("events", 2))
 
 
 @register("t_04_workday_count_formula", """

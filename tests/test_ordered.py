@@ -135,3 +135,21 @@ def test_registered_queries_with_split_keys(spark, small_dir, name, monkeypatch)
     from tools.oracle_check import compare, duck_conn
     status, msg = compare(name, E.queries()[name], E.oracle_sql()[name], spark, duck_conn(small_dir), small_dir)
     assert status == "OK", msg
+
+
+@pytest.mark.parametrize("chunks", [None, 50])
+def test_interval_merging_in_tasks_by_input_size(spark, chunks, monkeypatch):
+    from dossier.operators.worktime import days_in_status, merge_intervals
+    monkeypatch.setattr(ordered_mod, "CHUNKS", chunks)
+    df = spark.range(2000).selectExpr("IF(id % 3 > 0, 1, IF(id % 7 > 0, id % 7, NULL)) AS k", "IF(id % 2 = 0, 'A', 'B') AS st",
+                                      "date_add(DATE '2024-01-01', CAST(pmod(hash(id), 900) AS INT)) AS s",
+                                      "date_add(DATE '2024-01-01', CAST(pmod(hash(id), 900) + id % 4 AS INT)) AS e")
+    same(merge_intervals(df, ["k", "st"], "s", "e", 9, ["k"]), merge_intervals(df, ["k", "st"], "s", "e"))
+    got = days_in_status(df, ["k"], "st", "s", "e", ["A", "B"], tasks=9)
+    days = df.selectExpr("k", "st", "explode(sequence(s, e)) AS d").where("weekday(d) < 5").distinct()
+    want = days.groupBy("k").pivot("st", ["A", "B"]).count().na.fill(0, ["A", "B"]).toDF("k", "days_A", "days_B")
+    same(got, want)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    sized = [x for x in plan.splitlines() if "Exchange hashpartitioning(k" in x and ", 9)" in x]
+    # rows and islands are shuffled into the given tasks, and not again for the islands, the pivot and its sums
+    assert len(sized) >= 2 and plan.count("Exchange hashpartitioning(k") == len(sized)
