@@ -55,6 +55,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def delete_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this program wrote, if it exists."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def list_load_dates(spark: SparkSession, path: str) -> list[dt.date]:
     """Partition dates present under a version folder, ascending."""
     out = []

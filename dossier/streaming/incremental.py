@@ -4,17 +4,21 @@ The reference polls for dated snapshots newer than the target's high-water
 mark and upserts them in date order.  Here the file source tracks which
 snapshot files were already consumed (its checkpoint is the high-water
 mark), ``trigger(availableNow=True)`` processes everything new and stops,
-and ``foreachBatch`` upserts each micro-batch into the target.
+and ``foreachBatch`` adds each micro-batch to the load's pending rows.  When
+the stream has stopped, all pending rows are upserted into the target at once.
 
 The target is partitioned by a hash bucket of the key
-(``<target>/bucket=<b>/``).  A micro-batch reads only the buckets its keys
-fall into (partition pruning), merges them with the batch (per key the
+(``<target>/bucket=<b>/``), and so are the pending rows of every micro-batch
+(``<target>.pending/micro_batch=<id>/bucket=<b>/``).  The upsert reads only
+the buckets that have pending rows (partition pruning), merges both (per key the
 row with the newest ``load_date``, then the full row), materialises the
-result with ``checkpoint()`` (cutting the read of the files it replaces)
-and rewrites just those buckets with dynamic partition overwrite.  Work per
-batch follows the batch, not the size of the target.  Re-running a batch
-(after an executor or driver loss) merges the same rows again and yields
-the same state, so the load is idempotent.
+result with ``checkpoint()`` where it replaces files that it reads,
+rewrites just those buckets with dynamic partition overwrite, and deletes
+the pending rows.  So a row is written a fixed number of times, however many
+micro-batches a load has, and the state is rewritten once per load.
+A micro-batch that runs again (after an executor or driver loss) replaces its
+own folder, and pending rows that a broken load left are merged by the next
+one; merging rows again yields the same state, so the load is idempotent.
 """
 
 from __future__ import annotations
@@ -26,40 +30,58 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from dossier.operators.pick import dedupe_latest
-from dossier.sources.snapshots import list_dirs
+from dossier.sources.snapshots import delete_dir, list_dirs
 
-BUCKET = "bucket"
+BUCKET, BATCH = "bucket", "micro_batch"
 STATE_BUCKETS = 256
+#: Tasks that one bucket's rows are dealt into when they are merged.
+SPREAD = 4
 
 
 def _bucket(keys: Sequence[str], n: int):
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n)).cast("int")
 
 
+def _has_buckets(spark: SparkSession, path: str) -> bool:
+    return any(d.startswith(f"{BUCKET}=") for d in list_dirs(spark, path))
+
+
 def latest_state(spark: SparkSession, target: str) -> DataFrame | None:
-    """The current target state (without the bucket column), or None before the first batch."""
-    if not any(d.startswith(f"{BUCKET}=") for d in list_dirs(spark, target)):
+    """The target state after the last load (without the bucket column), or None before the first."""
+    if not _has_buckets(spark, target):
         return None
     return spark.read.parquet(target).drop(BUCKET)
 
 
-def _merge_batch(target: str, keys: Sequence[str], date_col: str, buckets: int):
+def _pending(target: str) -> str:
+    return f"{target.rstrip('/')}.pending"
+
+
+def _add_batch(target: str, keys: Sequence[str], buckets: int):
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        b = batch.withColumn(BUCKET, _bucket(keys, buckets))
-        # the touched bucket ids: at most ``buckets`` small integers
-        touched = [r[0] for r in b.select(BUCKET).distinct().collect()]
-        if not touched:
-            return
-        both = b
-        if any(d.startswith(f"{BUCKET}=") for d in list_dirs(spark, target)):
-            cur = spark.read.parquet(target).where(F.col(BUCKET).isin(touched))
-            both = cur.unionByName(b)
-        merged = dedupe_latest(both, [*keys], [F.col(date_col).desc()])
-        merged = merged.checkpoint(eager=True)  # the overwrite must not read the files it replaces
+        (batch.withColumn(BUCKET, _bucket(keys, buckets)).repartition(BUCKET)
+         .write.mode("overwrite").partitionBy(BUCKET).parquet(f"{_pending(target)}/{BATCH}={batch_id}"))
+    return run
+
+
+def _merge_pending(spark: SparkSession, target: str, keys: Sequence[str], date_col: str) -> None:
+    """Upsert all pending rows into the target, and delete them."""
+    path = _pending(target)
+    if any(_has_buckets(spark, f"{path}/{d}") for d in list_dirs(spark, path)):
+        both = added = spark.read.parquet(path).drop(BATCH)
+        based = _has_buckets(spark, target)
+        if based:
+            # the touched bucket ids: at most ``buckets`` small integers
+            touched = [r[0] for r in added.select(BUCKET).distinct().collect()]
+            both = spark.read.parquet(target).where(F.col(BUCKET).isin(touched)).unionByName(added)
+        spread = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(1)), F.lit(SPREAD))
+        dealt = both.withColumn("__spread", spread).repartition(BUCKET, "__spread")
+        merged = dedupe_latest(dealt, [BUCKET, "__spread", *keys], [F.col(date_col).desc()]).drop("__spread")
+        if based:
+            merged = merged.checkpoint(eager=True)  # the overwrite must not read the files it replaces
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BUCKET).parquet(target))
-    return run
+    delete_dir(spark, path)
 
 
 def incremental_snapshot_load(spark: SparkSession, source: str, schema: StructType, target: str,
@@ -76,11 +98,13 @@ def incremental_snapshot_load(spark: SparkSession, source: str, schema: StructTy
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(source)
-    q = (stream.writeStream.foreachBatch(_merge_batch(target, keys, date_col, buckets))
+    _merge_pending(spark, target, keys, date_col)  # of a load that broke off
+    q = (stream.writeStream.foreachBatch(_add_batch(target, keys, buckets))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+    _merge_pending(spark, target, keys, date_col)
     state = latest_state(spark, target)
     if state is None:
         raise RuntimeError("no snapshot files found")

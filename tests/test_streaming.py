@@ -32,3 +32,34 @@ def test_incremental_load_merges_and_is_idempotent(spark):
     s4 = incremental_snapshot_load(spark, src, schema, target, scratch_path(spark, "stream_ck2"), ["k"], buckets=8)
     assert sorted(tuple(r) for r in s4.collect()) == s2
     assert latest_state(spark, target).count() == 75
+
+
+def test_state_is_written_once_per_load_and_broken_loads_are_merged(spark, monkeypatch):
+    import dossier.streaming.incremental as inc
+    root, target, ckpt = (scratch_path(spark, x) for x in ("many_src", "many_tgt", "many_ck"))
+    for day in (1, 2, 3):  # nine files, nine micro-batches
+        rows = spark.range(day * 10, 60 + day * 10).select((F.col("id") % 65).alias("k"), F.lit(f"v{day}").alias("v")).repartition(3)
+        write_snapshot(rows, root, "o", "1", dt.date(2024, 1, day))
+    src = f"{root}/o/1"
+    schema = spark.read.option("basePath", src).parquet(src).schema
+    merges, batches, merge, add = [], [], inc.dedupe_latest, inc._add_batch
+    monkeypatch.setattr(inc, "dedupe_latest", lambda *a: merges.append(1) or merge(*a))
+
+    def broken(*a):  # the fifth micro-batch is lost once
+        def run(batch, batch_id):
+            if batch_id == 4 and not batches:
+                batches.append(batch_id)
+                raise RuntimeError("lost")
+            add(*a)(batch, batch_id)
+        return run
+    monkeypatch.setattr(inc, "_add_batch", broken)
+    load = lambda: inc.incremental_snapshot_load(spark, src, schema, target, ckpt, ["k"], max_files_per_trigger=1, buckets=8)
+    try:
+        load()
+        raise AssertionError("the lost batch must fail the load")
+    except Exception as e:
+        assert "lost" in str(e)
+    got = {r["k"]: r["v"] for r in load().collect()}
+    frames = spark.read.option("basePath", src).parquet(src).orderBy("load_date").collect()
+    assert got == {r["k"]: r["v"] for r in frames} and batches == [4]
+    assert len(merges) == 2 and load().count() == len(got) and len(merges) == 2  # once per load with new rows
