@@ -36,11 +36,10 @@ from dossier.llm.pieces import PieceEncoder
 #: Texts that one numpy round takes together.
 TEXTS_A_ROUND = 256
 NEVER = 1 << 40
-NONE = (NEVER, -1)
 #: Bytes of a word beyond which merging uses a heap.
 LONG_WORD = 48
 #: Words that a worker remembers.
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 600_000
 #: A plain piece: letters, then marks; the pattern parts them just there.
 SIMPLE = re.compile(r"( ?[A-Za-z]+)([.,;:!?]*)\Z")
 
@@ -70,20 +69,22 @@ class Bpe:
         for token, i in vocab.items():
             self.bytes_of[i] = token
         self.bytes_of[self.special_id] = self.special.encode()
-        self.rank: dict[tuple[int, int], tuple[int, int]] = {}
+        self.rank: dict[tuple[int, int], int] = {}
+        self.made: list[int] = []  # token by the rank of its merge
         left, right = np.full(size, -1), np.full(size, -1)
         made_at = np.full(size, -1, dtype=np.int64)
         for rank, merge in enumerate(spec["model"]["merges"]):
             a, b = (vocab[bytes(chars[c] for c in part)] for part in
                     (merge.split(" ") if isinstance(merge, str) else merge))
             token = vocab[self.bytes_of[a] + self.bytes_of[b]]
-            self.rank[a, b] = (rank, token)
+            self.rank[a, b] = rank
+            self.made.append(token)
             left[token], right[token], made_at[token] = a, b, rank
         self._shift = np.int64(size.bit_length())
         keys = np.array([(a << int(self._shift)) | b for a, b in self.rank], dtype=np.int64)
         order = np.argsort(keys)
         self._keys = keys[order]
-        self._ranks = np.array([r for r, _ in self.rank.values()], dtype=np.int64)[order]
+        self._ranks = np.array(list(self.rank.values()), dtype=np.int64)[order]
         self._right_spine, self._left_spine = self._spine(right, made_at), self._spine(left, made_at)
         whole = self._whole(left, right, made_at)
         self.vocab = {t: i for t, i in vocab.items() if whole[i]}
@@ -153,36 +154,36 @@ class Bpe:
 
     def _merge_short(self, token: list[int]) -> list[int]:
         """Only the two pairs beside a merge are looked up again; equal ranks are equal pairs."""
-        get = self.rank.get
-        pairs = [get(p, NONE) for p in zip(token, token[1:])]
-        while pairs and (best := min(pairs)) is not NONE:
+        get, made = self.rank.get, self.made
+        pairs = [get(p, NEVER) for p in zip(token, token[1:])]
+        while pairs and (best := min(pairs)) != NEVER:
             i = pairs.index(best)
-            token[i:i + 2] = [best[1]]
+            token[i:i + 2] = [made[best]]
             del pairs[i]
             if i:
-                pairs[i - 1] = get((token[i - 1], token[i]), NONE)
+                pairs[i - 1] = get((token[i - 1], token[i]), NEVER)
             if i < len(pairs):
-                pairs[i] = get((token[i], token[i + 1]), NONE)
+                pairs[i] = get((token[i], token[i + 1]), NEVER)
         return token
 
     def _merge_long(self, token: list[int]) -> list[int]:
         """Pairs wait in a heap, parts are a linked list, so n bytes take n log n steps."""
         n = len(token)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(self.rank[p][0], i, p) for i in range(n - 1) if (p := (token[i], token[i + 1])) in self.rank]
+        heap = [(self.rank[p], i, p) for i in range(n - 1) if (p := (token[i], token[i + 1])) in self.rank]
         heapq.heapify(heap)
         while heap:
-            _, i, pair = heapq.heappop(heap)
+            rank, i, pair = heapq.heappop(heap)
             j = after[i]
             if token[i] != pair[0] or j >= n or token[j] != pair[1]:
                 continue  # one of the two has merged meanwhile
-            token[i], token[j] = self.rank[pair][1], -1
+            token[i], token[j] = self.made[rank], -1
             after[i] = after[j]
             if after[j] < n:
                 before[after[j]] = i
             for k in (before[i], i):
                 if k >= 0 and after[k] < n and (p := (token[k], token[after[k]])) in self.rank:
-                    heapq.heappush(heap, (self.rank[p][0], k, p))
+                    heapq.heappush(heap, (self.rank[p], k, p))
         return [t for t in token if t >= 0]
 
     def encode_words(self, words: list[bytes]) -> list[bytes]:
