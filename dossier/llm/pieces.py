@@ -61,3 +61,55 @@ class PieceEncoder:
             def get(p):
                 return long[p] if len(p) > LONGEST_CACHED else cache[p]
         return [self._special_ids.join([b"".join(map(get, run)) for run in runs]) for runs in cut]
+
+
+class _OddSpace(Exception):
+    pass
+
+
+class _Pieces(dict):
+    """Id bytes of pieces, made as they are asked for; ``old`` holds pieces of before."""
+
+    def __init__(self, encode_part: Callable[[str], bytes], old: dict[str, bytes]):
+        super().__init__()
+        self._encode_part, self._old = encode_part, old
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self._old.get(piece)
+        if ids is None:
+            if ODD_SPACE.search(piece):
+                raise _OddSpace
+            ids = self._encode_part(piece)
+        if len(piece) <= LONGEST_CACHED:
+            self[piece] = ids
+        return ids
+
+    def renewed(self) -> "_Pieces":
+        """An empty one with this one as its old one; this one's own old pieces are let go."""
+        self._old = {}
+        return _Pieces(self._encode_part, self)
+
+
+class EachPieceEncoder:
+    """As PieceEncoder, for an ``encode_part`` that takes one string at a time: no batch of new pieces is gathered first."""
+
+    def __init__(self, encode_part: Callable[[str], bytes], special: tuple[str, bytes], cache_size: int = 250_000):
+        self._encode_part = encode_part
+        self._special, self._special_ids = special
+        self._cache = _Pieces(encode_part, {})
+        self._cache_size = cache_size
+
+    def _run(self, run: str) -> bytes:
+        try:
+            return b"".join(map(self._cache.__getitem__, PIECE.findall(run)))
+        except _OddSpace:
+            return self._encode_part(run)
+
+    def encode(self, texts: Iterable[str | None]) -> list[bytes]:
+        """Id bytes of each text; a null text has none."""
+        out = []
+        for text in texts:
+            if len(self._cache) > self._cache_size:
+                self._cache = self._cache.renewed()
+            out.append(self._special_ids.join(map(self._run, (text or "").split(self._special))))
+        return out

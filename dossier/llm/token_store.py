@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from dossier.llm.bpe import byte_of_char
 from dossier.llm.common import documents, small_batches, written
-from dossier.llm.pieces import PieceEncoder
+from dossier.llm.pieces import EachPieceEncoder
 from dossier.session import scratch_path
 
 END_ID = 2
@@ -54,7 +54,7 @@ BLOCK_SCHEMA = ("shard int, start_in_shard long, first_doc_id long, last_doc_id
 
 
 @lru_cache(maxsize=2)
-def _encoder(path: str) -> PieceEncoder:
+def _encoder(path: str) -> EachPieceEncoder:
     """Piece by piece through the tokenizers library; once per worker."""
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -67,7 +67,11 @@ def _encoder(path: str) -> PieceEncoder:
     def of_word(word: str) -> bytes:
         ids = known.get(word)
         if ids is None:
-            written_out = word.encode().decode("latin-1").translate(shown)
+            if len(known) > KNOWN_WORDS:
+                known.clear()
+            # of printable ASCII only the space is written as another character
+            written_out = (word.replace(" ", shown[32]) if word.isascii() and word.isprintable()
+                           else word.encode().decode("latin-1").translate(shown))
             ids = known[word] = array("I", [t.id for t in model(written_out)]).tobytes()
         return ids
 
@@ -78,13 +82,7 @@ def _encoder(path: str) -> PieceEncoder:
         marks = simple[2]
         return of_word(simple[1]) + of_word(marks) if marks else of_word(piece)
 
-    def encode_parts(parts: list[str]) -> list[bytes]:
-        if len(known) > KNOWN_WORDS:
-            known.clear()
-        return list(map(of_piece, parts))
-
-    return PieceEncoder(encode_parts, (added[1].content, np.array([added[0]], dtype="<u4").tobytes()),
-                        KNOWN_PIECES)
+    return EachPieceEncoder(of_piece, (added[1].content, np.array([added[0]], dtype="<u4").tobytes()), KNOWN_PIECES)
 
 
 def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
