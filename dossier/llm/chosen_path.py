@@ -99,23 +99,53 @@ def minwise(shingles: np.ndarray, factors: np.ndarray) -> bytes:
 
 
 def sketched(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n (set size), d (digest of the set), sketch and packed (the compressed text) of every row."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("d", pa.binary()), ("sketch", pa.binary()), ("packed", pa.binary())])
+    """doc_id, n (set size), d (digest of the set) and sketch of every row."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("d", pa.binary()), ("sketch", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, pack = Shingler(words), zstandard.ZstdCompressor(level=1).compress
+        shingler = Shingler(words)
         factors = np.random.default_rng(SEED).integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        for batch in batches:
+            sets = [shingler((t or "").encode()) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(map(_digest, sets), pa.binary()),
+                 pa.array([minwise(s, factors) for s in sets], pa.binary())], schema=schema)
+
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+            .mapInArrow(run, "doc_id long, n long, d binary, sketch binary"))
+
+
+def _digest(shingles: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(shingles.tobytes())
+
+
+def _packed(docs: DataFrame, words: int) -> DataFrame:
+    """doc_id, d (digest of the set) and packed (the compressed text) of every row that has words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, pack = Shingler(words), zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
             texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
             sets = [shingler(t) for t in texts]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                 pa.array([minwise(s, factors) for s in sets], pa.binary()), pa.array([pack(t) for t in texts], pa.binary())],
-                schema=schema)
+            out = pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(_digest, sets), pa.binary()),
+                                              pa.array(map(pack, texts), pa.binary())], names=["doc_id", "d", "packed"])
+            yield out.filter(pa.array([len(s) > 0 for s in sets], pa.bool_()))
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-            .mapInArrow(run, "doc_id long, n long, d binary, sketch binary, packed binary"))
+            .mapInArrow(run, "doc_id long, d binary, packed binary"))
+
+
+def _texts_of(sets: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """node and packed of ``sets`` (node, d, first): the text of a row with the set and its first doc_id.
+
+    Texts are read from ``docs`` again: a copy of all of them is written nowhere.  Repeated rows meet
+    where the join has dealt them.
+    """
+    def keyed(df: DataFrame, doc_id: str) -> DataFrame:
+        return df.withColumns({"key": F.coalesce(doc_id, F.lit(0)), "unnamed": F.col(doc_id).isNull()})
+
+    keys = ["d", "key", "unnamed"]
+    texts = keyed(_packed(docs, words), "doc_id").select(*keys, "packed")
+    return texts.join(keyed(sets, "first").select(*keys, "node"), keys).dropDuplicates(keys).select("node", "packed")
 
 
 def _child(path: Column, coordinate: Column) -> Column:
@@ -293,8 +323,7 @@ def groups(spark: SparkSession, docs: DataFrame, words: int = 5, p: int = 80, q:
     members = grown(spark, sets, trees(p / q), leaf).withColumn("root", F.col("node"))
     # from here on only the sets that share a leaf with another one are read
     met = written(spark, sets.join(members.select("node").distinct(), "node"), "paths-met")
-    packed = written(spark, rows.join(met, (rows["d"] == met["d"]) & rows["doc_id"].eqNullSafe(met["first"]))
-                     .select("node", "packed").dropDuplicates(["node"]), "paths-packed")
+    packed = written(spark, _texts_of(met, docs, words), "paths-packed")
     links = None
     for _ in range(2):  # every member meets its nearest leader
         near = _near(_leaders(members), met, least, p, q)
