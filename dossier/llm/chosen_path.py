@@ -60,6 +60,8 @@ RECALL, FILTER_MISS = 0.9999, 1e-6
 BLOCK = 512
 #: Parts of the universe of shingles that a set is counted in, and the largest count told apart.
 CELLS, MOST_IN_CELL = 1024, 127
+#: Bits per set, and in all, of the filter that tells most rows whose text is not read.
+FILTER_BITS, MOST_FILTER_BITS = 8, 1 << 26
 SEED = 12
 
 
@@ -119,16 +121,43 @@ def _digest(shingles: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
-def _packed(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, d (digest of the set) and packed (the compressed text) of every row that has words."""
+def _places(doc_ids: pa.Array, digests: list[bytes], bits: int) -> np.ndarray:
+    """The bit of a filter of ``bits`` bits that a row with this doc_id and digest has."""
+    ids = doc_ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    low = np.frombuffer(b"".join(digests), "<u8")[::2]
+    return (low + ids * np.uint64(0x9E3779B97F4A7C15)) & np.uint64(bits - 1)
+
+
+def _filter_of(sets: DataFrame) -> np.ndarray:
+    """A bit for every one of ``sets`` (d, first), packed in bytes; its size is bounded, other rows may share a bit."""
+    bits = min(MOST_FILTER_BITS, 1 << max(10, (FILTER_BITS * sets.count()).bit_length()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = _places(batch.column(0), batch.column(1).to_pylist(), bits)
+            yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).astype(np.int64)), pa.array(
+                (np.uint64(1) << (at & np.uint64(63))).view(np.int64))], names=["word", "held"])
+
+    held = sets.select("first", "d").mapInArrow(run, "word long, held long").groupBy("word").agg(F.bit_or("held").alias("held")).toArrow()
+    words = np.zeros(bits // 64, dtype="<i8")
+    words[held.column("word").to_numpy()] = held.column("held").to_numpy()
+    return words.view(np.uint8)
+
+
+def _packed(docs: DataFrame, words: int, wanted: np.ndarray) -> DataFrame:
+    """doc_id, d (digest of the set) and packed (the compressed text) of every row that has words and a bit in ``wanted``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, pack = Shingler(words), zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
             texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
             sets = [shingler(t) for t in texts]
-            out = pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(_digest, sets), pa.binary()),
-                                              pa.array(map(pack, texts), pa.binary())], names=["doc_id", "d", "packed"])
-            yield out.filter(pa.array([len(s) > 0 for s in sets], pa.bool_()))
+            digests = [_digest(s) for s in sets]
+            at = _places(batch.column(0), digests, len(wanted) * 8)
+            found = (wanted[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1
+            kept = [k for k, s in enumerate(sets) if found[k] and len(s) > 0]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(kept, pa.int64())), pa.array([digests[k] for k in kept], pa.binary()),
+                 pa.array([pack(texts[k]) for k in kept], pa.binary())], names=["doc_id", "d", "packed"])
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
             .mapInArrow(run, "doc_id long, d binary, packed binary"))
@@ -137,14 +166,15 @@ def _packed(docs: DataFrame, words: int) -> DataFrame:
 def _texts_of(sets: DataFrame, docs: DataFrame, words: int) -> DataFrame:
     """node and packed of ``sets`` (node, d, first): the text of a row with the set and its first doc_id.
 
-    Texts are read from ``docs`` again: a copy of all of them is written nowhere.  Repeated rows meet
-    where the join has dealt them.
+    Texts are read from ``docs`` again: a copy of all of them is written nowhere, and a filter keeps most
+    that belong to none of ``sets`` out of the shuffle; the join is exact.  Repeated rows meet where the
+    join has dealt them.
     """
     def keyed(df: DataFrame, doc_id: str) -> DataFrame:
         return df.withColumns({"key": F.coalesce(doc_id, F.lit(0)), "unnamed": F.col(doc_id).isNull()})
 
     keys = ["d", "key", "unnamed"]
-    texts = keyed(_packed(docs, words), "doc_id").select(*keys, "packed")
+    texts = keyed(_packed(docs, words, _filter_of(sets)), "doc_id").select(*keys, "packed")
     return texts.join(keyed(sets, "first").select(*keys, "node"), keys).dropDuplicates(keys).select("node", "packed")
 
 

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+import zstandard
 
 from dossier.llm import chosen_path
 
@@ -91,3 +92,14 @@ def test_trees_reach_the_recall():
         assert (draws < k).mean() < 1e-4
     with pytest.raises(ValueError):
         chosen_path.trees(0.05)
+
+
+def test_texts_that_are_not_read_stay_out_of_the_shuffle(spark):
+    rows = [(k, f"word{k} and some words more") for k in range(2000)] + [(None, "a row without doc_id, with words"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    of = chosen_path.sketched(docs, 5).where("doc_id % 100 = 0 AND n > 0 OR doc_id IS NULL")
+    sets = of.selectExpr("coalesce(doc_id, -1) AS node", "d", "doc_id AS first").localCheckpoint()
+    packed = chosen_path._packed(docs, 5, chosen_path._filter_of(sets))
+    assert 21 <= packed.count() < 400  # 21 sets; before, all 2,001 rows with words
+    texts = {r.node: zstandard.ZstdDecompressor().decompress(r.packed).decode() for r in chosen_path._texts_of(sets, docs, 5).collect()}
+    assert texts == {-1 if d is None else d: t for d, t in rows if d is None or d % 100 == 0}
