@@ -12,7 +12,8 @@ Linked documents have shingle sets with a Jaccard similarity of at least p / q.
   their own at the root are repeated until a pair just at the threshold is missed with the
   probability 1 - RECALL at most.  A child with one set ends at once, which most do.
 * Leaves are compared exhaustively, by sketches first: a pair whose sketches agree in fewer
-  coordinates than a similar pair's would in all but FILTER_MISS of cases is left out.  Then an
+  coordinates than a similar pair's would in all but FILTER_MISS of cases is left out.  A set
+  that has no other pair in a leaf leaves it before any text is read.  Then an
   exact bound: sets that are counted in CELLS parts of the universe differ by as much as their
   counts do at least, so a pair whose counts differ by more than a link allows is left out too.
 * Links are confirmed on the full sets: the words of both texts are numbered by an exact
@@ -178,6 +179,55 @@ def _texts_of(sets: DataFrame, docs: DataFrame, words: int) -> DataFrame:
     return texts.join(keyed(sets, "first").select(*keys, "node"), keys).dropDuplicates(keys).select("node", "packed")
 
 
+def _partnered(members: DataFrame, sets: DataFrame, leaf: int, least: int, p: int, q: int) -> DataFrame:
+    """(path, node, size) of ``members`` with d, n, sketch and first, without those that no set of their leaf may be linked with.
+
+    Sizes and sketches decide, as for every pair that is compared later.  A set that has met one near set is
+    compared with no further one for its own sake.  Leaves of more than ``leaf`` sets are kept whole.
+    """
+    columns = ["path", "node", "size", "d", "n", "sketch", "first"]
+
+    def near_some(held: pa.Table) -> np.ndarray:
+        n = held.column("n").to_numpy()
+        sketch = np.frombuffer(b"".join(held.column("sketch").to_pylist()), "<u4").reshape(-1, COORDINATES)
+        found = np.zeros(len(n), dtype=bool)
+        at, step = 0, max(1, (1 << 13) // len(n))  # bounds the memory of the comparison
+        while at < len(n):
+            x = at + np.flatnonzero(~found[at:])[:step]
+            if not len(x):
+                break
+            good = (sketch[x][:, None] == sketch).sum(axis=2) >= least
+            good &= q * np.minimum(n[x][:, None], n) >= p * np.maximum(n[x][:, None], n)
+            good[np.arange(len(x)), x] = False
+            found[x] |= good.any(axis=1)
+            found |= good.any(axis=0)
+            at = int(x[-1]) + 1
+        return found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None  # rows of the last leaf, which the next batch may continue
+        for batch in batches:
+            large = np.asarray(batch.column(2).to_numpy(zero_copy_only=False) > leaf)
+            if large.any():
+                yield batch.filter(pa.array(large))
+                batch = batch.filter(pa.array(~large))
+            held = pa.Table.from_batches([batch])
+            held = held if rest is None else pa.concat_tables([rest, held])
+            path = held.column("path").to_numpy()
+            edges = [0, *(np.flatnonzero(path[1:] != path[:-1]) + 1).tolist()]
+            kept = [near_some(held.slice(a, b - a)) for a, b in zip(edges, edges[1:])]
+            if kept:
+                yield from held.slice(0, edges[-1]).filter(pa.array(np.concatenate(kept))).to_batches()
+            rest = held.slice(edges[-1])
+        if rest is not None and rest.num_rows:
+            yield from rest.filter(pa.array(near_some(rest))).to_batches()
+
+    # a large leaf is dealt out, since it is not compared here
+    rows = members.join(sets, "node").select(*columns)
+    return (rows.repartition("path", F.when(F.col("size") > leaf, F.col("node")).otherwise(F.lit(0))).sortWithinPartitions("path")
+            .mapInArrow(run, "path long, node long, size long, d binary, n long, sketch binary, first long"))
+
+
 def _child(path: Column, coordinate: Column) -> Column:
     return F.xxhash64(path, coordinate, F.substring("sketch", coordinate * 4 + 1, F.lit(4)))
 
@@ -350,9 +400,10 @@ def groups(spark: SparkSession, docs: DataFrame, words: int = 5, p: int = 80, q:
     # the sketch follows from the digest; the ids are fixed by being written
     sets = written(spark, rows.where("n > 0").groupBy("d", "n", "sketch").agg(F.min("doc_id").alias("first"))
                    .withColumn("node", F.monotonically_increasing_id()), "paths-sets")
-    members = grown(spark, sets, trees(p / q), leaf).withColumn("root", F.col("node"))
-    # from here on only the sets that share a leaf with another one are read
-    met = written(spark, sets.join(members.select("node").distinct(), "node"), "paths-met")
+    # from here on only the sets that share a leaf with one that they may be linked with are read
+    partnered = written(spark, _partnered(grown(spark, sets, trees(p / q), leaf), sets, leaf, least, p, q), "paths-partnered")
+    members = partnered.select("path", "node", "size", F.col("node").alias("root"))
+    met = written(spark, partnered.select("node", "d", "n", "sketch", "first").dropDuplicates(["node"]), "paths-met")
     packed = written(spark, _texts_of(met, docs, words), "paths-packed")
     links = None
     for _ in range(2):  # every member meets its nearest leader
