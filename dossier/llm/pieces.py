@@ -11,10 +11,18 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 #: A run of plain white space with the word after it.
 PIECE = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 #: White space outside PIECE's: a text with any of it is encoded uncut.
 ODD_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+#: Stands before every run of plain white space while texts are cut; it is one of ODD_SPACE's.
+MARK = "\x1f"
+#: Bytes of text that are cut in one go.
+SLICE_BYTES = 1 << 24
 #: Pieces longer than this are encoded each time they are met.
 LONGEST_CACHED = 64
 
@@ -113,3 +121,66 @@ class EachPieceEncoder:
                 self._cache = self._cache.renewed()
             out.append(self._special_ids.join(map(self._run, (text or "").split(self._special))))
         return out
+
+
+class ColumnPieceEncoder:
+    """As EachPieceEncoder, for columns of texts: Arrow cuts them, and each distinct piece of a column is looked up once.
+
+    Texts with white space that pieces do not know, or with the special token, are encoded one by one.
+    """
+
+    def __init__(self, encode_part: Callable[[str], bytes], special: tuple[str, bytes], cache_size: int = 250_000):
+        self._each = EachPieceEncoder(encode_part, special, cache_size)
+        self._special = special[0]
+        self._cache = _Pieces(encode_part, {})
+        self._cache_size = cache_size
+
+    def encode(self, texts: Iterable[str | None]) -> list[bytes]:
+        """Id bytes of each text; a null text has none."""
+        return self.encode_column(pa.array(texts, pa.string()))
+
+    def encode_column(self, texts: pa.Array) -> list[bytes]:
+        """``encode`` of an Arrow array of strings."""
+        texts, out, start = texts.fill_null(""), [], 0
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+        while start < len(texts):
+            before = ends[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, before + SLICE_BYTES, side="right")))
+            out += self._slice(texts.slice(start, end - start))
+            start = end
+        return out
+
+    def _slice(self, texts: pa.Array) -> list[bytes]:
+        if len(self._cache) > self._cache_size:
+            self._cache = self._cache.renewed()
+        if pc.any(pc.match_substring_regex(texts, r"[ \t\n\r]{2}|[\t\r]")).as_py():
+            marked = pc.replace_substring_regex(texts, r"([ \t\n\r]+)", MARK + r"\1")
+        else:  # takes less than a pattern does
+            marked = texts
+            for one in " \n":
+                marked = pc.replace_substring(marked, one, MARK + one)
+        cut = pc.split_pattern(marked, MARK)
+        first = cut.offsets.to_numpy()
+        pieces = cut.flatten().dictionary_encode()
+        cache, special, found, odd = self._cache, self._special, [], []
+        # one string for all is made sooner than one for each
+        named = pa.ListArray.from_arrays(pa.array([0, len(pieces.dictionary)], pa.int32()), pieces.dictionary)
+        for k, piece in enumerate(pc.binary_join(named, MARK)[0].as_py().split(MARK)):
+            try:
+                if special in piece:
+                    raise _OddSpace
+                found.append(cache[piece] if piece else b"")
+            except _OddSpace:
+                odd.append(k)
+                found.append(b"")
+        joined = pa.array(found, pa.large_binary()).take(pieces.indices)
+        data = joined.buffers()[2]
+        at = np.frombuffer(joined.buffers()[1], np.int64)[first].tolist()
+        out = [data[a:b].to_pybytes() for a, b in zip(at, at[1:])]
+        alone = pc.match_substring(texts, MARK).to_numpy(zero_copy_only=False)
+        if odd:
+            places = np.flatnonzero(np.isin(pieces.indices.to_numpy(), odd))
+            alone[np.searchsorted(first, places, side="right") - 1] = True
+        for k in np.flatnonzero(alone).tolist():
+            out[k], = self._each.encode([texts[k].as_py()])
+        return out

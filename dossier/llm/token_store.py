@@ -24,6 +24,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 
 from dossier.llm.bpe import byte_of_char
 from dossier.llm.common import documents, small_batches, written
-from dossier.llm.pieces import EachPieceEncoder
+from dossier.llm.pieces import ColumnPieceEncoder
 from dossier.session import scratch_path
 
 END_ID = 2
@@ -48,13 +49,13 @@ LEVEL = 3
 #: Words and pieces that a worker remembers.
 KNOWN_WORDS, KNOWN_PIECES = 600_000, 250_000
 #: A plain piece: letters of Latin or Cyrillic, then marks; the pre-tokenizer parts them just there.
-SIMPLE = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ɏЀ-ҁҊ-ԯ]+)([.,;:!?]*)\Z")
+SIMPLE = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ɏЀ-ҁҊ-ԯ]+)([!-/:-@\[-`{-~]*)\Z")
 BLOCK_SCHEMA = ("shard int, start_in_shard long, first_doc_id long, last_doc_id long, n_ids long, "
                 "dictionary_sha256 string, doc_ids array<long>, n_tokens array<long>, offsets array<long>, frames binary")
 
 
 @lru_cache(maxsize=2)
-def _encoder(path: str) -> EachPieceEncoder:
+def _encoder(path: str) -> ColumnPieceEncoder:
     """Piece by piece through the tokenizers library; once per worker."""
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -64,37 +65,43 @@ def _encoder(path: str) -> EachPieceEncoder:
     shown = {byte: char for char, byte in byte_of_char().items()}  # how the model's vocabulary writes bytes
     known: dict[str, bytes] = {}  # words of pieces: a word with a comma is a new piece, not a new word
 
+    space, id_of = shown[32], attrgetter("id")
+
     def of_word(word: str) -> bytes:
         ids = known.get(word)
         if ids is None:
             if len(known) > KNOWN_WORDS:
                 known.clear()
             # of printable ASCII only the space is written as another character
-            written_out = (word.replace(" ", shown[32]) if word.isascii() and word.isprintable()
+            written_out = (word.replace(" ", space) if word.isascii() and word.isprintable()
                            else word.encode().decode("latin-1").translate(shown))
-            ids = known[word] = array("I", [t.id for t in model(written_out)]).tobytes()
+            ids = known[word] = array("I", map(id_of, model(written_out))).tobytes()
         return ids
 
     def of_piece(piece: str) -> bytes:
         simple = SIMPLE.match(piece)
         if not simple:
             return b"".join(map(of_word, cut(piece)))
-        marks = simple[2]
-        return of_word(simple[1]) + of_word(marks) if marks else of_word(piece)
+        word, marks = simple.groups()
+        return of_word(word) + of_word(marks) if marks else of_word(word)
+
+    return ColumnPieceEncoder(of_piece, (added[1].content, np.array([added[0]], dtype="<u4").tobytes()), KNOWN_PIECES)
+
 
-    return EachPieceEncoder(of_piece, (added[1].content, np.array([added[0]], dtype="<u4").tobytes()), KNOWN_PIECES)
+def _encoded(batches: Iterator[pa.RecordBatch], vocabulary: str) -> Iterator[tuple[pa.Array, list[bytes]]]:
+    """doc_id and the id bytes of batches of (doc_id, text), the end id included."""
+    encoder, end = _encoder(vocabulary), np.array([END_ID], dtype="<u4").tobytes()
+    for batch in batches:
+        yield batch.column(0), [x + end for x in encoder.encode_column(batch.column(1))]
 
 
 def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id and the id bytes of its whole text, the end id included."""
     small_batches(docs.sparkSession)
-    end = np.array([END_ID], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(vocabulary)
-        for batch in batches:
-            ids = [x + end for x in encoder.encode(batch.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+        for doc_id, ids in _encoded(batches, vocabulary):
+            yield pa.RecordBatch.from_arrays([doc_id, pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
 
@@ -123,10 +130,9 @@ def write(spark: SparkSession, docs: DataFrame, path: str, vocabulary: str) -> N
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=LEVEL, **_dictionary(data)).compress
-        for batch in batches:
-            ids = batch.column(1).to_pylist()
+        for doc_id, ids in _encoded(batches, vocabulary):
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(map(pack, ids), pa.binary())],
+                [doc_id, pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(map(pack, ids), pa.binary())],
                 names=["doc_id", "n_tokens", "frame"])
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,7 +163,8 @@ def write(spark: SparkSession, docs: DataFrame, path: str, vocabulary: str) -> N
             yield block()
 
     # compressed documents are written before they are dealt out by range, which reads them twice
-    frames = written(spark, encode(docs, vocabulary).mapInArrow(compress, "doc_id long, n_tokens long, frame binary"),
+    small_batches(spark)
+    frames = written(spark, docs.select("doc_id", "text").mapInArrow(compress, "doc_id long, n_tokens long, frame binary"),
                      "token-frames")
     size = frames.agg(F.sum(F.octet_length("frame"))).first()[0] or 0
     shards = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), size >> 20), size >> 28)
