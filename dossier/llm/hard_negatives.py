@@ -10,11 +10,14 @@ Vectors of integers are compared with every anchor by table lookups in place of
   shifted by the plane and added (the top plane counts negative).  The scores are the full, exact
   inner products.
 
-Anchors are dealt into blocks of ANCHORS as well; every pair of an anchor block and a candidate block
-is one row of a join on their numbers, so the memory of a task is that of two blocks.  The first
-pass scores candidates of the anchors' own labels and keeps each anchor's positives; the second scores the
-others and keeps, for each anchor and positive, the first few in its window of scores.  A block pair
-gives a few rows per anchor, and windows with a partial limit join the blocks' finds.
+Anchors are dealt into blocks of ANCHORS as well.  Every anchor block meets every candidate block in a
+grid of tiles, one task each: a task holds the candidate blocks of its tile, up to HELD bytes of them,
+while the tile's anchor blocks pass by one at a time.  Blocks are copied once per tile, not once per
+block pair, and are shuffled, never broadcast: Spark plans by a table's size before its rows are
+copied, and the copies would all go through the driver.  The first pass scores candidates of the anchors'
+own labels and keeps each anchor's positives; the second scores the others and keeps, for each anchor and
+positive, the first few in its window of scores.  A tile gives a few rows per anchor, and windows with a
+partial limit join the tiles' finds.
 
 Defined results: rows with a null vec_id, label or vector, or with a null or non-finite component, take
 no part.  Repeated rows (equal vec_id, label and vector) are one row; rows that share a vec_id alone are
@@ -39,6 +42,8 @@ from dossier.sources.tables import table
 
 #: Vectors of a block.
 ANCHORS, CANDIDATES = 512, 4096
+#: Bytes of candidate blocks that a task holds (one block at least).
+HELD = 32 << 20
 #: Positives of an anchor, negatives of a positive, and the window of a negative's score in percent of the positive's.
 POSITIVES, NEGATIVES, LOW, HIGH = 5, 5, 80, 100
 
@@ -138,24 +143,64 @@ def _held(column: pa.Array) -> Iterator[pa.StructArray]:
 Find = Callable[[pa.StructArray, np.ndarray, np.ndarray, np.ndarray, int], "list[np.ndarray]"]
 
 
-def _meet(anchors: DataFrame, n_anchors: int, candidates: DataFrame, n_candidates: int, find: Find, schema: str) -> DataFrame:
-    """``find(anchors, vec_ids, labels, bits, most)`` of every anchor block with every candidate block."""
-    a = anchors.select(F.col("block").alias("a"), "held", F.explode(F.sequence(F.lit(0), F.lit(n_candidates - 1))).alias("c"))
-    c = candidates.select(F.col("block").alias("c"), F.struct("vec_id", "label", "most", "planes", "groups", "bits").alias("block"),
-                          F.explode(F.sequence(F.lit(0), F.lit(n_anchors - 1))).alias("a"))
+def _first(found: list[np.ndarray], keys: int, most: int) -> list[np.ndarray]:
+    """The first ``most`` of the rows that agree in the first ``keys`` columns: by falling score (the last column), then by vec_id (the one before)."""
+    order = np.lexsort((found[-2], -found[-1], *found[keys - 1::-1]))
+    found = [x[order] for x in found]
+    begins = np.ones(len(order), dtype=bool)
+    begins[1:] = np.any([x[1:] != x[:-1] for x in found[:keys]], axis=0)
+    place = np.arange(len(order))
+    kept = place - np.maximum.accumulate(np.where(begins, place, 0)) < most
+    return [x[kept] for x in found]
+
+
+def _tiles(spark: SparkSession, anchors: DataFrame, n_anchors: int, candidates: DataFrame, n_candidates: int) -> tuple[int, int]:
+    """How many tiles the anchor and the candidate blocks are dealt into.
+
+    There are about as many tiles as shuffle partitions, as long as there are block pairs, cut so that
+    few bytes are copied, and into more where a tile's candidate blocks would pass HELD.
+    """
+    rows, width = F.octet_length("vec_id") / 8, F.col("planes") * F.col("groups") + 16
+    block, groups = candidates.agg(F.max(rows * width), F.max("groups")).first()
+    block = max(1, int(block or 0))
+    anchor = max(1, (anchors.agg(F.max(F.size("held"))).first()[0] or 0) * (64 * (groups or 0) + 40))
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    even = round((wanted * (n_candidates * block) / (n_anchors * anchor)) ** 0.5)
+    across = min(n_candidates, max(even, -(-wanted // n_anchors), -(-n_candidates // max(1, HELD // block))))
+    return min(n_anchors, -(-wanted // across)), across
+
+
+def _meet(spark: SparkSession, anchors: DataFrame, n_anchors: int, candidates: DataFrame, n_candidates: int, find: Find, schema: str,
+          keys: int, most: int) -> DataFrame:
+    """``find(anchors, vec_ids, labels, bits, most)`` of every anchor block with every candidate block, the ``_first`` of each tile."""
+    down, across = _tiles(spark, anchors, n_anchors, candidates, n_candidates)
+    block = F.struct("vec_id", "label", "most", "planes", "groups", "bits").alias("candidates")
+    a = anchors.select("held", (F.col("block") % down).alias("a"), F.explode(F.sequence(F.lit(0), F.lit(across - 1))).alias("c"))
+    c = candidates.select(block, (F.col("block") % across).alias("c"), F.explode(F.sequence(F.lit(0), F.lit(down - 1))).alias("a"))
+    tile = (F.col("c") * down + F.col("a")).alias("tile")
+    both = (c.select(tile, F.lit(0).alias("turn"), "candidates", F.lit(None).cast(a.schema["held"].dataType).alias("held"))
+            .union(a.select(tile, F.lit(1), F.lit(None).cast(c.schema["candidates"].dataType), "held")))
     names = [x.split()[0] for x in schema.split(", ")]
     types = [pa.int32() if x.endswith(" int") else pa.int64() for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, blocks = None, []
         for batch in batches:
-            for held, block in zip(_held(batch.column(0)), batch.column(1)):
-                b = {k: v.as_py() for k, v in block.items()}
-                ids, labels = (np.frombuffer(b[k], np.int64) for k in ("vec_id", "label"))
-                bits = np.frombuffer(b["bits"], np.uint8).reshape(b["planes"], b["groups"], len(ids))
-                found = find(held, ids, labels, bits, b["most"])
+            for number, block, held in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                if number != of:
+                    of, blocks = number, []
+                if block.is_valid:
+                    b = block.as_py()
+                    ids, labels = (np.frombuffer(b[k], np.int64) for k in ("vec_id", "label"))
+                    blocks.append((ids, labels, np.frombuffer(b["bits"], np.uint8).reshape(b["planes"], b["groups"], len(ids)), b["most"]))
+                    continue
+                found = [np.empty(0, np.int64)] * len(names)
+                for b in blocks:
+                    found = _first([np.concatenate(x) for x in zip(found, find(held.values, *b))], keys, most)
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(found, types)], names=names)
 
-    return a.join(c, ["a", "c"]).select("held", "block").mapInArrow(run, schema)
+    dealt = both.repartitionById(down * across, F.col("tile")).sortWithinPartitions("tile", "turn")
+    return dealt.select("tile", "candidates", "held").mapInArrow(run, schema)
 
 
 def _own_label(positives: int) -> Find:
@@ -226,13 +271,13 @@ def mine(spark: SparkSession, rows: DataFrame, is_anchor: str, positives: int =
     asked = rows.where(is_anchor)
     held, m = _blocks(spark, asked, anchors_held, "negatives-anchors")
     of_anchor = Window.partitionBy("anchor_id", "key")
-    near = written(spark, _meet(held, m, candidates, n, _own_label(positives), POSITIVE), "negatives-near")
+    near = written(spark, _meet(spark, held, m, candidates, n, _own_label(positives), POSITIVE, 2, positives), "negatives-near")
     first = (near.withColumn("nth", F.row_number().over(of_anchor.orderBy(F.desc("score"), "positive_id")))
              .where(F.col("nth") <= positives).groupBy("anchor_id", "key")
              .agg(F.sort_array(F.collect_list(F.struct("nth", "positive_id", "score"))).alias("positives")))
-    given = asked.join(first.withColumnRenamed("anchor_id", "vec_id"), ["vec_id", "key"])
+    given = asked.join(first.withColumnRenamed("anchor_id", "vec_id").hint("merge"), ["vec_id", "key"])  # not broadcast, as above
     held, m = _blocks(spark, written(spark, given, "negatives-given"), anchors_held, "negatives-windows")
-    found = written(spark, _meet(held, m, candidates, n, _in_windows(negatives, low, high), NEGATIVE), "negatives-found")
+    found = written(spark, _meet(spark, held, m, candidates, n, _in_windows(negatives, low, high), NEGATIVE, 3, negatives), "negatives-found")
     of_positive = Window.partitionBy("anchor_id", "key", "nth").orderBy(F.desc("negative_score"), "negative_id")
     return (found.withColumn("rank", F.row_number().over(of_positive)).where(F.col("rank") <= negatives)
             .select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"))

@@ -63,3 +63,39 @@ def test_empty_tables(spark):
     assert hard_negatives.mine(spark, hard_negatives.usable(one), "vec_id % 10 = 0").count() == 0
     assert hard_negatives.mine(spark, hard_negatives.usable(one), "vec_id % 10 = 3").count() == 0
     assert hard_negatives.usable(one.withColumn("embedding", F.lit(None).cast("array<float>"))).isEmpty()
+
+
+@pytest.mark.parametrize("partitions, held", [(1, 1 << 20), (1, 1), (40, 1 << 20)])
+def test_blocks_meet_in_tiles_and_are_not_broadcast(spark, monkeypatch, partitions, held):
+    good, _ = rows()
+    plans, rows_of, write = {}, {}, hard_negatives.written
+
+    def written(session, df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        out = write(session, df, name)
+        rows_of[name] = out.count()
+        return out
+
+    monkeypatch.setattr(hard_negatives, "written", written)
+    monkeypatch.setattr(hard_negatives, "HELD", held)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        df = hard_negatives.usable(spark.createDataFrame([(*r, "x", 1) for r in good], KIND))
+        out = hard_negatives.mine(spark, df, "vec_id % 10 = 0", 3, 2, 30, 100, 2, 7)
+        got = sorted(map(tuple, out.collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got == brute(good, 3, 2, 30) and got
+    # copies of blocks go from executor to executor, however few bytes their table has before it is copied
+    assert {"negatives-near", "negatives-given", "negatives-found"} <= {*plans}
+    assert not [name for name, plan in plans.items() if "Broadcast" in plan]
+    if (partitions, held) == (1, 1 << 20):  # one tile, of the best of each anchor and window
+        anchors = {(v, label, tuple(x)) for v, x, label in good if v % 10 == 0}
+        assert rows_of["negatives-near"] <= 3 * len(anchors) and rows_of["negatives-found"] <= 3 * 2 * len(anchors)
+
+
+def test_first_rows():
+    found = [np.array(x) for x in ([1, 1, 1, 2, 1, 2], [5, 5, 5, 5, 6, 5], [9, 8, 7, 1, 3, 2], [4, 4, 5, -1, 0, -2])]
+    assert np.transpose(hard_negatives._first(found, 2, 2)).tolist() == [[1, 5, 7, 5], [1, 5, 8, 4], [1, 6, 3, 0], [2, 5, 1, -1], [2, 5, 2, -2]]
+    assert [len(x) for x in hard_negatives._first([np.empty(0, np.int64)] * 4, 2, 5)] == [0] * 4
