@@ -6,9 +6,10 @@ Vectors of integers are compared with every anchor by table lookups in place of
   candidate holds bit b of its components (two's complement), eight dimensions to a byte.
 * Tables.  For each group of eight dimensions an anchor block has a table of all 256 subset sums of
   the anchors' components there, built by doubling.
-* Scores.  A candidate's byte looks up the sum of the components that its bits select; sums are
-  shifted by the plane and added (the top plane counts negative).  The scores are the full, exact
-  inner products.
+* Scores.  A candidate's byte looks up the sum of the components that its bits select; a plane's sums
+  are added in the narrowest integers that hold them, then the planes, from the top one (which counts
+  negative) down, each time doubling what is there.  Candidates are scored a few at a time, so that
+  sums stay in the processor's cache.  The scores are the full, exact inner products.
 
 Anchors are dealt into blocks of ANCHORS as well.  Every anchor block meets every candidate block in a
 grid of tiles, one task each: a task holds the candidate blocks of its tile, up to HELD bytes of them,
@@ -44,6 +45,8 @@ from dossier.sources.tables import table
 ANCHORS, CANDIDATES = 512, 4096
 #: Bytes of candidate blocks that a task holds (one block at least).
 HELD = 32 << 20
+#: Candidates scored at a time, and groups of dimensions whose tables are held at a time.
+SCORED, GROUPS = 512, 16
 #: Positives of an anchor, negatives of a positive, and the window of a negative's score in percent of the positive's.
 POSITIVES, NEGATIVES, LOW, HIGH = 5, 5, 80, 100
 
@@ -95,15 +98,23 @@ def scores(anchors: np.ndarray, bits: np.ndarray, most: int) -> np.ndarray:
         raise ValueError("the components are too large for exact 64-bit scores")
     dtype = np.int32 if bound < 1 << 30 else np.int64
     planes, groups, rows = bits.shape
+    both = min(groups, -(-anchors.shape[1] // 8))  # beyond the shorter vectors all is zero
+    narrow = np.int16 if 8 * min(both, GROUPS) * _most(anchors) < 1 << 15 else dtype
     total = np.zeros((rows, len(anchors)), dtype=dtype)
-    for g in range(min(groups, -(-anchors.shape[1] // 8))):  # beyond the shorter vectors all is zero
-        sums = subset_sums(anchors[:, 8 * g:8 * g + 8], dtype)
-        for b in range(planes):
-            shifted = sums << b
-            if b < planes - 1:
-                total += shifted[bits[b, g]]
-            else:
-                total -= shifted[bits[b, g]]
+    for first in range(0, both, GROUPS):
+        tables = [subset_sums(anchors[:, 8 * g:8 * g + 8], narrow) for g in range(first, min(both, first + GROUPS))]
+        for at in range(0, rows, SCORED):
+            part = np.zeros((len(total[at:at + SCORED]), len(anchors)), dtype=dtype)
+            for b in reversed(range(planes)):
+                plane = np.zeros(part.shape, dtype=narrow)
+                for sums, byte in zip(tables, bits[b, first:, at:at + SCORED]):
+                    plane += sums[byte]
+                part *= 2
+                if b < planes - 1:
+                    part += plane
+                else:
+                    part -= plane
+            total[at:at + SCORED] += part
     return total
 
 

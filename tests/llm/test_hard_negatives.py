@@ -99,3 +99,14 @@ def test_first_rows():
     found = [np.array(x) for x in ([1, 1, 1, 2, 1, 2], [5, 5, 5, 5, 6, 5], [9, 8, 7, 1, 3, 2], [4, 4, 5, -1, 0, -2])]
     assert np.transpose(hard_negatives._first(found, 2, 2)).tolist() == [[1, 5, 7, 5], [1, 5, 8, 4], [1, 6, 3, 0], [2, 5, 1, -1], [2, 5, 2, -2]]
     assert [len(x) for x in hard_negatives._first([np.empty(0, np.int64)] * 4, 2, 5)] == [0] * 4
+
+
+def test_scores_of_the_largest_sums(monkeypatch):
+    monkeypatch.setattr(hard_negatives, "SCORED", 4)
+    rng = np.random.default_rng(5)
+    for most, width in ((511, 64), (512, 64), (255, 128), (255, 300), (256, 128), (256, 300), (1 << 15, 8), (1 << 20, 40)):  # to both sides of 16 bits a plane
+        for sign in (1, -1):
+            a = np.vstack([np.full((1, width), sign * most), rng.integers(-most, most + 1, (3, width))])
+            c = np.vstack([np.full((1, width), most), np.full((1, width), -most), rng.integers(-most, most + 1, (9, width))])
+            got = hard_negatives.scores(a, hard_negatives.bit_planes(c), hard_negatives._most(c))
+            assert (got == c @ a.T).all()
